@@ -10,7 +10,7 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmatch.functions import text as T
@@ -24,39 +24,29 @@ CURVE_DECAY = 0.16
 TOKEN_PATTERN = r"[\p{L}\p{N}_]{2,}"
 
 
-def jaccard(a: Column, b: Column, language: str | None = "portuguese") -> Column:
-    """SIM-2: |A∩B| / (|A|+|B|-|A∩B|) over the cleaned word sets."""
-    sa = F.array_distinct(T.clean_words(a, language))
-    sb = F.array_distinct(T.clean_words(b, language))
+def jaccard_sets(sa: Column, sb: Column) -> Column:
+    """|A∩B| / (|A|+|B|-|A∩B|) of two distinct-word arrays; NULL if both empty."""
     inter = F.size(F.array_intersect(sa, sb))
     union = F.size(sa) + F.size(sb) - inter
     return F.when(union > 0, inter / union)
 
 
-def edit_similarity(a: Column, b: Column, language: str | None = "portuguese") -> Column:
-    """SIM-3: 1 - levenshtein / max(len) over the cleaned strings."""
-    ca, cb = T.clean_text(a, language), T.clean_text(b, language)
+def edit_ratio(ca: Column, cb: Column) -> Column:
+    """1 - levenshtein / max(len); NULL if both strings are empty."""
     m = F.greatest(F.length(ca), F.length(cb))
     return F.when(m > 0, 1 - F.levenshtein(ca, cb) / m)
 
 
-def _tokens(c: Column) -> Column:
-    return F.regexp_extract_all(F.lower(c), F.lit(TOKEN_PATTERN), 0)
-
-
 def _tf(arr: Column, t: Column) -> Column:
     return F.size(F.filter(arr, lambda x: x == t))
 
 
-def pair_cosine(a: Column, b: Column, language: str | None = "portuguese") -> Column:
-    """SIM-4: TF-IDF cosine with the two cleaned strings as the whole corpus.
+def cosine_tokens(ta: Column, tb: Column) -> Column:
+    """Two-document TF-IDF cosine of token arrays (raw tf, smooth idf, L2).
 
-    Raw term counts; idf is 1 for a term in both strings and ln(3/2)+1 for a
-    term in one; each vector is L2-normalised. NULL when neither string has
-    a token, 0 when only one is empty.
+    idf is 1 for a term in both and ln(3/2)+1 for a term in one; NULL when
+    neither side has a token, 0 when only one side is empty.
     """
-    ta = _tokens(T.clean_text(a, language))
-    tb = _tokens(T.clean_text(b, language))
     solo = math.log(1.5) + 1.0
     da, db = F.array_distinct(ta), F.array_distinct(tb)
 
@@ -65,20 +55,45 @@ def pair_cosine(a: Column, b: Column, language: str | None = "portuguese") -> Co
             _tf(toks, t) * F.when(F.array_contains(other, t), F.lit(1.0)).otherwise(F.lit(solo)), 2))
     dot = F.aggregate(F.array_intersect(da, db), F.lit(0.0),
                       lambda acc, t: acc + _tf(ta, t) * _tf(tb, t))
-    na, nb = sq_norm(ta, da, db), sq_norm(tb, db, da)
     return (F.when((F.size(ta) == 0) & (F.size(tb) == 0), F.lit(None).cast("double"))
             .when((F.size(ta) == 0) | (F.size(tb) == 0), F.lit(0.0))
-            .otherwise(dot / F.sqrt(na * nb)))
+            .otherwise(dot / F.sqrt(sq_norm(ta, da, db) * sq_norm(tb, db, da))))
 
 
-def containment(a: Column, b: Column) -> Column:
-    """SIM-5: Σ min(count_A, count_B) / Σ count_A over raw word tokens."""
-    ta, tb = _tokens(a), _tokens(b)
+def containment_tokens(ta: Column, tb: Column) -> Column:
+    """Σ min(count_A, count_B) / Σ count_A; NULL when A has no token."""
     inter = F.aggregate(F.array_distinct(ta), F.lit(0),
                         lambda acc, t: acc + F.least(_tf(ta, t), _tf(tb, t)))
     return F.when(F.size(ta) > 0, inter / F.size(ta))
 
 
+def _tokens(c: Column) -> Column:
+    return F.regexp_extract_all(F.lower(c), F.lit(TOKEN_PATTERN), 0)
+
+
+# Column-in/Column-out forms, for short names used inline. On long texts
+# prefer :func:`with_pair_scores`, which computes each token array once.
+def jaccard(a: Column, b: Column, language: str | None = "portuguese") -> Column:
+    """SIM-2: Jaccard of the cleaned word sets."""
+    return jaccard_sets(F.array_distinct(T.clean_words(a, language)),
+                        F.array_distinct(T.clean_words(b, language)))
+
+
+def edit_similarity(a: Column, b: Column, language: str | None = "portuguese") -> Column:
+    """SIM-3: 1 - levenshtein / max(len) over the cleaned strings."""
+    return edit_ratio(T.clean_text(a, language), T.clean_text(b, language))
+
+
+def pair_cosine(a: Column, b: Column, language: str | None = "portuguese") -> Column:
+    """SIM-4: TF-IDF cosine with the two cleaned strings as the whole corpus."""
+    return cosine_tokens(_tokens(T.clean_text(a, language)), _tokens(T.clean_text(b, language)))
+
+
+def containment(a: Column, b: Column) -> Column:
+    """SIM-5: unigram containment over raw (uncleaned) word tokens."""
+    return containment_tokens(_tokens(a), _tokens(b))
+
+
 def row_median(*cols: Column) -> Column:
     """AGG-12: median of the non-null values of one row (mean of the middle two)."""
     vals = F.array_sort(F.filter(F.array(*[c.cast("double") for c in cols]), lambda x: x.isNotNull()))
@@ -94,6 +109,37 @@ def name_agreement(a: Column, b: Column, language: str | None = "portuguese") ->
                       pair_cosine(a, b, language))
 
 
+PAIR_SCORES = ("jaccard", "edit_similarity", "cosine", "containment", "name_agreement")
+
+
+def with_pair_scores(df: DataFrame, a: str, b: str, scores=PAIR_SCORES,
+                     language: str | None = "portuguese", prefix: str = "") -> DataFrame:
+    """Add SIM-2..6 columns for the text pair (``a``, ``b``) of every row.
+
+    The cleaned words and token arrays are projected once as columns, then
+    every score reads them; written inline, the cleaning would be re-run for
+    every token a lambda visits.
+    """
+    base = list(df.columns)
+    wa, wb = T.clean_words(F.col(a), language), T.clean_words(F.col(b), language)
+    x = df.select(*base, wa.alias("_wa"), wb.alias("_wb"))
+    x = x.select(*base, "_wa", "_wb",
+                 F.array_join("_wa", " ").alias("_ca"), F.array_join("_wb", " ").alias("_cb"))
+    x = x.select(*base, "_wa", "_wb", "_ca", "_cb",
+                 _tokens(F.col("_ca")).alias("_ta"), _tokens(F.col("_cb")).alias("_tb"),
+                 _tokens(F.col(a)).alias("_ra"), _tokens(F.col(b)).alias("_rb"))
+    cols = {
+        "jaccard": jaccard_sets(F.array_distinct("_wa"), F.array_distinct("_wb")),
+        "edit_similarity": edit_ratio(F.col("_ca"), F.col("_cb")),
+        "cosine": cosine_tokens(F.col("_ta"), F.col("_tb")),
+        "containment": containment_tokens(F.col("_ra"), F.col("_rb")),
+    }
+    x = x.select(*base, *[cols[k].alias(f"_{k}") for k in cols])
+    out = {k: F.col(f"_{k}") for k in cols}
+    out["name_agreement"] = row_median(out["jaccard"], out["edit_similarity"], out["cosine"])
+    return x.select(*base, *[out[k].alias(prefix + k) for k in scores])
+
+
 def distance_score(d: Column) -> Column:
     """SIM-8: round(1 - exp(-15 * exp(-0.16 d)), 8)."""
     return F.round(1 - F.exp(-CURVE_SCALE * F.exp(-CURVE_DECAY * d.cast("double"))), 8)

@@ -29,4 +29,4 @@ def query(name: str, oracle: str | None = None):
 
 def load_all() -> None:
     """Import every plan module so their queries register themselves."""
-    from shelfmatch.plans import corpus, metric_queries  # noqa: F401
+    from shelfmatch.plans import corpus, metric_queries, text_queries  # noqa: F401
