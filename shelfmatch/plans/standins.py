@@ -139,7 +139,13 @@ def catalog_base(spark: SparkSession, sf: str) -> DataFrame:
         rp_id(F.col("l_partkey"), F.col("l_suppkey")).alias("PRODUCT_ID"),
         F.col("l_partkey").alias("MASTER_PRODUCT_ID"),
         F.when(F.col("p_size") < 10, "U").otherwise("W").alias("SELL_TYPE"),
-        F.concat(F.lit("photo/"), F.col("p_partkey").cast("string")).alias("MP_PHOTO_URL"))
+        F.concat(F.lit("photo/"), F.col("p_partkey").cast("string")).alias("MP_PHOTO_URL"),
+        F.col("p_partkey").cast("string").alias("EAN"),
+        (F.col("p_size") * 2).cast("double").alias("MAX_QUANT"),
+        F.when(F.col("p_size") < 10, 1.0).otherwise(0.5).alias("STEP_QUANT"),
+        F.col("p_type").alias("PRESENTATION"),
+        F.col("p_size").cast("double").alias("QUANTITY_RP"),
+        F.when(F.col("p_size") < 10, "un").otherwise("kg").alias("UNITY_P"))
 
 
 CATALOG_BASE_SQL = """
@@ -151,7 +157,10 @@ catalog_base AS (
          n.n_name AS COUNTRY, CAST((l.l_partkey << 32) + l.l_suppkey AS VARCHAR) AS SKU,
          (l.l_partkey << 32) + l.l_suppkey AS PRODUCT_ID, l.l_partkey AS MASTER_PRODUCT_ID,
          CASE WHEN p.p_size < 10 THEN 'U' ELSE 'W' END AS SELL_TYPE,
-         'photo/' || CAST(p.p_partkey AS VARCHAR) AS MP_PHOTO_URL
+         'photo/' || CAST(p.p_partkey AS VARCHAR) AS MP_PHOTO_URL,
+         CAST(p.p_partkey AS VARCHAR) AS EAN, CAST(p.p_size * 2 AS DOUBLE) AS MAX_QUANT,
+         CASE WHEN p.p_size < 10 THEN 1.0 ELSE 0.5 END AS STEP_QUANT, p.p_type AS PRESENTATION,
+         CAST(p.p_size AS DOUBLE) AS QUANTITY_RP, CASE WHEN p.p_size < 10 THEN 'un' ELSE 'kg' END AS UNITY_P
   FROM (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem) l JOIN part p ON l.l_partkey = p.p_partkey
   JOIN supplier s ON l.l_suppkey = s.s_suppkey JOIN nation n ON s.s_nationkey = n.n_nationkey)"""
 

@@ -12,66 +12,14 @@ from pyspark.sql import functions as F
 from shelfmatch.functions import pairsim as P
 from shelfmatch.functions import text as T
 from shelfmatch.functions import udfs as U
+from shelfmatch.plans import sqlfrag as Q
 from shelfmatch.plans import standins as S
 from shelfmatch.plans.registry import query
 from shelfmatch.sources.tables import table
 
-# ----------------------------------------------------------------------------
-# SQL fragments (DuckDB) mirroring the column functions
-# ----------------------------------------------------------------------------
-_STOP = "[" + ", ".join("'" + w.replace("'", "''") + "'" for w in T.stop_words("portuguese")) + "]"
-
-
-def sql_clean_words(c: str) -> str:
-    return (r"list_filter(string_split_regex(regexp_replace(lower({c}), '[^\p{{L}}\p{{N}}\s]', '', 'g'), '\s+'), "
-            r"lambda w: w <> '' AND NOT list_contains({stop}, w))").format(c=c, stop=_STOP)
-
-
-def sql_fold(c: str) -> str:
-    return r"""regexp_replace(regexp_replace(strip_accents(lower({c})), '[^\x00-\x7F]', '', 'g'), '[,"&]', '', 'g')""".format(c=c)
-
-
-# DuckDB's levenshtein counts bytes; the accented letters of the data are
-# mapped one-to-one onto control characters (absent from cleaned text) so
-# the distance is counted in characters, as Spark does.
-_ACCENTED = "äçèéêíñóöüß"
-_CTRL = " || ".join(f"chr({i + 1})" for i in range(len(_ACCENTED)))
-
-
-def _charwise(c: str) -> str:
-    return f"translate({c}, '{_ACCENTED}', {_CTRL})"
-
-
-_TOK = r"'[\p{L}\p{N}_]{2,}'"
-
-
-def _tf(lst: str, t: str) -> str:
-    return f"len(list_filter({lst}, lambda x: x = {t}))"
-
-
-_PAIR_SQL_BASE = "WITH " + S.PAIRS_SQL + """,
-c AS (SELECT conv_id, turn, text_a, text_b, {wa} AS wa, {wb} AS wb FROM pairs),
-s AS (SELECT conv_id, turn, text_a, text_b, wa, wb,
-             array_to_string(wa, ' ') AS ca, array_to_string(wb, ' ') AS cb,
-             list_distinct(wa) AS sa, list_distinct(wb) AS sb FROM c),
-t AS (SELECT *, regexp_extract_all(ca, {tok}) AS ta, regexp_extract_all(cb, {tok}) AS tb FROM s),
-m AS (SELECT conv_id, turn,
-        CASE WHEN len(sa) + len(sb) - len(list_intersect(sa, sb)) > 0
-             THEN len(list_intersect(sa, sb)) / (len(sa) + len(sb) - len(list_intersect(sa, sb))) END AS jaccard,
-        CASE WHEN greatest(length(ca), length(cb)) > 0
-             THEN 1 - levenshtein({ca2}, {cb2}) / greatest(length(ca), length(cb)) END AS edit_similarity,
-        CASE WHEN len(ta) = 0 AND len(tb) = 0 THEN NULL
-             WHEN len(ta) = 0 OR len(tb) = 0 THEN 0.0
-             ELSE coalesce(list_sum(list_transform(list_intersect(list_distinct(ta), list_distinct(tb)),
-                                                   lambda u: {tfa} * {tfb})), 0)
-                  / sqrt(list_sum(list_transform(list_distinct(ta), lambda u: power({tfa} *
-                           CASE WHEN list_contains(tb, u) THEN 1.0 ELSE ln(1.5) + 1 END, 2)))
-                       * list_sum(list_transform(list_distinct(tb), lambda u: power({tfb} *
-                           CASE WHEN list_contains(ta, u) THEN 1.0 ELSE ln(1.5) + 1 END, 2)))) END AS cosine,
-        regexp_extract_all(lower(text_a), {tok}) AS ra, regexp_extract_all(lower(text_b), {tok}) AS rb
-      FROM t)
-""".format(wa=sql_clean_words("text_a"), wb=sql_clean_words("text_b"), tok=_TOK,
-           ca2=_charwise("ca"), cb2=_charwise("cb"), tfa=_tf("ta", "u"), tfb=_tf("tb", "u"))
+_PAIR_SQL_BASE = "WITH " + S.PAIRS_SQL + "," + Q.pair_scores("pairs", "conv_id, turn", "text_a", "text_b", p="ps") + """,
+m AS (SELECT * FROM ps_m)
+"""
 
 
 def _pairs(spark, sf):
@@ -120,7 +68,7 @@ def name_agreement(spark: SparkSession, sf: str) -> DataFrame:
 
 _FOLD_PAIRS_SQL = "WITH " + S.PAIRS_SQL + """,
 f AS (SELECT conv_id, turn, regexp_replace({fa}, '~+$', '') AS fa, regexp_replace({fb}, '~+$', '') AS fb FROM pairs)
-""".format(fa=sql_fold("text_a"), fb=sql_fold("text_b"))
+""".format(fa=Q.fold("text_a"), fb=Q.fold("text_b"))
 
 
 def _folded_pairs(spark, sf):
@@ -160,7 +108,7 @@ def token_ratios(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("clean_text", oracle="""
-SELECT doc_id, array_to_string({w}, ' ') AS clean_text FROM documents""".format(w=sql_clean_words("text")))
+SELECT doc_id, array_to_string({w}, ' ') AS clean_text FROM documents""".format(w=Q.clean_words("text")))
 def clean_text(spark: SparkSession, sf: str) -> DataFrame:
     d = table(spark, sf, "documents").select("doc_id", "text")
     return d.select("doc_id", T.clean_text(F.col("text")).alias("clean_text"))
@@ -170,7 +118,7 @@ def clean_text(spark: SparkSession, sf: str) -> DataFrame:
 SELECT doc_id, {f} AS name_norm,
        regexp_replace({f}, '^\\$[a-zA-Z0-9_]+\\$|[,\\-./]|\\sBD', '', 'g') AS ngram_src,
        regexp_replace({f}, '~+$', '') AS matched_name
-FROM documents""".format(f=sql_fold("text")))
+FROM documents""".format(f=Q.fold("text")))
 def fold_text(spark: SparkSession, sf: str) -> DataFrame:
     d = table(spark, sf, "documents").select("doc_id", "text")
     n = T.fold_name(F.col("text"))
