@@ -58,7 +58,7 @@ def share_of_total(df: DataFrame, value: str, out: str, partition: Sequence[str]
             .withColumn(out, F.try_divide(F.col(value) * 100.0, F.col("_total"))).drop("_total"))
 
 
-def budget_prefix(df: DataFrame, rank_by: str, amount: str, budget: float, tie: str,
+def budget_prefix(df: DataFrame, rank_by: str, amount: str, budget: float, tie: str | Sequence[str],
                   partition: Sequence[str] = ("COUNTRY",), running: str = "cumulative_retailers",
                   amount_at_least_one: bool = False) -> DataFrame:
     """WIN-3/WIN-4: rows in ``rank_by`` descending order (nulls last) while the
@@ -73,7 +73,7 @@ def budget_prefix(df: DataFrame, rank_by: str, amount: str, budget: float, tie:
     partition).
     """
     parts = list(partition)
-    order = [F.col(rank_by).desc_nulls_last(), F.col(tie).asc()]
+    order = [F.col(rank_by).desc_nulls_last(), *[F.col(t).asc() for t in _keys(tie)]]
     w = Window.partitionBy(*parts).orderBy(*order)
     out = df
     if amount_at_least_one:
@@ -84,7 +84,9 @@ def budget_prefix(df: DataFrame, rank_by: str, amount: str, budget: float, tie:
 
 
 def prioritise(matches: DataFrame, rollup: DataFrame, budget: float = 500,
-               partition: Sequence[str] = ("COUNTRY",), mp_col: str = "master_product_id") -> DataFrame:
+               partition: Sequence[str] = ("COUNTRY",), mp_col: str = "master_product_id",
+               tie: Sequence[str] = ("master_product_id", "master_product_id_sot", "NAME", "CAT1_NAME",
+                                     "CAT2_NAME", "CAT3_NAME", "MAKER", "TRADEMARK")) -> DataFrame:
     """MAT-7: best matches ⋈ MP roll-up, GMV share, budget prefix of retailer products.
 
     JN-10 is a left join on the opportunity MP id (it fans out when an MP
@@ -92,15 +94,24 @@ def prioritise(matches: DataFrame, rollup: DataFrame, budget: float = 500,
     the whole roll-up of the partition.
     """
     parts = list(partition)
-    r = rollup
-    cond = [matches[mp_col] == r["MASTER_PRODUCT_ID"]] + [matches[p] == r[p] for p in parts]
-    j = matches.join(r, on=cond, how="left")
-    j = j.select(*[matches[p] for p in parts],
-                 *[matches[c] for c in matches.columns if c not in parts],
-                 *[r[c] for c in r.columns if c not in parts and c not in matches.columns])
+    # Both sides descend from the same roll-up, so join on renamed keys by
+    # name (column handles of a self-join are ambiguous). Spark resolves
+    # names case-insensitively: roll-up columns whose name equals a match
+    # column up to case (SIMILARITY vs similarity) get an ``MP_`` prefix, and
+    # the roll-up's MASTER_PRODUCT_ID (equal to the join key) is dropped.
+    taken = {c.lower() for c in matches.columns}
+    extra = [F.col(c).alias(f"MP_{c}" if c.lower() in taken else c) for c in rollup.columns
+             if c not in parts and c != "MASTER_PRODUCT_ID"]
+    r = rollup.select(*[F.col(p).alias(f"_r_{p}") for p in parts], F.col("MASTER_PRODUCT_ID").alias("_r_mp"), *extra)
+    cond = [F.col(mp_col) == F.col("_r_mp")] + [F.col(p) == F.col(f"_r_{p}") for p in parts]
+    j = matches.join(r, on=cond, how="left").drop("_r_mp", *[f"_r_{p}" for p in parts])
     j = share_of_total(j, "GMV_T", "gmv_coverage", parts, total=rollup)
-    return budget_prefix(j, rank_by="gmv_coverage", amount="N_ASSOCIATED_RETAILERS", budget=budget,
-                         tie=mp_col, partition=parts, amount_at_least_one=True)
+    j = j.withColumn("_rank_by", F.round("gmv_coverage", RANK_DIGITS))
+    # Every matched MP comes from the roll-up and has >= 1 retailer product,
+    # so the R3 row limit is exact here.
+    out = budget_prefix(j, rank_by="_rank_by", amount="N_ASSOCIATED_RETAILERS", budget=budget,
+                        tie=list(tie), partition=parts, amount_at_least_one=True)
+    return out.drop("_rank_by")
 
 
 def rank_col(c: str) -> Column:

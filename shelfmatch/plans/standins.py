@@ -142,6 +142,7 @@ def catalog_base(spark: SparkSession, sf: str) -> DataFrame:
         F.concat(F.lit("photo/"), F.col("p_partkey").cast("string")).alias("MP_PHOTO_URL"),
         F.col("p_partkey").cast("string").alias("EAN"),
         (F.col("p_size") * 2).cast("double").alias("MAX_QUANT"),
+        F.lit(1.0).alias("MIN_QUANT"),
         F.when(F.col("p_size") < 10, 1.0).otherwise(0.5).alias("STEP_QUANT"),
         F.col("p_type").alias("PRESENTATION"),
         F.col("p_size").cast("double").alias("QUANTITY_RP"),
@@ -158,7 +159,7 @@ catalog_base AS (
          (l.l_partkey << 32) + l.l_suppkey AS PRODUCT_ID, l.l_partkey AS MASTER_PRODUCT_ID,
          CASE WHEN p.p_size < 10 THEN 'U' ELSE 'W' END AS SELL_TYPE,
          'photo/' || CAST(p.p_partkey AS VARCHAR) AS MP_PHOTO_URL,
-         CAST(p.p_partkey AS VARCHAR) AS EAN, CAST(p.p_size * 2 AS DOUBLE) AS MAX_QUANT,
+         CAST(p.p_partkey AS VARCHAR) AS EAN, CAST(p.p_size * 2 AS DOUBLE) AS MAX_QUANT, 1.0 AS MIN_QUANT,
          CASE WHEN p.p_size < 10 THEN 1.0 ELSE 0.5 END AS STEP_QUANT, p.p_type AS PRESENTATION,
          CAST(p.p_size AS DOUBLE) AS QUANTITY_RP, CASE WHEN p.p_size < 10 THEN 'un' ELSE 'kg' END AS UNITY_P
   FROM (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem) l JOIN part p ON l.l_partkey = p.p_partkey
@@ -197,3 +198,15 @@ def conversation_pairs(spark: SparkSession, sf: str) -> DataFrame:
 PAIRS_SQL = """
 pairs AS (SELECT a.conv_id, a.turn, a.text AS text_a, b.text AS text_b
           FROM conversations a JOIN conversations b ON a.conv_id = b.conv_id AND b.turn = a.turn + 1)"""
+
+
+def products(spark: SparkSession, sf: str) -> DataFrame:
+    """Master product table (the export's info lookup): one row per part."""
+    p = table(spark, sf, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
+    return p.select(F.col("p_partkey").alias("MASTER_PRODUCT_ID"),
+                    F.concat_ws(" ", "p_name", "p_type", "p_brand").alias("NAME"),
+                    F.col("p_type").alias("LONG_DESCRIPTION"),
+                    F.when(F.col("p_size") < 10, "U").otherwise("W").alias("SALE_TYPE"),
+                    F.when(F.col("p_size") < 10, "un").otherwise("kg").alias("UNIT_TYPE"),
+                    F.col("p_size").cast("double").alias("QUANTITY"),
+                    F.when(F.col("p_size") < 10, 1.0).otherwise(0.5).alias("STEP_QUANT"))
