@@ -62,14 +62,22 @@ def _fold_tables() -> tuple[str, str, dict[str, str]]:
 
 
 def fold_ascii(c: Column) -> Column:
-    """NFKD-decompose and drop everything that is not ASCII (no lower-casing)."""
+    """NFKD-decompose and drop everything that is not ASCII (no lower-casing).
+
+    One ``translate`` pass does every single-character fold. Rows holding a
+    character that expands to several (rare) are found by deleting those
+    characters with a second ``translate`` and comparing lengths — a hash
+    lookup per character, where a 400-member regex class would be slow — and
+    only those rows take the per-character map.
+    """
     src, dst, multi = _fold_tables()
     single = F.translate(c, src, dst)
-    cls = "[" + "".join("\\x{%x}" % ord(ch) for ch in multi) + "]"
+    mchars = "".join(multi)
     mapping = F.create_map(*[F.lit(x) for kv in multi.items() for x in kv])
     expanded = F.array_join(
         F.transform(F.split(single, ""), lambda x: F.coalesce(F.element_at(mapping, x), x)), "")
-    widened = F.when(single.rlike(cls), expanded).otherwise(single)
+    has_multi = F.length(F.translate(single, mchars, "")) < F.length(single)
+    widened = F.when(has_multi, expanded).otherwise(single)
     return F.regexp_replace(widened, r"[^\x00-\x7F]", "")
 
 

@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfmatch.functions import text as T
+from shelfmatch.session import spread
 
 # Largest number of query-side postings we broadcast (~24 bytes a row).
 MAX_BROADCAST_POSTINGS = 4_000_000
@@ -40,7 +41,7 @@ def name_postings(df: DataFrame, id_col: str, text_col: str, keys: tuple[str, ..
     """
     src = df.select(*keys, F.col(id_col).alias("_id"), F.col(text_col).alias("_t"))
     if cluster:
-        src = src.repartition(*[F.col(k) for k in keys], F.col("_id"))
+        src = spread(src, *[F.col(k) for k in keys], F.col("_id"))
     s = T.ngram_source(T.fold_name(F.col("_t"))) if normalise else F.col("_t")
     exploded = src.select(*keys, "_id", F.explode(T.trigram_codes(s)).alias("term"))
     return (exploded.groupBy(*keys, "_id", "term").agg(F.count(F.lit(1)).alias("tf"))

@@ -20,6 +20,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfmatch.session import spread
 from shelfmatch.sources.tables import table
 
 # One clock for every stage, as CURRENT_DATE is one clock in the reference:
@@ -190,8 +191,9 @@ def conversation_pairs(spark: SparkSession, sf: str) -> DataFrame:
     join's hash on both keys instead of landing in one task.
     """
     cv = table(spark, sf, "conversations").select("conv_id", "turn", "text")
-    a = cv.select("conv_id", "turn", F.col("text").alias("text_a"))
-    b = cv.select(F.col("conv_id").alias("_c"), (F.col("turn") - 1).alias("_t"), F.col("text").alias("text_b"))
+    a = spread(cv.select("conv_id", "turn", F.col("text").alias("text_a")), "conv_id", "turn")
+    b = spread(cv.select(F.col("conv_id").alias("_c"), (F.col("turn") - 1).alias("_t"), F.col("text").alias("text_b")),
+               "_c", "_t")
     return a.join(b, (a.conv_id == b._c) & (a.turn == b._t)).select("conv_id", "turn", "text_a", "text_b")
 
 

@@ -63,5 +63,18 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spread(df: DataFrame, *cols) -> DataFrame:
+    """Hash-repartition into ``spark.sql.shuffle.partitions`` partitions.
+
+    Used in front of CPU-heavy per-row text work, on the keys the next join
+    or aggregate needs anyway, so it replaces that operator's exchange
+    rather than adding one. The explicit count keeps AQE from coalescing a
+    small-in-bytes but expensive-per-row input into a single task; on a
+    cluster the count is the job's configured shuffle parallelism.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, *cols)
+
+
 def in_test_env() -> bool:
     return bool(os.environ.get("PYTEST_CURRENT_TEST"))
