@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from shelfmatch.functions import pairsim as P
 from shelfmatch.functions import text as T
 from shelfmatch.operators.metrics import json_coalesce
+from shelfmatch.session import materialize
 
 # The nine roll-up keys and the null placeholder (AGG-6, SC-22).
 ROLLUP_KEYS = ("COUNTRY", "NAME", "MASTER_PRODUCT_ID", "CAT1_NAME", "CAT2_NAME", "CAT3_NAME",
@@ -176,7 +177,7 @@ class CatalogFrames(NamedTuple):
 def extract_catalog(base: DataFrame, fill: DataFrame, defects: DataFrame, feed: DataFrame,
                     sot_ids: DataFrame, sot_on: Sequence[str] = ("MASTER_PRODUCT_ID",)) -> CatalogFrames:
     """PIP-1..3 composed: assemble, enrich, roll up and split by the SOT."""
-    rps = enrich_retailer_products(assemble_catalog(base, fill, defects, feed, sot_ids, sot_on))
+    rps = materialize(enrich_retailer_products(assemble_catalog(base, fill, defects, feed, sot_ids, sot_on)))
     mps = rollup_products(rps)
     sot_mps, opp_mps = split_by_membership(mps, sot_ids, sot_on)
     _, opp_rps = split_by_membership(rps, sot_ids, sot_on)

@@ -63,6 +63,24 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute a frame reused by several branches once (R7).
+
+    With a shared ``spark.checkpoint.dir`` configured, a reliable checkpoint
+    writes it there and cuts the lineage (it survives executor loss). Without
+    one, the frame is persisted memory-and-disk: a lost block is recomputed
+    from lineage, and no machine-local folder is invented.
+    """
+    spark = df.sparkSession
+    d = spark.conf.get("spark.checkpoint.dir", None)
+    if d:
+        if spark.sparkContext.getCheckpointDir() is None:
+            spark.sparkContext.setCheckpointDir(d)
+        return df.checkpoint(eager=True)
+    from pyspark import StorageLevel
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def spread(df: DataFrame, *cols) -> DataFrame:
     """Hash-repartition into ``spark.sql.shuffle.partitions`` partitions.
 
