@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from shelfmatch.functions import pairsim as P
 from shelfmatch.functions import text as T
+from shelfmatch.operators.median import with_medians
 from shelfmatch.operators.metrics import json_coalesce
 from shelfmatch.session import materialize
 
@@ -120,16 +121,17 @@ def rollup_products(rp: DataFrame, keys: Sequence[str] = ROLLUP_KEYS) -> DataFra
     """AGG-6: MP roll-up of RP rows by the nine keys.
 
     Means skip NULLs; sums of all-NULL groups are 0 (pandas), not NULL;
-    distinct RPs; exact medians of name similarity and feed price.
+    distinct RPs; exact medians of name similarity and feed price (skew-safe,
+    joined back on the keys, see ``operators.median``).
     """
     filled = fill_keys(rp, keys)
-    return filled.groupBy(*keys).agg(
+    agg = filled.groupBy(*keys).agg(
         F.avg("FR").alias("M_FR"), F.avg("PRODUCT_DR").alias("PRODUCT_DR"),
         F.coalesce(F.sum("TOTAL_PRODUCTS"), F.lit(0)).alias("TOTAL_PRODUCTS"),
         F.coalesce(F.sum("COUNT_REPLACED"), F.lit(0)).alias("COUNT_REPLACED"),
         F.coalesce(F.sum("GMV_TOTAL"), F.lit(0.0)).alias("GMV_T"),
-        F.count_distinct("PRODUCT_ID").alias("N_ASSOCIATED_RETAILERS"),
-        F.median("SIMILARITY").alias("SIMILARITY"), F.median("MEDIAN_PRICE").alias("MEDIAN_PRICE"))
+        F.count_distinct("PRODUCT_ID").alias("N_ASSOCIATED_RETAILERS"))
+    return with_medians(agg, filled, keys, {"SIMILARITY": "SIMILARITY", "MEDIAN_PRICE": "MEDIAN_PRICE"})
 
 
 def split_by_membership(df: DataFrame, ids: DataFrame, on: Sequence[str] = ("MASTER_PRODUCT_ID",)):

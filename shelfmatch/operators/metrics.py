@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfmatch.operators.median import with_medians
+
 # Ticket reasons that count as a defect (FLT-6).
 DEFECT_REASONS = ("Different product", "Missing product", "Disagree with charge",
                   "Double charged", "Cost of products", "Product in poor condition")
@@ -100,12 +102,15 @@ def feed_snapshot(feed: DataFrame, as_of, days: int = 15, key: str = "RETAIL_ID"
                   price: str = "PRICE") -> DataFrame:
     """AGG-5: per (country, retail id) the MAX of each attribute independently
     (values may come from different rows) and the exact median price, over
-    feed rows with a name executed in the last ``days`` days (exclusive)."""
+    feed rows with a name executed in the last ``days`` days (exclusive).
+    The median is the skew-safe one (``operators.median``)."""
     since = _as_date(as_of) - dt.timedelta(days=days - 1)
     rows = feed.where(F.col("NAME").isNotNull() & on_or_after("EXECUTION_DATE", since))
-    aggs = [F.max(c).alias(c) for c in max_cols]
-    aggs.insert(3, F.median(price).alias("MEDIAN_PRICE"))
-    return rows.groupBy(country, key).agg(*aggs)
+    out = rows.groupBy(country, key).agg(*[F.max(c).alias(c) for c in max_cols])
+    out = with_medians(out, rows, [country, key], {"MEDIAN_PRICE": price})
+    cols = list(max_cols)
+    cols.insert(3, "MEDIAN_PRICE")
+    return out.select(country, key, *cols)
 
 
 def owner_list(links: DataFrame, exclude: Sequence[str] = (),

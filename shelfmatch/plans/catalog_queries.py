@@ -12,6 +12,7 @@ from shelfmatch.operators import rank as R
 from shelfmatch.plans import sqlfrag as Q
 from shelfmatch.plans import standins as S
 from shelfmatch.plans.registry import query
+from shelfmatch.session import materialize
 from shelfmatch.sources.tables import table
 
 BUDGET = 500
@@ -83,7 +84,8 @@ def catalog_enriched(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def rollup(spark: SparkSession, sf: str) -> DataFrame:
-    return C.rollup_products(C.fill_keys(catalog_rps(spark, sf)))
+    # The enriched rows feed the sums and the medians: compute them once (R7).
+    return C.rollup_products(C.fill_keys(materialize(catalog_rps(spark, sf))))
 
 
 ROLLUP_SELECT = """

@@ -233,3 +233,19 @@ def test_decimals_as_text(spark):
     df = spark.createDataFrame([(1,)], "x int").select(F.lit(1.50).cast("decimal(10,2)").alias("d"), "x")
     out = sinks.decimals_as_text(df)
     assert dict(out.dtypes)["d"] == "string" and out.first().d == "1.50"
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 3), st.one_of(st.none(), st.integers(-5, 5))), min_size=1, max_size=80))
+def test_exact_median_equals_numpy(spark, rows):
+    from shelfmatch.operators.median import exact_median
+    # one hot group holding most rows, as well as small ones
+    rows = rows + [(0, i % 7) for i in range(50)]
+    df = spark.createDataFrame(rows, "g int, v int")
+    got = {r.g: r.v for r in exact_median(df, ["g"], "v").collect()}
+    want = {}
+    for g in {g for g, _ in rows}:
+        vals = [v for gg, v in rows if gg == g and v is not None]
+        if vals:
+            want[g] = float(np.median(vals))
+    assert got == want
