@@ -112,22 +112,6 @@ def char_ngrams(c: Column, n: int = 3) -> Column:
     return F.regexp_extract_all(c, F.lit("(?s)(?=(.{%d}))" % n), 1)
 
 
-def trigram_codes(c: Column) -> Column:
-    """Trigrams of an ASCII string encoded as ``INT`` (c1*128^2 + c2*128 + c3).
-
-    The folded text is ASCII, so the code is exact and the vocabulary is
-    bounded by 128^3 terms whatever the data size; integer terms are cheaper
-    to shuffle, hash and join than strings.
-    """
-    return F.transform(char_ngrams(c, 3), lambda g: F.ascii(F.substring(g, 1, 1)) * 16384
-                       + F.ascii(F.substring(g, 2, 1)) * 128 + F.ascii(F.substring(g, 3, 1)))
-
-
-def decode_trigram(code: Column) -> Column:
-    """Inverse of :func:`trigram_codes` for one code."""
-    return F.concat(F.char(F.floor(code / 16384)), F.char(F.floor(code / 128) % 128), F.char(code % 128))
-
-
 # --------------------------------------------------------------------------
 # Word-level cleaning (SIM-1, SC-14..16, SC-18)
 # --------------------------------------------------------------------------

@@ -1,23 +1,28 @@
 """Corpus TF-IDF over character trigrams and the top-k cosine join (MAT-1..4).
 
-Data layout: long-format postings ``(keys..., id, term INT, tf)`` instead of a
-sparse matrix. The plan is
+Data layout: long-format postings ``(keys..., id, term, tf)`` instead of a
+sparse matrix; terms are trigrams of the ASCII-folded text, so the
+vocabulary is bounded by 128^3 whatever the data size. The plan is
 
     corpus text --repartition(id)--> fold/trigrams --explode--> tf per (id, term)
         --> df per term (partial agg, small shuffle) --> idf
-    tf ⋈ idf (broadcast: vocabulary <= 128^3 trigram codes) --> w, |w| per id
+    tf ⋈ idf (broadcast on the 128^3 bound) --> raw weight; |w| per id (aggregate)
     query postings (small, size-checked broadcast) ⋈ corpus postings on term
-        --> Σ w_q·w_c per (query, id)  (no exchange: still clustered by id)
+        --> Σ w_q·w_raw per (query, id)  (no exchange: still clustered by id)
+        --> ÷ |w| of the id (hash join on the id clustering, no sort)
         --> partial WindowGroupLimit --> exchange on query --> top-k
 
 so the only shuffle that carries per-posting volume is the first one, and it
 moves raw text, which is ~10x smaller than the postings it expands into.
+Dividing each pair sum by the corpus norm once gives the cosine of the
+normalised vectors without sorting the postings for a per-id window.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,7 +48,7 @@ def name_postings(df: DataFrame, id_col: str, text_col: str, keys: tuple[str, ..
     if cluster:
         src = spread(src, *[F.col(k) for k in keys], F.col("_id"))
     s = T.ngram_source(T.fold_name(F.col("_t"))) if normalise else F.col("_t")
-    exploded = src.select(*keys, "_id", F.explode(T.trigram_codes(s)).alias("term"))
+    exploded = src.select(*keys, "_id", F.explode(T.char_ngrams(s, 3)).alias("term"))
     return (exploded.groupBy(*keys, "_id", "term").agg(F.count(F.lit(1)).alias("tf"))
             .withColumnRenamed("_id", id_col))
 
@@ -72,7 +77,7 @@ def tfidf_vectors(postings: DataFrame, idf: DataFrame, id_col: str,
 
     Terms missing from ``idf`` are dropped before the norm (unseen terms do
     not count). The idf side is broadcast: its size is bounded by the trigram
-    alphabet (128^3 codes per key), not by the data.
+    alphabet (128^3 ASCII trigrams per key), not by the data.
     """
     j = postings.join(F.broadcast(idf.select(*keys, "term", "idf")), on=[*keys, "term"], how="inner")
     w = F.col("tf") * F.col("idf")
@@ -93,19 +98,26 @@ class TopK:
     salt: int = 16                 # salt buckets when the query side is too big to broadcast
 
 
-def _checked_broadcast(df: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
-    """Broadcast ``df`` only if a count proves it small; report the decision."""
-    n = df.count()
-    return (F.broadcast(df), True) if n <= max_rows else (df, False)
+def fits_broadcast(bound: DataFrame, max_rows: int = MAX_BROADCAST_POSTINGS) -> bool:
+    """True when a row count proves ``bound`` (a superset of the side to
+    broadcast) has at most ``max_rows`` rows."""
+    return bound.count() <= max_rows
 
 
 def cosine_pairs(query_w: DataFrame, corpus_w: DataFrame, query_id: str, corpus_id: str,
-                 keys: tuple[str, ...] = (), salt: int = 16,
+                 keys: tuple[str, ...] = (), salt: int = 16, small: bool | None = None,
                  max_broadcast: int = MAX_BROADCAST_POSTINGS) -> DataFrame:
-    """Σ w_q·w_c over shared terms → ``(keys..., query_id, corpus_id, similarity)``."""
+    """Σ w_q·w_c over shared terms → ``(keys..., query_id, corpus_id, similarity)``.
+
+    ``small`` is the caller's proof that the query side fits a broadcast
+    (see :func:`fits_broadcast`); without it the query side is counted here.
+    """
     q = query_w.select(*keys, F.col(query_id), "term", F.col("w").alias("wq"))
     c = corpus_w.select(*keys, F.col(corpus_id), "term", F.col("w").alias("wc"))
-    q, small = _checked_broadcast(q, max_broadcast)
+    if small is None:
+        small = fits_broadcast(q, max_broadcast)
+    if small:
+        q = F.broadcast(q)
     on = [*keys, "term"]
     if not small:
         # Too large to broadcast: salt the corpus side and replicate the query
@@ -122,14 +134,15 @@ def rank_score(c: Column) -> Column:
     return F.round(c, RANK_DIGITS)
 
 
-def topk_cosine(query_w: DataFrame, corpus_w: DataFrame, query_id: str, corpus_id: str,
-                keys: tuple[str, ...] = (), opts: TopK = TopK()) -> DataFrame:
-    """MAT-3 (JN-8 + WIN-2): the ``k`` most similar corpus rows per query row.
+def top_k(pairs: DataFrame, query_id: str, corpus_id: str, keys: tuple[str, ...] = (),
+          opts: TopK = TopK()) -> DataFrame:
+    """WIN-2: keep the ``k`` best corpus rows per query row (cosine > lower bound).
 
     Ties are broken by corpus id ascending; scores are compared rounded to
-    1e-10 so float summation order never decides a tie.
+    1e-10 so float summation order never decides a tie. Spark plans the
+    ``row_number`` filter as a partial ``WindowGroupLimit`` before the
+    exchange, so each task ships at most ``k`` rows per query.
     """
-    pairs = cosine_pairs(query_w, corpus_w, query_id, corpus_id, keys, opts.salt)
     pairs = pairs.where(F.col("similarity") > F.lit(opts.lower_bound))
     if opts.min_similarity is not None:
         pairs = pairs.where(rank_score(F.col("similarity")) >= F.lit(opts.min_similarity))
@@ -139,13 +152,39 @@ def topk_cosine(query_w: DataFrame, corpus_w: DataFrame, query_id: str, corpus_i
             .where(F.col("rank") <= opts.k))
 
 
+def topk_cosine(query_w: DataFrame, corpus_w: DataFrame, query_id: str, corpus_id: str,
+                keys: tuple[str, ...] = (), opts: TopK = TopK()) -> DataFrame:
+    """MAT-3 (JN-8 + WIN-2) on two sets of L2-normalised weights."""
+    return top_k(cosine_pairs(query_w, corpus_w, query_id, corpus_id, keys, opts.salt),
+                 query_id, corpus_id, keys, opts)
+
+
+def corpus_weights(postings: DataFrame, idf: DataFrame, id_col: str,
+                   keys: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """Un-normalised tf·idf weights ``(keys..., id, term, w)`` and the L2 norm
+    per id ``(keys..., id, _norm)``; both keep the postings' id clustering."""
+    w = (postings.join(F.broadcast(idf.select(*keys, "term", "idf")), on=[*keys, "term"], how="inner")
+         .select(*keys, id_col, "term", (F.col("tf") * F.col("idf")).alias("w")))
+    norms = w.groupBy(*keys, id_col).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("_norm"))
+    return w, norms
+
+
 def corpus_match(queries: DataFrame, corpus: DataFrame, query_id: str, corpus_id: str,
                  query_text: str, corpus_text: str, keys: tuple[str, ...] = (),
                  opts: TopK = TopK()) -> DataFrame:
     """MAT-1..3 end to end: fit on the corpus, transform the queries, top-k join."""
-    cp = name_postings(corpus, corpus_id, corpus_text, keys)
+    # The postings feed both the document frequencies and the weights; keep
+    # them (memory, spilling to disk) instead of expanding the text twice. A
+    # lost block is rebuilt from lineage.
+    cp = name_postings(corpus, corpus_id, corpus_text, keys).persist(StorageLevel.MEMORY_AND_DISK)
     idf = fit_idf(cp, corpus, corpus_id, keys)
-    cw = tfidf_vectors(cp, idf, corpus_id, keys)
+    cw, norms = corpus_weights(cp, idf, corpus_id, keys)
     qp = name_postings(queries, query_id, query_text, keys, cluster=False)
+    # The weighted query postings are a subset of these (unseen terms drop),
+    # so counting them proves the broadcast bound without touching the corpus.
+    small = fits_broadcast(qp)
     qw = tfidf_vectors(qp, idf, query_id, keys, by_window=False)
-    return topk_cosine(qw, cw, query_id, corpus_id, keys, opts)
+    dots = cosine_pairs(qw, cw, query_id, corpus_id, keys, opts.salt, small=small)
+    pairs = (dots.join(norms.hint("shuffle_hash"), on=[*keys, corpus_id])
+             .select(*keys, query_id, corpus_id, (F.col("similarity") / F.col("_norm")).alias("similarity")))
+    return top_k(pairs, query_id, corpus_id, keys, opts)

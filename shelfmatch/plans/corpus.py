@@ -6,7 +6,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmatch.functions import text as T
 from shelfmatch.operators import rank as R
 from shelfmatch.operators import tfidf
 from shelfmatch.plans.registry import query
@@ -61,7 +60,7 @@ def trigram_idf(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, _ = _corpus(spark, sf_dir)
     post = tfidf.name_postings(docs, "doc_id", "text")
     idf = tfidf.fit_idf(post, docs, "doc_id")
-    return idf.select(T.decode_trigram(F.col("term")).alias("term"), F.col("df").cast("bigint").alias("df"),
+    return idf.select("term", F.col("df").cast("bigint").alias("df"),
                       F.round("idf", 10).alias("idf"))
 
 
