@@ -180,7 +180,9 @@ def extract_catalog(base: DataFrame, fill: DataFrame, defects: DataFrame, feed:
                     sot_ids: DataFrame, sot_on: Sequence[str] = ("MASTER_PRODUCT_ID",)) -> CatalogFrames:
     """PIP-1..3 composed: assemble, enrich, roll up and split by the SOT."""
     rps = materialize(enrich_retailer_products(assemble_catalog(base, fill, defects, feed, sot_ids, sot_on)))
-    mps = rollup_products(rps)
+    # The roll-up feeds the SOT split, the opportunity split, the GMV total
+    # and the export: compute it (and its medians) once.
+    mps = materialize(rollup_products(rps))
     sot_mps, opp_mps = split_by_membership(mps, sot_ids, sot_on)
     _, opp_rps = split_by_membership(rps, sot_ids, sot_on)
     return CatalogFrames(sot_mps, fill_keys(rps), opp_mps, opp_rps, mps)

@@ -17,6 +17,7 @@ from shelfmatch.functions import pairsim as P
 from shelfmatch.functions import text as T
 from shelfmatch.functions import udfs as U
 from shelfmatch.operators import tfidf
+from shelfmatch.session import spread
 
 SCORED_COLUMNS = ("similarity", "master_products", "integration", "damerau_levenshtein",
                   "fuzz_token_sort_ratio", "fuzz_token_set_ratio", "damerau_levenshtein_normalized",
@@ -72,6 +73,9 @@ def score_matches(opps: DataFrame, sot: DataFrame, keys: Sequence[str] = ("COUNT
         F.col("_sprice").alias("_sp"), F.col("_oprice").alias("_op"),
         F.col("_sconfig").alias("config_similarity"),
         F.col("_omp").alias("master_product_id"), F.col("_smp").alias("master_product_id_sot"))
+    # The Arrow UDFs are the CPU-heavy part: give them every task slot rather
+    # than the few partitions AQE would coalesce a small pair set into.
+    pairs = spread(pairs, *keys, "master_product_id_sot")
     scored = pairs.select(
         "*",
         U.damerau(F.col("integration"), F.col("master_products")).alias("damerau_levenshtein"),

@@ -21,6 +21,7 @@ from shelfmatch.operators import export as X
 from shelfmatch.operators import matching
 from shelfmatch.operators import metrics as M
 from shelfmatch.operators import rank as R
+from shelfmatch.session import materialize
 
 
 @dataclass(frozen=True)
@@ -71,6 +72,8 @@ def run(t: Tables, p: Params) -> Result:
         cat.opportunity_mps, cat.sot_mps, keys=("COUNTRY",), row_cols=C.ROLLUP_KEYS, k=p.k,
         weights=p.weights, min_similarity=p.floor if p.push_floor_below_topk else None,
         strict_compat=p.strict_compat)
+    # Read by the best-match pick and, through it, twice by the export: score once (R7).
+    scored = materialize(scored)
     best = R.best_matches(scored, key=["COUNTRY", "master_product_id"], score="similarity",
                           tie="master_product_id_sot", floor=p.floor)
     best = best.withColumnsRenamed({"integration": "master_sot", "master_products": "master_cp"})
