@@ -53,6 +53,76 @@ def damerau_levenshtein_distance(a: str, b: str) -> int:
     return int(h[la + 1, lb + 1])
 
 
+# Pairs whose longer string has at most this many characters are scored in
+# batches (one numpy DP row across the whole batch); longer ones one by one.
+SHORT = 64
+BATCH = 256
+
+
+def damerau_levenshtein_batch(a: list[str], b: list[str]) -> np.ndarray:
+    """Unrestricted Damerau-Levenshtein of many short pairs at once.
+
+    Same recurrence as :func:`damerau_levenshtein_distance`, vectorised over
+    the pairs instead of within one pair: strings are padded to the batch's
+    longest (a-padding and b-padding never match anything), and a cell only
+    depends on cells above and to its left, so the padding cannot change the
+    value at a pair's own (len a, len b).
+    """
+    n = len(a)
+    la = np.fromiter((len(x) for x in a), dtype=np.int64, count=n)
+    lb = np.fromiter((len(y) for y in b), dtype=np.int64, count=n)
+    big_a, big_b = int(la.max(initial=0)), int(lb.max(initial=0))
+    alphabet = {}
+    for x in (*a, *b):
+        for ch in x:
+            alphabet.setdefault(ch, len(alphabet))
+    pad_a, pad_b = len(alphabet), len(alphabet) + 1
+    ac = np.full((n, big_a), pad_a, dtype=np.int64)
+    bc = np.full((n, big_b), pad_b, dtype=np.int64)
+    for r, (x, y) in enumerate(zip(a, b)):
+        ac[r, :len(x)] = [alphabet[ch] for ch in x]
+        bc[r, :len(y)] = [alphabet[ch] for ch in y]
+    big = big_a + big_b + 1
+    h = np.empty((n, big_a + 2, big_b + 2), dtype=np.int64)
+    h[:, 0, :] = big
+    h[:, :, 0] = big
+    h[:, 1, 1:] = np.arange(big_b + 1)
+    h[:, 1:, 1] = np.arange(big_a + 1)
+    last_row = np.zeros((n, pad_b + 1), dtype=np.int64)
+    rows = np.arange(n)[:, None]
+    jj = np.arange(1, big_b + 1)
+    idx = np.arange(big_b + 1)
+    for i in range(1, big_a + 1):
+        ai = ac[:, i - 1]
+        match = bc == ai[:, None]
+        marks = np.where(match, jj, 0)
+        db = np.concatenate((np.zeros((n, 1), dtype=np.int64), np.maximum.accumulate(marks, axis=1)[:, :-1]), axis=1)
+        k = last_row[rows, bc]
+        trans = h[rows, k, db] + (i - k - 1) + 1 + (jj - db - 1)
+        t = np.minimum(np.minimum(h[:, i, 1:big_b + 1] + (~match), h[:, i, 2:big_b + 2] + 1), trans)
+        base = np.concatenate((np.full((n, 1), i, dtype=np.int64), t), axis=1)
+        h[:, i + 1, 1:] = np.minimum.accumulate(base - idx, axis=1) + idx
+        last_row[np.arange(n), ai] = i
+    return h[np.arange(n), la + 1, lb + 1]
+
+
+def damerau_many(a: list, b: list) -> list:
+    """Distances for a list of pairs (None where either side is None)."""
+    out: list = [None] * len(a)
+    short = [i for i, (x, y) in enumerate(zip(a, b))
+             if x is not None and y is not None and max(len(x), len(y)) <= SHORT]
+    short.sort(key=lambda i: (len(a[i]), len(b[i])))
+    for s0 in range(0, len(short), BATCH):
+        part = short[s0:s0 + BATCH]
+        for i, d in zip(part, damerau_levenshtein_batch([a[i] for i in part], [b[i] for i in part])):
+            out[i] = int(d)
+    done = set(short)
+    for i, (x, y) in enumerate(zip(a, b)):
+        if i not in done and x is not None and y is not None:
+            out[i] = damerau_levenshtein_distance(x, y)
+    return out
+
+
 # Fixed value: the token-ratio clean-up removes the characters 128..255.
 _LATIN1_HIGH = dict.fromkeys(range(128, 256))
 
@@ -97,9 +167,8 @@ def token_set_ratio_py(a: str | None, b: str | None) -> float | None:
 
 @F.pandas_udf(LongType())
 def damerau(a: pd.Series, b: pd.Series) -> pd.Series:
-    """SIM-7 on Arrow batches."""
-    return pd.Series([None if (x is None or y is None) else damerau_levenshtein_distance(x, y)
-                      for x, y in zip(a, b)], dtype="Int64")
+    """SIM-7 on Arrow batches: short pairs vectorised across the batch."""
+    return pd.Series(damerau_many(a.tolist(), b.tolist()), dtype="Int64")
 
 
 @F.pandas_udf(DoubleType())

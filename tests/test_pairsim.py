@@ -138,3 +138,17 @@ def test_scores_bounded_and_symmetric(spark, a, b):
         if s1[k] is not None:
             assert -1e-12 <= s1[k] <= 1 + 1e-12
             assert math.isclose(s1[k], s2[k], abs_tol=1e-12)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.tuples(st.text(alphabet="abcd", max_size=9), st.text(alphabet="abcd", max_size=9)),
+                min_size=1, max_size=20))
+def test_damerau_batch_matches_brute_force(pairs):
+    got = U.damerau_levenshtein_batch([p[0] for p in pairs], [p[1] for p in pairs])
+    assert [int(x) for x in got] == [_dl_brute(a, b) for a, b in pairs]
+
+
+def test_damerau_many_mixes_short_long_and_null():
+    a = ["ca", None, "x" * 100 + "ab", "abc"]
+    b = ["abc", "z", "x" * 100 + "ba", ""]
+    assert U.damerau_many(a, b) == [2, None, 1, 3]
