@@ -53,10 +53,11 @@ def damerau_levenshtein_distance(a: str, b: str) -> int:
     return int(h[la + 1, lb + 1])
 
 
-# Pairs whose longer string has at most this many characters are scored in
-# batches (one numpy DP row across the whole batch); longer ones one by one.
-SHORT = 64
+# Pairs are scored in batches (one numpy DP row across the whole batch),
+# sorted by length; a batch holds at most BATCH pairs and at most CELLS DP
+# cells (pairs x padded rows x padded columns), ~64 MB of int32.
 BATCH = 256
+CELLS = 16_000_000
 
 
 def damerau_levenshtein_batch(a: list[str], b: list[str]) -> np.ndarray:
@@ -83,7 +84,7 @@ def damerau_levenshtein_batch(a: list[str], b: list[str]) -> np.ndarray:
         ac[r, :len(x)] = [alphabet[ch] for ch in x]
         bc[r, :len(y)] = [alphabet[ch] for ch in y]
     big = big_a + big_b + 1
-    h = np.empty((n, big_a + 2, big_b + 2), dtype=np.int64)
+    h = np.empty((n, big_a + 2, big_b + 2), dtype=np.int32)
     h[:, 0, :] = big
     h[:, :, 0] = big
     h[:, 1, 1:] = np.arange(big_b + 1)
@@ -107,19 +108,29 @@ def damerau_levenshtein_batch(a: list[str], b: list[str]) -> np.ndarray:
 
 
 def damerau_many(a: list, b: list) -> list:
-    """Distances for a list of pairs (None where either side is None)."""
+    """Distances for a list of pairs (None where either side is None).
+
+    Pairs are sorted by length so a batch pads little, and cut into batches
+    bounded by ``BATCH`` pairs and ``CELLS`` DP cells.
+    """
     out: list = [None] * len(a)
-    short = [i for i, (x, y) in enumerate(zip(a, b))
-             if x is not None and y is not None and max(len(x), len(y)) <= SHORT]
-    short.sort(key=lambda i: (len(a[i]), len(b[i])))
-    for s0 in range(0, len(short), BATCH):
-        part = short[s0:s0 + BATCH]
-        for i, d in zip(part, damerau_levenshtein_batch([a[i] for i in part], [b[i] for i in part])):
-            out[i] = int(d)
-    done = set(short)
-    for i, (x, y) in enumerate(zip(a, b)):
-        if i not in done and x is not None and y is not None:
-            out[i] = damerau_levenshtein_distance(x, y)
+    todo = sorted((i for i, (x, y) in enumerate(zip(a, b)) if x is not None and y is not None),
+                  key=lambda i: (len(a[i]), len(b[i])))
+    start = 0
+    while start < len(todo):
+        end, max_a, max_b = start, 0, 0
+        while end < len(todo):
+            na, nb = max(max_a, len(a[todo[end]])), max(max_b, len(b[todo[end]]))
+            if end > start and ((end - start + 1) * (na + 2) * (nb + 2) > CELLS or end - start >= BATCH):
+                break
+            max_a, max_b, end = na, nb, end + 1
+        part = todo[start:end]
+        if len(part) == 1:
+            out[part[0]] = damerau_levenshtein_distance(a[part[0]], b[part[0]])
+        else:
+            for i, d in zip(part, damerau_levenshtein_batch([a[i] for i in part], [b[i] for i in part])):
+                out[i] = int(d)
+        start = end
     return out
 
 

@@ -62,7 +62,7 @@ def keep_sellable(df: DataFrame, sell_type: str = "SELL_TYPE", in_sot: str = "IN
 
 def assemble_catalog(base: DataFrame, fill: DataFrame, defects: DataFrame, feed: DataFrame,
                      sot_ids: DataFrame, sot_on: Sequence[str] = ("MASTER_PRODUCT_ID",),
-                     dedupe: bool = False) -> DataFrame:
+                     dedupe: bool = False, owners: DataFrame | None = None) -> DataFrame:
     """PIP-1: RP rows with FR, DR, feed snapshot and the SOT flag attached.
 
     All metric sides are aggregates keyed by (country, product) and the SOT
@@ -70,6 +70,9 @@ def assemble_catalog(base: DataFrame, fill: DataFrame, defects: DataFrame, feed:
     is a no-op on a base with one row per RP; ``dedupe`` keeps it for bases
     that are not unique. Join strategy is left to AQE (broadcast when a
     metric side turns out small at run time, sort-merge otherwise).
+    ``owners`` (the PIP-8 owner list) enables the optional JN-14 inner join
+    that keeps only retailers with an owner; the reference has it commented
+    out, so it is off by default.
     """
     fr = fill.select("COUNTRY", "PRODUCT_ID", "FR", "TOTAL_PRODUCTS", "COUNT_REPLACED", "GMV_TOTAL")
     dr = defects.select("COUNTRY", F.col("PID").alias("PRODUCT_ID"), "PRODUCT_DR")
@@ -81,6 +84,9 @@ def assemble_catalog(base: DataFrame, fill: DataFrame, defects: DataFrame, feed:
            .join(fr, on=["COUNTRY", "PRODUCT_ID"], how="left")
            .join(fd, on=["COUNTRY", "SKU"], how="left"))
     out = keep_sellable(with_membership(out, sot_ids, sot_on))
+    if owners is not None:
+        o = owners.select(F.col("COUNTRY_CODE").alias("COUNTRY"), F.col("CP_RETAILER_ID").alias("RETAILER_ID"))
+        out = out.join(o.distinct(), on=["COUNTRY", "RETAILER_ID"], how="left_semi")
     return out.distinct() if dedupe else out
 
 

@@ -35,14 +35,16 @@ def score_matches(opps: DataFrame, sot: DataFrame, keys: Sequence[str] = ("COUNT
                   weights: Mapping[str, float] = P.CONFIDENCE_WEIGHTS,
                   name: str = "NAME", price: str = "MEDIAN_PRICE", config: str = "SIMILARITY",
                   mp: str = "MASTER_PRODUCT_ID", min_similarity: float | None = None,
-                  strict_compat: bool = False) -> DataFrame:
+                  strict_compat: bool = False, top: int | None = None) -> DataFrame:
     """MAT-5: top-k trigram cosine pairs with secondary scores and confidence.
 
     Attributes of both sides are joined back by row id (a hash of
     ``row_cols``). With ``strict_compat`` they are taken, as the reference
     does, from the *first* row carrying the same normalised name (ordered by
     the row columns), so duplicate names share one id and price (JN-9).
-    ``min_similarity`` pushes a final floor below the top-k (R1).
+    ``min_similarity`` pushes a final floor below the top-k (R1). ``top``
+    (LIM-1) keeps only the first ``top`` pairs in (keys, curated id, rank)
+    order; the default, as the reference calls it, keeps every pair.
     """
     keys = list(keys)
     row_cols = list(row_cols or opps.columns)
@@ -61,11 +63,14 @@ def score_matches(opps: DataFrame, sot: DataFrame, keys: Sequence[str] = ("COUNT
                 first.select(*keys, f"_{pre}name", "_first.*"), on=[*keys, f"_{pre}name"])
         return out.drop(*[f"_{pre}o_{c}" for c in row_cols if c not in keys])
 
+    top_n = top
     o, s = side(opps, "o"), side(sot, "s")
     top = tfidf.corpus_match(s, o, "_sid", "_oid", "_sname", "_oname", tuple(keys),
                              tfidf.TopK(k=k, min_similarity=min_similarity))
-    pairs = (top.select(*keys, "_sid", "_oid", "similarity")
-             .join(o, on=[*keys, "_oid"]).join(s, on=[*keys, "_sid"]))
+    ranked = top_pairs = top.select(*keys, "_sid", "_oid", "similarity", "rank")
+    if top_n is not None:
+        ranked = top_pairs.orderBy(*keys, "_sid", "rank").limit(top_n)
+    pairs = ranked.drop("rank").join(o, on=[*keys, "_oid"]).join(s, on=[*keys, "_sid"])
     pairs = pairs.select(
         *keys, "similarity",
         T.strip_trailing_tildes(F.col("_oname")).alias("master_products"),

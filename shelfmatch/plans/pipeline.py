@@ -22,6 +22,7 @@ from shelfmatch.operators import matching
 from shelfmatch.operators import metrics as M
 from shelfmatch.operators import rank as R
 from shelfmatch.session import materialize
+from shelfmatch.sources import sinks
 
 
 @dataclass(frozen=True)
@@ -83,6 +84,17 @@ def run(t: Tables, p: Params) -> Result:
     return Result(cat, scored, best, prio, sheet, log)
 
 
+def pipeline(t: Tables, p: Params, sheet_path: str | None = None, log_path: str | None = None) -> Result:
+    """Run the job and, when paths are given, write its outputs (SNK-1..3):
+    the sheet replaces only the countries present, the log is appended."""
+    r = run(t, p)
+    if sheet_path:
+        sinks.replace_partition(r.sheet, sheet_path)
+    if log_path:
+        sinks.append_log(r.log, log_path)
+    return r
+
+
 def tables_from_testdata(spark: SparkSession, sf: str) -> Tables:
     from shelfmatch.plans import standins as S
     return Tables(S.catalog_base(spark, sf), S.order_lines(spark, sf),

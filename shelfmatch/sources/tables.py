@@ -56,10 +56,13 @@ def country_union(spark: SparkSession, template: str, countries: Iterable[str],
 
 def curated_ids(sot: DataFrame, id_col: str = "MASTER_PRODUCT", deleted_col: str | None = "_FIVETRAN_DELETED",
                 keys: tuple[str, ...] = ("COUNTRY",)) -> DataFrame:
-    """SRC-5: distinct curated ids (not deleted), one row per (country, id)."""
+    """SRC-5: distinct curated ids (not deleted), one row per (country, id).
+
+    ``deleted = FALSE`` in SQL three-valued logic: a NULL flag drops the row.
+    """
     df = sot
     if deleted_col and deleted_col in sot.columns:
-        df = df.where(~F.coalesce(F.col(deleted_col), F.lit(False)))
+        df = df.where(F.col(deleted_col) == F.lit(False))
     return df.select(*keys, F.col(id_col).alias("MASTER_PRODUCT_ID")).distinct()
 
 

@@ -249,3 +249,23 @@ def test_exact_median_equals_numpy(spark, rows):
         if vals:
             want[g] = float(np.median(vals))
     assert got == want
+
+
+def test_country_union_and_curated_ids(spark):
+    from shelfmatch.sources.tables import country_union, curated_ids
+    spark.createDataFrame([(1,)], "ID long").createOrReplaceTempView("br_rp")
+    spark.createDataFrame([(2,)], "ID long").createOrReplaceTempView("co_rp")
+    u = country_union(spark, "{country}_rp", ["br", "co"])
+    assert sorted((r.COUNTRY, r.ID) for r in u.collect()) == [("br", 1), ("co", 2)]
+    sot = spark.createDataFrame([("BR", 5, False), ("BR", 5, False), ("BR", 6, True), ("CO", 5, None)],
+                                "COUNTRY string, MASTER_PRODUCT long, _FIVETRAN_DELETED boolean")
+    # a NULL deleted flag fails "= FALSE" and drops the row, as in SQL
+    assert sorted(tuple(r) for r in curated_ids(sot).collect()) == [("BR", 5)]
+
+
+def test_append_log(spark, tmp_out):
+    path = os.path.join(tmp_out, "log")
+    df = spark.createDataFrame([("BR", 1)], "COUNTRY string, v long")
+    sinks.append_log(df, path)
+    sinks.append_log(df, path)
+    assert spark.read.parquet(path).count() == 2

@@ -149,6 +149,6 @@ def test_damerau_batch_matches_brute_force(pairs):
 
 
 def test_damerau_many_mixes_short_long_and_null():
-    a = ["ca", None, "x" * 100 + "ab", "abc"]
-    b = ["abc", "z", "x" * 100 + "ba", ""]
-    assert U.damerau_many(a, b) == [2, None, 1, 3]
+    a = ["ca", None, "x" * 100 + "ab", "abc", "y" * 300 + "abcd"]
+    b = ["abc", "z", "x" * 100 + "ba", "", "y" * 290 + "bacd"]
+    assert U.damerau_many(a, b) == [2, None, 1, 3, 11]
