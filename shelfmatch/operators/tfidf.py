@@ -96,6 +96,7 @@ class TopK:
     lower_bound: float = 0.0       # keep cosine strictly above this
     min_similarity: float | None = None   # R1: also require cosine >= this before top-k
     salt: int = 16                 # salt buckets when the query side is too big to broadcast
+    prune: bool = False            # with min_similarity: exact prefix-filter candidate pruning (opt-in)
 
 
 def fits_broadcast(bound: DataFrame, max_rows: int = MAX_BROADCAST_POSTINGS) -> bool:
@@ -169,10 +170,65 @@ def corpus_weights(postings: DataFrame, idf: DataFrame, id_col: str,
     return w, norms
 
 
+def prefix_terms(query_w: DataFrame, query_id: str, threshold: float, keys: tuple[str, ...] = ()) -> DataFrame:
+    """Terms of each (unit-norm) query vector that any corpus row with cosine
+    >= ``threshold`` must share with it.
+
+    Terms are taken in descending weight order while the weight mass left
+    *from* the term on (its suffix, ‖q_S‖²) is still >= threshold². The
+    terms not taken have ‖q_S‖ < threshold, and for a unit corpus vector d
+    with non-negative weights Σ_{t∈S} q_t d_t <= ‖q_S‖·‖d_S‖ < threshold, so
+    a pair reaching the threshold shares at least one taken term. The bound
+    is relaxed by 1e-9 so float rounding can only add candidates.
+    """
+    w = Window.partitionBy(*keys, query_id).orderBy(F.col("w").desc(), F.col("term").asc())
+    suffix = F.sum(F.col("w") * F.col("w")).over(w.rowsBetween(Window.currentRow, Window.unboundedFollowing))
+    limit = max(threshold - 1e-9, 0.0) ** 2
+    return query_w.withColumn("_suffix", suffix).where(F.col("_suffix") >= F.lit(limit)).drop("_suffix")
+
+
+def pruned_pairs(query_w: DataFrame, corpus_w: DataFrame, norms: DataFrame, query_id: str, corpus_id: str,
+                 threshold: float, keys: tuple[str, ...] = (), small: bool = True) -> DataFrame:
+    """Exact cosine of every pair that can reach ``threshold`` (R1 pruning).
+
+    Candidates come from joining only the queries' prefix terms; each
+    candidate's exact dot product is then read from the corpus row's own
+    term→weight map (one map per row, bounded by that row's text), so the
+    full term-by-term product of all pairs is never formed.
+
+    Opt-in (``TopK.prune``): Spark map lookups are linear scans, so the
+    verification costs O(|q|·|d|) per candidate. It pays off when candidates
+    are few relative to the full product (short names, high thresholds); on
+    long documents the plain posting join is faster, which is the default.
+    """
+    prefix = prefix_terms(query_w, query_id, threshold, keys).select(*keys, query_id, "term")
+    if small:
+        prefix = F.broadcast(prefix)
+    cand = corpus_w.select(*keys, corpus_id, "term").join(prefix, on=[*keys, "term"]) \
+        .select(*keys, query_id, corpus_id).distinct()
+    cmaps = corpus_w.groupBy(*keys, corpus_id).agg(
+        F.map_from_entries(F.collect_list(F.struct("term", "w"))).alias("_cmap"))
+    qmaps = query_w.groupBy(*keys, query_id).agg(
+        F.map_from_entries(F.collect_list(F.struct("term", "w"))).alias("_qmap"))
+    if small:
+        qmaps = F.broadcast(qmaps)
+    j = cand.join(cmaps, on=[*keys, corpus_id]).join(qmaps, on=[*keys, query_id])
+    dot = F.aggregate(F.map_entries("_qmap"), F.lit(0.0),
+                      lambda acc, e: acc + e["value"] * F.coalesce(F.element_at("_cmap", e["key"]), F.lit(0.0)))
+    j = j.select(*keys, query_id, corpus_id, dot.alias("similarity"))
+    return (j.join(norms.hint("shuffle_hash"), on=[*keys, corpus_id])
+            .select(*keys, query_id, corpus_id, (F.col("similarity") / F.col("_norm")).alias("similarity")))
+
+
 def corpus_match(queries: DataFrame, corpus: DataFrame, query_id: str, corpus_id: str,
                  query_text: str, corpus_text: str, keys: tuple[str, ...] = (),
                  opts: TopK = TopK()) -> DataFrame:
-    """MAT-1..3 end to end: fit on the corpus, transform the queries, top-k join."""
+    """MAT-1..3 end to end: fit on the corpus, transform the queries, top-k join.
+
+    With ``opts.min_similarity`` and ``opts.prune`` the pairs come from
+    :func:`pruned_pairs` (exact, fewer candidates); otherwise every pair
+    sharing a term is scored.
+    """
     # The postings feed both the document frequencies and the weights; keep
     # them (memory, spilling to disk) instead of expanding the text twice. A
     # lost block is rebuilt from lineage.
@@ -184,7 +240,13 @@ def corpus_match(queries: DataFrame, corpus: DataFrame, query_id: str, corpus_id
     # so counting them proves the broadcast bound without touching the corpus.
     small = fits_broadcast(qp)
     qw = tfidf_vectors(qp, idf, query_id, keys, by_window=False)
-    dots = cosine_pairs(qw, cw, query_id, corpus_id, keys, opts.salt, small=small)
-    pairs = (dots.join(norms.hint("shuffle_hash"), on=[*keys, corpus_id])
-             .select(*keys, query_id, corpus_id, (F.col("similarity") / F.col("_norm")).alias("similarity")))
+    if opts.min_similarity is not None and opts.prune and opts.min_similarity > 0:
+        cwn = cw.join(norms, on=[*keys, corpus_id]).select(*keys, corpus_id, "term",
+                                                           (F.col("w") / F.col("_norm")).alias("w"))
+        pairs = pruned_pairs(qw, cwn, norms.select(*keys, corpus_id, F.lit(1.0).alias("_norm")),
+                             query_id, corpus_id, opts.min_similarity, keys, small)
+    else:
+        dots = cosine_pairs(qw, cw, query_id, corpus_id, keys, opts.salt, small=small)
+        pairs = (dots.join(norms.hint("shuffle_hash"), on=[*keys, corpus_id])
+                 .select(*keys, query_id, corpus_id, (F.col("similarity") / F.col("_norm")).alias("similarity")))
     return top_k(pairs, query_id, corpus_id, keys, opts)

@@ -269,3 +269,18 @@ def test_append_log(spark, tmp_out):
     sinks.append_log(df, path)
     sinks.append_log(df, path)
     assert spark.read.parquet(path).count() == 2
+
+
+def test_prefix_pruning_is_exact(spark):
+    rnd = random.Random(5)
+    words = ["arroz", "feijao", "preto", "branco", "tipo", "leite", "integral", "cafe"]
+    corpus = [" ".join(rnd.choice(words) for _ in range(rnd.randint(1, 4))) for _ in range(60)]
+    queries = [" ".join(rnd.choice(words) for _ in range(rnd.randint(1, 3))) for _ in range(15)]
+    c = spark.createDataFrame(list(enumerate(corpus)), "cid long, name string")
+    q = spark.createDataFrame(list(enumerate(queries)), "qid long, name string")
+    res = []
+    for prune in (False, True):
+        m = tfidf.corpus_match(q, c, "qid", "cid", "name", "name",
+                               opts=tfidf.TopK(k=5, min_similarity=0.5, prune=prune))
+        res.append(sorted((r.qid, r.cid, r["rank"], round(r.similarity, 9)) for r in m.collect()))
+    assert res[0] == res[1] and res[0]
