@@ -227,7 +227,9 @@ def corpus_match(queries: DataFrame, corpus: DataFrame, query_id: str, corpus_id
 
     With ``opts.min_similarity`` and ``opts.prune`` the pairs come from
     :func:`pruned_pairs` (exact, fewer candidates); otherwise every pair
-    sharing a term is scored.
+    sharing a term is scored. The corpus postings are persisted for the
+    duration of the job; a long-lived session releases them with
+    ``spark.catalog.clearCache()`` (or by unpersisting) after the action.
     """
     # The postings feed both the document frequencies and the weights; keep
     # them (memory, spilling to disk) instead of expanding the text twice. A
