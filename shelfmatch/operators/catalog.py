@@ -159,18 +159,25 @@ def membership_counts(df: DataFrame, by: Sequence[str] = ("COUNTRY",), flag: str
 def uniformity(df: DataFrame, key: Sequence[str] = ("COUNTRY", "MASTER_PRODUCT_ID"),
                attrs: Sequence[str] = ("NAME", "CAT1_NAME", "CAT2_NAME", "CAT3_NAME", "MAKER",
                                        "TRADEMARK", "IN_SOT")) -> DataFrame:
-    """PIP-6: MPs whose RPs disagree on any other roll-up key, as rows.
+    """PIP-6: MPs whose RPs disagree on any other roll-up key, as rows with the
+    number of distinct values per key.
 
     A clean catalog returns no rows. NULL keys are filled first, as before
-    the roll-up, so NULL counts as its own value.
+    the roll-up, so NULL counts as its own value. An MP disagrees on a key
+    exactly when min != max over its rows, which one plain (partial) aggregate
+    finds; the distinct counts, whose plan expands every row once per key, are
+    then taken only over the rows of the disagreeing MPs.
     """
-    filled = fill_keys(df, [*key, *attrs])
-    counts = filled.groupBy(*key).agg(*[F.count_distinct(F.coalesce(F.col(a).cast("string"), F.lit(NULL_VALUE)))
-                                        .alias(f"n_{a}") for a in attrs])
+    keys = list(key)
+    vals = {a: F.coalesce(F.col(a).cast("string"), F.lit(NULL_VALUE)) for a in attrs}
+    filled = fill_keys(df, [*keys, *attrs]).select(*keys, *[v.alias(a) for a, v in vals.items()])
+    spans = filled.groupBy(*keys).agg(*[(F.min(a) != F.max(a)).alias(f"_d_{a}") for a in attrs])
     bad = F.lit(False)
     for a in attrs:
-        bad = bad | (F.col(f"n_{a}") > 1)
-    return counts.where(bad)
+        bad = bad | F.col(f"_d_{a}")
+    flagged = spans.where(bad).select(*keys)
+    rows = filled.join(flagged, on=keys, how="left_semi")
+    return rows.groupBy(*keys).agg(*[F.count_distinct(a).alias(f"n_{a}") for a in attrs])
 
 
 class CatalogFrames(NamedTuple):
