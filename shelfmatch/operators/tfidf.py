@@ -6,7 +6,7 @@ vocabulary is bounded by 128^3 whatever the data size. The plan is
 
     corpus text --repartition(id)--> fold/trigrams --explode--> tf per (id, term)
         --> df per term (partial agg, small shuffle) --> idf
-    tf ⋈ idf (broadcast on the 128^3 bound) --> raw weight; |w| per id (aggregate)
+    tf ⋈ idf (broadcast on the 128^3 bound; per-key vocabularies: AQE) --> raw weight; |w| per id
     query postings (small, size-checked broadcast) ⋈ corpus postings on term
         --> Σ w_q·w_raw per (query, id)  (no exchange: still clustered by id)
         --> ÷ |w| of the id (hash join on the id clustering, no sort)
@@ -72,14 +72,13 @@ def fit_idf(postings: DataFrame, corpus: DataFrame, id_col: str,
 
 
 def tfidf_vectors(postings: DataFrame, idf: DataFrame, id_col: str,
-                  keys: tuple[str, ...] = (), by_window: bool = True) -> DataFrame:
+                  keys: tuple[str, ...] = (), by_window: bool = True, idf_small: bool = False) -> DataFrame:
     """MAT-2: L2-normalised tf·idf weights ``(keys..., id, term, w)``.
 
     Terms missing from ``idf`` are dropped before the norm (unseen terms do
-    not count). The idf side is broadcast: its size is bounded by the trigram
-    alphabet (128^3 ASCII trigrams per key), not by the data.
+    not count). See :func:`idf_side` for when the idf table is broadcast.
     """
-    j = postings.join(F.broadcast(idf.select(*keys, "term", "idf")), on=[*keys, "term"], how="inner")
+    j = postings.join(idf_side(idf, keys, idf_small), on=[*keys, "term"], how="inner")
     w = F.col("tf") * F.col("idf")
     j = j.select(*keys, id_col, "term", w.alias("w_raw"))
     if by_window:
@@ -160,11 +159,24 @@ def topk_cosine(query_w: DataFrame, corpus_w: DataFrame, query_id: str, corpus_i
                  query_id, corpus_id, keys, opts)
 
 
+def idf_side(idf: DataFrame, keys: tuple[str, ...] = (), proven_small: bool = False) -> DataFrame:
+    """The idf table as the build side of a join.
+
+    Without group keys its size is proven: at most 128^3 ASCII trigrams
+    whatever the data size, so it is broadcast. With keys (one vocabulary per
+    country, say) the bound grows with the number of keys, so it is broadcast
+    only when the caller has counted it (``proven_small``); otherwise AQE
+    decides from runtime sizes and shuffles on (keys, term) with skew splitting.
+    """
+    side = idf.select(*keys, "term", "idf")
+    return F.broadcast(side) if (not keys or proven_small) else side
+
+
 def corpus_weights(postings: DataFrame, idf: DataFrame, id_col: str,
-                   keys: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+                   keys: tuple[str, ...] = (), idf_small: bool = False) -> tuple[DataFrame, DataFrame]:
     """Un-normalised tf·idf weights ``(keys..., id, term, w)`` and the L2 norm
     per id ``(keys..., id, _norm)``; both keep the postings' id clustering."""
-    w = (postings.join(F.broadcast(idf.select(*keys, "term", "idf")), on=[*keys, "term"], how="inner")
+    w = (postings.join(idf_side(idf, keys, idf_small), on=[*keys, "term"], how="inner")
          .select(*keys, id_col, "term", (F.col("tf") * F.col("idf")).alias("w")))
     norms = w.groupBy(*keys, id_col).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("_norm"))
     return w, norms
@@ -236,12 +248,15 @@ def corpus_match(queries: DataFrame, corpus: DataFrame, query_id: str, corpus_id
     # lost block is rebuilt from lineage.
     cp = name_postings(corpus, corpus_id, corpus_text, keys).persist(StorageLevel.MEMORY_AND_DISK)
     idf = fit_idf(cp, corpus, corpus_id, keys)
-    cw, norms = corpus_weights(cp, idf, corpus_id, keys)
+    # Per-key vocabularies have no fixed bound: count them (over the cached
+    # postings) before broadcasting.
+    idf_small = bool(keys) and fits_broadcast(idf)
+    cw, norms = corpus_weights(cp, idf, corpus_id, keys, idf_small)
     qp = name_postings(queries, query_id, query_text, keys, cluster=False)
     # The weighted query postings are a subset of these (unseen terms drop),
     # so counting them proves the broadcast bound without touching the corpus.
     small = fits_broadcast(qp)
-    qw = tfidf_vectors(qp, idf, query_id, keys, by_window=False)
+    qw = tfidf_vectors(qp, idf, query_id, keys, by_window=False, idf_small=idf_small)
     if opts.min_similarity is not None and opts.prune and opts.min_similarity > 0:
         cwn = cw.join(norms, on=[*keys, corpus_id]).select(*keys, corpus_id, "term",
                                                            (F.col("w") / F.col("_norm")).alias("w"))
