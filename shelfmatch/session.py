@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
@@ -39,30 +36,6 @@ def get_spark(master: str | None = None, app: str = "shelfmatch",
     return spark
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by ``spark.checkpoint.dir``.
-
-    The cluster setting wins. Only when it is unset (local tests) do we
-    create a private folder, and we record it in the session so later calls
-    reuse it.
-    """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
-    if not d:
-        d = tempfile.mkdtemp(prefix="shelfmatch-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(d)
-    return d
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder (survives executor loss)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def materialize(df: DataFrame) -> DataFrame:
     """Compute a frame reused by several branches once (R7).
 
@@ -92,7 +65,3 @@ def spread(df: DataFrame, *cols) -> DataFrame:
     """
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return df.repartition(n, *cols)
-
-
-def in_test_env() -> bool:
-    return bool(os.environ.get("PYTEST_CURRENT_TEST"))

@@ -284,3 +284,21 @@ def test_prefix_pruning_is_exact(spark):
                                opts=tfidf.TopK(k=5, min_similarity=0.5, prune=prune))
         res.append(sorted((r.qid, r.cid, r["rank"], round(r.similarity, 9)) for r in m.collect()))
     assert res[0] == res[1] and res[0]
+
+
+def test_salted_join_equals_broadcast_join(spark):
+    rnd = random.Random(9)
+    words = ["arroz", "feijao", "preto", "branco", "tipo", "leite"]
+    corpus = [" ".join(rnd.choice(words) for _ in range(rnd.randint(1, 4))) for _ in range(40)]
+    queries = [" ".join(rnd.choice(words) for _ in range(rnd.randint(1, 3))) for _ in range(8)]
+    c = spark.createDataFrame(list(enumerate(corpus)), "cid long, name string")
+    q = spark.createDataFrame(list(enumerate(queries)), "qid long, name string")
+    cp = tfidf.name_postings(c, "cid", "name")
+    idf = tfidf.fit_idf(cp, c, "cid")
+    cw = tfidf.tfidf_vectors(cp, idf, "cid")
+    qw = tfidf.tfidf_vectors(tfidf.name_postings(q, "qid", "name", cluster=False), idf, "qid", by_window=False)
+    got = []
+    for small in (True, False):        # False forces the salted shuffle join
+        pairs = tfidf.cosine_pairs(qw, cw, "qid", "cid", salt=4, small=small)
+        got.append(sorted((r.qid, r.cid, round(r.similarity, 9)) for r in pairs.collect()))
+    assert got[0] == got[1] and got[0]
