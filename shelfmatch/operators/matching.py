@@ -25,9 +25,17 @@ SCORED_COLUMNS = ("similarity", "master_products", "integration", "damerau_leven
                   "final_weighted_confidence")
 
 
+# Separator of the row-id fields (a control character absent from names).
+ROW_KEY_SEP = "\x01"
+
+
 def row_key(cols: Sequence[str]):
-    """Deterministic row id from the columns that make a roll-up row unique."""
-    return F.xxhash64(*[F.col(c) for c in cols])
+    """Deterministic row id from the columns that make a roll-up row unique.
+
+    A plain string (fields joined by a control character, NULLs skipped), so
+    the tie order it gives the top-k is the same in any SQL engine.
+    """
+    return F.concat_ws(ROW_KEY_SEP, *[F.col(c).cast("string") for c in cols])
 
 
 def score_matches(opps: DataFrame, sot: DataFrame, keys: Sequence[str] = ("COUNTRY",),

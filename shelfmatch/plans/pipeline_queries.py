@@ -5,7 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfmatch.operators import catalog as C
+from shelfmatch.operators import matching
+from shelfmatch.operators import metrics as M
 from shelfmatch.plans import pipeline as PL
+from shelfmatch.plans import sqlfrag as Q
 from shelfmatch.plans import standins as S
 from shelfmatch.plans.registry import query
 
@@ -44,3 +48,70 @@ def export_enriched(spark: SparkSession, sf: str) -> DataFrame:
 def catalog_pipeline(spark: SparkSession, sf: str) -> DataFrame:
     """Flagship: the whole job end to end; the match log rows (PIP-1..7)."""
     return _run(spark, sf).log
+
+
+_RID = "concat_ws(chr(1), COUNTRY, NAME, CAST(MASTER_PRODUCT_ID AS VARCHAR), CAT1_NAME, CAT2_NAME, CAT3_NAME, " \
+       "MAKER, TRADEMARK, CAST(IN_SOT AS VARCHAR))"
+_NGRAM = r"regexp_replace({f}, '^\$[a-zA-Z0-9_]+\$|[,\-./]|\sBD', '', 'g')"
+
+
+def _side_sql(name: str, src: str) -> str:
+    fold = Q.fold("NAME")
+    return f"""
+{name} AS (SELECT COUNTRY, {_RID} AS rid, {fold} AS fname, MEDIAN_PRICE, SIMILARITY, MASTER_PRODUCT_ID FROM {src}),
+{name}_tf AS (SELECT COUNTRY, rid, substr(s, i, 3) AS term, count(*) AS tf
+   FROM (SELECT COUNTRY, rid, s, unnest(generate_series(1, length(s) - 2)) AS i
+         FROM (SELECT COUNTRY, rid, {_NGRAM.format(f="fname")} AS s FROM {name}) WHERE length(s) >= 3)
+   GROUP BY 1, 2, 3)"""
+
+
+_MATCH_SQL = "WITH " + Q.ALL_INPUTS + "," + Q.CATALOG_RP + "," + Q.ROLLUP + """,
+sm AS (SELECT * FROM mps WHERE MASTER_PRODUCT_ID IN (SELECT MASTER_PRODUCT_ID FROM sot)),
+om AS (SELECT * FROM mps WHERE MASTER_PRODUCT_ID NOT IN (SELECT MASTER_PRODUCT_ID FROM sot)),""" + \
+    _side_sql("o", "om") + "," + _side_sql("s", "sm") + """,
+idf AS (SELECT o_tf.COUNTRY, term, ln((1 + n.n) / (1 + count(*))) + 1 AS idf FROM o_tf
+        JOIN (SELECT COUNTRY, count(*) AS n FROM om GROUP BY 1) n ON n.COUNTRY = o_tf.COUNTRY GROUP BY 1, 2, n.n),
+ow AS (SELECT COUNTRY, rid, term, tf * idf AS w FROM o_tf JOIN idf USING (COUNTRY, term)),
+onorm AS (SELECT COUNTRY, rid, sqrt(sum(w * w)) AS norm FROM ow GROUP BY 1, 2),
+sw AS (SELECT COUNTRY, rid, term, tf * idf / sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY COUNTRY, rid)) AS w
+       FROM s_tf JOIN idf USING (COUNTRY, term)),
+dots AS (SELECT sw.COUNTRY, sw.rid AS sid, ow.rid AS oid, sum(sw.w * ow.w) AS dot
+         FROM sw JOIN ow ON sw.COUNTRY = ow.COUNTRY AND sw.term = ow.term GROUP BY 1, 2, 3),
+pairs AS (SELECT d.COUNTRY, sid, oid, dot / onorm.norm AS sim FROM dots d
+          JOIN onorm ON onorm.COUNTRY = d.COUNTRY AND onorm.rid = d.oid),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY COUNTRY, sid ORDER BY round(sim, 10) DESC, oid) AS rnk
+           FROM pairs WHERE sim > 0),
+top AS (SELECT r.COUNTRY, r.sim, regexp_replace(o.fname, '~+$', '') AS master_products,
+               regexp_replace(s.fname, '~+$', '') AS integration, s.MEDIAN_PRICE AS sp, o.MEDIAN_PRICE AS op,
+               s.SIMILARITY AS config_similarity, o.MASTER_PRODUCT_ID AS master_product_id,
+               s.MASTER_PRODUCT_ID AS master_product_id_sot
+        FROM ranked r JOIN o ON o.COUNTRY = r.COUNTRY AND o.rid = r.oid
+        JOIN s ON s.COUNTRY = r.COUNTRY AND s.rid = r.sid WHERE rnk <= 10)
+SELECT COUNTRY, round(sim, 8) AS similarity, master_products, integration,
+       CAST(damerau_levenshtein(integration, master_products) AS BIGINT) AS damerau_levenshtein,
+       round(1 - exp(-15 * exp(-0.16 * damerau_levenshtein(integration, master_products))), 8)
+         AS damerau_levenshtein_normalized,
+       round(CASE WHEN sp IS NOT NULL AND op IS NOT NULL AND greatest(sp, op) <> 0
+                  THEN 1 - abs(sp - op) / greatest(sp, op) END, 8) AS price_similarity,
+       round(config_similarity, 8) AS config_similarity, master_product_id, master_product_id_sot
+FROM top"""
+
+
+@query("match_pairs", oracle=_MATCH_SQL)
+def match_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    """MAT-4/5 without the two difflib ratios: top-10 trigram-cosine pairs per
+    curated MP and country, with Damerau, distance curve, price and config
+    similarity (SQL-checked; ``match_score`` adds the ratios and confidence)."""
+    t = PL.tables_from_testdata(spark, sf)
+    p = PL.Params(as_of=S.AS_OF, defect_join_keys=("ORDER_ID",), reasons=S.TICKET_REASONS)
+    fill = M.fill_rate(t.order_lines, p.as_of, p.fill_weeks, with_orders=False)
+    defects = M.defect_rate(t.order_products, t.tickets, p.as_of, p.defect_days, p.reasons,
+                            join_keys=p.defect_join_keys)
+    feed = M.feed_snapshot(t.feed, p.as_of, p.feed_days)
+    cat = C.extract_catalog(t.catalog_base, fill, defects, feed, t.sot_ids)
+    sc = matching.score_matches(cat.opportunity_mps, cat.sot_mps, keys=("COUNTRY",), row_cols=C.ROLLUP_KEYS)
+    return sc.select("COUNTRY", F.round("similarity", 8).alias("similarity"), "master_products", "integration",
+                     "damerau_levenshtein", "damerau_levenshtein_normalized",
+                     F.round("price_similarity", 8).alias("price_similarity"),
+                     F.round("config_similarity", 8).alias("config_similarity"),
+                     "master_product_id", "master_product_id_sot")
