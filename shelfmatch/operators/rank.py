@@ -19,17 +19,21 @@ def best_per_key(df: DataFrame, key: str | Sequence[str], score: str, tie: str,
                  digits: int = RANK_DIGITS) -> DataFrame:
     """WIN-1: per key the row with the highest score, ties to the lowest ``tie``.
 
-    Written as ``max_by`` over an ordering struct, so it is a hash aggregate
-    with a map-side partial step: a key holding a third of all rows is
-    reduced in every task before the shuffle instead of being sorted in one.
+    Written as ``max`` over one struct (score, -tie, every other column), so
+    it is a hash aggregate with a map-side partial step: a key holding a third
+    of all rows is reduced in every task before the shuffle instead of being
+    sorted in one. The remaining columns complete the order, so even exact
+    ties pick the same row in every run and every task retry.
     """
     keys = _keys(key)
     payload = [c for c in df.columns if c not in keys]
     if isinstance(df.schema[tie].dataType, NumericType):
-        order = F.struct(F.round(F.col(score), digits).alias("s"), (-F.col(tie)).alias("t"))
-        best = df.groupBy(*keys).agg(F.max_by(F.struct(*payload), order).alias("_best"))
-        return best.select(*keys, "_best.*")
-    w = Window.partitionBy(*keys).orderBy(F.round(F.col(score), digits).desc(), F.col(tie).asc())
+        best = df.groupBy(*keys).agg(F.max(F.struct(
+            F.round(F.col(score), digits).alias("_s"), (-F.col(tie)).alias("_t"),
+            *[F.col(c) for c in payload])).alias("_best"))
+        return best.select(*keys, *[F.col(f"_best.{c}").alias(c) for c in payload])
+    w = Window.partitionBy(*keys).orderBy(F.round(F.col(score), digits).desc(), F.col(tie).asc(),
+                                          *[F.col(c).desc() for c in payload if c not in (score, tie)])
     return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 
