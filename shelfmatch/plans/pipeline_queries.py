@@ -11,7 +11,7 @@ from shelfmatch.operators import metrics as M
 from shelfmatch.plans import pipeline as PL
 from shelfmatch.plans import sqlfrag as Q
 from shelfmatch.plans import standins as S
-from shelfmatch.plans.registry import query
+from shelfmatch.plans.registry import ORACLES, query
 
 
 def _run(spark: SparkSession, sf: str, **kw) -> PL.Result:
@@ -65,7 +65,7 @@ def _side_sql(name: str, src: str) -> str:
    GROUP BY 1, 2, 3)"""
 
 
-_MATCH_SQL = "WITH " + Q.ALL_INPUTS + "," + Q.CATALOG_RP + "," + Q.ROLLUP + """,
+_MATCH_BASE = "WITH " + Q.ALL_INPUTS + "," + Q.CATALOG_RP + "," + Q.ROLLUP + """,
 sm AS (SELECT * FROM mps WHERE MASTER_PRODUCT_ID IN (SELECT MASTER_PRODUCT_ID FROM sot)),
 om AS (SELECT * FROM mps WHERE MASTER_PRODUCT_ID NOT IN (SELECT MASTER_PRODUCT_ID FROM sot)),""" + \
     _side_sql("o", "om") + "," + _side_sql("s", "sm") + """,
@@ -86,7 +86,9 @@ top AS (SELECT r.COUNTRY, r.sim, regexp_replace(o.fname, '~+$', '') AS master_pr
                s.SIMILARITY AS config_similarity, o.MASTER_PRODUCT_ID AS master_product_id,
                s.MASTER_PRODUCT_ID AS master_product_id_sot
         FROM ranked r JOIN o ON o.COUNTRY = r.COUNTRY AND o.rid = r.oid
-        JOIN s ON s.COUNTRY = r.COUNTRY AND s.rid = r.sid WHERE rnk <= 10)
+        JOIN s ON s.COUNTRY = r.COUNTRY AND s.rid = r.sid WHERE rnk <= 10)"""
+
+_MATCH_SQL = _MATCH_BASE + """
 SELECT COUNTRY, round(sim, 8) AS similarity, master_products, integration,
        CAST(damerau_levenshtein(integration, master_products) AS BIGINT) AS damerau_levenshtein,
        round(1 - exp(-15 * exp(-0.16 * damerau_levenshtein(integration, master_products))), 8)
@@ -115,3 +117,76 @@ def match_pairs(spark: SparkSession, sf: str) -> DataFrame:
                      F.round("price_similarity", 8).alias("price_similarity"),
                      F.round("config_similarity", 8).alias("config_similarity"),
                      "master_product_id", "master_product_id_sot")
+
+
+# Best match per opportunity MP (the struct order of ``best_per_key``), floor,
+# prioritisation (GMV share, tie columns, bounded running total).
+_PRIO_BASE = _MATCH_BASE + """,
+scored AS (SELECT *, damerau_levenshtein(integration, master_products) AS dl,
+                  round(1 - exp(-15 * exp(-0.16 * damerau_levenshtein(integration, master_products))), 8) AS dln,
+                  CASE WHEN sp IS NOT NULL AND op IS NOT NULL AND greatest(sp, op) <> 0
+                       THEN 1 - abs(sp - op) / greatest(sp, op) END AS price_similarity FROM top),
+best AS (SELECT * FROM (
+           SELECT *, row_number() OVER (PARTITION BY COUNTRY, master_product_id
+             ORDER BY round(sim, 10) DESC, master_product_id_sot ASC, sim DESC, master_products DESC,
+                      integration DESC, dl DESC, dln DESC, price_similarity DESC NULLS LAST,
+                      config_similarity DESC NULLS LAST) AS pick FROM scored)
+         WHERE pick = 1 AND round(sim, 10) >= 0.5),
+pj AS (SELECT b.COUNTRY, b.master_products AS master_cp, b.integration AS master_sot, b.master_product_id,
+              b.master_product_id_sot, b.price_similarity, b.sim AS similarity, b.config_similarity,
+              m.NAME, m.CAT1_NAME, m.CAT2_NAME, m.CAT3_NAME, m.MAKER, m.TRADEMARK, m.GMV_T, m.N_ASSOCIATED_RETAILERS
+       FROM best b LEFT JOIN mps m ON m.COUNTRY = b.COUNTRY AND m.MASTER_PRODUCT_ID = b.master_product_id),
+tot AS (SELECT COUNTRY, sum(GMV_T) AS total FROM mps GROUP BY 1),
+pc AS (SELECT pj.*, CASE WHEN tot.total = 0 THEN NULL ELSE pj.GMV_T * 100.0 / tot.total END AS gmv_coverage
+       FROM pj LEFT JOIN tot ON tot.COUNTRY = pj.COUNTRY),
+pr AS (SELECT *, row_number() OVER w AS rn,
+              sum(N_ASSOCIATED_RETAILERS) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cumulative_retailers
+       FROM pc WINDOW w AS (PARTITION BY COUNTRY ORDER BY round(gmv_coverage, 10) DESC NULLS LAST, master_product_id,
+                            master_product_id_sot, NAME, CAT1_NAME, CAT2_NAME, CAT3_NAME, MAKER, TRADEMARK)),
+prio AS (SELECT * FROM pr WHERE rn <= 501 AND cumulative_retailers - N_ASSOCIATED_RETAILERS <= 500)"""
+
+_PRIO_SQL = _PRIO_BASE + """
+SELECT COUNTRY, master_cp, master_sot, master_product_id, master_product_id_sot,
+       round(price_similarity, 8) AS price_similarity, round(similarity, 8) AS similarity,
+       round(config_similarity, 8) AS config_similarity, round(gmv_coverage, 8) AS gmv_coverage,
+       CAST(cumulative_retailers AS BIGINT) AS cumulative_retailers
+FROM prio"""
+
+_PRODUCTS_SQL = """
+products AS (SELECT p_partkey AS MASTER_PRODUCT_ID, p_name || ' ' || p_type || ' ' || p_brand AS NAME,
+                    p_type AS LONG_DESCRIPTION, CASE WHEN p_size < 10 THEN 'U' ELSE 'W' END AS SALE_TYPE,
+                    CASE WHEN p_size < 10 THEN 'un' ELSE 'kg' END AS UNIT_TYPE, CAST(p_size AS DOUBLE) AS QUANTITY,
+                    CAST(CASE WHEN p_size < 10 THEN 1.0 ELSE 0.5 END AS DOUBLE) AS STEP_QUANT FROM part)"""
+
+_EXPORT_SQL = _PRIO_BASE + "," + _PRODUCTS_SQL + """,
+ids AS (SELECT DISTINCT master_product_id_sot AS MASTER_PRODUCT_ID FROM prio),
+info AS (SELECT DISTINCT * FROM products WHERE MASTER_PRODUCT_ID IN (SELECT MASTER_PRODUCT_ID FROM ids)),
+photos AS (SELECT DISTINCT COUNTRY, MASTER_PRODUCT_ID, MP_PHOTO_URL FROM rp),
+prices AS (SELECT DISTINCT COUNTRY, MEDIAN_PRICE, MASTER_PRODUCT_ID, TRADEMARK FROM sm),
+infos AS (SELECT DISTINCT ph.COUNTRY, i.MASTER_PRODUCT_ID AS MASTER_PRODUCT_ID_SOT, i.NAME AS NAME_SOT,
+                 i.LONG_DESCRIPTION AS LONG_DESCRIPTION_SOT, i.SALE_TYPE AS SALE_TYPE_SOT, i.UNIT_TYPE AS UNIT_TYPE_SOT,
+                 i.QUANTITY AS QUANTITY_SOT, i.STEP_QUANT AS STEP_QUANT_SOT, ph.MP_PHOTO_URL AS MP_PHOTO_URL_SOT,
+                 pz.MEDIAN_PRICE AS MEDIAN_PRICE_SOT, pz.TRADEMARK AS TRADEMARK_SOT
+          FROM info i JOIN photos ph ON ph.MASTER_PRODUCT_ID = i.MASTER_PRODUCT_ID
+          JOIN prices pz ON pz.COUNTRY = ph.COUNTRY AND pz.MASTER_PRODUCT_ID = i.MASTER_PRODUCT_ID),
+orp AS (SELECT * FROM rp WHERE MASTER_PRODUCT_ID NOT IN (SELECT MASTER_PRODUCT_ID FROM sot)),
+lg AS (SELECT o.*, p.master_product_id_sot FROM orp o
+       JOIN prio p ON p.COUNTRY = o.COUNTRY AND p.master_product_id = o.MASTER_PRODUCT_ID),
+lj AS (SELECT lg.*, infos.* EXCLUDE (COUNTRY) FROM lg LEFT JOIN infos
+       ON infos.COUNTRY = lg.COUNTRY AND infos.MASTER_PRODUCT_ID_SOT = lg.master_product_id_sot)
+SELECT DISTINCT COUNTRY, PRODUCT_ID, SKU, CAST(MASTER_PRODUCT_ID AS VARCHAR) AS MASTER_PRODUCT_ID, MP_PHOTO_URL,
+       IMAGE_URL, NAME, NAME_INT, coalesce(TRADEMARK, 'None') AS TRADEMARK, coalesce(TRADEMARK_INT, 'None') AS TRADEMARK_INT,
+       MEDIAN_PRICE, MEDIAN_PRICE_SOT, PRICE_PER_KG, STEP_QUANT, SELL_TYPE, UNITY_P,
+       CAST(QUANTITY_RP AS DOUBLE) AS QUANTITY_RP,
+       CASE WHEN STEP_QUANTITY_IN_GRAMS IS NULL OR STEP_QUANTITY_IN_GRAMS = 0 THEN SUGGESTED_QUANTITY
+            ELSE CAST(STEP_QUANTITY_IN_GRAMS AS VARCHAR) END AS STEP_QUANTITY_IN_GRAMS,
+       CASE WHEN QUANTITY_INT IS NULL OR QUANTITY_INT = 0 THEN SUGGESTED_QUANTITY
+            ELSE CAST(CAST(QUANTITY_INT AS DOUBLE) AS VARCHAR) END AS QUANTITY_INT,
+       CASE WHEN UNIT_TYPE IS NULL THEN SUGGESTED_UNITYPE ELSE UNIT_TYPE END AS UNIT_TYPE,
+       MP_PHOTO_URL_SOT, NAME_SOT, LONG_DESCRIPTION_SOT, TRADEMARK_SOT, SALE_TYPE_SOT, STEP_QUANT_SOT, QUANTITY_SOT,
+       UNIT_TYPE_SOT, CAST(MASTER_PRODUCT_ID_SOT AS VARCHAR) AS MASTER_PRODUCT_ID_SOT
+FROM lj"""
+
+ORACLES_EXTRA = {"prioritised_matches": _PRIO_SQL, "export_enriched": _EXPORT_SQL}
+
+ORACLES.update(ORACLES_EXTRA)

@@ -160,8 +160,8 @@ catalog_base AS (
          (l.l_partkey << 32) + l.l_suppkey AS PRODUCT_ID, l.l_partkey AS MASTER_PRODUCT_ID,
          CASE WHEN p.p_size < 10 THEN 'U' ELSE 'W' END AS SELL_TYPE,
          'photo/' || CAST(p.p_partkey AS VARCHAR) AS MP_PHOTO_URL,
-         CAST(p.p_partkey AS VARCHAR) AS EAN, CAST(p.p_size * 2 AS DOUBLE) AS MAX_QUANT, 1.0 AS MIN_QUANT,
-         CASE WHEN p.p_size < 10 THEN 1.0 ELSE 0.5 END AS STEP_QUANT, p.p_type AS PRESENTATION,
+         CAST(p.p_partkey AS VARCHAR) AS EAN, CAST(p.p_size * 2 AS DOUBLE) AS MAX_QUANT, CAST(1.0 AS DOUBLE) AS MIN_QUANT,
+         CAST(CASE WHEN p.p_size < 10 THEN 1.0 ELSE 0.5 END AS DOUBLE) AS STEP_QUANT, p.p_type AS PRESENTATION,
          CAST(p.p_size AS DOUBLE) AS QUANTITY_RP, CASE WHEN p.p_size < 10 THEN 'un' ELSE 'kg' END AS UNITY_P
   FROM (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem) l JOIN part p ON l.l_partkey = p.p_partkey
   JOIN supplier s ON l.l_suppkey = s.s_suppkey JOIN nation n ON s.s_nationkey = n.n_nationkey)"""

@@ -20,8 +20,7 @@ def test_every_query_has_oracle_or_is_rows_only():
     qs, orc = E.queries(), E.oracle_sql()
     assert set(orc) <= set(qs)
     rows_only = set(qs) - set(orc)
-    assert rows_only == {"token_ratios", "match_score", "prioritised_matches", "export_enriched",
-                         "catalog_pipeline"}
+    assert rows_only == {"token_ratios", "match_score", "catalog_pipeline"}
 
 
 @pytest.mark.parametrize("name", sorted(E.queries()))
