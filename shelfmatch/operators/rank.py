@@ -23,14 +23,16 @@ def best_per_key(df: DataFrame, key: str | Sequence[str], score: str, tie: str,
     it is a hash aggregate with a map-side partial step: a key holding a third
     of all rows is reduced in every task before the shuffle instead of being
     sorted in one. The remaining columns complete the order, so even exact
-    ties pick the same row in every run and every task retry.
+    ties pick the same row in every run and every task retry; the unrounded
+    score comes last, so float summation noise never outranks a real column.
     """
     keys = _keys(key)
     payload = [c for c in df.columns if c not in keys]
     if isinstance(df.schema[tie].dataType, NumericType):
+        rest = [c for c in payload if c != score] + ([score] if score in payload else [])
         best = df.groupBy(*keys).agg(F.max(F.struct(
             F.round(F.col(score), digits).alias("_s"), (-F.col(tie)).alias("_t"),
-            *[F.col(c) for c in payload])).alias("_best"))
+            *[F.col(c) for c in rest])).alias("_best"))
         return best.select(*keys, *[F.col(f"_best.{c}").alias(c) for c in payload])
     w = Window.partitionBy(*keys).orderBy(F.round(F.col(score), digits).desc(), F.col(tie).asc(),
                                           *[F.col(c).desc() for c in payload if c not in (score, tie)])

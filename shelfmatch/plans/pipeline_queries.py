@@ -128,7 +128,7 @@ scored AS (SELECT *, damerau_levenshtein(integration, master_products) AS dl,
                        THEN 1 - abs(sp - op) / greatest(sp, op) END AS price_similarity FROM top),
 best AS (SELECT * FROM (
            SELECT *, row_number() OVER (PARTITION BY COUNTRY, master_product_id
-             ORDER BY round(sim, 10) DESC, master_product_id_sot ASC, sim DESC, master_products DESC,
+             ORDER BY round(sim, 10) DESC, master_product_id_sot ASC, master_products DESC,
                       integration DESC, dl DESC, dln DESC, price_similarity DESC NULLS LAST,
                       config_similarity DESC NULLS LAST) AS pick FROM scored)
          WHERE pick = 1 AND round(sim, 10) >= 0.5),
