@@ -48,3 +48,31 @@ def test_date_window_reaches_parquet_scan(spark):
     df = E.queries()["fill_rate"](spark, SF001)
     p = df._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(o_orderdate), GreaterThanOrEqual(o_orderdate" in p
+
+
+def test_pipeline_writes_sinks(spark, tmp_out):
+    import os
+    from shelfmatch.plans import pipeline as PL
+    from shelfmatch.plans import standins as S
+    t = PL.tables_from_testdata(spark, SF001)
+    p = PL.Params(as_of=S.AS_OF, defect_join_keys=("ORDER_ID",), reasons=S.TICKET_REASONS)
+    sheet_path, log_path = os.path.join(tmp_out, "sheet"), os.path.join(tmp_out, "log")
+    r = PL.pipeline(t, p, sheet_path, log_path)
+    sheet = spark.read.parquet(sheet_path)
+    assert sheet.count() == r.sheet.count()
+    assert "COUNTRY" in sheet.columns and len(sheet.columns) == 29      # 28 sheet columns + partition column
+    assert spark.read.parquet(log_path).count() == r.log.count()
+
+
+def test_strict_compat_first_row_lookup(spark):
+    from shelfmatch.operators import matching
+    cols = "COUNTRY string, NAME string, MASTER_PRODUCT_ID long, MEDIAN_PRICE double, SIMILARITY double"
+    opps = spark.createDataFrame([("BR", "arroz branco", 1, 10.0, 0.5), ("BR", "arroz branco", 2, 20.0, 0.6),
+                                  ("BR", "feijao preto", 3, 5.0, 0.7)], cols)
+    sot = spark.createDataFrame([("BR", "arroz branco tipo 1", 9, 12.0, 0.9)], cols)
+    by_row = matching.score_matches(opps, sot, row_cols=["COUNTRY", "NAME", "MASTER_PRODUCT_ID"])
+    first = matching.score_matches(opps, sot, row_cols=["COUNTRY", "NAME", "MASTER_PRODUCT_ID"], strict_compat=True)
+    assert sorted(r.master_product_id for r in by_row.collect() if r.master_products == "arroz branco") == [1, 2]
+    # first-row lookup: both duplicate-name rows resolve to the first row's id and price
+    assert {(r.master_product_id, r.price_similarity) for r in first.collect()
+            if r.master_products == "arroz branco"} == {(1, 1 - 2 / 12)}
