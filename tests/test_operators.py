@@ -302,3 +302,37 @@ def test_salted_join_equals_broadcast_join(spark):
         pairs = tfidf.cosine_pairs(qw, cw, "qid", "cid", salt=4, small=small)
         got.append(sorted((r.qid, r.cid, round(r.similarity, 9)) for r in pairs.collect()))
     assert got[0] == got[1] and got[0]
+
+
+def test_assemble_catalog_owner_join_and_membership(spark):
+    base = spark.createDataFrame([("BR", 1, "s1", 10, 7, "W"), ("BR", 2, "s2", 11, 8, "U"), ("BR", 3, "s3", 12, 9, None)],
+                                 "COUNTRY string, PRODUCT_ID long, SKU string, MASTER_PRODUCT_ID long, "
+                                 "RETAILER_ID long, SELL_TYPE string")
+    fill = spark.createDataFrame([("BR", 1, 0.5, 2, 1, 9.0)], "COUNTRY string, PRODUCT_ID long, FR double, "
+                                 "TOTAL_PRODUCTS long, COUNT_REPLACED long, GMV_TOTAL double")
+    defects = spark.createDataFrame([("BR", 1, 0.25)], "COUNTRY string, PID long, PRODUCT_DR double")
+    feed = spark.createDataFrame([("BR", "s1", "n", "d", "t", 1.0, "i", 2.0, "u", 0.1, 0.2)],
+                                 "COUNTRY string, RETAIL_ID string, NAME string, DESCRIPTION string, TRADEMARK string, "
+                                 "MEDIAN_PRICE double, IMAGE_URL string, QUANTITY double, UNIT_TYPE string, "
+                                 "MIN_QUANTITY_IN_GRAMS double, STEP_QUANTITY_IN_GRAMS double")
+    sot = spark.createDataFrame([(12,), (12,)], "MASTER_PRODUCT_ID long")
+    owners = spark.createDataFrame([("BR", 7, "a"), ("BR", 9, "b")], "COUNTRY_CODE string, CP_RETAILER_ID long, TAM string")
+    out = {r.PRODUCT_ID: r for r in C.assemble_catalog(base, fill, defects, feed, sot).collect()}
+    # product 2 is sold by unit and not curated (dropped); 3 has no sell type but is curated (kept)
+    assert set(out) == {1, 3} and out[3].IN_SOT and not out[1].IN_SOT
+    assert (out[1].FR, out[1].PRODUCT_DR, out[1].NAME_INT) == (0.5, 0.25, "n")
+    owned = C.assemble_catalog(base, fill, defects, feed, sot, owners=owners)
+    assert sorted(r.PRODUCT_ID for r in owned.collect()) == [1, 3]
+    owned_one = C.assemble_catalog(base, fill, defects, feed, sot, owners=owners.where("CP_RETAILER_ID = 7"))
+    assert [r.PRODUCT_ID for r in owned_one.collect()] == [1]
+
+
+def test_score_matches_top_limit(spark):
+    from shelfmatch.operators import matching
+    cols = "COUNTRY string, NAME string, MASTER_PRODUCT_ID long, MEDIAN_PRICE double, SIMILARITY double"
+    opps = spark.createDataFrame([("BR", n, i, 1.0, 0.5) for i, n in
+                                  enumerate(["arroz branco", "arroz preto", "arroz tipo 1", "feijao"])], cols)
+    sot = spark.createDataFrame([("BR", "arroz branco tipo 1", 9, 1.0, 0.9)], cols)
+    rc = ["COUNTRY", "NAME", "MASTER_PRODUCT_ID"]
+    assert matching.score_matches(opps, sot, row_cols=rc).count() >= 3
+    assert matching.score_matches(opps, sot, row_cols=rc, top=2).count() == 2
