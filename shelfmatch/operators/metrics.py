@@ -124,15 +124,19 @@ def owner_list(links: DataFrame, exclude: Sequence[str] = (),
     return out.select(country, retailer, owner).distinct()
 
 
-def json_path(c: Column, path: str, to: str = "string") -> Column:
-    """SC-3: typed value at a JSON path of a JSON string column.
+def json_path(c: Column, path: str, to: str = "string", variant: bool = False) -> Column:
+    """SC-3: typed value at a JSON path of a JSON text column, or of a VARIANT
+    column with ``variant=True`` (``try_variant_get``).
 
     A JSON null, a missing path or an uncastable value all give SQL NULL, so
     a surrounding COALESCE falls through to the next argument.
     """
+    if variant:
+        return F.try_variant_get(c, path, to)
     return F.get_json_object(c, path).try_cast(to)
 
 
-def json_coalesce(primary: Column, fallback: Column, path: str, to: str = "string") -> Column:
+def json_coalesce(primary: Column, fallback: Column, path: str, to: str = "string",
+                  variant: bool = False) -> Column:
     """SC-2: the RP value at ``path`` if present, else the MP value."""
-    return F.coalesce(json_path(primary, path, to), json_path(fallback, path, to))
+    return F.coalesce(json_path(primary, path, to, variant), json_path(fallback, path, to, variant))

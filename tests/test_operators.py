@@ -336,3 +336,12 @@ def test_score_matches_top_limit(spark):
     rc = ["COUNTRY", "NAME", "MASTER_PRODUCT_ID"]
     assert matching.score_matches(opps, sot, row_cols=rc).count() >= 3
     assert matching.score_matches(opps, sot, row_cols=rc, top=2).count() == 2
+
+
+def test_json_coalesce_on_variant(spark):
+    df = spark.createDataFrame([('{"a": 1, "t": "U"}', '{"a": 2, "t": "W"}'), ('{"a": null}', '{"a": 5, "t": "W"}')],
+                               "rp string, mp string")
+    v = df.select(F.parse_json("rp").alias("rp"), F.parse_json("mp").alias("mp"))
+    got = v.select(M.json_coalesce(F.col("rp"), F.col("mp"), "$.a", "double", variant=True),
+                   M.json_coalesce(F.col("rp"), F.col("mp"), "$.t", variant=True)).collect()
+    assert [tuple(r) for r in got] == [(1.0, "U"), (5.0, "W")]
