@@ -55,13 +55,15 @@ def materialize(df: DataFrame) -> DataFrame:
 
 
 def spread(df: DataFrame, *cols) -> DataFrame:
-    """Hash-repartition into ``spark.sql.shuffle.partitions`` partitions.
+    """Hash-repartition into max(shuffle partitions, total cores) partitions.
 
     Used in front of CPU-heavy per-row text work, on the keys the next join
     or aggregate needs anyway, so it replaces that operator's exchange
     rather than adding one. The explicit count keeps AQE from coalescing a
-    small-in-bytes but expensive-per-row input into a single task; on a
-    cluster the count is the job's configured shuffle parallelism.
+    small-in-bytes but expensive-per-row input into a single task; taking at
+    least the cluster's default parallelism keeps every core busy even when
+    the shuffle setting was left at its default.
     """
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spark = df.sparkSession
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     return df.repartition(n, *cols)
