@@ -7,10 +7,8 @@ no Python runs per row.
 from __future__ import annotations
 
 import functools
-import glob
-import os
 import unicodedata
-import zipfile
+from importlib import resources
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -117,19 +115,14 @@ def char_ngrams(c: Column, n: int = 3) -> Column:
 # --------------------------------------------------------------------------
 @functools.lru_cache(maxsize=None)
 def stop_words(language: str = "portuguese") -> tuple[str, ...]:
-    """Spark ML's built-in stop-word list, read from the bundled jar.
+    """Stop words kept as package data (``functions/data/``), in file order.
 
-    Same list ``StopWordsRemover.loadDefaultStopWords`` returns, without a
-    JVM round trip, so SQL oracles and tests can use it too.
+    Read with ``importlib.resources``, so it does not depend on how Spark is
+    installed (thin client, separate distribution, zipped package).
     """
-    import pyspark
-    jar_dir = os.path.join(os.path.dirname(pyspark.__file__), "jars")
-    for jar in glob.glob(os.path.join(jar_dir, "spark-mllib_*.jar")):
-        with zipfile.ZipFile(jar) as z:
-            name = f"org/apache/spark/ml/feature/stopwords/{language}.txt"
-            if name in z.namelist():
-                return tuple(w for w in z.read(name).decode("utf-8").split("\n") if w)
-    raise FileNotFoundError(f"no stop-word list for {language!r}")
+    source = resources.files("shelfmatch.functions") / "data" / f"stopwords_{language}.txt"
+    lines = source.read_text(encoding="utf-8").splitlines()
+    return tuple(w for w in lines if w and not w.startswith("#"))
 
 
 def words(c: Column) -> Column:
