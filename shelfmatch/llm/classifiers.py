@@ -30,6 +30,7 @@ from shelfmatch.llm import textcols as T
 
 TOXIC_ROWS, QUALITY_ROWS, FIT_CHARS = 20_000, 6_000, 40_000
 BUCKETS = 1 << 20
+MIN_TEXTS = 3
 GRAM_BUCKETS, DIM = 1 << 18, 8
 
 # Identity terms swapped for one another, per language.
@@ -100,12 +101,14 @@ def fit_toxic(texts: list[str], labels: np.ndarray, swaps: int = 1, strength: fl
     twins = [counterfactual(texts[i], 1 + s) for s in range(swaps) for i in named]
     origin = np.array(named * swaps, dtype=np.int64)
     tdoc, tkey = _features_of(twins, toxic_features)
+    # A feature of fewer than MIN_TEXTS labelled texts is not learnt from.
+    common = np.bincount(key, minlength=BUCKETS) >= MIN_TEXTS
+    doc, key, tdoc, tkey = doc[common[key]], key[common[key]], tdoc[common[tkey]], tkey[common[tkey]]
     used, key = np.unique(np.concatenate([key, tkey]), return_inverse=True)
     key, tkey = key[:len(doc)], key[len(doc):]
     w, m, v = np.zeros(len(used)), np.zeros(len(used)), 1e-8
     balance = np.where(labels == 1, 0.5 / max(labels.mean(), 1e-9), 0.5 / max(1 - labels.mean(), 1e-9))
     n = len(texts)
-    seen = np.maximum(np.bincount(key, minlength=len(used)), 1)
     for _ in range(steps):
         p = _sigmoid(np.bincount(doc, w[key], n) + bias)
         err = balance * (p - labels) / n
@@ -121,7 +124,6 @@ def fit_toxic(texts: list[str], labels: np.ndarray, swaps: int = 1, strength: fl
         w -= step * g
         w = np.sign(w) * np.maximum(np.abs(w) - step * l1, 0)
         bias -= rate * float(err.sum())
-    w[seen < 5] = 0
     weights[used] = w
     return weights, bias
 

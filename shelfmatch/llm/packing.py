@@ -24,7 +24,7 @@ from shelfmatch.llm import textcols as T
 from shelfmatch.session import materialize
 
 LENGTH, END_ID = 1024, 2
-SHRINK, RELEASE = 8, 8
+GROUP, RELEASE = 50_000, 8
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PLACED = PIECE + ", part int, sequence_id long, offset long, final boolean"
 
@@ -125,17 +125,16 @@ def packer(step: int, last: bool, size: int):
 
 def pack(pieces: DataFrame, size: int = LENGTH) -> DataFrame:
     """``pieces`` with sequence_id and offset."""
-    tasks = T.shuffle_tasks(pieces.sparkSession)
-    left, done, step = pieces, None, 0
+    left, done, step, tasks = pieces, None, 0, 1 << 20
     while True:
+        tasks = max(1, min(-(-left.count() // GROUP), tasks // 2))
         salted = left.withColumn("part", F.pmod(F.xxhash64("doc_id", "piece", F.lit(step)), F.lit(tasks)).cast("int"))
         placed = materialize(salted.groupBy("part").applyInPandas(packer(step, tasks == 1, size), PLACED))
         kept = placed.where("final").drop("final", "part")
         done = kept if done is None else done.unionByName(kept)
         if tasks == 1:
             return done
-        left = placed.where(~F.col("final")).select(*pieces.columns)
-        tasks, step = max(1, tasks // SHRINK), step + 1
+        left, step = placed.where(~F.col("final")).select(*pieces.columns), step + 1
 
 
 def pack_documents(docs: DataFrame, path: str | None = None) -> DataFrame:

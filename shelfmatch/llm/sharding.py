@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from shelfmatch.llm import textcols as T
 from shelfmatch.session import materialize
 
-SHARDS, PIECES_PER_SHARD = 16, 32
+SHARDS, PIECES_PER_SHARD, GROUPS = 16, 32, 50_000
 DIMS = ("bytes", "tokens", "rows")
 
 
@@ -31,7 +31,7 @@ def place(vectors: np.ndarray, bins: int) -> np.ndarray:
     v = vectors / total * bins           # a bin's even share is 1 in each dimension
     left = np.ones((bins, v.shape[1]))
     out = np.zeros(len(v), dtype=np.int64)
-    weight = np.array([4.0] + [1.0] * (v.shape[1] - 1))  # bytes is the law
+    weight = np.array([16.0] + [1.0] * (v.shape[1] - 1))  # bytes is the law
     for i in np.lexsort((np.arange(len(v)), -v[:, 0])):
         j = int(np.argmax(left @ (v[i] * weight) / max((v[i] * weight).sum(), 1e-300)))
         out[i] = j
@@ -50,7 +50,8 @@ def assign_shards(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     rows = materialize(rows)
     sums = (F.sum("size").alias("bytes"), F.sum("tokens").alias("tokens"), F.count("*").alias("rows"))
     groups = materialize(rows.groupBy("g").agg(*sums))
-    total = groups.agg(*(F.sum(d).alias(d) for d in DIMS)).first()
+    total = groups.agg(F.count("*").alias("n"), *(F.sum(d).alias(d) for d in DIMS)).first()
+    parts_n = max(1, -(-total["n"] // GROUPS))
     limit = {d: max((total[d] or 0) / (shards * PIECES_PER_SHARD), 1) for d in DIMS}
     parts = F.greatest(*(F.ceil(F.col(d) / F.lit(limit[d])) for d in DIMS)).cast("int")
     # At most 3 * shards * PIECES_PER_SHARD groups pass a limit: safe to broadcast.
@@ -61,7 +62,7 @@ def assign_shards(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     pieces = (groups.select("g", *DIMS, parts.alias("n"))
               .select("g", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("piece"),
                       *((F.col(d) / F.col("n")).alias(d) for d in DIMS))
-              .withColumn("part", F.pmod(F.xxhash64("g", "piece"), F.lit(tasks)).cast("int")))
+              .withColumn("part", F.pmod(F.xxhash64("g", "piece"), F.lit(parts_n)).cast("int")))
 
     def bundles(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["g", "piece"]).reset_index(drop=True)
@@ -70,7 +71,7 @@ def assign_shards(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     placed = materialize(pieces.groupBy("part").applyInPandas(
         bundles, "g binary, piece int, bytes double, tokens double, rows double, part int, bundle int"))
     loads = (placed.groupBy("part", "bundle").agg(*(F.sum(d).alias(d) for d in DIMS))
-             .orderBy("part", "bundle").collect())   # tasks * shards rows
+             .orderBy("part", "bundle").collect())   # parts_n * shards rows
     shard = place(np.array([[r[d] for d in DIMS] for r in loads]).reshape(-1, 3), shards)
     plan = spark.createDataFrame([(r["part"], r["bundle"], int(s)) for r, s in zip(loads, shard)],
                                  "part int, bundle int, shard int")
