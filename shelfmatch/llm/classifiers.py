@@ -28,9 +28,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from shelfmatch.llm import textcols as T
 
-TOXIC_ROWS, QUALITY_ROWS, FIT_CHARS = 20_000, 6_000, 40_000
+TOXIC_ROWS, QUALITY_ROWS, FIT_CHARS = 5_000, 5_000, 20_000
 BUCKETS = 1 << 20
-MIN_TEXTS = 3
+MIN_TEXTS, MIN_SHARE = 3, 0.001
 GRAM_BUCKETS, DIM = 1 << 18, 8
 
 # Identity terms swapped for one another, per language.
@@ -55,10 +55,10 @@ def counterfactual(text: str, shift: int) -> str:
 
 # ---------------------------------------------------------------- features
 def toxic_features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(text, feature) pairs, distinct: words and their first 4, 5 and 6 bytes, A-Z lower-cased."""
+    """(text, feature) pairs, distinct: words and their first 4 and 5 bytes, A-Z lower-cased."""
     w = T.split_words(texts, lower=True)
     doc, keys = [], []
-    for seed, cut in ((11, None), (12, 4), (13, 5), (14, 6)):
+    for seed, cut in ((11, None), (12, 4), (13, 5)):
         long_enough = slice(None) if cut is None else (w.end - w.start >= cut)
         s = w.start[long_enough]
         e = w.end[long_enough] if cut is None else s + cut
@@ -90,7 +90,7 @@ def quality_features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 # ---------------------------------------------------------------- fitting
 def fit_toxic(texts: list[str], labels: np.ndarray, swaps: int = 1, strength: float = 1.0,
-              l1: float = 3e-5, steps: int = 300, rate: float = 0.2) -> tuple[np.ndarray, float]:
+              l1: float = 8e-4, steps: int = 80, rate: float = 0.4) -> tuple[np.ndarray, float]:
     """Weights and bias: log loss + strength * (score change under swaps)^2 + L1."""
     share = (labels.sum() + 0.5) / (len(labels) + 1)
     weights, bias = np.zeros(BUCKETS), float(np.log(share / (1 - share)))
@@ -101,8 +101,8 @@ def fit_toxic(texts: list[str], labels: np.ndarray, swaps: int = 1, strength: fl
     twins = [counterfactual(texts[i], 1 + s) for s in range(swaps) for i in named]
     origin = np.array(named * swaps, dtype=np.int64)
     tdoc, tkey = _features_of(twins, toxic_features)
-    # A feature of fewer than MIN_TEXTS labelled texts is not learnt from.
-    common = np.bincount(key, minlength=BUCKETS) >= MIN_TEXTS
+    # A feature of fewer labelled texts than MIN_TEXTS or MIN_SHARE of them is not learnt from.
+    common = np.bincount(key, minlength=BUCKETS) >= max(MIN_TEXTS, MIN_SHARE * len(texts))
     doc, key, tdoc, tkey = doc[common[key]], key[common[key]], tdoc[common[tkey]], tkey[common[tkey]]
     used, key = np.unique(np.concatenate([key, tkey]), return_inverse=True)
     key, tkey = key[:len(doc)], key[len(doc):]

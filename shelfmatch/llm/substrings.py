@@ -44,24 +44,26 @@ def parse(name: np.ndarray, first: np.ndarray, rounds: int = ROUNDS) -> tuple[np
         opens = np.r_[True, (name[1:] != name[:-1]) | (doc[1:] != doc[:-1])]
         at = np.flatnonzero(opens)
         last = np.r_[at[1:], len(name)] - 1
-        before = np.where((at > 0) & (doc[at - 1] == doc[at]), lo[at - 1], -FAR)
-        nxt = np.minimum(last + 1, len(name) - 1)
-        after = np.where((last + 1 < len(name)) & (doc[nxt] == doc[last]), hi[nxt], FAR)
+        prev, nxt = np.maximum(at - 1, 0), np.minimum(last + 1, len(name) - 1)
+        has_prev = (at > 0) & (doc[prev] == doc[at])
+        has_next = (last + 1 < len(name)) & (doc[nxt] == doc[last])
+        new_lo = np.minimum(np.where(has_prev, np.minimum(lo[prev], lo[at]), -FAR), np.where(has_next, lo[nxt], FAR))
+        new_hi = np.maximum(np.where(has_next, np.maximum(hi[nxt], hi[last]), FAR), np.where(has_prev, hi[prev], -FAR))
         length = (last - at + 1).astype(np.uint64)
         name = np.where(length > 1, T.mix(name[at] ^ T.mix(length, 100 + r), 200 + r), name[at])
-        lo, hi, doc = np.minimum(lo[at], before), np.maximum(hi[last], after), doc[at]
+        lo, hi, doc = new_lo, new_hi, doc[at]
         # Pairs: left-side symbol followed by a right-side one.
         right = (T.mix(name, 300 + r) >> T.U64(33)) & T.U64(1) == 1
         same = np.r_[doc[1:] == doc[:-1], False]
         joins = ~right & np.r_[right[1:], False] & same
         joined = np.r_[False, joins[:-1]]
-        nxt_hi = np.where(same, np.r_[hi[1:], FAR], FAR)
-        prev_same = np.r_[False, same[:-1]]
-        prev_lo = np.where(prev_same, np.r_[-FAR, lo[:-1]], -FAR)
+        # A left-side symbol asks the next symbol, a right-side one the symbol before.
+        next_lo, next_hi = np.where(same, np.r_[lo[1:], FAR], FAR), np.where(same, np.r_[hi[1:], FAR], FAR)
+        after = np.r_[False, same[:-1]]
+        prev_lo, prev_hi = np.where(after, np.r_[-FAR, lo[:-1]], -FAR), np.where(after, np.r_[-FAR, hi[:-1]], -FAR)
         pair = T.mix(T.mix(name, 400 + r) + np.r_[name[1:], name[:1]], 500 + r)
-        pair_lo = np.where(same, np.minimum(lo, np.r_[lo[1:], FAR]), lo)
-        new_lo = np.where(joins, pair_lo, np.where(right, np.minimum(lo, prev_lo), lo))
-        new_hi = np.where(right, hi, np.maximum(hi, nxt_hi))
+        new_lo = np.minimum(lo, np.where(right, prev_lo, next_lo))
+        new_hi = np.maximum(hi, np.where(right, prev_hi, next_hi))
         keep = ~joined
         name, lo, hi, doc = np.where(joins, pair, name)[keep], new_lo[keep], new_hi[keep], doc[keep]
     return lo, hi
