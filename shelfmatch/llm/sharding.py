@@ -58,10 +58,8 @@ def assign_shards(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     hot = groups.select("g", parts.alias("n")).where("n > 1")
     piece = F.when(F.col("n").isNull(), 0).otherwise(F.pmod(F.xxhash64("doc_id"), F.col("n"))).cast("int")
     rows = rows.join(F.broadcast(hot), "g", "left").select("doc_id", "size", "text_crc32", "g", "tokens", piece.alias("piece"))
-    # Hot pieces weigh about group / n each, so bundles can be planned from the group sums.
-    pieces = (groups.select("g", *DIMS, parts.alias("n"))
-              .select("g", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("piece"),
-                      *((F.col(d) / F.col("n")).alias(d) for d in DIMS))
+    pieces = (rows.groupBy("g", "piece").agg(*(F.sum(c).cast("double").alias(d) for c, d in (
+                  ("size", "bytes"), ("tokens", "tokens"), (F.lit(1), "rows"))))
               .withColumn("part", F.pmod(F.xxhash64("g", "piece"), F.lit(parts_n)).cast("int")))
 
     def bundles(pdf: pd.DataFrame) -> pd.DataFrame:

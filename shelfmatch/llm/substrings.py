@@ -31,6 +31,8 @@ from shelfmatch.llm import textcols as T
 
 WINDOW, ROUNDS = 20, 3
 FAR = 1 << 40
+#: Inner columns beside the input's own.
+MARKS, FIRSTS = "__window_marks", "__window_firsts"
 
 
 def parse(name: np.ndarray, first: np.ndarray, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
@@ -123,12 +125,12 @@ def open_windows(marked: DataFrame, window: int) -> DataFrame:
     def run(batches):
         for b in T.small_batches(batches):
             w = T.split_words(b.column("text"))
-            doc, at, h1, h2, open_, later = window_state(w, b.column("marks").to_pylist(), window)
+            doc, at, h1, h2, open_, later = window_state(w, b.column(MARKS).to_pylist(), window)
             take = open_ & ~later
             yield pa.RecordBatch.from_arrays(
                 [pa.array(h1[take].view(np.int64)), pa.array(h2[take].view(np.int64)), pa.array(_ids(b)[doc[take]], pa.int64()),
                  pa.array((at - w.first[doc])[take], pa.int32())], ["h1", "h2", "doc_id", "start"])
-    return marked.select("doc_id", "text", "marks").mapInArrow(run, "h1 long, h2 long, doc_id long, start int")
+    return marked.select("doc_id", "text", MARKS).mapInArrow(run, "h1 long, h2 long, doc_id long, start int")
 
 
 def covered(w: T.Words, marks: list, firsts: list, window: int) -> np.ndarray:
@@ -151,10 +153,10 @@ def judged(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     slim = keyed.select("doc_id", "text")
     once = (symbols(slim, window).groupBy("name")
             .agg(F.count("*").alias("n"), F.first("doc_id").alias("doc_id"), F.first("at").alias("at")).where("n = 1"))
-    marks = once.groupBy("doc_id").agg(F.collect_list("at").alias("marks"))
+    marks = once.groupBy("doc_id").agg(F.collect_list("at").alias(MARKS))
     marked = slim.join(marks, "doc_id", "left")
     firsts = (open_windows(marked, window).groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "start")).alias("f"))
-              .groupBy(F.col("f.doc_id").alias("doc_id")).agg(F.collect_list("f.start").alias("firsts")))
+              .groupBy(F.col("f.doc_id").alias("doc_id")).agg(F.collect_list("f.start").alias(FIRSTS)))
     return keyed.join(marks, "doc_id", "left").join(firsts, "doc_id", "left")
 
 
@@ -175,7 +177,7 @@ def report(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     def run(batches):
         for b in T.small_batches(batches):
             w = T.split_words(b.column("text"))
-            gone = covered(w, b.column("marks").to_pylist(), b.column("firsts").to_pylist(), window)
+            gone = covered(w, b.column(MARKS).to_pylist(), b.column(FIRSTS).to_pylist(), window)
             sha = [hashlib.sha256(t.encode()).hexdigest() for t in _kept_texts(w, gone)]
             yield pa.RecordBatch.from_arrays(
                 [_real_id(_ids(b)), pa.array(np.diff(w.first), pa.int64()), pa.array(T.per_doc(gone, w.first), pa.int64()),
@@ -192,7 +194,7 @@ def deduplicated(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     def run(batches):
         for b in T.small_batches(batches):
             w = T.split_words(b.column("text"))
-            gone = covered(w, b.column("marks").to_pylist(), b.column("firsts").to_pylist(), window)
+            gone = covered(w, b.column(MARKS).to_pylist(), b.column(FIRSTS).to_pylist(), window)
             lost, had = T.per_doc(gone, w.first), np.diff(w.first)
             old = b.column("text").to_pylist()
             new = [t if n else o for t, n, o in zip(_kept_texts(w, gone), lost, old)]
@@ -203,7 +205,7 @@ def deduplicated(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             out = pa.RecordBatch.from_arrays([cols.get(n, b.column(n)) for n in schema.names], schema.names)
             yield out.filter(pa.array(~((lost == had) & (had > 0))))
 
-    return judged(docs, window).select(*docs.columns, "marks", "firsts").mapInArrow(run, schema)
+    return judged(docs, window).select(*docs.columns, MARKS, FIRSTS).mapInArrow(run, schema)
 
 
 def op1_substring_dedup(spark, sf_dir):
