@@ -31,8 +31,11 @@ def sell_and_presentation(rp: DataFrame, mp: DataFrame, country: str = "COUNTRY"
     """
     r, m = rp.alias("rp"), mp.alias("mp")
     live = ((F.col("rp.STATUS") == "published") & (F.col("mp.STATUS") == "published")
-            & (F.col("rp._FIVETRAN_DELETED") == F.lit(False)) & (F.col("mp._FIVETRAN_DELETED") == F.lit(False)))
-    j = r.join(m, F.col("mp.ID") == F.col("rp.PRODUCT_ID"), "left").where(live)
+            & (F.col("rp.IS_DELETED") == F.lit(False)) & (F.col("mp.IS_DELETED") == F.lit(False)))
+    same = F.col("mp.ID") == F.col("rp.PRODUCT_ID")
+    if country in rp.columns:  # ids are only unique within a country
+        same = same & (F.col(f"rp.{country}") == F.col(f"mp.{country}"))
+    j = r.join(m, same, "left").where(live)
     st, pr = (F.col("rp.SELL_TYPE"), F.col("mp.SELL_TYPE")), (F.col("rp.PRESENTATION"), F.col("mp.PRESENTATION"))
     return j.select(
         F.col(f"mp.{country}").alias("COUNTRY"), F.col("rp.SKU").alias("SKU"),
@@ -190,9 +193,17 @@ class CatalogFrames(NamedTuple):
 
 
 def extract_catalog(base: DataFrame, fill: DataFrame, defects: DataFrame, feed: DataFrame,
-                    sot_ids: DataFrame, sot_on: Sequence[str] = ("MASTER_PRODUCT_ID",)) -> CatalogFrames:
-    """PIP-1..3 composed: assemble, enrich, roll up and split by the SOT."""
+                    sot_ids: DataFrame, sot_on: Sequence[str] = ("MASTER_PRODUCT_ID",),
+                    uniform_only: bool = False) -> CatalogFrames:
+    """PIP-1..3 composed: assemble, enrich, roll up and split by the SOT.
+
+    ``uniform_only`` holds back every country in which curated MPs disagree on a
+    roll-up key (PIP-6): none of its rows goes on.
+    """
     rps = materialize(enrich_retailer_products(assemble_catalog(base, fill, defects, feed, sot_ids, sot_on)))
+    if uniform_only:
+        bad = uniformity(rps.where("IN_SOT")).select("COUNTRY").distinct()
+        rps = materialize(rps.join(bad, "COUNTRY", "left_anti"))
     # The roll-up feeds the SOT split, the opportunity split, the GMV total
     # and the export: compute it (and its medians) once.
     mps = materialize(rollup_products(rps))

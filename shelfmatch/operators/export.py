@@ -46,11 +46,12 @@ def sot_infos(ids: DataFrame, products: DataFrame, rps: DataFrame, sot_mps: Data
     gives the same rows but shuffles the fan-out.
     """
     keys = list(keys)
-    info = lookup_by_ids(products.select(*PRODUCT_INFO_COLUMNS), ids.select("MASTER_PRODUCT_ID"),
-                         "MASTER_PRODUCT_ID").distinct()
+    # Ids are only unique within a country: products that name theirs are joined on it.
+    on = [*[k for k in keys if k in products.columns and k in ids.columns], "MASTER_PRODUCT_ID"]
+    info = lookup_by_ids(products.select(*on[:-1], *PRODUCT_INFO_COLUMNS), ids, on).distinct()
     photos = rps.select(*keys, "MASTER_PRODUCT_ID", "MP_PHOTO_URL").distinct()
     prices = sot_mps.select(*keys, "MEDIAN_PRICE", "MASTER_PRODUCT_ID", "TRADEMARK").distinct()
-    j = info.join(photos, on="MASTER_PRODUCT_ID").join(prices, on=[*keys, "MASTER_PRODUCT_ID"])
+    j = info.join(photos, on=on).join(prices, on=[*keys, "MASTER_PRODUCT_ID"])
     return j.select(*keys, *[F.col(c).alias(f"{c}_SOT") for c in j.columns if c not in keys]).distinct()
 
 
@@ -63,7 +64,7 @@ def enrich_export(prioritised: DataFrame, opp_rps: DataFrame, products: DataFram
     value with NULL shown as ``None``.
     """
     keys = list(keys)
-    ids = prioritised.select(F.col("master_product_id_sot").alias("MASTER_PRODUCT_ID")).distinct()
+    ids = prioritised.select(*keys, F.col("master_product_id_sot").alias("MASTER_PRODUCT_ID")).distinct()
     infos = sot_infos(ids, products, all_rps, sot_mps, keys)
     pr = prioritised.select(*keys, "master_cp", "master_sot", "master_product_id", "master_product_id_sot",
                             "price_similarity", "similarity", "config_similarity", "final_weighted_confidence")

@@ -23,6 +23,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfmatch.session import materialize
+
 
 def exact_median(df: DataFrame, keys: Sequence[str], value: str, out: str | None = None) -> DataFrame:
     """``(keys..., out)`` with the exact median of ``value`` per group."""
@@ -34,13 +36,15 @@ def exact_median(df: DataFrame, keys: Sequence[str], value: str, out: str | None
     ranged = vc.repartitionByRange(n, *[F.col(k) for k in keys], F.col("_v")) \
         .withColumn("_pid", F.spark_partition_id())
     local = Window.partitionBy("_pid", *keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    ranged = ranged.withColumn("_cum", F.sum("_c").over(local))
-    # Still clustered by (_pid, keys) after the window: no new exchange here.
+    # Both uses below must see the same range bounds, so the ranges are made once.
+    ranged = materialize(ranged.withColumn("_cum", F.sum("_c").over(local)))
     chunks = ranged.groupBy("_pid", *keys).agg(F.max("_cum").alias("_chunk"))
     before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     chunks = (chunks.withColumn("_off", F.coalesce(F.sum("_chunk").over(before), F.lit(0)))
               .withColumn("_n", F.sum("_chunk").over(Window.partitionBy(*keys))))
-    j = ranged.join(chunks, on=[*keys, "_pid"])
+    chunks = chunks.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_pid").alias("_k_pid"), "_off", "_n")
+    same = [F.col("_pid") == F.col("_k_pid"), *[F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]]
+    j = ranged.join(chunks, on=same)
     end = F.col("_off") + F.col("_cum")            # exclusive end rank of this value
     start = end - F.col("_c")
     lo, hi = F.floor((F.col("_n") - 1) / 2), F.floor(F.col("_n") / 2)

@@ -70,7 +70,7 @@ def fill_rate(order_lines: DataFrame, as_of, weeks: int = 12,
 
 def defect_rate(order_products: DataFrame, tickets: DataFrame, as_of, days: int = 30,
                 reasons: Sequence[str] = DEFECT_REASONS,
-                join_keys: Sequence[str] = ("COUNTRY", "ORDER_ID", "KUSTOMER_CONVERSATION_ID"),
+                join_keys: Sequence[str] = ("COUNTRY", "ORDER_ID", "CONVERSATION_ID"),
                 group_keys: Sequence[str] = ("COUNTRY", "PID"), reason_col: str = "LEVEL_2") -> DataFrame:
     """AGG-4 / JN-1: requested and defective counts, DR rounded to 4 places, DR > 0.
 

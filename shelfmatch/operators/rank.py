@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
+from shelfmatch.session import materialize
+
 RANK_DIGITS = 10
 
 
@@ -64,28 +66,51 @@ def share_of_total(df: DataFrame, value: str, out: str, partition: Sequence[str]
             .withColumn(out, F.try_divide(F.col(value) * 100.0, F.col("_total"))).drop("_total"))
 
 
+def running_total(df: DataFrame, order: Sequence[Column], amount: str, out: str,
+                  partition: Sequence[str]) -> DataFrame:
+    """WIN-3: running sum of ``amount`` per partition key, in ``order``.
+
+    Rows are range-partitioned on (key, order), so a key holding a third of all
+    rows spans many tasks; sums run inside each range and are shifted by the
+    totals of the key's earlier ranges. The ranges are materialised because
+    both steps must see the same bounds. NULL amounts add nothing.
+    """
+    parts = list(partition)
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(n, *[F.col(p) for p in parts], *order).withColumn("_pid", F.spark_partition_id())
+    local = Window.partitionBy("_pid", *parts).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranged = materialize(ranged.withColumn("_cum", F.coalesce(F.sum(amount).over(local), F.lit(0))))
+    keys = [F.col(p).alias(f"_k_{p}") for p in parts]
+    chunks = ranged.groupBy(*parts, "_pid").agg(F.coalesce(F.sum(amount), F.lit(0)).alias("_sum"))
+    before = Window.partitionBy(*parts).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    chunks = chunks.select(*keys, F.col("_pid").alias("_k_pid"), F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_off"))
+    same = [F.col("_pid") == F.col("_k_pid"), *[F.col(p).eqNullSafe(F.col(f"_k_{p}")) for p in parts]]
+    return (ranged.join(chunks, on=same).withColumn(out, F.col("_off") + F.col("_cum"))
+            .select(*df.columns, out))
+
+
 def budget_prefix(df: DataFrame, rank_by: str, amount: str, budget: float, tie: str | Sequence[str],
-                  partition: Sequence[str] = ("COUNTRY",), running: str = "cumulative_retailers",
-                  amount_at_least_one: bool = False) -> DataFrame:
+                  partition: Sequence[str] = ("COUNTRY",), running: str = "cumulative_retailers") -> DataFrame:
     """WIN-3/WIN-4: rows in ``rank_by`` descending order (nulls last) while the
     running total of ``amount`` stays within ``budget``, plus the row that
-    crosses it. One predicate does both: ``running - amount <= budget``.
-
-    R3: when every amount is >= 1 at most ``budget + 1`` rows can qualify,
-    so a ``row_number`` limit is applied first; Spark turns it into a
-    partial ``WindowGroupLimit`` that prunes in every task before the
-    shuffle, and the running sum then sees at most ``budget + 1`` rows per
-    partition key. The window is always partitioned (never a single
-    partition).
+    crosses it. One predicate does both: ``running - amount <= budget``. Rows
+    with a NULL amount are not kept and use up nothing.
+
+    R3: only where one aggregate proves that every amount is at least 1 can no
+    more than ``budget + 1`` rows qualify; then a ``row_number`` limit (a partial
+    ``WindowGroupLimit`` in every task) leaves the window that many rows.
+    Otherwise the running total is made over range partitions.
     """
     parts = list(partition)
     order = [F.col(rank_by).desc_nulls_last(), *[F.col(t).asc() for t in _keys(tie)]]
-    w = Window.partitionBy(*parts).orderBy(*order)
-    out = df
-    if amount_at_least_one:
-        out = out.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= int(budget) + 1).drop("_rn")
-    run_w = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = out.withColumn(running, F.sum(amount).over(run_w))
+    df = materialize(df)
+    proof = df.agg(F.min(amount).alias("low"), F.count_if(F.col(amount).isNull()).alias("nulls")).first()
+    if proof["low"] is not None and proof["low"] >= 1 and not proof["nulls"]:
+        w = Window.partitionBy(*parts).orderBy(*order)
+        out = df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= int(budget) + 1).drop("_rn")
+        out = out.withColumn(running, F.sum(amount).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    else:
+        out = running_total(df, order, amount, running, parts)
     return out.where(F.col(running) - F.col(amount) <= F.lit(budget))
 
 
@@ -113,8 +138,6 @@ def prioritise(matches: DataFrame, rollup: DataFrame, budget: float = 500,
     j = matches.join(r, on=cond, how="left").drop("_r_mp", *[f"_r_{p}" for p in parts])
     j = share_of_total(j, "GMV_T", "gmv_coverage", parts, total=rollup)
     j = j.withColumn("_rank_by", F.round("gmv_coverage", RANK_DIGITS))
-    # Every matched MP comes from the roll-up and has >= 1 retailer product,
-    # so the R3 row limit is exact here.
     out = budget_prefix(j, rank_by="_rank_by", amount="N_ASSOCIATED_RETAILERS", budget=budget,
-                        tie=list(tie), partition=parts, amount_at_least_one=True)
+                        tie=list(tie), partition=parts)
     return out.drop("_rank_by")

@@ -130,7 +130,7 @@ def budget_prefix(spark: SparkSession, sf: str) -> DataFrame:
     g = R.share_of_total(g, "GMV_T", "gmv_coverage", ["COUNTRY"])
     g = g.withColumn("_rank_by", F.round("gmv_coverage", 10))
     out = R.budget_prefix(g, rank_by="_rank_by", amount="N_ASSOCIATED_RETAILERS", budget=BUDGET,
-                          tie="MASTER_PRODUCT_ID", partition=["COUNTRY"], amount_at_least_one=True)
+                          tie="MASTER_PRODUCT_ID", partition=["COUNTRY"])
     return out.select("COUNTRY", "MASTER_PRODUCT_ID", F.round("GMV_T", 6).alias("GMV_T"), "N_ASSOCIATED_RETAILERS",
                       F.round("gmv_coverage", 8).alias("gmv_coverage"),
                       F.col("cumulative_retailers").cast("bigint").alias("cumulative_retailers"))

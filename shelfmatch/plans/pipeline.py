@@ -38,9 +38,10 @@ class Params:
     defect_days: int = 30
     feed_days: int = 15
     reasons: tuple = M.DEFECT_REASONS
-    defect_join_keys: tuple = ("COUNTRY", "ORDER_ID", "KUSTOMER_CONVERSATION_ID")
+    defect_join_keys: tuple = ("COUNTRY", "ORDER_ID", "CONVERSATION_ID")
     strict_compat: bool = False
     push_floor_below_topk: bool = True
+    hold_back_disagreeing: bool = False
 
 
 class Tables(NamedTuple):
@@ -68,7 +69,9 @@ def run(t: Tables, p: Params) -> Result:
     defects = M.defect_rate(t.order_products, t.tickets, p.as_of, p.defect_days, p.reasons,
                             join_keys=p.defect_join_keys)
     feed = M.feed_snapshot(t.feed, p.as_of, p.feed_days)
-    cat = C.extract_catalog(t.catalog_base, fill, defects, feed, t.sot_ids)
+    sot_on = [*(["COUNTRY"] if "COUNTRY" in t.sot_ids.columns else []), "MASTER_PRODUCT_ID"]
+    cat = C.extract_catalog(t.catalog_base, fill, defects, feed, t.sot_ids, sot_on,
+                            uniform_only=p.hold_back_disagreeing)
     scored = matching.score_matches(
         cat.opportunity_mps, cat.sot_mps, keys=("COUNTRY",), row_cols=C.ROLLUP_KEYS, k=p.k,
         weights=p.weights, min_similarity=p.floor if p.push_floor_below_topk else None,
@@ -84,14 +87,17 @@ def run(t: Tables, p: Params) -> Result:
     return Result(cat, scored, best, prio, sheet, log)
 
 
-def pipeline(t: Tables, p: Params, sheet_path: str | None = None, log_path: str | None = None) -> Result:
+def pipeline(t: Tables, p: Params, sheet_path: str | None = None, log_path: str | None = None,
+             run_id: str | None = None) -> Result:
     """Run the job and, when paths are given, write its outputs (SNK-1..3):
-    the sheet replaces only the countries present, the log is appended."""
+    the sheet replaces every country of the catalog, the log is appended
+    (once per ``run_id``, where given)."""
     r = run(t, p)
     if sheet_path:
-        sinks.replace_partition(r.sheet, sheet_path)
+        countries = [c[0] for c in t.catalog_base.select("COUNTRY").distinct().collect()]
+        sinks.replace_partition(r.sheet, sheet_path, processed=countries)
     if log_path:
-        sinks.append_log(r.log, log_path)
+        sinks.append_log(r.log, log_path, run_id)
     return r
 
 

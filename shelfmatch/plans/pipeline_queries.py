@@ -139,11 +139,10 @@ pj AS (SELECT b.COUNTRY, b.master_products AS master_cp, b.integration AS master
 tot AS (SELECT COUNTRY, sum(GMV_T) AS total FROM mps GROUP BY 1),
 pc AS (SELECT pj.*, CASE WHEN tot.total = 0 THEN NULL ELSE pj.GMV_T * 100.0 / tot.total END AS gmv_coverage
        FROM pj LEFT JOIN tot ON tot.COUNTRY = pj.COUNTRY),
-pr AS (SELECT *, row_number() OVER w AS rn,
-              sum(N_ASSOCIATED_RETAILERS) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cumulative_retailers
+pr AS (SELECT *, sum(N_ASSOCIATED_RETAILERS) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cumulative_retailers
        FROM pc WINDOW w AS (PARTITION BY COUNTRY ORDER BY round(gmv_coverage, 10) DESC NULLS LAST, master_product_id,
                             master_product_id_sot, NAME, CAT1_NAME, CAT2_NAME, CAT3_NAME, MAKER, TRADEMARK)),
-prio AS (SELECT * FROM pr WHERE rn <= 501 AND cumulative_retailers - N_ASSOCIATED_RETAILERS <= 500)"""
+prio AS (SELECT * FROM pr WHERE cumulative_retailers - N_ASSOCIATED_RETAILERS <= 500)"""
 
 _PRIO_SQL = _PRIO_BASE + """
 SELECT COUNTRY, master_cp, master_sot, master_product_id, master_product_id_sot,

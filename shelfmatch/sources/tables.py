@@ -54,7 +54,7 @@ def country_union(spark: SparkSession, template: str, countries: Iterable[str],
     return out
 
 
-def curated_ids(sot: DataFrame, id_col: str = "MASTER_PRODUCT", deleted_col: str | None = "_FIVETRAN_DELETED",
+def curated_ids(sot: DataFrame, id_col: str = "MASTER_PRODUCT", deleted_col: str | None = "IS_DELETED",
                 keys: tuple[str, ...] = ("COUNTRY",)) -> DataFrame:
     """SRC-5: distinct curated ids (not deleted), one row per (country, id).
 

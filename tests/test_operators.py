@@ -39,10 +39,10 @@ def test_fill_rate_overlap_and_zero_total(spark):
 
 def test_defect_rate_fanout_and_rounding(spark):
     op = spark.createDataFrame([("BR", 1, 100, "c1", TS)] + [("BR", 2, 200 + i, "c", TS) for i in range(30000)],
-                               "COUNTRY string, PID long, ORDER_ID long, KUSTOMER_CONVERSATION_ID string, DT_REF timestamp")
+                               "COUNTRY string, PID long, ORDER_ID long, CONVERSATION_ID string, DT_REF timestamp")
     tk = spark.createDataFrame([("BR", 100, "c1", "Missing product"), ("BR", 100, "c1", "Double charged"),
                                 ("BR", 100, "c1", "Other"), ("BR", 200, "c", "Missing product")],
-                               "COUNTRY string, ORDER_ID long, KUSTOMER_CONVERSATION_ID string, LEVEL_2 string")
+                               "COUNTRY string, ORDER_ID long, CONVERSATION_ID string, LEVEL_2 string")
     got = {r.PID: r for r in M.defect_rate(op, tk, AS_OF).collect()}
     assert set(got) == {1}                         # 1 defect in 30,000 rounds to 0.0000 and is dropped
     assert (got[1].QTY_REQUESTED, got[1].QTY_DEFECTIVE, got[1].PRODUCT_DR) == (2, 2, 1.0)
@@ -70,11 +70,11 @@ def test_sell_and_presentation_one_scan(spark):
                                 (2, 11, "s2", None, None, "published", False),
                                 (3, 10, "s3", None, None, "draft", False)],
                                "ID long, PRODUCT_ID long, SKU string, SELL_TYPE string, PRESENTATION string, "
-                               "STATUS string, _FIVETRAN_DELETED boolean")
+                               "STATUS string, IS_DELETED boolean")
     mp = spark.createDataFrame([(10, "BR", '{"type": "W", "stepQuantity": 0.5}', '{"unitType": "kg"}', "published", False),
                                 (11, "BR", '{"type": "W"}', '{"quantity": 9}', "published", False)],
                                "ID long, COUNTRY string, SELL_TYPE string, PRESENTATION string, STATUS string, "
-                               "_FIVETRAN_DELETED boolean")
+                               "IS_DELETED boolean")
     got = {r.PRODUCT_ID: r for r in C.sell_and_presentation(rp, mp).collect()}
     assert set(got) == {1, 2}
     assert (got[1].SELL_TYPE, got[1].STEP_QUANT, got[1].QUANTITY_RP, got[1].UNITY_P) == ("U", 0.5, 2.0, "kg")
@@ -141,15 +141,33 @@ def test_budget_prefix_example(spark):
 
 
 @settings(max_examples=15, deadline=None)
-@given(st.lists(st.integers(min_value=1, max_value=60), min_size=1, max_size=40),
+@given(st.lists(st.integers(min_value=0, max_value=60), min_size=1, max_size=40),
        st.integers(min_value=0, max_value=300))
 def test_budget_prefix_equals_procedural_rule(spark, amounts, budget):
     df = spark.createDataFrame([("BR", i, float(len(amounts) - i), a) for i, a in enumerate(amounts)],
                                "COUNTRY string, id long, cov double, n long")
-    for limit in (False, True):
-        got = sorted(r.id for r in R.budget_prefix(df, "cov", "n", budget, "id",
-                                                   amount_at_least_one=limit).collect())
-        assert got == _procedural_prefix(amounts, budget)
+    got = sorted(r.id for r in R.budget_prefix(df, "cov", "n", budget, "id").collect())
+    assert got == _procedural_prefix(amounts, budget)
+
+
+def test_budget_prefix_keeps_zero_amounts_and_leaves_out_nulls(spark):
+    rows = [("BR", i, 100.0 - i, 0) for i in range(20)] + [(None, 1, 5.0, 9), (None, 2, 4.0, 9)]
+    df = spark.createDataFrame(rows + [("CO", 1, 9.0, None), ("CO", 2, 8.0, 3), ("CO", 3, 7.0, 3), ("CO", 4, 6.0, 1)],
+                               "COUNTRY string, id long, cov double, n long")
+    got = sorted((r.COUNTRY or "", r.id) for r in R.budget_prefix(df, "cov", "n", 5, "id").collect())
+    assert got == [("", 1)] + [("BR", i) for i in range(20)] + [("CO", 2), ("CO", 3)]
+
+
+def test_medians_without_exchange_reuse_and_with_null_keys(spark):
+    from shelfmatch.operators.median import exact_median
+    df = spark.range(2_000_000).select(F.when(F.col("id") % 3 > 0, F.col("id") % 5).alias("g"),
+                                       (F.xxhash64("id") % 100_003).alias("v"))
+    want = {r.g: r.m for r in df.groupBy("g").agg(F.median("v").alias("m")).collect()}
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        assert {r.g: r.v for r in exact_median(df, ["g"], "v").collect()} == want and None in want
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
 
 
 def test_best_per_key_tie_goes_to_lower_id(spark):
@@ -227,6 +245,8 @@ def test_replace_partition_keeps_other_countries(spark, tmp_out):
     sinks.replace_partition(spark.createDataFrame([("BR", 9)], "COUNTRY string, v long"), path)
     got = sorted((r.COUNTRY, r.v) for r in spark.read.parquet(path).collect())
     assert got == [("BR", 9), ("CO", 2)]
+    sinks.replace_partition(spark.createDataFrame([("BR", 7)], "COUNTRY string, v long"), path, processed=["BR", "CO"])
+    assert [(r.COUNTRY, r.v) for r in spark.read.parquet(path).collect()] == [("BR", 7)]
 
 
 def test_decimals_as_text(spark):
@@ -258,7 +278,7 @@ def test_country_union_and_curated_ids(spark):
     u = country_union(spark, "{country}_rp", ["br", "co"])
     assert sorted((r.COUNTRY, r.ID) for r in u.collect()) == [("br", 1), ("co", 2)]
     sot = spark.createDataFrame([("BR", 5, False), ("BR", 5, False), ("BR", 6, True), ("CO", 5, None)],
-                                "COUNTRY string, MASTER_PRODUCT long, _FIVETRAN_DELETED boolean")
+                                "COUNTRY string, MASTER_PRODUCT long, IS_DELETED boolean")
     # a NULL deleted flag fails "= FALSE" and drops the row, as in SQL
     assert sorted(tuple(r) for r in curated_ids(sot).collect()) == [("BR", 5)]
 
@@ -266,8 +286,9 @@ def test_country_union_and_curated_ids(spark):
 def test_append_log(spark, tmp_out):
     path = os.path.join(tmp_out, "log")
     df = spark.createDataFrame([("BR", 1)], "COUNTRY string, v long")
-    sinks.append_log(df, path)
-    sinks.append_log(df, path)
+    sinks.append_log(df, path, "run-1")
+    sinks.append_log(df, path, "run-1")
+    sinks.append_log(df, path, "run-2")
     assert spark.read.parquet(path).count() == 2
 
 
