@@ -3,11 +3,13 @@
 The model file's protobuf is read field by field and rebuilt as a tokenizer: the
 normaliser (character map, white space), the metaspace marker, the scores (unigram
 scores, or the merge order of a BPE model) and byte fallback. Batches are encoded
-multithreaded. ``encode_documents`` checks parity with the ``sentencepiece`` library
-on every text and that decoding agrees too.
+multithreaded. ``encode`` returns the ids of every text and ``decode`` the text of
+every row of ids; ``encode_documents`` keeps both, derives counts and checksums from
+them and compares them with the ``sentencepiece`` library on every text.
 
-Null and empty texts have no ids. Repeated rows are encoded separately; an empty table
-gives no rows; extra columns are not read.
+Null and empty texts have no ids; no ids and null ids decode to the empty text. Repeated
+rows are encoded separately; an empty table gives no rows; ``encode`` does not read extra
+columns and ``decode`` keeps them.
 """
 
 from __future__ import annotations
@@ -15,16 +17,20 @@ from __future__ import annotations
 import struct
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql.types import StringType, StructField, StructType
 
 from shelfmatch.llm import textcols as T
 
 MARK = "▁"
 NORMAL, UNKNOWN, USER, BYTE = 1, 2, 4, 6
 THREADS = 2
+ROWS = 256   # decoded at a time
 
 
 def fields(buf: bytes) -> Iterator[tuple[int, object]]:
@@ -117,29 +123,77 @@ def build(path: str):
     return tok
 
 
+@lru_cache(maxsize=2)
+def _tokenizer(path: str, threads: int):
+    import os
+    os.environ["TOKENIZERS_PARALLELISM"] = "true"
+    os.environ.setdefault("RAYON_NUM_THREADS", str(threads))
+    return build(path)
+
+
+def _id_lists(col: pa.Array) -> list[np.ndarray]:
+    """The ids of each row of a list column (null: none)."""
+    flat = col.flatten().to_numpy(zero_copy_only=False)
+    return np.split(flat, np.cumsum(pc.fill_null(pc.list_value_length(col), 0).to_numpy(zero_copy_only=False))[:-1])
+
+
+def _encoded(batches, path: str, threads: int) -> Iterator[pa.RecordBatch]:
+    tok = _tokenizer(path, threads)
+    for b in T.small_batches(batches):
+        texts = [t or "" for t in b.column("text").to_pylist()]
+        ids = [np.array(e.ids, dtype=np.int32) for e in tok.encode_batch_fast(texts, add_special_tokens=False)]
+        ends = np.cumsum([0, *map(len, ids)])
+        yield pa.RecordBatch.from_arrays(
+            [b.column("doc_id").cast(pa.int64()), b.column("text").cast(pa.string()),
+             pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(ids)))], ["doc_id", "text", "ids"])
+
+
+def _decoded(batches, path: str, threads: int) -> Iterator[pa.RecordBatch]:
+    tok = _tokenizer(path, threads)
+    for b in batches:
+        for at in range(0, b.num_rows, ROWS):
+            part = b.slice(at, ROWS)
+            back = tok.decode_batch([i.tolist() for i in _id_lists(part.column("ids"))], skip_special_tokens=False)
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(back, pa.string())], [*part.schema.names, "decoded"])
+
+
+def _compared(batches, path: str, threads: int) -> Iterator[pa.RecordBatch]:
+    import sentencepiece
+    check = sentencepiece.SentencePieceProcessor(model_file=path)
+    for b in batches:
+        ids = _id_lists(b.column("ids"))
+        want = check.encode([t or "" for t in b.column("text").to_pylist()], num_threads=threads)
+        want_back = check.decode(want, num_threads=threads)
+        crc = [zlib.crc32(i.astype("<u4").tobytes()) for i in ids]
+        yield pa.RecordBatch.from_arrays(
+            [b.column("doc_id"), pa.array(map(len, ids), pa.int64()), pa.array(crc, pa.int64()),
+             pa.array([i.tolist() == w for i, w in zip(ids, want)]),
+             pa.array([a == w for a, w in zip(b.column("decoded").to_pylist(), want_back)]),
+             b.column("ids"), b.column("decoded")],
+            ["doc_id", "n_tokens", "ids_crc32", "ids_agree", "decoded_agrees", "ids", "decoded"])
+
+
+def encode(docs: DataFrame, path: str, threads: int = THREADS) -> DataFrame:
+    """doc_id, text and the text's ids (array<int>) of every row."""
+    return docs.select("doc_id", "text").mapInArrow(
+        lambda batches: _encoded(batches, path, threads), "doc_id long, text string, ids array<int>")
+
+
+def decode(ids: DataFrame, path: str, threads: int = THREADS) -> DataFrame:
+    """The rows of ``ids`` with the text that their ids (array<int>) stand for, in the column ``decoded``."""
+    rest = ids.drop("decoded")
+    return rest.mapInArrow(lambda batches: _decoded(batches, path, threads),
+                           StructType([*rest.schema.fields, StructField("decoded", StringType())]))
+
+
 def encode_documents(docs: DataFrame, path: str, threads: int = THREADS) -> DataFrame:
-    """doc_id, n_tokens, ids_crc32 and whether ids and decoded text agree with the reference library."""
-    def run(batches):
-        import os
-
-        import sentencepiece
-        os.environ["TOKENIZERS_PARALLELISM"] = "true"
-        os.environ.setdefault("RAYON_NUM_THREADS", str(threads))
-        tok = build(path)
-        check = sentencepiece.SentencePieceProcessor(model_file=path)
-        for b in T.small_batches(batches):
-            texts = [t or "" for t in b.column("text").to_pylist()]
-            ids = [e.ids for e in tok.encode_batch_fast(texts, add_special_tokens=False)]
-            back = tok.decode_batch(ids, skip_special_tokens=False)
-            want = check.encode(texts, num_threads=threads)
-            want_back = check.decode(want, num_threads=threads) if want else []
-            crc = [zlib.crc32(np.array(i, dtype="<u4").tobytes()) for i in ids]
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id").cast(pa.int64()), pa.array(map(len, ids), pa.int64()), pa.array(crc, pa.int64()),
-                 pa.array([a == w for a, w in zip(ids, want)]), pa.array([a == w for a, w in zip(back, want_back)])],
-                ["doc_id", "n_tokens", "ids_crc32", "ids_agree", "decoded_agrees"])
+    """doc_id, the counts, checksum and parity derived from ids and decoded text, and both of these.
+
+    ``encode``, ``decode`` and the comparison in one pass, so a task holds one tokenizer.
+    """
     return docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id long, n_tokens long, ids_crc32 long, ids_agree boolean, decoded_agrees boolean")
+        lambda batches: _compared(_decoded(_encoded(batches, path, threads), path, threads), path, threads),
+        "doc_id long, n_tokens long, ids_crc32 long, ids_agree boolean, decoded_agrees boolean, ids array<int>, decoded string")
 
 
 def op4_sentencepiece(spark, sf_dir):

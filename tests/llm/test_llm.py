@@ -2,6 +2,7 @@
 import hashlib
 import random
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -89,6 +90,29 @@ def test_sentencepiece_parity(spark):
     assert all(r["ids_agree"] and r["decoded_agrees"] for r in got)
 
 
+def test_sentencepiece_returns_ids_and_decodes_them(spark):
+    P, sentencepiece = pytest.importorskip("public_tokenizers"), pytest.importorskip("sentencepiece")
+    path = P.path("piece_bpe_32k.model")
+    want = sentencepiece.SentencePieceProcessor(model_file=path)
+    docs = [(i * 3, t) for i, t in enumerate(texts())] + [(3, "other text"), (3, "other text"), (None, "no id")]
+    order = lambda r: (r[0] is None, r[0] or 0, r[1])
+    ids = sentencepieces.encode(spark.createDataFrame(docs, "doc_id long, text string"), path)
+    assert dict(ids.dtypes)["ids"] == "array<int>"
+    assert sorted(((r["doc_id"], r["ids"]) for r in ids.collect()), key=order) == sorted(((i, want.encode(t or "")) for i, t in docs), key=order)
+    back = sentencepieces.decode(ids.select("ids", "doc_id"), path)
+    assert sorted(((r["doc_id"], r["decoded"]) for r in back.collect()), key=order) == sorted(
+        ((i, want.decode(want.encode(t or ""))) for i, t in docs), key=order)
+    own = spark.createDataFrame([(1, None), (2, []), (3, want.encode("a b"))], "k long, ids array<int>")
+    assert sorted(map(tuple, sentencepieces.decode(own, path).select("k", "decoded").collect())) == [(1, ""), (2, ""), (3, "a b")]
+    empty = spark.createDataFrame([], SCHEMA)
+    assert sentencepieces.decode(sentencepieces.encode(empty, path), path).count() == 0
+    out = sentencepieces.encode_documents(spark.createDataFrame(docs, "doc_id long, text string"), path).collect()
+    assert len(out) == len(docs)
+    for r in out:
+        assert (r["n_tokens"], r["ids_crc32"]) == (len(r["ids"]), zlib.crc32(np.array(r["ids"], dtype="<u4").tobytes()))
+        assert r["decoded"] == want.decode(r["ids"])
+
+
 def test_quality_rules(spark):
     got = {r["doc_id"]: r for r in quality_rules.measure(frame(spark)).collect()}
     for i, t in enumerate(texts()):
