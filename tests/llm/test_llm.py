@@ -194,3 +194,22 @@ def test_null_and_repeated_ids(spark):
     df = spark.createDataFrame([(None, long, "", 1), (5, long, "", 1), (5, long, "", 1)], SCHEMA)
     assert sorted((r[0] or 0, r[2]) for r in substrings.report(df).collect()) == [(0, 0), (5, 40), (5, 40)]
     assert [r["doc_id"] for r in neardup.keep_first(df).collect()] == [None]
+
+
+def test_near_duplicates_by_text_where_ids_repeat_or_are_null(spark):
+    rng = random.Random(9)
+    a, b, c, d, e = ([f"w{rng.randrange(10**6)}" for _ in range(80)] for _ in range(5))
+    near = lambda w, k: " ".join(w[:k] + ["new"] + w[k + 1:])
+    rows = [(5, " ".join(a)), (5, " ".join(b)), (6, near(a, 40)), (7, near(b, 40)), (None, " ".join(c)), (None, " ".join(d)),
+            (8, near(c, 40)), (9, near(d, 40)), (10, " ".join(e)), (10, " ".join(e)), (10, near(e, 40)), (None, None), (None, None), (11, "")]
+    groups = [{0, 2}, {1, 3}, {4, 6}, {5, 7}, {8, 9, 10}, {11}, {12}, {13}]
+    df = spark.createDataFrame([(i, t, "m", k) for k, (i, t) in enumerate(rows)], SCHEMA)
+    kept = [r["id"] for r in neardup.keep_first(df, 4).collect()]
+    assert all(len(g & set(kept)) == 1 for g in groups) and len(kept) == len(groups)
+    assert {0, 1, 4, 5} <= set(kept)                          # the smallest id, null first
+    got = neardup.components(df, 4)
+    names = Counter((r["id"], r["component"]) for r in got.collect())
+    null = neardup.T.NULL_ID
+    assert names == Counter({(5, 5): 2, (6, 5): 1, (7, 5): 1, (null, null): 4, (8, null): 1, (9, null): 1, (10, 10): 3, (11, 11): 1})
+    assert got.where("kept").count() == len(groups)
+    assert neardup.keep_first(df.select("text", "doc_id"), 4).count() == len(groups)
