@@ -4,8 +4,10 @@ Documents are tokenised, cut where longer than a sequence and packed by best-fit
 decreasing inside hash partitions. Dual feasible functions over the lengths give a
 lower bound on each partition's number of sequences. A partition that meets its bound
 is certified and final. One with a gap keeps its fullest sequences and gives up the
-emptiest ones; the documents in those are exchanged into fewer partitions and packed
-again, round by round, until all is certified or one partition is left.
+emptiest ones; the documents in those are exchanged into as many partitions of about
+``GROUP`` pieces as they fill and packed again, round by round, until all is certified, one
+partition is left or a round saves no sequence. What is left then stays as it was packed,
+with its gap to the bounds in the log.
 
 Null texts are empty (the end id alone). Repeated rows are packed separately. An
 empty table gives no rows; extra columns are not read.
@@ -13,6 +15,7 @@ empty table gives no rows; extra columns are not read.
 
 from __future__ import annotations
 
+import logging
 import zlib
 
 import numpy as np
@@ -26,7 +29,7 @@ from shelfmatch.session import materialize
 LENGTH, END_ID = 1024, 2
 GROUP, RELEASE = 50_000, 8
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
-PLACED = PIECE + ", part int, sequence_id long, offset long, final boolean"
+PLACED = PIECE + ", part int, sequence_id long, offset long, final boolean, gap long"
 
 
 def tokenizer_path() -> str:
@@ -119,22 +122,36 @@ def packer(step: int, last: bool, size: int):
         if gap and not last:
             keep[np.argsort(fill, kind="stable")[:max(RELEASE, 4 * gap)]] = False
         seq = (np.int64(step) << np.int64(56)) + (pdf["part"].to_numpy().astype(np.int64) << np.int64(36)) + where
-        return pdf.assign(sequence_id=seq, offset=offset, final=keep[where])
+        return pdf.assign(sequence_id=seq, offset=offset, final=keep[where], gap=gap)
     return repack
 
 
 def pack(pieces: DataFrame, size: int = LENGTH) -> DataFrame:
     """``pieces`` with sequence_id and offset."""
-    left, done, step, tasks = pieces, None, 0, 1 << 20
+    left, done, step, rounds, open_, before = pieces, None, 0, None, None, None
     while True:
-        tasks = max(1, min(-(-left.count() // GROUP), tasks // 2))
+        tasks = max(1, -(-left.count() // GROUP))
+        rounds = rounds or tasks.bit_length()
         salted = left.withColumn("part", F.pmod(F.xxhash64("doc_id", "piece", F.lit(step)), F.lit(tasks)).cast("int"))
         placed = materialize(salted.groupBy("part").applyInPandas(packer(step, tasks == 1, size), PLACED))
-        kept = placed.where("final").drop("final", "part")
+        if before is not None and placed.select("sequence_id").distinct().count() >= before:
+            return done.unionByName(as_is(open_))   # nothing saved: the round is not used
+        kept = placed.where("final").drop("final", "part", "gap")
         done = kept if done is None else done.unionByName(kept)
-        if tasks == 1:
+        open_, step = placed.where(~F.col("final")), step + 1
+        before = open_.select("sequence_id").distinct().count()
+        if not before:
             return done
-        left, step = placed.where(~F.col("final")).select(*pieces.columns), step + 1
+        if step == rounds:
+            return done.unionByName(as_is(open_))
+        left = open_.select(*pieces.columns)
+
+
+def as_is(open_: DataFrame) -> DataFrame:
+    """Sequences of uncertified partitions, final as they are; their gap is logged."""
+    gap = open_.groupBy("part").agg(F.max("gap").alias("gap")).agg(F.sum("gap"), F.count("*")).first()
+    logging.getLogger(__name__).warning("packing: %d sequences above the lower bounds of %d partitions", *gap)
+    return open_.drop("final", "part", "gap")
 
 
 def pack_documents(docs: DataFrame, path: str | None = None) -> DataFrame:

@@ -76,6 +76,15 @@ def test_packing(spark):
     assert (whole.sort_index() == rows.start.sort_index()).all()
 
 
+def test_packing_under_a_weak_bound_never_gathers_in_one_task(spark, monkeypatch):
+    monkeypatch.setattr(packing, "GROUP", 100)
+    pieces = spark.range(2000).selectExpr("id AS doc_id", "0 AS piece", "0L AS start", "400L AS length", "id AS ids_crc32")
+    rows = packing.pack(pieces).toPandas().sort_values(["sequence_id", "offset"])
+    by = rows.groupby("sequence_id").length
+    assert sorted(rows.doc_id) == list(range(2000)) and by.sum().max() <= 1024 and (by.cumsum() - rows.length == rows.offset).all()
+    assert rows.groupby(rows.sequence_id // 2**36).size().max() <= 200 and by.ngroups <= 1020
+
+
 def test_bound_never_exceeds_a_packing():
     rng = np.random.default_rng(1)
     for _ in range(50):
