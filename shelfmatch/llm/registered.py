@@ -1,16 +1,17 @@
-"""The subpackage's registered queries: name -> fn(spark, sf_dir).
+"""The subpackage's registered queries: name -> fn(spark, sf_dir), and their SQL.
 
-None has SQL: hashing of word windows, classifiers, packing, tokenisers and
-components are checked against brute force in tests/llm.
+Those without SQL (hashing of word windows, classifiers, packing, tokenisers and
+components) are checked against brute force in tests/llm.
 """
 
 from __future__ import annotations
 
-from shelfmatch.llm import (chat, classifiers, neardup, packing, quality_rules, sentencepieces, sharding, substrings,
+from shelfmatch.llm import (chat, classifiers, lexical, neardup, packing, quality_rules, sentencepieces, sharding, substrings,
                             topk)
 
 QUERIES = {f.__name__: f for f in (
     substrings.op1_substring_dedup, neardup.op2_minhash, packing.op3_best_fit_packing,
     sentencepieces.op4_sentencepiece, classifiers.op5_toxicity, quality_rules.op6_quality_rules,
-    chat.op7_chat_formatting, classifiers.op8_quality_classifier, topk.op9_topk_search, sharding.op10_sharding)}
-ORACLES: dict[str, str] = {}
+    chat.op7_chat_formatting, classifiers.op8_quality_classifier, topk.op9_topk_search, sharding.op10_sharding,
+    lexical.op12_lexical_search)}
+ORACLES: dict[str, str] = {"op12_lexical_search": lexical.SQL}

@@ -6,6 +6,8 @@ handled a few megabytes at a time; nothing is done per word in Python.
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -114,3 +116,21 @@ def shuffle_tasks(spark) -> int:
 def crc_of_id(col):
     """crc32 of an id written as text (null id: of the empty text)."""
     return F.crc32(F.coalesce(col.cast("string"), F.lit("")).cast("binary"))
+
+
+def spans(label: np.ndarray) -> list[tuple[int, int]]:
+    """(start, end) of each stretch of equal values."""
+    cuts = np.flatnonzero(np.diff(label)) + 1
+    return list(zip(np.r_[0, cuts], np.r_[cuts, len(label)])) if len(label) else []
+
+
+def scratch(spark, name: str) -> str:
+    """A new folder for written tables, in the shared folder that the cluster names.
+
+    Without one, a local session gets a temporary folder and a cluster is refused."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        shared = tempfile.mkdtemp(prefix="shelfmatch-")
+    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
