@@ -8,6 +8,7 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import VariantType
 
 from shelfmatch.functions import pairsim as P
 from shelfmatch.functions import text as T
@@ -25,10 +26,11 @@ def sell_and_presentation(rp: DataFrame, mp: DataFrame, country: str = "COUNTRY"
     """R4: sell-type and presentation attributes from ONE scan of RP ⋈ MP.
 
     RP values win over MP values path by path (SC-2); both sides must be
-    published and not deleted (FLT-3), which makes the left join inner.
-    Typed extraction happens before DISTINCT (a raw variant cannot be
-    deduplicated).
+    published and not deleted (FLT-3), which makes the left join inner. The
+    semi-structured columns may be JSON text or VARIANT. Typed extraction
+    happens before DISTINCT (a raw variant cannot be deduplicated).
     """
+    variant = isinstance(rp.schema["SELL_TYPE"].dataType, VariantType)
     r, m = rp.alias("rp"), mp.alias("mp")
     live = ((F.col("rp.STATUS") == "published") & (F.col("mp.STATUS") == "published")
             & (F.col("rp.IS_DELETED") == F.lit(False)) & (F.col("mp.IS_DELETED") == F.lit(False)))
@@ -40,16 +42,37 @@ def sell_and_presentation(rp: DataFrame, mp: DataFrame, country: str = "COUNTRY"
     return j.select(
         F.col(f"mp.{country}").alias("COUNTRY"), F.col("rp.SKU").alias("SKU"),
         F.col("rp.ID").alias("PRODUCT_ID"), F.col("rp.PRODUCT_ID").alias("MASTER_PRODUCT_ID"),
-        json_coalesce(*st, "$.maxQuantity", "double").alias("MAX_QUANT"),
-        json_coalesce(*st, "$.minQuantity", "double").alias("MIN_QUANT"),
-        json_coalesce(*st, "$.stepQuantity", "double").alias("STEP_QUANT"),
-        json_coalesce(*st, "$.type").alias("SELL_TYPE"),
-        json_coalesce(*pr, "$.description").alias("PRESENTATION"),
-        json_coalesce(*pr, "$.quantity", "double").alias("QUANTITY_RP"),
-        json_coalesce(*pr, "$.unitType").alias("UNITY_P"),
+        json_coalesce(*st, "$.maxQuantity", "double", variant).alias("MAX_QUANT"),
+        json_coalesce(*st, "$.minQuantity", "double", variant).alias("MIN_QUANT"),
+        json_coalesce(*st, "$.stepQuantity", "double", variant).alias("STEP_QUANT"),
+        json_coalesce(*st, "$.type", variant=variant).alias("SELL_TYPE"),
+        json_coalesce(*pr, "$.description", variant=variant).alias("PRESENTATION"),
+        json_coalesce(*pr, "$.quantity", "double", variant).alias("QUANTITY_RP"),
+        json_coalesce(*pr, "$.unitType", variant=variant).alias("UNITY_P"),
     ).distinct()
 
 
+# What the two analytics tables add to a retailer product.
+RP_ANALYTICS_COLUMNS = ("RETAILER_ID", "CAT1_NAME", "CAT2_NAME", "CAT3_NAME", "MAKER", "TRADEMARK", "EAN", "MP_PHOTO_URL")
+MP_ANALYTICS_COLUMNS = ("QUALITY_LABEL", "PRIORITY", "ASSOCIATED_RETAILERS")
+
+
+def catalog_base(live: DataFrame, rp_analytics: DataFrame, mp_analytics: DataFrame) -> DataFrame:
+    """The catalog before metrics (JN-2, FLT-4): live RPs with both analytics sides.
+
+    ``live`` is :func:`sell_and_presentation`. An RP stays only with an analytics
+    row that has a photo and a name: the guards turn that left join into an inner
+    one and reach its scan as filters. The MP side only adds columns. Both joins
+    are on ids within a country; the MP join may shuffle once more on the MP id,
+    which a hot MP does not overload (AQE splits the RP side of a skewed key).
+    """
+    guarded = rp_analytics.where(F.col("MP_PHOTO_URL").isNotNull() & F.col("MP_NAME").isNotNull())
+    guarded = guarded.select("COUNTRY", F.col("RETAILER_PRODUCT_ID").alias("PRODUCT_ID"), F.col("MP_NAME").alias("NAME"),
+                             *RP_ANALYTICS_COLUMNS)
+    out = live.join(guarded, ["COUNTRY", "PRODUCT_ID"])
+    return out.join(mp_analytics.select("COUNTRY", "MASTER_PRODUCT_ID", *MP_ANALYTICS_COLUMNS), ["COUNTRY", "MASTER_PRODUCT_ID"], "left")
+
+
 def with_membership(df: DataFrame, sot_ids: DataFrame, on: Sequence[str] = ("MASTER_PRODUCT_ID",),
                     out: str = "IN_SOT") -> DataFrame:
     """JN-5: boolean flag, via a left join to the *distinct* curated keys (no fan-out)."""

@@ -58,13 +58,29 @@ def uniformity_check(spark: SparkSession, sf: str) -> DataFrame:
     return C.uniformity(base)
 
 
+def assembled_base(spark: SparkSession, sf: str) -> DataFrame:
+    """The catalog before metrics, from the raw tables (JN-2, JN-3, FLT-3, FLT-4)."""
+    live = C.sell_and_presentation(S.retailer_products(spark, sf), S.master_products(spark, sf))
+    return C.catalog_base(live, S.rp_analytics(spark, sf), S.mp_analytics(spark, sf))
+
+
+@query("catalog_assembly", oracle="WITH " + S.ASSEMBLED_SQL + """
+SELECT RETAILER_ID, NAME, CAT1_NAME, CAT2_NAME, CAT3_NAME, MAKER, TRADEMARK, EAN, QUALITY_LABEL, PRIORITY, COUNTRY, SKU, PRODUCT_ID,
+       MASTER_PRODUCT_ID, MAX_QUANT, MIN_QUANT, STEP_QUANT, SELL_TYPE, PRESENTATION, QUANTITY_RP, UNITY_P,
+       CAST(ASSOCIATED_RETAILERS AS BIGINT) AS ASSOCIATED_RETAILERS, MP_PHOTO_URL
+FROM catalog_base""")
+def catalog_assembly(spark: SparkSession, sf: str) -> DataFrame:
+    """PIP-1 up to the metrics: every live RP with a name and a photo, its variant paths and both analytics sides."""
+    return assembled_base(spark, sf)
+
+
 def catalog_rps(spark: SparkSession, sf: str) -> DataFrame:
     """PIP-1 + PIP-2 on the stand-ins: the enriched RP catalog."""
     fill = M.fill_rate(S.order_lines(spark, sf), S.AS_OF, with_orders=False)
     defects = M.defect_rate(S.order_products(spark, sf), S.tickets(spark, sf), S.AS_OF,
                             reasons=S.TICKET_REASONS, join_keys=("ORDER_ID",))
     feed = M.feed_snapshot(S.feed(spark, sf), S.AS_OF)
-    cat = C.assemble_catalog(S.catalog_base(spark, sf), fill, defects, feed, S.sot(spark, sf))
+    cat = C.assemble_catalog(assembled_base(spark, sf), fill, defects, feed, S.sot(spark, sf))
     return C.enrich_retailer_products(cat)
 
 

@@ -46,7 +46,10 @@ class Params:
 
 class Tables(NamedTuple):
     """Inputs in the reference's roles (see FIXTURES.md part A)."""
-    catalog_base: DataFrame
+    retailer_products: DataFrame
+    master_products: DataFrame
+    rp_analytics: DataFrame
+    mp_analytics: DataFrame
     order_lines: DataFrame
     order_products: DataFrame
     tickets: DataFrame
@@ -64,14 +67,19 @@ class Result(NamedTuple):
     log: DataFrame
 
 
-def run(t: Tables, p: Params) -> Result:
+def extract(t: Tables, p: Params) -> C.CatalogFrames:
+    """PIP-1..3 from the raw tables. Curated ids with a COUNTRY hold for that country only."""
     fill = M.fill_rate(t.order_lines, p.as_of, p.fill_weeks, with_orders=False)
     defects = M.defect_rate(t.order_products, t.tickets, p.as_of, p.defect_days, p.reasons,
                             join_keys=p.defect_join_keys)
     feed = M.feed_snapshot(t.feed, p.as_of, p.feed_days)
+    base = C.catalog_base(C.sell_and_presentation(t.retailer_products, t.master_products), t.rp_analytics, t.mp_analytics)
     sot_on = [*(["COUNTRY"] if "COUNTRY" in t.sot_ids.columns else []), "MASTER_PRODUCT_ID"]
-    cat = C.extract_catalog(t.catalog_base, fill, defects, feed, t.sot_ids, sot_on,
-                            uniform_only=p.hold_back_disagreeing)
+    return C.extract_catalog(base, fill, defects, feed, t.sot_ids, sot_on, uniform_only=p.hold_back_disagreeing)
+
+
+def run(t: Tables, p: Params) -> Result:
+    cat = extract(t, p)
     scored = matching.score_matches(
         cat.opportunity_mps, cat.sot_mps, keys=("COUNTRY",), row_cols=C.ROLLUP_KEYS, k=p.k,
         weights=p.weights, min_similarity=p.floor if p.push_floor_below_topk else None,
@@ -94,7 +102,7 @@ def pipeline(t: Tables, p: Params, sheet_path: str | None = None, log_path: str
     (once per ``run_id``, where given)."""
     r = run(t, p)
     if sheet_path:
-        countries = [c[0] for c in t.catalog_base.select("COUNTRY").distinct().collect()]
+        countries = [c[0] for c in t.retailer_products.select("COUNTRY").distinct().collect()]
         sinks.replace_partition(r.sheet, sheet_path, processed=countries)
     if log_path:
         sinks.append_log(r.log, log_path, run_id)
@@ -103,6 +111,6 @@ def pipeline(t: Tables, p: Params, sheet_path: str | None = None, log_path: str
 
 def tables_from_testdata(spark: SparkSession, sf: str) -> Tables:
     from shelfmatch.plans import standins as S
-    return Tables(S.catalog_base(spark, sf), S.order_lines(spark, sf),
-                  S.order_products(spark, sf), S.tickets(spark, sf), S.feed(spark, sf), S.sot(spark, sf),
+    return Tables(S.retailer_products(spark, sf), S.master_products(spark, sf), S.rp_analytics(spark, sf),
+                  S.mp_analytics(spark, sf), S.order_lines(spark, sf), S.order_products(spark, sf), S.tickets(spark, sf), S.feed(spark, sf), S.sot(spark, sf),
                   S.products(spark, sf))

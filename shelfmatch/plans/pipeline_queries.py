@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from shelfmatch.operators import catalog as C
 from shelfmatch.operators import matching
-from shelfmatch.operators import metrics as M
 from shelfmatch.plans import pipeline as PL
 from shelfmatch.plans import sqlfrag as Q
 from shelfmatch.plans import standins as S
@@ -106,11 +105,7 @@ def match_pairs(spark: SparkSession, sf: str) -> DataFrame:
     similarity (SQL-checked; ``match_score`` adds the ratios and confidence)."""
     t = PL.tables_from_testdata(spark, sf)
     p = PL.Params(as_of=S.AS_OF, defect_join_keys=("ORDER_ID",), reasons=S.TICKET_REASONS)
-    fill = M.fill_rate(t.order_lines, p.as_of, p.fill_weeks, with_orders=False)
-    defects = M.defect_rate(t.order_products, t.tickets, p.as_of, p.defect_days, p.reasons,
-                            join_keys=p.defect_join_keys)
-    feed = M.feed_snapshot(t.feed, p.as_of, p.feed_days)
-    cat = C.extract_catalog(t.catalog_base, fill, defects, feed, t.sot_ids)
+    cat = PL.extract(t, p)
     sc = matching.score_matches(cat.opportunity_mps, cat.sot_mps, keys=("COUNTRY",), row_cols=C.ROLLUP_KEYS)
     return sc.select("COUNTRY", F.round("similarity", 8).alias("similarity"), "master_products", "integration",
                      "damerau_levenshtein", "damerau_levenshtein_normalized",

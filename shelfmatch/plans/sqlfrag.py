@@ -118,5 +118,5 @@ mps AS (SELECT COUNTRY, coalesce(NAME, 'NULL_VALUE') AS NAME, MASTER_PRODUCT_ID,
         median(SIMILARITY) AS SIMILARITY, median(MEDIAN_PRICE) AS MEDIAN_PRICE
   FROM rp GROUP BY ALL)"""
 
-ALL_INPUTS = ",".join([S.ORDER_LINES_SQL, S.FEED_SQL, S.CATALOG_BASE_SQL, S.SOT_SQL, FILL_RATE, DEFECT_RATE,
+ALL_INPUTS = ",".join([S.ORDER_LINES_SQL, S.FEED_SQL, S.ASSEMBLED_SQL, S.SOT_SQL, FILL_RATE, DEFECT_RATE,
                        FEED_SNAPSHOT])

@@ -167,6 +167,110 @@ catalog_base AS (
   JOIN supplier s ON l.l_suppkey = s.s_suppkey JOIN nation n ON s.s_nationkey = n.n_nationkey)"""
 
 
+# The semi-structured columns as SQL text that both engines read alike. An RP has all paths, none (no value), or a
+# JSON null, a number as text and a missing type, so that the MP's value comes through path by path.
+_RP_SELL_TYPE = """CASE WHEN l_partkey % 5 = 0 THEN CAST(NULL AS STRING)
+     WHEN l_suppkey % 11 = 0 THEN concat('{"maxQuantity": null, "stepQuantity": "', CASE WHEN p_size < 10 THEN '1.0' ELSE '0.25' END, '"}')
+     ELSE concat('{"type": "', CASE WHEN p_size < 10 THEN 'U' ELSE 'W' END, '", "maxQuantity": ', CAST(p_size * 2 + l_suppkey % 3 AS STRING),
+                 ', "minQuantity": 1, "stepQuantity": ', CASE WHEN p_size < 10 THEN '1.0' ELSE '0.5' END, '}') END"""
+_MP_SELL_TYPE = """CASE WHEN p_partkey % 19 = 0 THEN '{"type": null}'
+     ELSE concat('{"type": "', CASE WHEN p_size < 10 THEN 'U' ELSE 'W' END, '", "maxQuantity": ', CAST(p_size * 2 AS STRING), ', "minQuantity": 1.5}') END"""
+_RP_PRESENTATION = """CASE WHEN (l_partkey + l_suppkey) % 3 = 0 THEN CAST(NULL AS STRING)
+     ELSE concat('{"description": "', p_type, ' ', CAST(p_size AS STRING), '", "quantity": ', CAST(p_size AS STRING), '}') END"""
+_MP_PRESENTATION = """concat('{"description": "', p_type, '", "quantity": ', CAST(p_size + 1 AS STRING), ', "unitType": "',
+     CASE WHEN p_size < 10 THEN 'un' ELSE 'kg' END, '"}')"""
+_RP_STATUS = "CASE WHEN (l_partkey + l_suppkey) % 23 = 0 THEN 'draft' ELSE 'published' END"
+_MP_STATUS = "CASE WHEN p_partkey % 31 = 0 THEN 'draft' ELSE 'published' END"
+_RP_DELETED = "(l_partkey * 3 + l_suppkey) % 29 = 0"
+_MP_DELETED = "CASE WHEN p_partkey % 41 = 0 THEN CAST(NULL AS BOOLEAN) ELSE p_partkey % 37 = 0 END"
+_CAT2 = "CASE WHEN p_size < 25 THEN 'S' ELSE 'L' END"
+_CAT3 = "CASE WHEN l_suppkey % 7 = 0 THEN 'special' ELSE CAST(p_size AS STRING) END"
+_MAKER = "CASE WHEN p_size > 45 THEN NULL ELSE p_brand END"
+_MP_NAME = "CASE WHEN (l_partkey + l_suppkey) % 43 = 0 THEN CAST(NULL AS STRING) ELSE concat(p_name, ' ', p_type, ' ', p_brand) END"
+_MP_PHOTO = "CASE WHEN l_partkey % 17 = 5 THEN CAST(NULL AS STRING) ELSE concat('photo/', CAST(p_partkey AS STRING)) END"
+_QUALITY = "CASE WHEN l_partkey % 3 = 0 THEN 'gold' ELSE 'plain' END"
+
+
+def _pairs(spark: SparkSession, sf: str) -> DataFrame:
+    """Distinct (part, supplier) with the supplier's country."""
+    li = table(spark, sf, "lineitem").select("l_partkey", "l_suppkey").distinct()
+    c = _country(spark, sf).select("s_suppkey", "COUNTRY")
+    return li.join(c, li.l_suppkey == c.s_suppkey).drop("s_suppkey")
+
+
+def _with_part(pairs: DataFrame, spark: SparkSession, sf: str, *cols: str) -> DataFrame:
+    p = table(spark, sf, "part").select("p_partkey", *cols)
+    return pairs.join(p, pairs.l_partkey == p.p_partkey)
+
+
+def retailer_products(spark: SparkSession, sf: str) -> DataFrame:
+    """Retailer products with VARIANT columns; drafts and deleted rows among them."""
+    rp = rp_id(F.col("l_partkey"), F.col("l_suppkey"))
+    return _with_part(_pairs(spark, sf), spark, sf, "p_type", "p_size").select(
+        "COUNTRY", rp.alias("ID"), F.col("l_partkey").alias("PRODUCT_ID"), rp.cast("string").alias("SKU"),
+        F.parse_json(F.expr(_RP_SELL_TYPE)).alias("SELL_TYPE"), F.parse_json(F.expr(_RP_PRESENTATION)).alias("PRESENTATION"),
+        F.expr(_RP_STATUS).alias("STATUS"), F.expr(_RP_DELETED).alias("IS_DELETED"))
+
+
+def master_products(spark: SparkSession, sf: str) -> DataFrame:
+    """Master products of each country, with VARIANT columns; drafts, deleted rows and unknown flags among them."""
+    own = _pairs(spark, sf).select("COUNTRY", "l_partkey").distinct()
+    return _with_part(own, spark, sf, "p_type", "p_size").select(
+        "COUNTRY", F.col("p_partkey").alias("ID"), F.parse_json(F.expr(_MP_SELL_TYPE)).alias("SELL_TYPE"),
+        F.parse_json(F.expr(_MP_PRESENTATION)).alias("PRESENTATION"), F.expr(_MP_STATUS).alias("STATUS"), F.expr(_MP_DELETED).alias("IS_DELETED"))
+
+
+def rp_analytics(spark: SparkSession, sf: str) -> DataFrame:
+    """Names, categories and photos by retailer product; some names and photos are null."""
+    cols = {"RETAILER_ID": "l_suppkey", "MP_NAME": _MP_NAME, "CAT1_NAME": "p_type", "CAT2_NAME": _CAT2, "CAT3_NAME": _CAT3, "MAKER": _MAKER,
+            "TRADEMARK": "p_brand", "EAN": "CAST(p_partkey AS STRING)", "MP_PHOTO_URL": _MP_PHOTO}
+    j = _with_part(_pairs(spark, sf), spark, sf, "p_name", "p_brand", "p_type", "p_size")
+    return j.select("COUNTRY", rp_id(F.col("l_partkey"), F.col("l_suppkey")).alias("RETAILER_PRODUCT_ID"), *[F.expr(e).alias(n) for n, e in cols.items()])
+
+
+def mp_analytics(spark: SparkSession, sf: str) -> DataFrame:
+    """Label, priority and retailers by master product of a country; some products have no row."""
+    own = _pairs(spark, sf).where("l_partkey % 13 <> 0").groupBy("COUNTRY", "l_partkey").agg(F.count(F.lit(1)).alias("ASSOCIATED_RETAILERS"))
+    return own.select("COUNTRY", F.col("l_partkey").alias("MASTER_PRODUCT_ID"), F.expr(_QUALITY).alias("QUALITY_LABEL"),
+                      F.expr("l_partkey % 4").alias("PRIORITY"), "ASSOCIATED_RETAILERS")
+
+
+def _path(column: str, path: str, number: bool = False) -> str:
+    got = ", ".join(f"{side}.{column} ->> '$.{path}'" for side in ("rp", "mp"))
+    if number:
+        got = ", ".join(f"TRY_CAST({side}.{column} ->> '$.{path}' AS DOUBLE)" for side in ("rp", "mp"))
+    return f"coalesce({got})"
+
+
+_LIVE_SQL = """FROM retailer_product rp LEFT JOIN master_product mp ON mp.ID = rp.PRODUCT_ID AND mp.COUNTRY = rp.COUNTRY
+  WHERE rp.STATUS = 'published' AND mp.STATUS = 'published' AND rp.IS_DELETED = FALSE AND mp.IS_DELETED = FALSE"""
+
+# Assembly as two separate scans of RP x MP joined on three keys, each DISTINCT: the plain reading of the step.
+ASSEMBLED_SQL = f"""
+own AS (SELECT l.l_partkey, l.l_suppkey, n.n_name AS COUNTRY, (l.l_partkey << 32) + l.l_suppkey AS rp_id, p.*
+  FROM (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem) l JOIN part p ON l.l_partkey = p.p_partkey
+  JOIN supplier s ON l.l_suppkey = s.s_suppkey JOIN nation n ON s.s_nationkey = n.n_nationkey),
+retailer_product AS (SELECT COUNTRY, rp_id AS ID, l_partkey AS PRODUCT_ID, CAST(rp_id AS VARCHAR) AS SKU, {_RP_SELL_TYPE} AS SELL_TYPE,
+  {_RP_PRESENTATION} AS PRESENTATION, {_RP_STATUS} AS STATUS, {_RP_DELETED} AS IS_DELETED FROM own),
+master_product AS (SELECT DISTINCT COUNTRY, p_partkey AS ID, {_MP_SELL_TYPE} AS SELL_TYPE, {_MP_PRESENTATION} AS PRESENTATION,
+  {_MP_STATUS} AS STATUS, {_MP_DELETED} AS IS_DELETED FROM own),
+analytics_rp AS (SELECT COUNTRY, rp_id AS RETAILER_PRODUCT_ID, l_suppkey AS RETAILER_ID, {_MP_NAME} AS MP_NAME, p_type AS CAT1_NAME, {_CAT2} AS CAT2_NAME,
+  {_CAT3} AS CAT3_NAME, {_MAKER} AS MAKER, p_brand AS TRADEMARK, CAST(p_partkey AS VARCHAR) AS EAN, {_MP_PHOTO} AS MP_PHOTO_URL FROM own),
+analytics_mp AS (SELECT COUNTRY, l_partkey AS MASTER_PRODUCT_ID, {_QUALITY} AS QUALITY_LABEL, l_partkey % 4 AS PRIORITY, count(*) AS ASSOCIATED_RETAILERS
+  FROM own WHERE l_partkey % 13 <> 0 GROUP BY COUNTRY, l_partkey),
+live_st AS (SELECT DISTINCT mp.COUNTRY, rp.SKU, rp.ID AS PRODUCT_ID, rp.PRODUCT_ID AS MASTER_PRODUCT_ID, {_path('SELL_TYPE', 'maxQuantity', True)} AS MAX_QUANT,
+  {_path('SELL_TYPE', 'minQuantity', True)} AS MIN_QUANT, {_path('SELL_TYPE', 'stepQuantity', True)} AS STEP_QUANT, {_path('SELL_TYPE', 'type')} AS SELL_TYPE
+  {_LIVE_SQL}),
+live_pr AS (SELECT DISTINCT mp.COUNTRY, rp.SKU, rp.ID AS PRODUCT_ID, rp.PRODUCT_ID AS MASTER_PRODUCT_ID, {_path('PRESENTATION', 'description')} AS PRESENTATION,
+  {_path('PRESENTATION', 'quantity', True)} AS QUANTITY, {_path('PRESENTATION', 'unitType')} AS UNITY_P {_LIVE_SQL}),
+catalog_base AS (SELECT DISTINCT cp.RETAILER_ID, cp.MP_NAME AS NAME, cp.CAT1_NAME, cp.CAT2_NAME, cp.CAT3_NAME, cp.MAKER, cp.TRADEMARK, cp.EAN,
+    m.QUALITY_LABEL, m.PRIORITY, st.*, pr.PRESENTATION, pr.QUANTITY AS QUANTITY_RP, pr.UNITY_P, m.ASSOCIATED_RETAILERS, cp.MP_PHOTO_URL
+  FROM live_st st LEFT JOIN live_pr pr ON st.COUNTRY = pr.COUNTRY AND st.PRODUCT_ID = pr.PRODUCT_ID AND st.MASTER_PRODUCT_ID = pr.MASTER_PRODUCT_ID
+  LEFT JOIN analytics_rp cp ON st.PRODUCT_ID = cp.RETAILER_PRODUCT_ID AND st.COUNTRY = cp.COUNTRY
+  LEFT JOIN analytics_mp m ON m.COUNTRY = st.COUNTRY AND m.MASTER_PRODUCT_ID = st.MASTER_PRODUCT_ID
+  WHERE cp.MP_PHOTO_URL IS NOT NULL AND cp.MP_NAME IS NOT NULL)"""
+
+
 def sot(spark: SparkSession, sf: str) -> DataFrame:
     """Curated MPs: distinct part keys of type PROMO (not deleted)."""
     p = table(spark, sf, "part").select("p_partkey", "p_type")

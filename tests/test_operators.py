@@ -366,3 +366,42 @@ def test_json_coalesce_on_variant(spark):
     got = v.select(M.json_coalesce(F.col("rp"), F.col("mp"), "$.a", "double", variant=True),
                    M.json_coalesce(F.col("rp"), F.col("mp"), "$.t", variant=True)).collect()
     assert [tuple(r) for r in got] == [(1.0, "U"), (5.0, "W")]
+
+
+def test_catalog_base_guards_and_countries(spark):
+    sell = "ID long, COUNTRY string, PRODUCT_ID long, SKU string, SELL_TYPE string, PRESENTATION string, STATUS string, IS_DELETED boolean"
+    on = ("published", False)
+    rp = spark.createDataFrame([(1, "BR", 10, "s1", '{"type": "U", "maxQuantity": "7"}', None, *on), (1, "CL", 10, "s1", None, None, *on),
+                                (2, "BR", 10, "s2", '{"type": null, "maxQuantity": null}', '{"quantity": "x"}', *on), (3, "BR", 10, "s3", None, None, *on),
+                                (4, "BR", 11, "s4", None, None, *on), (5, "BR", 10, "s5", None, None, "published", None),
+                                (6, "BR", 12, "s6", None, None, *on), (7, "BR", None, "s7", None, None, *on)], sell)
+    mp = spark.createDataFrame([(10, "BR", '{"type": "W", "maxQuantity": 9}', '{"quantity": 2, "description": "box"}', *on),
+                                (10, "CL", '{"type": "K"}', None, *on), (11, "BR", None, None, *on), (12, "BR", None, None, "draft", False)],
+                               "ID long, COUNTRY string, SELL_TYPE string, PRESENTATION string, STATUS string, IS_DELETED boolean")
+    info = ("c1", "c2", "c3", "m", "t", "e")
+    ra = spark.createDataFrame([("BR", 1, 70, "rice", *info, "photo"), ("BR", 2, 71, "rice", *info, None), ("CL", 1, 72, "arroz", *info, "foto"),
+                                ("BR", 4, 73, None, *info, "photo"), ("BR", 5, 74, "x", *info, "p"), ("BR", 6, 75, "x", *info, "p"), ("BR", 7, 76, "x", *info, "p")],
+                               "COUNTRY string, RETAILER_PRODUCT_ID long, RETAILER_ID long, MP_NAME string, CAT1_NAME string, CAT2_NAME string, "
+                               "CAT3_NAME string, MAKER string, TRADEMARK string, EAN string, MP_PHOTO_URL string")
+    ma = spark.createDataFrame([("BR", 10, "gold", 1, 4)], "COUNTRY string, MASTER_PRODUCT_ID long, QUALITY_LABEL string, PRIORITY int, ASSOCIATED_RETAILERS long")
+    for as_variant in (False, True):
+        r, m = rp, mp
+        if as_variant:
+            r, m = (d.withColumns({c: F.parse_json(c) for c in ("SELL_TYPE", "PRESENTATION")}) for d in (rp, mp))
+        live = C.sell_and_presentation(r, m)
+        assert {(x.COUNTRY, x.PRODUCT_ID): (x.SELL_TYPE, x.MAX_QUANT, x.QUANTITY_RP) for x in live.collect()} == {
+            ("BR", 1): ("U", 7.0, 2.0), ("CL", 1): ("K", None, None), ("BR", 2): ("W", 9.0, 2.0), ("BR", 3): ("W", 9.0, 2.0), ("BR", 4): (None, None, None)}
+        got = {(x.COUNTRY, x.PRODUCT_ID): x for x in C.catalog_base(live, ra, ma).collect()}
+        # no photo (2), no analytics row (3), no name (4): dropped; a master product without analytics stays with nulls
+        assert set(got) == {("BR", 1), ("CL", 1)}
+        assert (got["BR", 1].NAME, got["BR", 1].QUALITY_LABEL, got["BR", 1].ASSOCIATED_RETAILERS) == ("rice", "gold", 4)
+        assert (got["CL", 1].NAME, got["CL", 1].RETAILER_ID, got["CL", 1].QUALITY_LABEL, got["CL", 1].PRIORITY) == ("arroz", 72, None, None)
+
+
+def test_assembly_guards_reach_the_scan(spark, tmp_out):
+    cols = ", ".join(f"{c} string" for c in ("MP_NAME", *C.RP_ANALYTICS_COLUMNS[1:]))
+    spark.createDataFrame([], f"COUNTRY string, RETAILER_PRODUCT_ID long, RETAILER_ID long, {cols}").write.parquet(f"{tmp_out}/ra")
+    live = spark.createDataFrame([], "COUNTRY string, PRODUCT_ID long, MASTER_PRODUCT_ID long")
+    ma = spark.createDataFrame([], "COUNTRY string, MASTER_PRODUCT_ID long, QUALITY_LABEL string, PRIORITY int, ASSOCIATED_RETAILERS long")
+    plan = C.catalog_base(live.withColumn("x", F.rand()), spark.read.parquet(f"{tmp_out}/ra"), ma)._jdf.queryExecution().optimizedPlan().toString()
+    assert "isnotnull(MP_PHOTO_URL" in plan and "isnotnull(MP_NAME" in plan
