@@ -1,36 +1,34 @@
 """Corpus TF-IDF over character trigrams and the top-k cosine join (MAT-1..4).
 
-Data layout: long-format postings ``(keys..., id, term, tf)`` instead of a
-sparse matrix; terms are trigrams of the ASCII-folded text, so the
-vocabulary is bounded by 128^3 whatever the data size. The plan is
-
-    corpus text --repartition(id)--> fold/trigrams --explode--> tf per (id, term)
-        --> df per term (partial agg, small shuffle) --> idf
-    tf ⋈ idf (broadcast on the 128^3 bound; per-key vocabularies: AQE) --> raw weight; |w| per id
-    query postings (small, size-checked broadcast) ⋈ corpus postings on term
-        --> Σ w_q·w_raw per (query, id)  (no exchange: still clustered by id)
-        --> ÷ |w| of the id (hash join on the id clustering, no sort)
-        --> partial WindowGroupLimit --> exchange on query --> top-k
-
-so the only shuffle that carries per-posting volume is the first one, and it
-moves raw text, which is ~10x smaller than the postings it expands into.
-Dividing each pair sum by the corpus norm once gives the cosine of the
-normalised vectors without sorting the postings for a per-id window.
+Terms are trigrams of the ASCII-folded text, so the vocabulary is bounded by 128^3
+whatever the data size. :func:`corpus_match` turns every row into one bag of coded
+trigrams, takes the document frequencies from the bags (partial aggregate, small
+shuffle) and scores the bags against the queries with a block kernel
+(:mod:`shelfmatch.operators.trigrams`):
+
+    corpus text --repartition(id)--> fold --> bags (written once) --> df per term --> idf
+    bags --> kernel with the query block and the idf (checked broadcasts)
+         --> at most k pairs a query and task --> exchange on query --> top-k
+
+Only text and k pairs a query are ever shuffled. Queries beyond the broadcast bounds
+take the long-format postings ``(keys..., id, term, tf)`` instead, joined on the term
+with the corpus side salted, so that a trigram held by most rows spreads over tasks.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfmatch.functions import text as T
-from shelfmatch.session import spread
+from shelfmatch.operators import trigrams
+from shelfmatch.session import spread, stored
 
 # Largest number of query-side postings we broadcast (~24 bytes a row).
-MAX_BROADCAST_POSTINGS = 4_000_000
+MAX_BROADCAST_POSTINGS = 2_000_000
 # Rounding used to order scores: float noise below 1e-10 must not decide ties.
 RANK_DIGITS = 10
 
@@ -95,7 +93,7 @@ class TopK:
     lower_bound: float = 0.0       # keep cosine strictly above this
     min_similarity: float | None = None   # R1: also require cosine >= this before top-k
     salt: int = 16                 # salt buckets when the query side is too big to broadcast
-    prune: bool = False            # with min_similarity: exact prefix-filter candidate pruning (opt-in)
+    max_broadcast: int = MAX_BROADCAST_POSTINGS   # rows of query postings, and of keyed idf, sent to tasks
 
 
 def fits_broadcast(bound: DataFrame, max_rows: int = MAX_BROADCAST_POSTINGS) -> bool:
@@ -182,88 +180,57 @@ def corpus_weights(postings: DataFrame, idf: DataFrame, id_col: str,
     return w, norms
 
 
-def prefix_terms(query_w: DataFrame, query_id: str, threshold: float, keys: tuple[str, ...] = ()) -> DataFrame:
-    """Terms of each (unit-norm) query vector that any corpus row with cosine
-    >= ``threshold`` must share with it.
-
-    Terms are taken in descending weight order while the weight mass left
-    *from* the term on (its suffix, ‖q_S‖²) is still >= threshold². The
-    terms not taken have ‖q_S‖ < threshold, and for a unit corpus vector d
-    with non-negative weights Σ_{t∈S} q_t d_t <= ‖q_S‖·‖d_S‖ < threshold, so
-    a pair reaching the threshold shares at least one taken term. The bound
-    is relaxed by 1e-9 so float rounding can only add candidates.
-    """
-    w = Window.partitionBy(*keys, query_id).orderBy(F.col("w").desc(), F.col("term").asc())
-    suffix = F.sum(F.col("w") * F.col("w")).over(w.rowsBetween(Window.currentRow, Window.unboundedFollowing))
-    limit = max(threshold - 1e-9, 0.0) ** 2
-    return query_w.withColumn("_suffix", suffix).where(F.col("_suffix") >= F.lit(limit)).drop("_suffix")
-
-
-def pruned_pairs(query_w: DataFrame, corpus_w: DataFrame, norms: DataFrame, query_id: str, corpus_id: str,
-                 threshold: float, keys: tuple[str, ...] = (), small: bool = True) -> DataFrame:
-    """Exact cosine of every pair that can reach ``threshold`` (R1 pruning).
-
-    Candidates come from joining only the queries' prefix terms; each
-    candidate's exact dot product is then read from the corpus row's own
-    term→weight map (one map per row, bounded by that row's text), so the
-    full term-by-term product of all pairs is never formed.
+def corpus_match(queries: DataFrame, corpus: DataFrame, query_id: str, corpus_id: str,
+                 query_text: str, corpus_text: str, keys: tuple[str, ...] = (),
+                 opts: TopK = TopK(), formed=None) -> DataFrame:
+    """MAT-1..3 end to end: fit on the corpus, transform the queries, top-k join.
 
-    Opt-in (``TopK.prune``): Spark map lookups are linear scans, so the
-    verification costs O(|q|·|d|) per candidate. It pays off when candidates
-    are few relative to the full product (short names, high thresholds); on
-    long documents the plain posting join is faster, which is the default.
+    Ids are unique on either side (within ``keys``); rows with a NULL key match nothing.
+    The bounds of :mod:`trigrams` always apply, and a floor (``opts.min_similarity``)
+    raises them from the start; the rows are those of :func:`postings_match`, which
+    serves when the query postings or the keyed vocabularies, counted here, are too
+    many to broadcast. ``formed``, an accumulator, counts the pairs scored in full.
     """
-    prefix = prefix_terms(query_w, query_id, threshold, keys).select(*keys, query_id, "term")
-    if small:
-        prefix = F.broadcast(prefix)
-    cand = corpus_w.select(*keys, corpus_id, "term").join(prefix, on=[*keys, "term"]) \
-        .select(*keys, query_id, corpus_id).distinct()
-    cmaps = corpus_w.groupBy(*keys, corpus_id).agg(
-        F.map_from_entries(F.collect_list(F.struct("term", "w"))).alias("_cmap"))
-    qmaps = query_w.groupBy(*keys, query_id).agg(
-        F.map_from_entries(F.collect_list(F.struct("term", "w"))).alias("_qmap"))
-    if small:
-        qmaps = F.broadcast(qmaps)
-    j = cand.join(cmaps, on=[*keys, corpus_id]).join(qmaps, on=[*keys, query_id])
-    dot = F.aggregate(F.map_entries("_qmap"), F.lit(0.0),
-                      lambda acc, e: acc + e["value"] * F.coalesce(F.element_at("_cmap", e["key"]), F.lit(0.0)))
-    j = j.select(*keys, query_id, corpus_id, dot.alias("similarity"))
-    return (j.join(norms.hint("shuffle_hash"), on=[*keys, corpus_id])
-            .select(*keys, query_id, corpus_id, (F.col("similarity") / F.col("_norm")).alias("similarity")))
+    bags = stored(trigrams.bags(spread(corpus.select(*dict.fromkeys([*keys, corpus_id, corpus_text])), *keys, corpus_id),
+                                corpus_id, corpus_text, keys), "bags")
+    asked = trigrams.bags(queries, query_id, query_text, keys)
+    asked = asked.where(F.size("terms") > 0)
+    for c in keys:
+        asked = asked.where(F.col(c).isNotNull())
+    asked = stored(asked, "queries")
+    postings = asked.agg(F.coalesce(F.sum(F.size("terms")), F.lit(0))).first()[0]
+    # Without keys the vocabulary is bounded by 128^3; with keys it is read up to the bound.
+    frequency = bags.select(*keys, F.explode("terms").alias("_term")).groupBy(*keys, "_term").agg(F.count(F.lit(1)).alias("_df"))
+    most = opts.max_broadcast
+    table = frequency.limit(most + 1).toArrow() if postings <= most else None
+    if table is None or (keys and table.num_rows > most):
+        return postings_match(queries, corpus, query_id, corpus_id, query_text, corpus_text, keys, opts)
+    n_docs = {tuple(r)[:-1]: r[-1] for r in bags.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).collect()} if keys else {(): bags.count()}
+    known = trigrams.by_key(table, keys, ["_term", "_df"])
+    wanted = trigrams.by_key(asked.select(*keys, F.col(query_id).alias("_id"), "terms", "tfs").toArrow(), keys, ["_id", "terms", "tfs"])
+    blocks = {}
+    for key, (ids, terms, tfs) in wanted.items():
+        if key in known:
+            term, df = (np.array(c, dtype=np.int64) for c in known[key])
+            order = np.argsort(term)
+            blocks[key] = trigrams.Block(ids, list(zip(terms, tfs)), term[order], df[order], n_docs[key])
+    pairs = trigrams.best_pairs(bags, blocks, keys, queries.schema[query_id], query_id, corpus_id, opts.k, opts.lower_bound,
+                                opts.min_similarity, formed)
+    return top_k(pairs, query_id, corpus_id, keys, opts)
 
 
-def corpus_match(queries: DataFrame, corpus: DataFrame, query_id: str, corpus_id: str,
-                 query_text: str, corpus_text: str, keys: tuple[str, ...] = (),
-                 opts: TopK = TopK()) -> DataFrame:
-    """MAT-1..3 end to end: fit on the corpus, transform the queries, top-k join.
+def postings_match(queries: DataFrame, corpus: DataFrame, query_id: str, corpus_id: str,
+                   query_text: str, corpus_text: str, keys: tuple[str, ...] = (),
+                   opts: TopK = TopK()) -> DataFrame:
+    """The rows of :func:`corpus_match` by joining long-format postings on the term.
 
-    With ``opts.min_similarity`` and ``opts.prune`` the pairs come from
-    :func:`pruned_pairs` (exact, fewer candidates); otherwise every pair
-    sharing a term is scored. The corpus postings are persisted for the
-    duration of the job; a long-lived session releases them with
-    ``spark.catalog.clearCache()`` (or by unpersisting) after the action.
+    Every pair sharing a term is formed; neither side has to fit anywhere.
     """
-    # The postings feed both the document frequencies and the weights; keep
-    # them (memory, spilling to disk) instead of expanding the text twice. A
-    # lost block is rebuilt from lineage.
-    cp = name_postings(corpus, corpus_id, corpus_text, keys).persist(StorageLevel.MEMORY_AND_DISK)
+    cp = stored(name_postings(corpus, corpus_id, corpus_text, keys), "postings")
     idf = fit_idf(cp, corpus, corpus_id, keys)
-    # Per-key vocabularies have no fixed bound: count them (over the cached
-    # postings) before broadcasting.
-    idf_small = bool(keys) and fits_broadcast(idf)
-    cw, norms = corpus_weights(cp, idf, corpus_id, keys, idf_small)
-    qp = name_postings(queries, query_id, query_text, keys, cluster=False)
-    # The weighted query postings are a subset of these (unseen terms drop),
-    # so counting them proves the broadcast bound without touching the corpus.
-    small = fits_broadcast(qp)
-    qw = tfidf_vectors(qp, idf, query_id, keys, by_window=False, idf_small=idf_small)
-    if opts.min_similarity is not None and opts.prune and opts.min_similarity > 0:
-        cwn = cw.join(norms, on=[*keys, corpus_id]).select(*keys, corpus_id, "term",
-                                                           (F.col("w") / F.col("_norm")).alias("w"))
-        pairs = pruned_pairs(qw, cwn, norms.select(*keys, corpus_id, F.lit(1.0).alias("_norm")),
-                             query_id, corpus_id, opts.min_similarity, keys, small)
-    else:
-        dots = cosine_pairs(qw, cw, query_id, corpus_id, keys, opts.salt, small=small)
-        pairs = (dots.join(norms.hint("shuffle_hash"), on=[*keys, corpus_id])
-                 .select(*keys, query_id, corpus_id, (F.col("similarity") / F.col("_norm")).alias("similarity")))
+    cw, norms = corpus_weights(cp, idf, corpus_id, keys)
+    qw = tfidf_vectors(name_postings(queries, query_id, query_text, keys), idf, query_id, keys, by_window=False)
+    dots = cosine_pairs(qw, cw, query_id, corpus_id, keys, opts.salt, small=False)
+    pairs = (dots.join(norms, on=[*keys, corpus_id])
+             .select(*keys, query_id, corpus_id, (F.col("similarity") / F.col("_norm")).alias("similarity")))
     return top_k(pairs, query_id, corpus_id, keys, opts)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
@@ -54,6 +57,27 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder for written tables, in the shared folder that ``spark.checkpoint.dir`` names.
+
+    Where that is unset, a local session gets a temporary folder and a cluster is refused.
+    """
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        shared = tempfile.mkdtemp(prefix="shelfmatch-")
+    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as Parquet in the shared folder and read back: compressed columns, no
+    lineage and nothing held in executors' memory, for a frame that is scanned more than once."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def spread(df: DataFrame, *cols) -> DataFrame:
     """Hash-repartition into max(shuffle partitions, total cores) partitions.
 

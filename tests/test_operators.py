@@ -6,6 +6,7 @@ import os
 import random
 
 import numpy as np
+import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
@@ -292,19 +293,49 @@ def test_append_log(spark, tmp_out):
     assert spark.read.parquet(path).count() == 2
 
 
-def test_prefix_pruning_is_exact(spark):
-    rnd = random.Random(5)
-    words = ["arroz", "feijao", "preto", "branco", "tipo", "leite", "integral", "cafe"]
-    corpus = [" ".join(rnd.choice(words) for _ in range(rnd.randint(1, 4))) for _ in range(60)]
-    queries = [" ".join(rnd.choice(words) for _ in range(rnd.randint(1, 3))) for _ in range(15)]
-    c = spark.createDataFrame(list(enumerate(corpus)), "cid long, name string")
-    q = spark.createDataFrame(list(enumerate(queries)), "qid long, name string")
-    res = []
-    for prune in (False, True):
-        m = tfidf.corpus_match(q, c, "qid", "cid", "name", "name",
-                               opts=tfidf.TopK(k=5, min_similarity=0.5, prune=prune))
-        res.append(sorted((r.qid, r.cid, r["rank"], round(r.similarity, 9)) for r in m.collect()))
+def _names(seed, n, words=("arroz", "feijao", "preto", "branco", "tipo", "leite", "integral", "cafe", "Pão", "a", "")):
+    rnd = random.Random(seed)
+    return [" ".join(rnd.choice(words) for _ in range(rnd.randint(1, 4))) for _ in range(n)]
+
+
+@pytest.mark.parametrize("floor", [None, 0.5, 0.8])
+@pytest.mark.parametrize("keyed", [False, True])
+def test_kernel_equals_postings_join(spark, monkeypatch, floor, keyed):
+    monkeypatch.setattr("shelfmatch.operators.trigrams.SLICE", 200)     # many slices, so that bars rise between them
+    key = lambda i: ("BR", "CL", None)[i % 3]
+    c = spark.createDataFrame([(key(i), f"c{i:03}", None if i == 7 else n) for i, n in enumerate(_names(5, 150) + ["leite po"] * 30)],
+                              "k string, cid string, name string")
+    q = spark.createDataFrame([(key(i), i, n) for i, n in enumerate(_names(6, 25) + ["zz", "leite po"])], "k string, qid long, name string")
+    keys, res = ("k",) if keyed else (), []
+    formed = spark.sparkContext.accumulator(0)
+    # a bound of 0 postings sends everything through the join
+    for opts in (tfidf.TopK(k=5, min_similarity=floor), tfidf.TopK(k=5, min_similarity=floor, max_broadcast=0)):
+        m = tfidf.corpus_match(q, c, "qid", "cid", "name", "name", keys, opts, formed)
+        res.append(sorted((r.qid, r["rank"], r.cid, round(r.similarity, 9)) for r in m.collect()))
     assert res[0] == res[1] and res[0]
+    assert len(res[0]) <= formed.value <= 27 * 180
+
+
+def test_bounds_leave_pairs_unformed_and_floor_more(spark):
+    rnd = random.Random(4)
+    word = lambda: "".join(rnd.choice("abcdefghij") for _ in range(6))
+    texts = [" ".join(word() for _ in range(6)) for _ in range(800)]
+    c = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "cid long, name string").coalesce(1)
+    q = spark.createDataFrame([(i, texts[i * 7] + " " + word()) for i in range(40)], "qid long, name string")
+    counts = []
+    for floor in (None, 0.6):
+        formed = spark.sparkContext.accumulator(0)
+        assert tfidf.corpus_match(q, c, "qid", "cid", "name", "name", opts=tfidf.TopK(k=2, min_similarity=floor), formed=formed).count() >= 40
+        counts.append(formed.value)
+    assert counts[1] < counts[0] and counts[1] < 40 * 800 / 4
+
+
+def test_match_of_empty_sides(spark):
+    c, q = (spark.createDataFrame([], f"{i} long, name string") for i in ("cid", "qid"))
+    some = spark.createDataFrame([(1, "arroz")], "cid long, name string")
+    assert tfidf.corpus_match(q, c, "qid", "cid", "name", "name").count() == 0
+    assert tfidf.corpus_match(q, some, "qid", "cid", "name", "name").count() == 0
+    assert tfidf.corpus_match(some.withColumnRenamed("cid", "qid"), c, "qid", "cid", "name", "name").count() == 0
 
 
 def test_salted_join_equals_broadcast_join(spark):
