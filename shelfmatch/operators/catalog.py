@@ -52,6 +52,15 @@ def sell_and_presentation(rp: DataFrame, mp: DataFrame, country: str = "COUNTRY"
     ).distinct()
 
 
+def with_feed(rp: DataFrame, feed: DataFrame) -> DataFrame:
+    """FLT-4 pushed to the source: RPs whose SKU is in the feed snapshot.
+
+    Enrichment drops all others at its end; dropping them first keeps their variant
+    columns, joins and DISTINCT out of the job (a semi join on the snapshot's keys).
+    """
+    return rp.join(feed.select("COUNTRY", F.col("RETAIL_ID").alias("SKU")), ["COUNTRY", "SKU"], "left_semi")
+
+
 # What the two analytics tables add to a retailer product.
 RP_ANALYTICS_COLUMNS = ("RETAILER_ID", "CAT1_NAME", "CAT2_NAME", "CAT3_NAME", "MAKER", "TRADEMARK", "EAN", "MP_PHOTO_URL")
 MP_ANALYTICS_COLUMNS = ("QUALITY_LABEL", "PRIORITY", "ASSOCIATED_RETAILERS")

@@ -58,9 +58,10 @@ def uniformity_check(spark: SparkSession, sf: str) -> DataFrame:
     return C.uniformity(base)
 
 
-def assembled_base(spark: SparkSession, sf: str) -> DataFrame:
+def assembled_base(spark: SparkSession, sf: str, feed: DataFrame | None = None) -> DataFrame:
     """The catalog before metrics, from the raw tables (JN-2, JN-3, FLT-3, FLT-4)."""
-    live = C.sell_and_presentation(S.retailer_products(spark, sf), S.master_products(spark, sf))
+    rp = S.retailer_products(spark, sf)
+    live = C.sell_and_presentation(rp if feed is None else C.with_feed(rp, feed), S.master_products(spark, sf))
     return C.catalog_base(live, S.rp_analytics(spark, sf), S.mp_analytics(spark, sf))
 
 
@@ -79,8 +80,8 @@ def catalog_rps(spark: SparkSession, sf: str) -> DataFrame:
     fill = M.fill_rate(S.order_lines(spark, sf), S.AS_OF, with_orders=False)
     defects = M.defect_rate(S.order_products(spark, sf), S.tickets(spark, sf), S.AS_OF,
                             reasons=S.TICKET_REASONS, join_keys=("ORDER_ID",))
-    feed = M.feed_snapshot(S.feed(spark, sf), S.AS_OF)
-    cat = C.assemble_catalog(assembled_base(spark, sf), fill, defects, feed, S.sot(spark, sf))
+    feed = materialize(M.feed_snapshot(S.feed(spark, sf), S.AS_OF))
+    cat = C.assemble_catalog(assembled_base(spark, sf, feed), fill, defects, feed, S.sot(spark, sf))
     return C.enrich_retailer_products(cat)
 
 

@@ -72,8 +72,9 @@ def extract(t: Tables, p: Params) -> C.CatalogFrames:
     fill = M.fill_rate(t.order_lines, p.as_of, p.fill_weeks, with_orders=False)
     defects = M.defect_rate(t.order_products, t.tickets, p.as_of, p.defect_days, p.reasons,
                             join_keys=p.defect_join_keys)
-    feed = M.feed_snapshot(t.feed, p.as_of, p.feed_days)
-    base = C.catalog_base(C.sell_and_presentation(t.retailer_products, t.master_products), t.rp_analytics, t.mp_analytics)
+    feed = materialize(M.feed_snapshot(t.feed, p.as_of, p.feed_days))     # read for its keys and for its columns
+    live = C.sell_and_presentation(C.with_feed(t.retailer_products, feed), t.master_products)
+    base = C.catalog_base(live, t.rp_analytics, t.mp_analytics)
     sot_on = [*(["COUNTRY"] if "COUNTRY" in t.sot_ids.columns else []), "MASTER_PRODUCT_ID"]
     return C.extract_catalog(base, fill, defects, feed, t.sot_ids, sot_on, uniform_only=p.hold_back_disagreeing)
 
