@@ -215,6 +215,26 @@ def uniformity(df: DataFrame, key: Sequence[str] = ("COUNTRY", "MASTER_PRODUCT_I
     return rows.groupBy(*keys).agg(*[F.count_distinct(a).alias(f"n_{a}") for a in attrs])
 
 
+def uniformity_gate(rps: DataFrame, by: Sequence[str] = ("COUNTRY",), flag: str = "IN_SOT",
+                    mp: str = "MASTER_PRODUCT_ID") -> tuple[DataFrame, DataFrame]:
+    """PIP-6 with PIP-7 keys: (rows of the groups that may go on, report by group).
+
+    A group (a country) is held back when any of its curated MPs disagrees on a
+    roll-up key. The report has a row for every group: curated MPs, how many of
+    them disagree, on which keys, and whether the group is held back. All groups
+    are decided in one job; a NULL group is one of them.
+    """
+    attrs = [k for k in ROLLUP_KEYS if k not in (*by, mp)]
+    named = fill_keys(rps, by)
+    bad = uniformity(named.where(flag), [*by, mp], attrs)
+    wrong = bad.groupBy(*by).agg(F.count(F.lit(1)).alias("n_disagreeing"), *[F.count_if(F.col(f"n_{a}") > 1).alias(f"n_{a}") for a in attrs])
+    report = named.groupBy(*by).agg(F.count_distinct(F.when(F.col(flag), F.col(mp))).alias("n_curated")).join(wrong, list(by), "left")
+    report = report.na.fill(0, subset=["n_disagreeing", *[f"n_{a}" for a in attrs]]).withColumn("held_back", F.col("n_disagreeing") > 0)
+    held = report.where("held_back").select(*[F.col(k).alias(f"_h_{k}") for k in by])
+    same = [F.coalesce(F.col(k), F.lit(NULL_VALUE)) == F.col(f"_h_{k}") for k in by]
+    return rps.join(held, same, "left_anti"), report
+
+
 class CatalogFrames(NamedTuple):
     """The five frames of the extract step (SOT MPs, all RPs, non-SOT MPs, non-SOT RPs, all MPs)."""
     sot_mps: DataFrame
@@ -222,6 +242,7 @@ class CatalogFrames(NamedTuple):
     opportunity_mps: DataFrame
     opportunity_rps: DataFrame
     mps: DataFrame
+    gate: DataFrame | None = None      # report of the uniformity gate, where it is on
 
 
 def extract_catalog(base: DataFrame, fill: DataFrame, defects: DataFrame, feed: DataFrame,
@@ -233,12 +254,13 @@ def extract_catalog(base: DataFrame, fill: DataFrame, defects: DataFrame, feed:
     roll-up key (PIP-6): none of its rows goes on.
     """
     rps = materialize(enrich_retailer_products(assemble_catalog(base, fill, defects, feed, sot_ids, sot_on)))
+    gate = None
     if uniform_only:
-        bad = uniformity(rps.where("IN_SOT")).select("COUNTRY").distinct()
-        rps = materialize(rps.join(bad, "COUNTRY", "left_anti"))
+        rps, gate = uniformity_gate(rps)
+        rps = materialize(rps)
     # The roll-up feeds the SOT split, the opportunity split, the GMV total
     # and the export: compute it (and its medians) once.
     mps = materialize(rollup_products(rps))
     sot_mps, opp_mps = split_by_membership(mps, sot_ids, sot_on)
     _, opp_rps = split_by_membership(rps, sot_ids, sot_on)
-    return CatalogFrames(sot_mps, fill_keys(rps), opp_mps, opp_rps, mps)
+    return CatalogFrames(sot_mps, fill_keys(rps), opp_mps, opp_rps, mps, gate)

@@ -116,7 +116,10 @@ FROM mps"""
 
 @query("mp_rollup", oracle="WITH " + Q.ALL_INPUTS + "," + Q.CATALOG_RP + "," + Q.ROLLUP + ROLLUP_SELECT)
 def mp_rollup(spark: SparkSession, sf: str) -> DataFrame:
-    m = rollup(spark, sf)
+    return rollup_columns(rollup(spark, sf))
+
+
+def rollup_columns(m: DataFrame) -> DataFrame:
     return m.select(*C.ROLLUP_KEYS, F.round("M_FR", 8).alias("M_FR"), F.round("PRODUCT_DR", 8).alias("PRODUCT_DR"),
                     F.col("TOTAL_PRODUCTS").cast("bigint").alias("TOTAL_PRODUCTS"),
                     F.col("COUNT_REPLACED").cast("bigint").alias("COUNT_REPLACED"),

@@ -14,6 +14,7 @@ from dataclasses import dataclass, field
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shelfmatch.functions.pairsim import CONFIDENCE_WEIGHTS
 from shelfmatch.operators import catalog as C
@@ -22,7 +23,7 @@ from shelfmatch.operators import matching
 from shelfmatch.operators import metrics as M
 from shelfmatch.operators import rank as R
 from shelfmatch.session import materialize
-from shelfmatch.sources import sinks
+from shelfmatch.sources.published import Published
 
 
 @dataclass(frozen=True)
@@ -98,15 +99,20 @@ def run(t: Tables, p: Params) -> Result:
 
 def pipeline(t: Tables, p: Params, sheet_path: str | None = None, log_path: str | None = None,
              run_id: str | None = None) -> Result:
-    """Run the job and, when paths are given, write its outputs (SNK-1..3):
-    the sheet replaces every country of the catalog, the log is appended
-    (once per ``run_id``, where given)."""
+    """Run the job and, when paths are given, publish its outputs (SNK-1..3).
+
+    The sheet replaces every country of the catalog in one version; the log gets the rows
+    of this run, ``run_id`` (by default its clock), which replace those of the same run.
+    Both are read through :class:`~shelfmatch.sources.published.Published`.
+    """
     r = run(t, p)
+    spark = r.sheet.sparkSession
     if sheet_path:
-        countries = [c[0] for c in t.retailer_products.select("COUNTRY").distinct().collect()]
-        sinks.replace_partition(r.sheet, sheet_path, processed=countries)
+        countries = [c[0] for c in t.retailer_products.select("COUNTRY").distinct().collect()]      # one row per country
+        Published(spark, sheet_path).replace(r.sheet, countries, note=str(p.as_of))
     if log_path:
-        sinks.append_log(r.log, log_path, run_id)
+        run_id = run_id or str(p.as_of)
+        Published(spark, log_path, keys=("RUN_ID",)).replace(r.log.withColumn("RUN_ID", F.lit(run_id)), [run_id])
     return r
 
 

@@ -11,6 +11,7 @@ from shelfmatch.plans import pipeline as PL
 from shelfmatch.plans import sqlfrag as Q
 from shelfmatch.plans import standins as S
 from shelfmatch.plans.registry import ORACLES, query
+from shelfmatch.sources.tables import curated_ids
 
 
 def _run(spark: SparkSession, sf: str, **kw) -> PL.Result:
@@ -49,6 +50,33 @@ def catalog_pipeline(spark: SparkSession, sf: str) -> DataFrame:
     return _run(spark, sf).log
 
 
+def _gated(spark: SparkSession, sf: str):
+    """Extract with curated ids by country and the gate on."""
+    t = PL.tables_from_testdata(spark, sf)._replace(rp_analytics=S.rp_analytics(spark, sf, S.CAT3_SOME), sot_ids=curated_ids(S.curated(spark, sf)))
+    return PL.extract(t, PL.Params(as_of=S.AS_OF, defect_join_keys=("ORDER_ID",), reasons=S.TICKET_REASONS, hold_back_disagreeing=True))
+
+
+@query("gate_report", oracle="WITH " + Q.COUNTRY_INPUTS + "," + Q.COUNTRY_CATALOG_RP + "," + Q.GATE + """
+SELECT *, n_disagreeing > 0 AS held_back FROM gate""")
+def gate_report(spark: SparkSession, sf: str) -> DataFrame:
+    """PIP-6: every country's curated MPs, those that disagree on a roll-up key, and whether the country is held back."""
+    return _gated(spark, sf).gate
+
+
+@query("gated_split", oracle="WITH " + Q.COUNTRY_INPUTS + "," + Q.COUNTRY_CATALOG_RP + "," + Q.GATE + "," + Q.ROLLUP + """
+SELECT m.COUNTRY, m.NAME, m.MASTER_PRODUCT_ID, m.CAT3_NAME, m.IN_SOT, round(GMV_T, 6) AS GMV_T,
+       CAST(N_ASSOCIATED_RETAILERS AS BIGINT) AS N_ASSOCIATED_RETAILERS,
+       CASE WHEN sot.MASTER_PRODUCT_ID IS NULL THEN 'opportunity' ELSE 'curated' END AS side
+FROM mps m LEFT JOIN sot ON sot.MASTER_PRODUCT_ID = m.MASTER_PRODUCT_ID AND sot.COUNTRY = m.COUNTRY
+WHERE m.COUNTRY NOT IN (SELECT COUNTRY FROM gate WHERE n_disagreeing > 0)""")
+def gated_split(spark: SparkSession, sf: str) -> DataFrame:
+    """SRC-5, JN-6, JN-7, PIP-6, PIP-7: the roll-up of the countries that pass, split by their own curated sets."""
+    cat = _gated(spark, sf)
+    cols = ["COUNTRY", "NAME", "MASTER_PRODUCT_ID", "CAT3_NAME", "IN_SOT", F.round("GMV_T", 6).alias("GMV_T"), "N_ASSOCIATED_RETAILERS"]
+    return (cat.sot_mps.select(*cols, F.lit("curated").alias("side"))
+            .unionByName(cat.opportunity_mps.select(*cols, F.lit("opportunity").alias("side"))))
+
+
 _RID = "concat_ws(chr(1), COUNTRY, NAME, CAST(MASTER_PRODUCT_ID AS VARCHAR), CAT1_NAME, CAT2_NAME, CAT3_NAME, " \
        "MAKER, TRADEMARK, CAST(IN_SOT AS VARCHAR))"
 _NGRAM = r"regexp_replace({f}, '^\$[a-zA-Z0-9_]+\$|[,\-./]|\sBD', '', 'g')"

@@ -30,4 +30,4 @@ def query(name: str, oracle: str | None = None):
 def load_all() -> None:
     """Import every plan module so their queries register themselves."""
     from shelfmatch.plans import (catalog_queries, corpus, metric_queries, pipeline_queries,  # noqa: F401
-                                  text_queries)
+                                  table_queries, text_queries)

@@ -120,3 +120,16 @@ mps AS (SELECT COUNTRY, coalesce(NAME, 'NULL_VALUE') AS NAME, MASTER_PRODUCT_ID,
 
 ALL_INPUTS = ",".join([S.ORDER_LINES_SQL, S.FEED_SQL, S.ASSEMBLED_SQL, S.SOT_SQL, FILL_RATE, DEFECT_RATE,
                        FEED_SNAPSHOT])
+
+# The same job with curated ids by country, and third categories that differ in some countries.
+COUNTRY_INPUTS = ",".join([S.ORDER_LINES_SQL, S.FEED_SQL, S.ASSEMBLED_SOME_SQL, S.CURATED_SQL, FILL_RATE, DEFECT_RATE, FEED_SNAPSHOT])
+COUNTRY_CATALOG_RP = CATALOG_RP.replace("sot.MASTER_PRODUCT_ID = b.MASTER_PRODUCT_ID", "sot.MASTER_PRODUCT_ID = b.MASTER_PRODUCT_ID AND sot.COUNTRY = b.COUNTRY")
+_ATTRS = ("NAME", "CAT1_NAME", "CAT2_NAME", "CAT3_NAME", "MAKER", "TRADEMARK", "IN_SOT")
+GATE = """
+spread AS (SELECT COUNTRY, MASTER_PRODUCT_ID, """ + ", ".join(
+    f"count(DISTINCT coalesce(CAST({a} AS VARCHAR), 'NULL_VALUE')) AS n_{a}" for a in _ATTRS) + """
+  FROM rp WHERE IN_SOT GROUP BY 1, 2),
+gate AS (SELECT c.COUNTRY, count(s.MASTER_PRODUCT_ID) AS n_curated,
+    count(s.MASTER_PRODUCT_ID) FILTER (greatest(""" + ", ".join(f"n_{a}" for a in _ATTRS) + """) > 1) AS n_disagreeing, """ + ", ".join(
+    f"count(s.MASTER_PRODUCT_ID) FILTER (n_{a} > 1) AS n_{a}" for a in _ATTRS) + """
+  FROM (SELECT DISTINCT COUNTRY FROM rp) c LEFT JOIN spread s ON s.COUNTRY = c.COUNTRY GROUP BY 1)"""

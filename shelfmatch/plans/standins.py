@@ -220,9 +220,9 @@ def master_products(spark: SparkSession, sf: str) -> DataFrame:
         F.parse_json(F.expr(_MP_PRESENTATION)).alias("PRESENTATION"), F.expr(_MP_STATUS).alias("STATUS"), F.expr(_MP_DELETED).alias("IS_DELETED"))
 
 
-def rp_analytics(spark: SparkSession, sf: str) -> DataFrame:
+def rp_analytics(spark: SparkSession, sf: str, cat3: str = _CAT3) -> DataFrame:
     """Names, categories and photos by retailer product; some names and photos are null."""
-    cols = {"RETAILER_ID": "l_suppkey", "MP_NAME": _MP_NAME, "CAT1_NAME": "p_type", "CAT2_NAME": _CAT2, "CAT3_NAME": _CAT3, "MAKER": _MAKER,
+    cols = {"RETAILER_ID": "l_suppkey", "MP_NAME": _MP_NAME, "CAT1_NAME": "p_type", "CAT2_NAME": _CAT2, "CAT3_NAME": cat3, "MAKER": _MAKER,
             "TRADEMARK": "p_brand", "EAN": "CAST(p_partkey AS STRING)", "MP_PHOTO_URL": _MP_PHOTO}
     j = _with_part(_pairs(spark, sf), spark, sf, "p_name", "p_brand", "p_type", "p_size")
     return j.select("COUNTRY", rp_id(F.col("l_partkey"), F.col("l_suppkey")).alias("RETAILER_PRODUCT_ID"), *[F.expr(e).alias(n) for n, e in cols.items()])
@@ -271,6 +271,24 @@ catalog_base AS (SELECT DISTINCT cp.RETAILER_ID, cp.MP_NAME AS NAME, cp.CAT1_NAM
   WHERE cp.MP_PHOTO_URL IS NOT NULL AND cp.MP_NAME IS NOT NULL)"""
 
 
+# Third categories that retailers of one MP give differently in some countries only (for the gate).
+CAT3_SOME = "CASE WHEN l_suppkey % 2 = 0 AND COUNTRY < 'NATION_16' THEN 'special' ELSE CAST(p_size AS STRING) END"
+ASSEMBLED_SOME_SQL = ASSEMBLED_SQL.replace(_CAT3, CAT3_SOME)
+_CURATED = "(p_type = 'PROMO' AND l_partkey % 3 <> 0) OR (p_type IN ('ECONOMY', 'SMALL') AND length(COUNTRY) % 2 = 0)"
+_CURATED_DELETED = "CASE WHEN l_partkey % 11 = 0 THEN CAST(NULL AS BOOLEAN) ELSE l_partkey % 7 = 0 END"
+
+
+def curated(spark: SparkSession, sf: str) -> DataFrame:
+    """Curated MPs of each country: an id may be curated in one and not in another; some entries are deleted."""
+    own = _with_part(_pairs(spark, sf).select("COUNTRY", "l_partkey").distinct(), spark, sf, "p_type")
+    return own.where(_CURATED).select("COUNTRY", F.col("l_partkey").alias("MASTER_PRODUCT"), F.expr(_CURATED_DELETED).alias("IS_DELETED"))
+
+
+CURATED_SQL = f"""
+curated AS (SELECT DISTINCT COUNTRY, l_partkey AS MASTER_PRODUCT, {_CURATED_DELETED} AS IS_DELETED FROM own WHERE {_CURATED}),
+sot AS (SELECT DISTINCT COUNTRY, MASTER_PRODUCT AS MASTER_PRODUCT_ID FROM curated WHERE IS_DELETED = FALSE)"""
+
+
 def sot(spark: SparkSession, sf: str) -> DataFrame:
     """Curated MPs: distinct part keys of type PROMO (not deleted)."""
     p = table(spark, sf, "part").select("p_partkey", "p_type")

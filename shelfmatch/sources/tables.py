@@ -6,6 +6,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 TEST_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
                "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -54,6 +55,46 @@ def country_union(spark: SparkSession, template: str, countries: Iterable[str],
     return out
 
 
+def country_table(spark: SparkSession, template: str, countries: Iterable[str], path: str,
+                  country_col: str = "COUNTRY") -> DataFrame:
+    """SRC-3: per-country tables, named by ``template``, as one table partitioned by country.
+
+    Each name is bound as an identifier parameter, never printed into SQL. One job
+    writes all countries, each read once; a later run replaces the folders of the
+    countries that it is given. What is read back knows every country's folder, so
+    a filter or a join on the country opens the folders it needs and no others.
+    """
+    frames = [spark.sql(f"SELECT *, :country AS {country_col} FROM IDENTIFIER(:name)", args={"country": c, "name": f"`{template.format(country=c)}`"})
+              for c in countries]
+    if not frames:
+        raise ValueError("no countries given")
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f, allowMissingColumns=True)
+    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(country_col).parquet(path)
+    fields = [f for f in out.schema.fields if f.name != country_col]
+    return spark.read.schema(StructType([*fields, out.schema[country_col]])).parquet(path)
+
+
+#: Most rows of a parameter frame (one per country) that are sent to every task.
+MAX_COUNTRIES = 10_000
+
+
+def country_scan(table: DataFrame, params: DataFrame, country_col: str = "COUNTRY") -> DataFrame:
+    """SRC-3: the rows of the countries in ``params``, with its other columns beside them.
+
+    ``params`` has one row per country, which is checked, and is then broadcast; Spark
+    turns the join into a run-time filter on the table's partitions (dynamic partition
+    pruning), so folders of other countries are not read.
+    """
+    # A null or empty name is no country; a filter on this side is also what makes Spark plan the pruning.
+    params = params.where(F.col(country_col) > "")
+    n, countries = params.agg(F.count(F.lit(1)), F.count_distinct(country_col)).first()
+    if n != countries:
+        raise ValueError("parameters need one row per country")
+    return table.join(F.broadcast(params) if n <= MAX_COUNTRIES else params, country_col)
+
+
 def curated_ids(sot: DataFrame, id_col: str = "MASTER_PRODUCT", deleted_col: str | None = "IS_DELETED",
                 keys: tuple[str, ...] = ("COUNTRY",)) -> DataFrame:
     """SRC-5: distinct curated ids (not deleted), one row per (country, id).

@@ -1,6 +1 @@
-"""Structured Streaming entry points.
-
-The reference has no streaming code (one batch loop over countries), so
-nothing is built here yet; every operator in ``shelfmatch.operators`` is a
-plain DataFrame transformation and can be applied inside ``foreachBatch``.
-"""
+"""Structured Streaming: the feed-driven refresh of the roll-up (``refresh``)."""

@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as E
 from shelfmatch.plans import registry
+from shelfmatch.sources.published import Published
 from tests.conftest import SF001
 
 
@@ -59,10 +60,12 @@ def test_pipeline_writes_sinks(spark, tmp_out):
     p = PL.Params(as_of=S.AS_OF, defect_join_keys=("ORDER_ID",), reasons=S.TICKET_REASONS)
     sheet_path, log_path = os.path.join(tmp_out, "sheet"), os.path.join(tmp_out, "log")
     r = PL.pipeline(t, p, sheet_path, log_path)
-    sheet = spark.read.parquet(sheet_path)
-    assert sheet.count() == r.sheet.count()
-    assert "COUNTRY" in sheet.columns and len(sheet.columns) == 29      # 28 sheet columns + partition column
-    assert spark.read.parquet(log_path).count() == r.log.count()
+    sheet, log = Published(spark, sheet_path), Published(spark, log_path, keys=("RUN_ID",))
+    n = r.sheet.count()
+    assert sheet.read().count() == n and len(sheet.read().columns) == 29      # 28 sheet columns + COUNTRY
+    assert log.read().count() == r.log.count()
+    PL.pipeline(t, p, sheet_path, log_path)                                    # the same run again
+    assert sheet.latest == 2 and sheet.read().count() == n and log.read().count() == r.log.count()
 
 
 def test_strict_compat_first_row_lookup(spark):
