@@ -7,15 +7,19 @@ so they are the same in all documents and tasks without exchange. With each symb
 the range of words that decided it (its context). Equal passages therefore agree on
 every symbol whose context lies inside them.
 
-A high-level symbol with its context occurring in one document only proves that no window
-around that context repeats elsewhere. Spark counts the documents of each symbol (named
-by the words of its context); the symbols found once go back to their document. Only
-windows free of such symbols are compared, by 128-bit names of all their words: of each
-name the first window (smallest id, then start) stays and the words of the later ones go.
-
-Null and empty texts have no words; texts shorter than a window lose nothing. Of rows
-that share an id each is judged on that id. Null ids order first and come back null. An empty
-table gives an empty result; ``deduplicated`` keeps extra columns.
+Every window of the text picks one high-level symbol whose context it holds, the one of
+least name, so equal windows pick alike and only about one symbol in six words is sent.
+A symbol picked in one document only proves that no window that picked it repeats
+elsewhere. Spark counts the documents of each symbol (named by the words of its context);
+the windows of the symbols found once go back to their document. Only the others are compared, by 128-bit names of all their words: of each name the first window
+(smallest id, then start) stays and the words of the later ones go.
+
+Rows are named by a 64-bit hash of id and text, so rows that share an id, or have none,
+are judged each by its own text; among them the smaller start comes first, then the
+smaller name. Equal rows of one id have one name: none of them starts before another.
+Null and empty texts have no words; texts shorter than a window lose nothing. Null ids
+order first and come back null. An empty table gives an empty result; ``deduplicated``
+keeps extra columns, whatever their names, and the type of ids.
 """
 
 from __future__ import annotations
@@ -31,8 +35,8 @@ from shelfmatch.llm import textcols as T
 
 WINDOW, ROUNDS = 20, 3
 FAR = 1 << 40
-#: Inner columns beside the input's own.
-MARKS, FIRSTS = "__window_marks", "__window_firsts"
+#: Inner columns; those of the input travel in a struct beside them.
+KEY, MARKS, FIRSTS = "key", "marks", "firsts"
 
 
 def parse(name: np.ndarray, first: np.ndarray, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
@@ -79,24 +83,46 @@ def _ids(b: pa.RecordBatch) -> np.ndarray:
     return np.array(pc.fill_null(b.column("doc_id").cast(pa.int64()), T.NULL_ID))
 
 
+def picked(n1: np.ndarray, first: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(lo, hi, name) of the symbols of at most a window, and which of them each window picks (-1: it holds none).
+
+    Of symbols that open at one word the narrowest counts."""
+    lo, hi = parse(n1, first)
+    ok = hi - lo <= window
+    order = np.lexsort((hi[ok], lo[ok]))
+    lo, hi = lo[ok][order], hi[ok][order]
+    lead = np.r_[True, lo[1:] != lo[:-1]][:len(lo)]
+    lo, hi = lo[lead], hi[lead]
+    name = T.range_hash(n1, lo, hi, 91)
+    _, at = T.windows(first, window)
+    none = np.uint64(2**64 - 1)
+    rank, width, which = np.full(len(n1), none), np.zeros(len(n1), dtype=np.int8), np.zeros(len(n1), dtype=np.int32)
+    rank[lo], width[lo], which[lo] = T.mix(name, 92), hi - lo, np.arange(len(lo))
+    least, pick = np.full(len(at), none), np.full(len(at), -1, dtype=np.int32)
+    for j in range(window if len(at) else 0):
+        better = np.flatnonzero((rank[at + j] < least) & (width[at + j] <= window - j))
+        least[better], pick[better] = rank[at[better] + j], which[at[better] + j]
+    return lo, hi, name, pick
+
+
 def symbols(docs: DataFrame, window: int) -> DataFrame:
-    """(name, doc_id, at): distinct high-level symbols of a document; at = 32 * context start + width - 1."""
+    """(name, key, at): distinct picked symbols of a row; at = 32 * first window that picks it + number of windows - 1."""
     def run(batches):
         for b in T.small_batches(batches):
             w = T.split_words(b.column("text"))
             n1, _ = names_of(w)
-            lo, hi = parse(n1, w.first)
-            ok = hi - lo <= window
-            lo, hi = np.unique(np.stack([lo[ok], hi[ok]]), axis=1) if ok.any() else (lo[:0], hi[:0])
-            key = T.range_hash(n1, lo, hi, 91)
-            doc = np.searchsorted(w.first, lo, "right") - 1
-            pair = T.mix(key ^ T.mix(doc.astype(np.uint64), 92), 93)
-            _, pick = np.unique(pair, return_index=True)
-            at = (lo - w.first[doc]) * 32 + (hi - lo - 1)
+            _, _, name, pick = picked(n1, w.first, window)
+            doc, start = T.windows(w.first, window)
+            # Stretches of windows that pick one symbol; at most ``window`` of them hold it.
+            opens = np.flatnonzero(np.r_[True, (pick[1:] != pick[:-1]) | (doc[1:] != doc[:-1])][:len(pick)])
+            count = np.diff(np.r_[opens, len(pick)])
+            opens, count = opens[pick[opens] >= 0], count[pick[opens] >= 0]
+            doc, start, name = doc[opens], start[opens] - w.first[doc[opens]], name[pick[opens]]
+            _, one = np.unique(T.mix(name ^ T.mix(doc.astype(np.uint64), 92), 93), return_index=True)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(key[pick].view(np.int64)), pa.array(_ids(b)[doc[pick]], pa.int64()), pa.array(at[pick], pa.int64())],
-                ["name", "doc_id", "at"])
-    return docs.mapInArrow(run, "name long, doc_id long, at long")
+                [pa.array(name[one].view(np.int64)), pa.array(np.array(b.column(KEY))[doc[one]], pa.int64()), pa.array((start * 32 + count - 1)[one], pa.int64())],
+                ["name", KEY, "at"])
+    return docs.select(KEY, "text").mapInArrow(run, f"name long, {KEY} long, at long")
 
 
 def window_state(w: T.Words, marks: list, window: int):
@@ -108,10 +134,9 @@ def window_state(w: T.Words, marks: list, window: int):
     for i, own in enumerate(marks):
         if own is not None and len(own):
             own = np.asarray(own, dtype=np.int64)
-            lo, width = own // 32 + w.first[i], own % 32 + 1
-            # The context lo..lo+width lies in windows that start in [lo + width - window, lo].
-            np.add.at(edge, np.maximum(lo + width - window, w.first[i]), 1)
-            np.add.at(edge, lo + 1, -1)
+            own = own[own // 32 + own % 32 < w.first[i + 1] - w.first[i]]    # two rows of one name, at worst
+            np.add.at(edge, own // 32 + w.first[i], 1)
+            np.add.at(edge, own // 32 + own % 32 + 1 + w.first[i], -1)
     open_ = (np.cumsum(edge) == 0)[at] if len(at) else np.zeros(0, dtype=bool)
     order = np.lexsort((at, h2, h1, doc))
     a, z = order[:-1], order[1:]
@@ -121,7 +146,7 @@ def window_state(w: T.Words, marks: list, window: int):
 
 
 def open_windows(marked: DataFrame, window: int) -> DataFrame:
-    """(h1, h2, doc_id, start) of windows that may occur in several documents, the first in each."""
+    """(h1, h2, doc_id, start, key) of windows that may occur in several documents, the first in each."""
     def run(batches):
         for b in T.small_batches(batches):
             w = T.split_words(b.column("text"))
@@ -129,8 +154,9 @@ def open_windows(marked: DataFrame, window: int) -> DataFrame:
             take = open_ & ~later
             yield pa.RecordBatch.from_arrays(
                 [pa.array(h1[take].view(np.int64)), pa.array(h2[take].view(np.int64)), pa.array(_ids(b)[doc[take]], pa.int64()),
-                 pa.array((at - w.first[doc])[take], pa.int32())], ["h1", "h2", "doc_id", "start"])
-    return marked.select("doc_id", "text", MARKS).mapInArrow(run, "h1 long, h2 long, doc_id long, start int")
+                 pa.array((at - w.first[doc])[take], pa.int32()), pa.array(np.array(b.column(KEY))[doc[take]], pa.int64())],
+                ["h1", "h2", "doc_id", "start", KEY])
+    return marked.select("doc_id", KEY, "text", MARKS).mapInArrow(run, f"h1 long, h2 long, doc_id long, start int, {KEY} long")
 
 
 def covered(w: T.Words, marks: list, firsts: list, window: int) -> np.ndarray:
@@ -139,7 +165,8 @@ def covered(w: T.Words, marks: list, firsts: list, window: int) -> np.ndarray:
     is_first = np.zeros(len(w.start), dtype=bool)
     for i, own in enumerate(firsts):
         if own is not None and len(own):
-            is_first[np.asarray(own, dtype=np.int64) + w.first[i]] = True
+            own = np.asarray(own, dtype=np.int64) + w.first[i]
+            is_first[own[own < w.first[i + 1]]] = True
     gone = later | (open_ & ~is_first[at])
     edge = np.zeros(len(w.start) + 1, dtype=np.int64)
     np.add.at(edge, at[gone], 1)
@@ -147,17 +174,21 @@ def covered(w: T.Words, marks: list, firsts: list, window: int) -> np.ndarray:
     return np.cumsum(edge)[:-1] > 0
 
 
-def judged(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``docs`` with marks (symbols of no other document) and firsts (starts of first windows)."""
-    keyed = docs.withColumn("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(T.NULL_ID)))
-    slim = keyed.select("doc_id", "text")
-    once = (symbols(slim, window).groupBy("name")
-            .agg(F.count("*").alias("n"), F.first("doc_id").alias("doc_id"), F.first("at").alias("at")).where("n = 1"))
-    marks = once.groupBy("doc_id").agg(F.collect_list("at").alias(MARKS))
-    marked = slim.join(marks, "doc_id", "left")
-    firsts = (open_windows(marked, window).groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "start")).alias("f"))
-              .groupBy(F.col("f.doc_id").alias("doc_id")).agg(F.collect_list("f.start").alias(FIRSTS)))
-    return keyed.join(marks, "doc_id", "left").join(firsts, "doc_id", "left")
+def judged(docs: DataFrame, window: int = WINDOW, carry: tuple = ()) -> DataFrame:
+    """doc_id, text, the columns of ``carry`` as a struct, marks (windows that picked a symbol of no other row) and firsts (starts of first windows)."""
+    if window > 32:
+        raise ValueError("windows of more than 32 words do not fit the packed symbols")
+    text = F.col("text").cast("string")
+    own = F.coalesce(F.col("doc_id").cast("long"), F.lit(T.NULL_ID))
+    row = F.struct(*carry).alias("row") if carry else F.lit(None).cast("boolean").alias("row")
+    keyed = docs.select(own.alias("doc_id"), text.alias("text"), F.xxhash64(own, text).alias(KEY), row)
+    once = (symbols(keyed, window).groupBy("name").agg(F.min(KEY).alias(KEY), F.max(KEY).alias("other"), F.first("at").alias("at"))
+            .where(F.col(KEY) == F.col("other")))
+    marks = once.groupBy(KEY).agg(F.collect_list("at").alias(MARKS))
+    marked = keyed.join(marks, KEY, "left")
+    firsts = (open_windows(marked, window).groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "start", KEY)).alias("f"))
+              .groupBy(F.col(f"f.{KEY}").alias(KEY)).agg(F.collect_list("f.start").alias(FIRSTS)))
+    return marked.join(firsts, KEY, "left")
 
 
 def _real_id(ids: np.ndarray) -> pa.Array:
@@ -182,7 +213,7 @@ def report(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [_real_id(_ids(b)), pa.array(np.diff(w.first), pa.int64()), pa.array(T.per_doc(gone, w.first), pa.int64()),
                  pa.array(sha)], ["doc_id", "n_words", "n_removed", "kept_sha256"])
-    return judged(docs.select("doc_id", "text"), window).mapInArrow(
+    return judged(docs, window).select("doc_id", "text", MARKS, FIRSTS).mapInArrow(
         run, "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 
@@ -196,16 +227,15 @@ def deduplicated(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             w = T.split_words(b.column("text"))
             gone = covered(w, b.column(MARKS).to_pylist(), b.column(FIRSTS).to_pylist(), window)
             lost, had = T.per_doc(gone, w.first), np.diff(w.first)
-            old = b.column("text").to_pylist()
-            new = [t if n else o for t, n, o in zip(_kept_texts(w, gone), lost, old)]
-            cols = {"text": pa.array(new, pa.string()), "doc_id": _real_id(_ids(b)).cast(pa.int64())}
-            if "n_chars" in b.schema.names:
-                chars = pc.if_else(pa.array(lost > 0), pc.utf8_length(cols["text"]).cast(b.column("n_chars").type), b.column("n_chars"))
-                cols["n_chars"] = chars
-            out = pa.RecordBatch.from_arrays([cols.get(n, b.column(n)) for n in schema.names], schema.names)
+            row = pa.RecordBatch.from_struct_array(b.column("row"))
+            new = pa.array([t if n else o for t, n, o in zip(_kept_texts(w, gone), lost, b.column("text").to_pylist())], pa.string())
+            cols = {"text": new.cast(row.schema.field("text").type)}
+            if "n_chars" in row.schema.names:
+                cols["n_chars"] = pc.if_else(pa.array(lost > 0), pc.utf8_length(new).cast(row.column("n_chars").type), row.column("n_chars"))
+            out = pa.RecordBatch.from_arrays([cols.get(n, row.column(n)) for n in schema.names], schema.names)
             yield out.filter(pa.array(~((lost == had) & (had > 0))))
 
-    return judged(docs, window).select(*docs.columns, MARKS, FIRSTS).mapInArrow(run, schema)
+    return judged(docs, window, tuple(schema.names)).select("text", "row", MARKS, FIRSTS).mapInArrow(run, schema)
 
 
 def op1_substring_dedup(spark, sf_dir):

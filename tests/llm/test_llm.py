@@ -51,6 +51,36 @@ def test_substring_dedup(spark):
     assert out.columns == ["doc_id", "text", "marks", "id"] and 21 not in [r[0] for r in out.collect()]
 
 
+def test_substring_dedup_where_ids_repeat_or_are_null(spark):
+    rng = random.Random(12)
+    words = lambda n: " ".join(f"v{rng.randrange(10**6)}" for _ in range(n))
+    p = words(60)
+    cases = [([(None, words(60)), (None, words(25))], [0, 0]), ([(1, words(200)), (1, words(120))], [0, 0]),
+             ([(1, p), (5, words(25)), (5, words(30) + " " + p + " " + words(30))], [0, 0, 60]),
+             ([(5, words(40)), (5, words(10) + " " + p), (6, words(5) + " " + p)], [0, 0, 60]),
+             ([(7, p), (7, words(9) + " " + p)], [0, 60]), ([(None, words(3) + " " + p), (None, p), (2, p)], [60, 0, 60]), ([(8, p), (8, p)], [0, 0])]
+    for rows, gone in cases:
+        df = spark.createDataFrame([(i, t, "m", k) for k, (i, t) in enumerate(rows)], "doc_id int, text string, key string, marks long")
+        got = sorted((r["n_words"], r["n_removed"]) for r in substrings.report(df).collect())
+        assert got == sorted((len(t.split()), g) for (_, t), g in zip(rows, gone))
+        out = substrings.deduplicated(df)
+        assert out.schema == df.schema
+        assert {r["marks"] for r in out.collect()} == {k for k, ((_, t), g) in enumerate(zip(rows, gone)) if g < len(t.split())}
+
+
+def test_equal_windows_pick_equal_symbols():
+    rng = np.random.default_rng(1)
+    passage = rng.integers(0, 40, 200).astype(np.uint64)
+    names = [np.r_[rng.integers(0, 40, k).astype(np.uint64), passage, rng.integers(0, 40, 9).astype(np.uint64)] for k in (3, 11, 0)]
+    seen = []
+    for k, n in zip((3, 11, 0), names):
+        lo, hi, name, pick = substrings.picked(substrings.T.mix(n), np.array([0, len(n)]), 20)
+        inner = [(x, lo[pick[x]] - x, hi[pick[x]] - x, name[pick[x]]) for x in range(k, k + 181)]
+        assert all(p >= 0 for p in pick[k:k + 181]) and all(0 <= a < z <= 20 for _, a, z, _ in inner)
+        seen.append([(a, z, x) for _, a, z, x in inner])
+    assert seen[0] == seen[1] == seen[2] and len({x for _, _, x in seen[0]}) < 80
+
+
 def test_near_duplicates(spark):
     lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     sets = {}
