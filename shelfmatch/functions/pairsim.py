@@ -37,8 +37,28 @@ def edit_ratio(ca: Column, cb: Column) -> Column:
     return F.when(m > 0, 1 - F.levenshtein(ca, cb) / m)
 
 
-def _tf(arr: Column, t: Column) -> Column:
-    return F.size(F.filter(arr, lambda x: x == t))
+def _merged(ta: Column, tb: Column, start: Column, close) -> Column:
+    """One pass over the tokens of both sides in sorted order.
+
+    Each token stands with its side; equal tokens meet, are counted for both
+    sides and handed to ``close(state, in_a, in_b)`` once, which returns the new
+    state (a struct like ``start``). After the sort the work is linear in the tokens.
+    """
+    tagged = F.array_sort(F.concat(F.transform(ta, lambda t: F.struct(t.alias("t"), F.lit(0).alias("side"))),
+                                   F.transform(tb, lambda t: F.struct(t.alias("t"), F.lit(1).alias("side")))))
+    one = F.lit(1).cast("long")
+    zero = F.lit(0).cast("long")
+
+    def step(acc, x):
+        same = acc["t"] == x["t"]
+        in_a, in_b = (F.when(x["side"] == side, one).otherwise(zero) for side in (0, 1))
+        return F.struct(x["t"].alias("t"), (F.when(same, acc["a"]).otherwise(zero) + in_a).alias("a"),
+                        (F.when(same, acc["b"]).otherwise(zero) + in_b).alias("b"),
+                        F.when(same, acc["s"]).otherwise(close(acc["s"], acc["a"], acc["b"])).alias("s"))
+
+    # No token is empty, so the empty string stands for "none yet"; its counts of 0 add nothing.
+    first = F.struct(F.lit("").alias("t"), zero.alias("a"), zero.alias("b"), start.alias("s"))
+    return F.aggregate(tagged, first, step, lambda acc: close(acc["s"], acc["a"], acc["b"]))
 
 
 def cosine_tokens(ta: Column, tb: Column) -> Column:
@@ -48,23 +68,21 @@ def cosine_tokens(ta: Column, tb: Column) -> Column:
     neither side has a token, 0 when only one side is empty.
     """
     solo = math.log(1.5) + 1.0
-    da, db = F.array_distinct(ta), F.array_distinct(tb)
 
-    def sq_norm(toks, dist, other):
-        return F.aggregate(dist, F.lit(0.0), lambda acc, t: acc + F.pow(
-            _tf(toks, t) * F.when(F.array_contains(other, t), F.lit(1.0)).otherwise(F.lit(solo)), 2))
-    dot = F.aggregate(F.array_intersect(da, db), F.lit(0.0),
-                      lambda acc, t: acc + _tf(ta, t) * _tf(tb, t))
+    def close(s, a, b):
+        idf = F.when((a > 0) & (b > 0), F.lit(1.0)).otherwise(F.lit(solo))
+        return F.struct((s["dot"] + a * b).alias("dot"), (s["na"] + F.pow(a * idf, 2)).alias("na"), (s["nb"] + F.pow(b * idf, 2)).alias("nb"))
+
+    sums = _merged(ta, tb, F.struct(*[F.lit(0.0).alias(n) for n in ("dot", "na", "nb")]), close)
     return (F.when((F.size(ta) == 0) & (F.size(tb) == 0), F.lit(None).cast("double"))
             .when((F.size(ta) == 0) | (F.size(tb) == 0), F.lit(0.0))
-            .otherwise(dot / F.sqrt(sq_norm(ta, da, db) * sq_norm(tb, db, da))))
+            .otherwise(F.aggregate(F.array(sums), F.lit(0.0), lambda _, s: s["dot"] / F.sqrt(s["na"] * s["nb"]))))
 
 
 def containment_tokens(ta: Column, tb: Column) -> Column:
     """Σ min(count_A, count_B) / Σ count_A; NULL when A has no token."""
-    inter = F.aggregate(F.array_distinct(ta), F.lit(0),
-                        lambda acc, t: acc + F.least(_tf(ta, t), _tf(tb, t)))
-    return F.when(F.size(ta) > 0, inter / F.size(ta))
+    inter = _merged(ta, tb, F.struct(F.lit(0).cast("long").alias("low")), lambda s, a, b: F.struct((s["low"] + F.least(a, b)).alias("low")))
+    return F.when(F.size(ta) > 0, inter["low"] / F.size(ta))
 
 
 def _tokens(c: Column) -> Column:
@@ -140,6 +158,48 @@ def with_pair_scores(df: DataFrame, a: str, b: str, scores=PAIR_SCORES,
     return x.select(*base, *[out[k].alias(prefix + k) for k in scores])
 
 
+# Fixed value: the token-ratio clean-up removes the characters 128..255.
+_LATIN1_HIGH = "".join(map(chr, range(128, 256)))
+
+
+def ratio_tokens(c: Column) -> Column:
+    """Tokens of a text for SIM-9 and SIM-10: characters 128..255 dropped, runs of letters, digits and
+    underscores in lower case, sorted."""
+    kept = F.lower(F.translate(c, _LATIN1_HIGH, ""))
+    return F.array_sort(F.regexp_extract_all(kept, F.lit(r"[\p{L}\p{N}_]+"), 0))
+
+
+def token_sort_strings(a: Column, b: Column) -> tuple[Column, Column]:
+    """SIM-9: the sorted tokens of either side, joined by a space."""
+    return F.array_join(ratio_tokens(a), " "), F.array_join(ratio_tokens(b), " ")
+
+
+def token_set_strings(a: Column, b: Column) -> tuple[Column, Column, Column]:
+    """SIM-10: shared tokens, and shared then other tokens of either side (each once, sorted)."""
+    ta, tb = F.array_distinct(ratio_tokens(a)), F.array_distinct(ratio_tokens(b))
+    both = F.array_sort(F.array_intersect(ta, tb))
+    return tuple(F.array_join(x, " ") for x in (both, F.concat(both, F.array_except(ta, tb)), F.concat(both, F.array_except(tb, ta))))
+
+
+def _percent(common: Column, a: Column, b: Column) -> Column:
+    """2 * common / (|a| + |b|) in whole percent (halves to even), / 100; an empty side gives 0, equal sides 1."""
+    share = F.bround(100.0 * ((2.0 * common) / (F.length(a) + F.length(b))), 0) / 100.0
+    return F.when(a == b, F.lit(1.0)).when((a == "") | (b == ""), F.lit(0.0)).otherwise(share)
+
+
+def token_sort_ratio(a: Column, b: Column, lcs: Column) -> Column:
+    """SIM-9 of the two strings of :func:`token_sort_strings` and the length of their longest common subsequence."""
+    return _percent(lcs, a, b)
+
+
+def token_set_ratio(both: Column, a: Column, b: Column, lcs: Column) -> Column:
+    """SIM-10 of the strings of :func:`token_set_strings`: the best of three ratios; ``lcs`` is that of ``a`` and ``b``.
+
+    The shared tokens begin both others, so what they have in common with those is their own length."""
+    best = F.greatest(_percent(F.length(both), both, a), _percent(F.length(both), both, b), _percent(lcs, a, b))
+    return F.when((a == "") | (b == ""), F.lit(0.0)).otherwise(best)
+
+
 def distance_score(d: Column) -> Column:
     """SIM-8: round(1 - exp(-15 * exp(-0.16 d)), 8)."""
     return F.round(1 - F.exp(-CURVE_SCALE * F.exp(-CURVE_DECAY * d.cast("double"))), 8)

@@ -6,13 +6,12 @@ the full cross product. Per-row work is a small helper each.
 
 from __future__ import annotations
 
-import difflib
 import unicodedata
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType, StringType
+from pyspark.sql.types import LongType, StringType
 
 
 def damerau_levenshtein_distance(a: str, b: str) -> int:
@@ -134,46 +133,60 @@ def damerau_many(a: list, b: list) -> list:
     return out
 
 
-# Fixed value: the token-ratio clean-up removes the characters 128..255.
-_LATIN1_HIGH = dict.fromkeys(range(128, 256))
+#: Cells (pairs x padded length) that one block of the subsequence kernel compares at a step.
+LCS_CELLS = 1 << 20
+FULL = np.uint64(2**64 - 1)
 
 
-def _ratio_process(s: str) -> str:
-    s = s.translate(_LATIN1_HIGH)
-    out = "".join(c if (c.isalnum() or c == "_") else " " for c in s)
-    return out.lower().strip()
+def common_subsequences(a: list[str | None], b: list[str | None]) -> list[int | None]:
+    """Length of the longest common subsequence of each pair (None if a side is None).
 
-
-def _ratio(a: str, b: str) -> int:
-    if a == b:
-        return 100
-    if not a or not b:
-        return 0
-    return int(round(100 * difflib.SequenceMatcher(None, a, b).ratio()))
+    Bit-parallel over blocks of pairs of similar length: a pair's column of the
+    dynamic programme is a row of 64-bit words, a 0 bit where it grows; a character of
+    the other side updates all pairs at once, with the carry handed from word to word.
+    """
+    out: list[int | None] = [None] * len(a)
+    pairs = [(x, y, i) if len(x) <= len(y) else (y, x, i) for i, (x, y) in enumerate(zip(a, b)) if x is not None and y is not None]
+    for x, y, i in pairs:
+        out[i] = 0
+    pairs = sorted((p for p in pairs if p[0]), key=lambda p: (-(-len(p[0]) // 64), len(p[1])))
+    start = 0
+    while start < len(pairs):
+        words = -(-len(pairs[start][0]) // 64)
+        room = max(1, LCS_CELLS // (words * 64))
+        end = start + 1
+        while end < min(len(pairs), start + room) and -(-len(pairs[end][0]) // 64) == words and len(pairs[end][1]) <= 2 * len(pairs[start][1]) + 64:
+            end += 1
+        block = pairs[start:end]
+        for (_, _, i), n in zip(block, _lcs_block([x for x, _, _ in block], [y for _, y, _ in block], words)):
+            out[i] = int(n)
+        start = end
+    return out
 
 
-def token_sort_ratio_py(a: str | None, b: str | None) -> float | None:
-    """SIM-9: ratio of the sorted token strings, / 100."""
-    if a is None or b is None:
-        return None
-    sa = " ".join(sorted(_ratio_process(a).split())).strip()
-    sb = " ".join(sorted(_ratio_process(b).split())).strip()
-    return _ratio(sa, sb) / 100
+def _codes(texts: list[str], width: int, fill: int) -> np.ndarray:
+    out = np.full((len(texts), width), fill, dtype=np.int32)
+    for row, t in zip(out, texts):
+        row[:len(t)] = np.frombuffer(t.encode("utf-32-le"), dtype=np.int32)
+    return out
 
 
-def token_set_ratio_py(a: str | None, b: str | None) -> float | None:
-    """SIM-10: best ratio among shared tokens vs shared+rest of each side, / 100."""
-    if a is None or b is None:
-        return None
-    pa, pb = _ratio_process(a), _ratio_process(b)
-    if not pa or not pb:
-        return 0.0
-    ta, tb = set(pa.split()), set(pb.split())
-    inter = " ".join(sorted(ta & tb))
-    c1 = (inter + " " + " ".join(sorted(ta - tb))).strip()
-    c2 = (inter + " " + " ".join(sorted(tb - ta))).strip()
-    inter = inter.strip()
-    return max(_ratio(inter, c1), _ratio(inter, c2), _ratio(c1, c2)) / 100
+def _lcs_block(short: list[str], long: list[str], words: int) -> np.ndarray:
+    x, y = _codes(short, words * 64, -1), _codes(long, max(map(len, long)), -2)
+    v = np.full((len(short), words), FULL)
+    for column in y.T:
+        match = np.packbits(x == column[:, None], axis=1, bitorder="little").view(np.uint64)
+        used = v & match
+        total = v + used
+        over = total < v
+        carry = over[:, 0]
+        for w in range(1, words):
+            full = total[:, w] == FULL
+            total[:, w] += carry
+            carry = over[:, w] | (full & carry)
+        v = total | (v & ~match)
+    # Positions beyond a text never match, so their bits stay 1.
+    return words * 64 - np.bitwise_count(v).sum(axis=1).astype(np.int64)
 
 
 @F.pandas_udf(LongType())
@@ -182,14 +195,10 @@ def damerau(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series(damerau_many(a.tolist(), b.tolist()), dtype="Int64")
 
 
-@F.pandas_udf(DoubleType())
-def token_sort_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([token_sort_ratio_py(x, y) for x, y in zip(a, b)], dtype="float64")
-
-
-@F.pandas_udf(DoubleType())
-def token_set_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([token_set_ratio_py(x, y) for x, y in zip(a, b)], dtype="float64")
+@F.pandas_udf(LongType())
+def common_subsequence(a: pd.Series, b: pd.Series) -> pd.Series:
+    """Length of the longest common subsequence (SIM-9, SIM-10), across the pairs of an Arrow batch."""
+    return pd.Series(common_subsequences(a.tolist(), b.tolist()), dtype="Int64")
 
 
 @F.pandas_udf(StringType())

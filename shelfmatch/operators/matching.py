@@ -38,6 +38,18 @@ def row_key(cols: Sequence[str]):
     return F.concat_ws(ROW_KEY_SEP, *[F.col(c).cast("string") for c in cols])
 
 
+def with_token_ratios(df: DataFrame, a: str, b: str, sort: str = "fuzz_token_sort_ratio", both: str = "fuzz_token_set_ratio") -> DataFrame:
+    """SIM-9 and SIM-10 of two text columns. Tokens and their strings are Spark columns, made once;
+    only the length of the longest common subsequence is taken in Python."""
+    own = df.columns
+    sa, sb = P.token_sort_strings(F.col(a), F.col(b))
+    shared, ca, cb = P.token_set_strings(F.col(a), F.col(b))
+    out = df.select(*own, sa.alias("_sa"), sb.alias("_sb"), shared.alias("_shared"), ca.alias("_ca"), cb.alias("_cb"))
+    out = out.select("*", U.common_subsequence("_sa", "_sb").alias("_sl"), U.common_subsequence("_ca", "_cb").alias("_cl"))
+    return out.select(*own, P.token_sort_ratio(F.col("_sa"), F.col("_sb"), F.col("_sl")).alias(sort),
+                      P.token_set_ratio(F.col("_shared"), F.col("_ca"), F.col("_cb"), F.col("_cl")).alias(both))
+
+
 def score_matches(opps: DataFrame, sot: DataFrame, keys: Sequence[str] = ("COUNTRY",),
                   row_cols: Sequence[str] | None = None, k: int = 10,
                   weights: Mapping[str, float] = P.CONFIDENCE_WEIGHTS,
@@ -89,11 +101,8 @@ def score_matches(opps: DataFrame, sot: DataFrame, keys: Sequence[str] = ("COUNT
     # The Arrow UDFs are the CPU-heavy part: give them every task slot rather
     # than the few partitions AQE would coalesce a small pair set into.
     pairs = spread(pairs, *keys, "master_product_id_sot")
-    scored = pairs.select(
-        "*",
-        U.damerau(F.col("integration"), F.col("master_products")).alias("damerau_levenshtein"),
-        U.token_sort_ratio(F.col("integration"), F.col("master_products")).alias("fuzz_token_sort_ratio"),
-        U.token_set_ratio(F.col("integration"), F.col("master_products")).alias("fuzz_token_set_ratio"))
+    scored = with_token_ratios(pairs.withColumn("damerau_levenshtein", U.damerau(F.col("integration"), F.col("master_products"))),
+                               "integration", "master_products")
     scored = scored.withColumns({
         "damerau_levenshtein_normalized": P.distance_score(F.col("damerau_levenshtein")),
         "price_similarity": P.price_similarity(F.col("_sp"), F.col("_op")),

@@ -21,7 +21,7 @@ def _run(spark: SparkSession, sf: str, **kw) -> PL.Result:
 
 @query("match_score")
 def match_score(spark: SparkSession, sf: str) -> DataFrame:
-    """MAT-5: scored top-10 pairs per curated MP, per country (token ratios: rows-only)."""
+    """MAT-5 (SIM-7..13): scored top-10 pairs per curated MP, per country, with all secondary scores and the confidence."""
     r = _run(spark, sf, push_floor_below_topk=False)
     return r.scored.withColumn("similarity", F.round("similarity", 8)) \
         .withColumn("final_weighted_confidence", F.round("final_weighted_confidence", 8))
@@ -126,9 +126,51 @@ SELECT COUNTRY, round(sim, 8) AS similarity, master_products, integration,
 FROM top"""
 
 
+# Token ratios in SQL: the longest common subsequence by its bit column in a HUGEINT, one character a step, so for
+# strings of up to 120 characters (names are shorter).
+_TOKENS = r"list_sort(regexp_extract_all(lower({c}), '[\p{{L}}\p{{N}}_]+'))"
+_RATIO_SQL = """,
+numbered AS (SELECT *, row_number() OVER () AS pair FROM top),
+tokens AS (SELECT pair, """ + _TOKENS.format(c="integration") + " AS ta, " + _TOKENS.format(c="master_products") + """ AS tb FROM numbered),
+shared AS (SELECT *, list_sort(list_intersect(list_distinct(ta), list_distinct(tb))) AS common FROM tokens),
+strings AS (
+  SELECT pair, array_to_string(ta, ' ') AS sa, array_to_string(tb, ' ') AS sb, array_to_string(common, ' ') AS s0,
+    array_to_string(common || list_sort(list_filter(list_distinct(ta), lambda x: NOT list_contains(tb, x))), ' ') AS s1,
+    array_to_string(common || list_sort(list_filter(list_distinct(tb), lambda x: NOT list_contains(ta, x))), ' ') AS s2 FROM shared),
+todo AS (SELECT DISTINCT a, b FROM (SELECT sa AS a, sb AS b FROM strings UNION ALL SELECT s1, s2 FROM strings)),
+lcs_at AS (
+  SELECT a, b, 0 AS i, (1::HUGEINT << length(a)) - 1 AS v FROM todo
+  UNION ALL
+  SELECT a, b, i + 1, ((v + (v & m)) | (v - (v & m))) & ((1::HUGEINT << length(a)) - 1) FROM (
+    SELECT a, b, i, v, list_sum([CASE WHEN a[k + 1] = b[i + 1] THEN 1::HUGEINT << k ELSE 0 END FOR k IN range(length(a))])::HUGEINT AS m
+    FROM lcs_at WHERE i < length(b) AND length(a) > 0)),
+lcs AS (SELECT a, b, length(a) - bit_count(v) AS n FROM lcs_at WHERE i = CASE WHEN length(a) = 0 THEN 0 ELSE length(b) END),
+ratios AS (
+  SELECT pair, {sort} AS sort_ratio, CASE WHEN s1 = '' OR s2 = '' THEN 0.0 ELSE greatest({r0a}, {r0b}, {set}) END AS set_ratio
+  FROM strings JOIN lcs x ON x.a = sa AND x.b = sb JOIN lcs y ON y.a = s1 AND y.b = s2)
+SELECT COUNTRY, round(sim, 8) AS similarity, master_products, integration, CAST(dl AS BIGINT) AS damerau_levenshtein,
+       sort_ratio AS fuzz_token_sort_ratio, set_ratio AS fuzz_token_set_ratio, dln AS damerau_levenshtein_normalized, price_similarity, config_similarity,
+       master_product_id, master_product_id_sot,
+       round((sim * 5.0 + dln * 1.0 + sort_ratio * 2.0 + set_ratio * 0.5 + price_similarity * 1.0 + config_similarity * 3.0) / 12.5, 8) AS final_weighted_confidence
+FROM (SELECT *, damerau_levenshtein(integration, master_products) AS dl,
+        round(1 - exp(-15 * exp(-0.16 * damerau_levenshtein(integration, master_products))), 8) AS dln,
+        CASE WHEN sp IS NOT NULL AND op IS NOT NULL AND greatest(sp, op) <> 0 THEN 1 - abs(sp - op) / greatest(sp, op) END AS price_similarity
+      FROM numbered) JOIN ratios USING (pair)"""
+
+
+def _share(a: str, b: str, n: str) -> str:
+    return (f"CASE WHEN {a} = {b} THEN 1.0::DOUBLE WHEN {a} = '' OR {b} = '' THEN 0.0 "
+            f"ELSE round_even(100.0::DOUBLE * ((2.0::DOUBLE * {n}) / (length({a}) + length({b}))), 0) / 100.0 END")
+
+
+_SCORE_SQL = _MATCH_BASE.replace("WITH ", "WITH RECURSIVE ", 1) + _RATIO_SQL.replace("{sort}", _share("sa", "sb", "x.n")).replace(
+    "{r0a}", _share("s0", "s1", "length(s0)")).replace("{r0b}", _share("s0", "s2", "length(s0)")).replace("{set}", _share("s1", "s2", "y.n"))
+ORACLES["match_score"] = _SCORE_SQL
+
+
 @query("match_pairs", oracle=_MATCH_SQL)
 def match_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    """MAT-4/5 without the two difflib ratios: top-10 trigram-cosine pairs per
+    """MAT-4/5 without the two token ratios: top-10 trigram-cosine pairs per
     curated MP and country, with Damerau, distance curve, price and config
     similarity (SQL-checked; ``match_score`` adds the ratios and confidence)."""
     t = PL.tables_from_testdata(spark, sf)

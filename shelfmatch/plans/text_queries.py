@@ -14,6 +14,7 @@ from shelfmatch.functions import text as T
 from shelfmatch.functions import udfs as U
 from shelfmatch.plans import sqlfrag as Q
 from shelfmatch.plans import standins as S
+from shelfmatch.operators.matching import with_token_ratios
 from shelfmatch.plans.registry import query
 from shelfmatch.sources.tables import table
 
@@ -98,13 +99,26 @@ def distance_curve(spark: SparkSession, sf: str) -> DataFrame:
     return cv.select("d", P.distance_score(F.col("d")).alias("score"))
 
 
+@query("token_strings", oracle=_FOLD_PAIRS_SQL + """,
+t AS (SELECT conv_id, turn, list_sort(regexp_extract_all(lower(fa), '[\\p{L}\\p{N}_]+')) AS ta,
+             list_sort(regexp_extract_all(lower(fb), '[\\p{L}\\p{N}_]+')) AS tb FROM f),
+u AS (SELECT *, list_sort(list_intersect(list_distinct(ta), list_distinct(tb))) AS common FROM t)
+SELECT conv_id, turn, array_to_string(ta, ' ') AS sorted_a, array_to_string(tb, ' ') AS sorted_b, array_to_string(common, ' ') AS shared,
+       array_to_string(common || list_sort(list_filter(list_distinct(ta), lambda x: NOT list_contains(tb, x))), ' ') AS shared_a,
+       array_to_string(common || list_sort(list_filter(list_distinct(tb), lambda x: NOT list_contains(ta, x))), ' ') AS shared_b
+FROM u""")
+def token_strings(spark: SparkSession, sf: str) -> DataFrame:
+    """The strings that SIM-9 and SIM-10 compare."""
+    f = _folded_pairs(spark, sf)
+    names = ("sorted_a", "sorted_b", "shared", "shared_a", "shared_b")
+    strings = (*P.token_sort_strings(F.col("fa"), F.col("fb")), *P.token_set_strings(F.col("fa"), F.col("fb")))
+    return f.select("conv_id", "turn", *[c.alias(n) for c, n in zip(strings, names)])
+
+
 @query("token_ratios")
 def token_ratios(spark: SparkSession, sf: str) -> DataFrame:
-    """SIM-9/SIM-10 (difflib ratios): rows-only check; unit-tested against difflib."""
-    f = _folded_pairs(spark, sf)
-    return f.select("conv_id", "turn",
-                    U.token_sort_ratio(F.col("fa"), F.col("fb")).alias("fuzz_token_sort_ratio"),
-                    U.token_set_ratio(F.col("fa"), F.col("fb")).alias("fuzz_token_set_ratio"))
+    """SIM-9 and SIM-10 on whole turns: rows-only (``token_strings`` checks the strings, ``match_score`` the ratios)."""
+    return with_token_ratios(_folded_pairs(spark, sf), "fa", "fb").select("conv_id", "turn", "fuzz_token_sort_ratio", "fuzz_token_set_ratio")
 
 
 @query("clean_text", oracle="""

@@ -1,7 +1,7 @@
 """SIM-2..13: hand-computed values, traps, and properties."""
 
-import difflib
 import math
+from collections import Counter
 import random
 
 from hypothesis import given, settings, strategies as st
@@ -115,19 +115,66 @@ def test_damerau_udf(spark):
     assert [r[0] for r in df.select(U.damerau(F.col("a"), F.col("b"))).collect()] == [2, None]
 
 
-def test_token_ratios_against_difflib():
+def _lcs_brute(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        last = 0
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], last + 1 if x == y else max(row[j], row[j - 1])
+    return row[-1]
+
+
+def test_common_subsequences_equal_the_plain_programme():
+    rnd = random.Random(2)
+    text = lambda n: "".join(rnd.choice("abcdé 中\U0001F600") for _ in range(n))
+    pairs = [(text(rnd.randint(0, 200)), text(rnd.randint(0, 300))) for _ in range(120)] + [("a" * 64, "a" * 64), ("a" * 65, "ba" * 70), ("a" * 192, "a" * 500)]
+    pairs += [("", "abc"), ("", ""), ("ab" * 100, "ba" * 100)]
+    got = U.common_subsequences([a for a, _ in pairs] + [None], [b for _, b in pairs] + ["x"])
+    assert got == [_lcs_brute(a, b) for a, b in pairs] + [None]
+
+
+def test_token_ratios(spark):
+    from shelfmatch.operators.matching import with_token_ratios
     rnd = random.Random(7)
-    words = ["arroz", "feijao", "tipo", "1kg", "branco", "preto", "integral"]
-    for _ in range(50):
-        a = " ".join(rnd.choice(words) for _ in range(rnd.randint(1, 5)))
-        b = " ".join(rnd.choice(words) for _ in range(rnd.randint(1, 5)))
-        sa, sb = " ".join(sorted(a.split())), " ".join(sorted(b.split()))
-        want = 1.0 if sa == sb else round(100 * difflib.SequenceMatcher(None, sa, sb).ratio()) / 100
-        assert U.token_sort_ratio_py(a, b) == want
-        assert 0.0 <= U.token_set_ratio_py(a, b) <= 1.0
-        assert U.token_set_ratio_py(a, a) == 1.0
-    assert U.token_set_ratio_py("!!!", "abc") == 0.0
-    assert U.token_sort_ratio_py(None, "a") is None
+    words = ["arroz", "feijao", "tipo", "1kg", "branco", "Preto,", "integral!", "a_b", "é"]
+    pairs = [(" ".join(rnd.choice(words) for _ in range(rnd.randint(1, 5))), " ".join(rnd.choice(words) for _ in range(rnd.randint(1, 5)))) for _ in range(80)]
+    pairs += [("!!!", "abc"), ("", ""), ("x", "x"), (None, "a"), ("new york mets", "new york mets vs braves")]
+
+    def tokens(s):
+        s = "".join(c for c in s if not 128 <= ord(c) < 256)
+        return sorted("".join(c if c.isalnum() or c == "_" else " " for c in s).lower().split())
+
+    def ratio(a, b):
+        return 100 if a == b else 0 if not a or not b else round(100 * (2 * _lcs_brute(a, b) / (len(a) + len(b))))
+
+    got = with_token_ratios(spark.createDataFrame(pairs, "a string, b string"), "a", "b").collect()
+    for (a, b), r in zip(pairs, got):
+        if a is None:
+            assert r.fuzz_token_sort_ratio is None and r.fuzz_token_set_ratio is None
+            continue
+        ta, tb = tokens(a), tokens(b)
+        both = sorted(set(ta) & set(tb))
+        s0, s1, s2 = " ".join(both), " ".join(both + sorted(set(ta) - set(tb))), " ".join(both + sorted(set(tb) - set(ta)))
+        assert r.fuzz_token_sort_ratio == ratio(" ".join(ta), " ".join(tb)) / 100
+        assert r.fuzz_token_set_ratio == (max(ratio(s0, s1), ratio(s0, s2), ratio(s1, s2)) / 100 if ta and tb else 0.0)
+    assert got[-1].fuzz_token_set_ratio == 1.0
+
+
+def test_pair_scores_of_20000_tokens(spark):
+    import time
+    rnd = random.Random(3)
+    a, b = (" ".join(f"w{rnd.randrange(9000)}" for _ in range(20000)) for _ in range(2))
+    df = spark.createDataFrame([(a, b)], "a string, b string")
+    t0 = time.time()
+    got = P.with_pair_scores(df, "a", "b", scores=("cosine", "containment"), language=None).collect()[0]
+    assert time.time() - t0 < 60
+    ca, cb = Counter(a.split()), Counter(b.split())
+    assert got.containment == sum(min(n, cb[t]) for t, n in ca.items()) / 20000
+    idf = lambda t: 1.0 if ca[t] and cb[t] else math.log(1.5) + 1
+    dot = sum(n * cb[t] for t, n in ca.items())
+    norm = [math.sqrt(sum((n * idf(t)) ** 2 for t, n in c.items())) for c in (ca, cb)]
+    assert math.isclose(got.cosine, dot / norm[0] / norm[1], rel_tol=1e-9)
+
 
 
 @settings(max_examples=25, deadline=None)
