@@ -7,16 +7,20 @@ so they are the same in all documents and tasks without exchange. With each symb
 the range of words that decided it (its context). Equal passages therefore agree on
 every symbol whose context lies inside them.
 
-Every window of the text picks one high-level symbol whose context it holds, the one of
-least name, so equal windows pick alike and only about one symbol in six words is sent.
-A symbol picked in one document only proves that no window that picked it repeats
-elsewhere. Spark counts the documents of each symbol (named by the words of its context);
-the windows of the symbols found once go back to their document. Only the others are compared, by 128-bit names of all their words: of each name the first window
-(smallest id, then start) stays and the words of the later ones go.
-
-Rows are named by a 64-bit hash of id and text, so rows that share an id, or have none,
-are judged each by its own text; among them the smaller start comes first, then the
-smaller name. Equal rows of one id have one name: none of them starts before another.
+Every window of the text picks one high-level symbol whose context it holds, the least by
+name, so equal windows pick alike. Windows in a row that pick the same occurrence are a
+run, about one in five words; it is sent under the name of its symbol (the words of the
+context) with a hash of all its words and of the symbol's place among them. A symbol that
+no other run has proves that none of its windows occurs elsewhere. Where all runs of a
+symbol are equal, the first of them (smallest id, then start) stays and the others go as
+they are. Only where runs of a symbol differ, which is at the ends of repeated passages,
+are their windows compared one by one, by 96-bit names of all their words: of each name
+the first window stays and the words of the later ones go. Within a text windows are
+compared in its task.
+
+Rows are named by their id and 15 bits of a hash of the text, so rows that share an id, or
+have none, are judged each by its own text; among them the smaller start comes first, then
+the smaller hash. Equal rows of one id have one name: none of them starts before another.
 Null and empty texts have no words; texts shorter than a window lose nothing. Null ids
 order first and come back null. An empty table gives an empty result; ``deduplicated``
 keeps extra columns, whatever their names, and the type of ids.
@@ -36,7 +40,9 @@ from shelfmatch.llm import textcols as T
 WINDOW, ROUNDS = 20, 3
 FAR = 1 << 40
 #: Inner columns; those of the input travel in a struct beside them.
-KEY, MARKS, FIRSTS = "key", "marks", "firsts"
+MARKS, FIRSTS = "marks", "firsts"
+#: Bits of a text's hash that tell rows of one id apart; words from which a symbol rarely repeats by chance.
+TIE, WIDE = 15, 7
 
 
 def parse(name: np.ndarray, first: np.ndarray, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
@@ -86,10 +92,12 @@ def _ids(b: pa.RecordBatch) -> np.ndarray:
 def picked(n1: np.ndarray, first: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(lo, hi, name) of the symbols of at most a window, and which of them each window picks (-1: it holds none).
 
-    Of symbols that open at one word the narrowest counts."""
+    Of symbols that open at one word the narrowest of WIDE words or more counts, and a window picks such a one where it can:
+    shorter ones repeat by chance."""
     lo, hi = parse(n1, first)
     ok = hi - lo <= window
-    order = np.lexsort((hi[ok], lo[ok]))
+    narrow = hi[ok] - lo[ok] < WIDE
+    order = np.lexsort((hi[ok], narrow, lo[ok]))
     lo, hi = lo[ok][order], hi[ok][order]
     lead = np.r_[True, lo[1:] != lo[:-1]][:len(lo)]
     lo, hi = lo[lead], hi[lead]
@@ -97,7 +105,8 @@ def picked(n1: np.ndarray, first: np.ndarray, window: int) -> tuple[np.ndarray,
     _, at = T.windows(first, window)
     none = np.uint64(2**64 - 1)
     rank, width, which = np.full(len(n1), none), np.zeros(len(n1), dtype=np.int8), np.zeros(len(n1), dtype=np.int32)
-    rank[lo], width[lo], which[lo] = T.mix(name, 92), hi - lo, np.arange(len(lo))
+    rank[lo] = T.mix(name, 92) >> np.uint64(1) | (np.uint64(1 << 63) * (hi - lo < WIDE).astype(np.uint64))
+    width[lo], which[lo] = hi - lo, np.arange(len(lo))
     least, pick = np.full(len(at), none), np.full(len(at), -1, dtype=np.int32)
     for j in range(window if len(at) else 0):
         better = np.flatnonzero((rank[at + j] < least) & (width[at + j] <= window - j))
@@ -105,69 +114,76 @@ def picked(n1: np.ndarray, first: np.ndarray, window: int) -> tuple[np.ndarray,
     return lo, hi, name, pick
 
 
-def symbols(docs: DataFrame, window: int) -> DataFrame:
-    """(name, key, at): distinct picked symbols of a row; at = 32 * first window that picks it + number of windows - 1."""
+def runs(docs: DataFrame, window: int) -> DataFrame:
+    """(name, words, doc_id, at): stretches of windows that pick one symbol, by its name and a hash of all their words.
+
+    at = (32 * first window + number of windows - 1) << TIE | tie. A window without a symbol is a run under its own name."""
     def run(batches):
         for b in T.small_batches(batches):
             w = T.split_words(b.column("text"))
-            n1, _ = names_of(w)
-            _, _, name, pick = picked(n1, w.first, window)
+            n1, n2 = names_of(w)
+            lo, _, name, pick = picked(n1, w.first, window)
             doc, start = T.windows(w.first, window)
-            # Stretches of windows that pick one symbol; at most ``window`` of them hold it.
-            opens = np.flatnonzero(np.r_[True, (pick[1:] != pick[:-1]) | (doc[1:] != doc[:-1])][:len(pick)])
+            new = (pick[1:] != pick[:-1]) | (doc[1:] != doc[:-1]) | (pick[1:] < 0)
+            opens = np.flatnonzero(np.r_[True, new][:len(pick)])
             count = np.diff(np.r_[opens, len(pick)])
-            opens, count = opens[pick[opens] >= 0], count[pick[opens] >= 0]
-            doc, start, name = doc[opens], start[opens] - w.first[doc[opens]], name[pick[opens]]
-            _, one = np.unique(T.mix(name ^ T.mix(doc.astype(np.uint64), 92), 93), return_index=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(name[one].view(np.int64)), pa.array(np.array(b.column(KEY))[doc[one]], pa.int64()), pa.array((start * 32 + count - 1)[one], pa.int64())],
-                ["name", KEY, "at"])
-    return docs.select(KEY, "text").mapInArrow(run, f"name long, {KEY} long, at long")
+            first, pick = start[opens], pick[opens]
+            inner = T.range_hash(n2, first, first + count + window - 1, 98)
+            alone = T.range_hash(n1, first, first + window, 95)
+            place = np.where(pick >= 0, (lo[pick] if len(lo) else 0) - first, 0).astype(np.uint64)
+            inner = T.mix(inner ^ T.mix(place, 99), 94)
+            of = np.where(pick >= 0, name[pick] if len(name) else alone, alone)
+            at = ((first - w.first[doc[opens]]) * 32 + count - 1) << TIE | np.array(b.column("tie"))[doc[opens]]
+            yield pa.RecordBatch.from_arrays([pa.array(of.view(np.int64)), pa.array(inner.view(np.int64)), pa.array(_ids(b)[doc[opens]], pa.int64()),
+                                              pa.array(at, pa.int64())], ["name", "words", "doc_id", "at"])
+    return docs.select("doc_id", "tie", "text").mapInArrow(run, "name long, words long, doc_id long, at long")
 
 
 def window_state(w: T.Words, marks: list, window: int):
-    """Windows (text, start), their two names, and whether each may occur in another document."""
+    """Windows (text, start), their two names, whether each goes with its run, is to be compared, and starts earlier in its text.
+
+    ``marks`` are a text's runs that go (even) or differ (odd): 2 * (32 * first window + number of windows - 1) + 0 or 1."""
     doc, at = T.windows(w.first, window)
     n1, n2 = names_of(w)
     h1, h2 = T.range_hash(n1, at, at + window, 95), T.range_hash(n2, at, at + window, 97)
-    edge = np.zeros(len(n1) + 1, dtype=np.int64)
+    edge = np.zeros((2, len(n1) + 1), dtype=np.int64)
     for i, own in enumerate(marks):
         if own is not None and len(own):
-            own = np.asarray(own, dtype=np.int64)
-            own = own[own // 32 + own % 32 < w.first[i + 1] - w.first[i]]    # two rows of one name, at worst
-            np.add.at(edge, own // 32 + w.first[i], 1)
-            np.add.at(edge, own // 32 + own % 32 + 1 + w.first[i], -1)
-    open_ = (np.cumsum(edge) == 0)[at] if len(at) else np.zeros(0, dtype=bool)
+            own, kind = np.asarray(own, dtype=np.int64) >> 1, np.asarray(own, dtype=np.int64) & 1
+            here = own // 32 + own % 32 < w.first[i + 1] - w.first[i]          # two rows of one name, at worst
+            own, kind = own[here], kind[here]
+            np.add.at(edge, (kind, own // 32 + w.first[i]), 1)
+            np.add.at(edge, (kind, own // 32 + own % 32 + 1 + w.first[i]), -1)
+    gone, open_ = (np.cumsum(e)[at] > 0 if len(at) else np.zeros(0, dtype=bool) for e in edge)
     order = np.lexsort((at, h2, h1, doc))
     a, z = order[:-1], order[1:]
     later = np.zeros(len(at), dtype=bool)   # the same words start earlier in this document
     later[z] = (doc[a] == doc[z]) & (h1[a] == h1[z]) & (h2[a] == h2[z])
-    return doc, at, h1, h2, open_, later
+    return doc, at, h1, h2, gone, open_, later
 
 
 def open_windows(marked: DataFrame, window: int) -> DataFrame:
-    """(h1, h2, doc_id, start, key) of windows that may occur in several documents, the first in each."""
+    """(h1, h2, doc_id, at) of the windows to be compared, the first in each text; at = start << TIE | tie."""
     def run(batches):
         for b in T.small_batches(batches):
             w = T.split_words(b.column("text"))
-            doc, at, h1, h2, open_, later = window_state(w, b.column(MARKS).to_pylist(), window)
-            take = open_ & ~later
+            doc, at, h1, h2, gone, open_, later = window_state(w, b.column(MARKS).to_pylist(), window)
+            take = open_ & ~gone & ~later
             yield pa.RecordBatch.from_arrays(
-                [pa.array(h1[take].view(np.int64)), pa.array(h2[take].view(np.int64)), pa.array(_ids(b)[doc[take]], pa.int64()),
-                 pa.array((at - w.first[doc])[take], pa.int32()), pa.array(np.array(b.column(KEY))[doc[take]], pa.int64())],
-                ["h1", "h2", "doc_id", "start", KEY])
-    return marked.select("doc_id", KEY, "text", MARKS).mapInArrow(run, f"h1 long, h2 long, doc_id long, start int, {KEY} long")
+                [pa.array(h1[take].view(np.int64)), pa.array((h2[take] >> np.uint64(32)).astype(np.uint32).view(np.int32)), pa.array(_ids(b)[doc[take]], pa.int64()),
+                 pa.array(((at - w.first[doc])[take] << TIE) | np.array(b.column("tie"))[doc[take]], pa.int64())], ["h1", "h2", "doc_id", "at"])
+    return marked.select("doc_id", "tie", "text", MARKS).mapInArrow(run, "h1 long, h2 int, doc_id long, at long")
 
 
 def covered(w: T.Words, marks: list, firsts: list, window: int) -> np.ndarray:
     """True for each word in a window whose words start earlier somewhere."""
-    doc, at, _, _, open_, later = window_state(w, marks, window)
+    doc, at, _, _, with_run, open_, later = window_state(w, marks, window)
     is_first = np.zeros(len(w.start), dtype=bool)
     for i, own in enumerate(firsts):
         if own is not None and len(own):
             own = np.asarray(own, dtype=np.int64) + w.first[i]
             is_first[own[own < w.first[i + 1]]] = True
-    gone = later | (open_ & ~is_first[at])
+    gone = later | with_run | (open_ & ~is_first[at])
     edge = np.zeros(len(w.start) + 1, dtype=np.int64)
     np.add.at(edge, at[gone], 1)
     np.add.at(edge, at[gone] + window, -1)
@@ -175,20 +191,27 @@ def covered(w: T.Words, marks: list, firsts: list, window: int) -> np.ndarray:
 
 
 def judged(docs: DataFrame, window: int = WINDOW, carry: tuple = ()) -> DataFrame:
-    """doc_id, text, the columns of ``carry`` as a struct, marks (windows that picked a symbol of no other row) and firsts (starts of first windows)."""
+    """doc_id, text, the columns of ``carry`` as a struct, marks (runs that go or differ) and firsts (starts of first windows)."""
     if window > 32:
         raise ValueError("windows of more than 32 words do not fit the packed symbols")
     text = F.col("text").cast("string")
     own = F.coalesce(F.col("doc_id").cast("long"), F.lit(T.NULL_ID))
     row = F.struct(*carry).alias("row") if carry else F.lit(None).cast("boolean").alias("row")
-    keyed = docs.select(own.alias("doc_id"), text.alias("text"), F.xxhash64(own, text).alias(KEY), row)
-    once = (symbols(keyed, window).groupBy("name").agg(F.min(KEY).alias(KEY), F.max(KEY).alias("other"), F.first("at").alias("at"))
-            .where(F.col(KEY) == F.col("other")))
-    marks = once.groupBy(KEY).agg(F.collect_list("at").alias(MARKS))
-    marked = keyed.join(marks, KEY, "left")
-    firsts = (open_windows(marked, window).groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "start", KEY)).alias("f"))
-              .groupBy(F.col(f"f.{KEY}").alias(KEY)).agg(F.collect_list("f.start").alias(FIRSTS)))
-    return marked.join(firsts, KEY, "left")
+    tie = F.pmod(F.xxhash64(text), F.lit(1 << TIE))
+    keyed = docs.select(own.alias("doc_id"), text.alias("text"), tie.alias("tie"), row)
+    sent = runs(keyed, window)
+    # Names of several runs, the first of them, and whether they differ.
+    shared = sent.groupBy("name").agg(F.count(F.lit(1)).alias("n"), F.min("words").alias("low"), F.max("words").alias("high"),
+                                      F.min(F.struct("doc_id", "at")).alias("first")).where("n > 1").select(
+        "name", (F.col("low") != F.col("high")).alias("differ"), "first")
+    own = F.shiftright("at", TIE) * 2 + F.col("differ").cast("long")
+    told = sent.join(shared, "name").where(F.col("differ") | (F.struct("doc_id", "at") != F.col("first")))
+    marks = told.groupBy("doc_id", F.col("at").bitwiseAND(F.lit((1 << TIE) - 1)).alias("tie")).agg(F.collect_list(own).alias(MARKS))
+    marked = keyed.join(marks, ["doc_id", "tie"], "left")
+    first = open_windows(marked, window).groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "at")).alias("f")).select("f.*")
+    firsts = first.groupBy("doc_id", F.col("at").bitwiseAND(F.lit((1 << TIE) - 1)).alias("tie")).agg(
+        F.collect_list(F.shiftright("at", TIE)).alias(FIRSTS))
+    return marked.join(firsts, ["doc_id", "tie"], "left")
 
 
 def _real_id(ids: np.ndarray) -> pa.Array:
