@@ -11,7 +11,9 @@ Thresholds start from the longest rows and only drop rows that cannot enter the
 Queries are taken in blocks of at most QUERY_BLOCK rows (the broadcast's bound).
 Vectors that are null, or hold a null or non-finite component, take no part; missing
 trailing components count as 0. Ties go to the smaller id. Repeated ids are separate
-candidates; a query never meets rows of its own id.
+candidates; a query never meets rows of its own id. A vector whose squared length is 2^63
+or more takes no part either: its products may pass the 64 bits of a score, and those of
+any two others cannot (Cauchy-Schwarz). An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -24,15 +26,18 @@ from shelfmatch.llm import textcols as T
 from shelfmatch.session import materialize
 
 SCALE, K, QUERY_BLOCK, FOCUS, HIGH = 256, 5, 8192, 12, 0.7
+#: Just under 2^63, as the sum is rounded.
+LONGEST = 2.0 ** 63 * (1 - 1e-9)
 OUT = "query_id long, vec_id long, score long"
 
 
 def quantised(table: DataFrame, scale: int = SCALE) -> DataFrame:
     ok = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) < float("inf")))
-    v = F.transform("embedding", lambda x: F.floor(x.cast("double") * scale).cast("long"))
+    v = F.transform("embedding", lambda x: F.floor(x.cast("double") * scale))
     return (table.where(F.col("embedding").isNotNull() & F.col("vec_id").isNotNull() & ok)
             .select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("v"))
-            .withColumn("norm", F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))))
+            .withColumn("norm", F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))))
+            .where(F.col("norm") * F.col("norm") < LONGEST))
 
 
 def matrix(vectors: list, dim: int) -> np.ndarray:

@@ -213,6 +213,27 @@ def test_top_k(spark):
     assert got == sorted(want)
 
 
+def test_top_k_leaves_out_vectors_whose_products_pass_64_bits(spark):
+    rows = [(0, [1.0, 2.0]), (50, [1e300, 0.0]), (1, [1e10, 1e10]), (2, [1.1e7, 0.0]), (3, [-1e7, 3.0]), (100, [8e6, 8e6])]
+    got = {tuple(r) for r in topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 50 == 0).collect()}
+    ok = {i: [int(np.floor(256 * x)) for x in v] for i, v in rows if i not in (50, 1)}
+    assert sum(x * x for x in ok[100]) < 2**63
+    for q in (0, 100):
+        want = sorted((-sum(a * b for a, b in zip(ok[q], v)), i) for i, v in ok.items() if i != q)
+        assert {r for r in got if r[0] == q} == {(q, k + 1, i, -s) for k, (s, i) in enumerate(want)}
+    assert {r[0] for r in got} == {0, 100}
+    empty = spark.createDataFrame([], "vec_id long, embedding array<double>")
+    assert topk.top_k(empty, F.col("vec_id") % 50 == 0).count() == 0
+
+
+def test_op2_keeps_by_id_where_ids_repeat(spark, tmp_out):
+    text = " ".join(f"w{i}" for i in range(30))
+    rows = [(5, text), (5, text), (6, text), (7, "a b"), (None, ""), (None, text)]
+    spark.createDataFrame(rows[:4], "doc_id long, text string").write.parquet(f"{tmp_out}/documents.parquet")
+    got = Counter(tuple(r) for r in neardup.op2_minhash(spark, tmp_out).collect())
+    assert got == Counter({(5, 27, 5, True): 2, (6, 27, 5, False): 1, (7, 1, 7, True): 1})
+
+
 def test_sharding(spark):
     df = spark.range(3000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "hot text").otherwise(
         F.repeat(F.lit("w "), (F.col("id") % 97).cast("int"))).alias("text"), F.lit(1).alias("shard"))
