@@ -68,6 +68,34 @@ def fill_rate(order_lines: DataFrame, as_of, weeks: int = 12,
             .withColumn("FR", F.try_divide(F.col("COUNT_FOUND").cast("double"), F.col("TOTAL_PRODUCTS"))))
 
 
+#: log2 of the sketch's registers: about 1.6 % standard error of a distinct count (small counts are exact).
+SKETCH_LG_K = 12
+
+
+def weekly_partials(order_lines: DataFrame, keys: Sequence[str] = ("COUNTRY", "PRODUCT_ID"), lg_k: int = SKETCH_LG_K) -> DataFrame:
+    """AGG-1..3 as mergeable partials: the fill-rate sums of each key and week (from Monday), and a
+    distinct-count sketch of its orders. Sums add up and sketches merge, so any window of whole weeks is
+    made from these rows without its lines; a week's rows depend on that week's lines only."""
+    week = F.date_format(F.date_trunc("WEEK", "CREATED_AT_ORDER"), "yyyy-MM-dd")
+    return order_lines.groupBy(*keys, week.alias("WEEK")).agg(
+        F.sum(flag(F.col("STOCKOUT") == 0)).alias("COUNT_FOUND"), F.sum(flag(F.col("SUBSTITUTED") == 1)).alias("COUNT_REPLACED"),
+        F.sum(flag((F.col("STOCKOUT") == 1) & (F.col("SUBSTITUTED") == 0))).alias("COUNT_REFUNDED"),
+        F.sum(F.coalesce(F.col("TOTAL_PRICE"), F.lit(0))).alias("GMV_TOTAL"), F.hll_sketch_agg("ORDER_ID", lg_k).alias("ORDERS"))
+
+
+def fill_rate_of_weeks(partials: DataFrame, as_of, weeks: int = 12, keys: Sequence[str] = ("COUNTRY", "PRODUCT_ID")) -> DataFrame:
+    """:func:`fill_rate` from :func:`weekly_partials`: the same sums; N_ORDERS is the merged sketch's estimate.
+
+    The window opens on a Monday, so it is whole weeks; a filter on WEEK is a partition filter of a
+    table that is kept by week."""
+    rows = partials.where(F.col("WEEK") >= F.lit(week_window_start(as_of, weeks).date().isoformat()))
+    counts = ("COUNT_FOUND", "COUNT_REPLACED", "COUNT_REFUNDED")
+    out = rows.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in counts], F.sum("GMV_TOTAL").alias("GMV_TOTAL"),
+                                  F.hll_sketch_estimate(F.hll_union_agg("ORDERS")).alias("N_ORDERS"))
+    out = out.withColumn("TOTAL_PRODUCTS", sum((F.col(c) for c in counts[1:]), F.col(counts[0])))
+    return out.withColumn("FR", F.try_divide(F.col("COUNT_FOUND").cast("double"), F.col("TOTAL_PRODUCTS")))
+
+
 def defect_rate(order_products: DataFrame, tickets: DataFrame, as_of, days: int = 30,
                 reasons: Sequence[str] = DEFECT_REASONS,
                 join_keys: Sequence[str] = ("COUNTRY", "ORDER_ID", "CONVERSATION_ID"),

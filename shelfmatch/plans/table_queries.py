@@ -82,6 +82,23 @@ def log_of_runs(spark: SparkSession, sf: str) -> DataFrame:
     return log.read()
 
 
+@query("fill_rate_weekly", oracle="WITH " + S.ORDER_LINES_SQL + "," + Q.FILL_RATE + """
+SELECT COUNTRY, PRODUCT_ID, CAST(COUNT_FOUND AS BIGINT) AS COUNT_FOUND, CAST(COUNT_REPLACED AS BIGINT) AS COUNT_REPLACED,
+       CAST(COUNT_REFUNDED AS BIGINT) AS COUNT_REFUNDED, CAST(TOTAL_PRODUCTS AS BIGINT) AS TOTAL_PRODUCTS, round(FR, 8) AS FR, round(GMV_TOTAL, 4) AS GMV_TOTAL
+FROM fr""")
+def fill_rate_weekly(spark: SparkSession, sf: str) -> DataFrame:
+    """AGG-1..3 from weekly partials in a published table: the history is reduced once, the last two weeks come
+    later and replace only their own; the window then reads partials alone."""
+    weeks = Published(spark, scratch(spark, "weeks"), keys=("WEEK",))
+    lines = S.order_lines(spark, sf)
+    recent = F.col("CREATED_AT_ORDER") >= F.lit(M.week_window_start(S.AS_OF, 1))
+    weeks.replace(M.weekly_partials(lines.where(~recent)), note="history")
+    weeks.replace(M.weekly_partials(lines.where(recent)), note="last weeks")
+    out = M.fill_rate_of_weeks(weeks.read(), S.AS_OF)
+    return out.select("COUNTRY", "PRODUCT_ID", "COUNT_FOUND", "COUNT_REPLACED", "COUNT_REFUNDED", "TOTAL_PRODUCTS", F.round("FR", 8).alias("FR"),
+                      F.round("GMV_TOTAL", 4).alias("GMV_TOTAL"))
+
+
 def refresh_inputs(spark: SparkSession, sf: str) -> RollupRefresh:
     fill = stored(M.fill_rate(S.order_lines(spark, sf), S.AS_OF, with_orders=False), "fill")
     defects = stored(M.defect_rate(S.order_products(spark, sf), S.tickets(spark, sf), S.AS_OF, reasons=S.TICKET_REASONS, join_keys=("ORDER_ID",)), "defects")

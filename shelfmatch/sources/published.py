@@ -66,6 +66,8 @@ class Published:
         rows, run = decimals_as_text(df), uuid.uuid4().hex
         columns = [f"_key_{k}" for k in self.keys]
         staged = rows.withColumns({c: F.col(k).cast("string") for c, k in zip(columns, self.keys)}).drop(*self.keys)
+        # Rows of a key come together in files of about the advisory size: few for a small key, several for a hot one.
+        staged = staged.hint("rebalance", *columns)
         staged.write.partitionBy(*columns).parquet(f"{self.path}/data/{RUN}={run}")
         ddl = rows.schema.json()
         # The key values come from the staged folders' names: a scan of partition columns alone.

@@ -115,3 +115,27 @@ def test_gate_holds_back_whole_countries(spark):
     assert {r.COUNTRY for r in kept.collect()} == {"CL", "CO"}          # CO disagrees on a product that is not curated
     assert {(r.COUNTRY, r.n_curated, r.n_disagreeing, r.n_CAT3_NAME, r.held_back) for r in report.collect()} == {
         ("BR", 1, 1, 1, True), ("CL", 1, 0, 0, False), ("CO", 0, 0, 0, False), ("NULL_VALUE", 1, 1, 1, True)}
+
+
+def test_weekly_partials_add_up_and_sketches_stay_within_their_error(spark, tmp_out):
+    import datetime as dt
+    from shelfmatch.operators import metrics as M
+    lines = spark.range(60000).select(
+        F.element_at(F.array(F.lit("BR"), F.lit("CO"), F.lit(None)), (F.col("id") % 3 + 1).cast("int")).alias("COUNTRY"), (F.col("id") % 5).alias("PRODUCT_ID"),
+        F.pmod(F.xxhash64("id"), F.lit(9000)).alias("ORDER_ID"), (F.col("id") % 2).cast("int").alias("STOCKOUT"), F.when(F.col("id") % 7 > 0, F.col("id") % 4 % 2).cast("int").alias("SUBSTITUTED"),
+        F.when(F.col("id") % 11 > 0, F.col("id") * 0.25).alias("TOTAL_PRICE"),
+        F.timestamp_seconds(F.lit(1704067200) + F.col("id") * 190).alias("CREATED_AT_ORDER"))
+    t = Published(spark, f"{tmp_out}/weeks", keys=("WEEK",))
+    cut = F.col("CREATED_AT_ORDER") < F.lit(dt.datetime(2024, 4, 1))
+    t.replace(M.weekly_partials(lines.where(cut)))
+    t.replace(M.weekly_partials(lines.where(~cut)))
+    sums = ["COUNTRY", "PRODUCT_ID", "COUNT_FOUND", "COUNT_REPLACED", "COUNT_REFUNDED", "TOTAL_PRODUCTS", "FR", "GMV_TOTAL"]
+    for as_of, weeks in ((dt.date(2024, 4, 10), 12), (dt.date(2024, 4, 17), 3), (dt.date(2030, 1, 1), 2)):
+        want = M.fill_rate(lines, as_of, weeks)
+        got = M.fill_rate_of_weeks(t.read(), as_of, weeks)
+        assert rows(got.select(*sums)) == rows(want.select(*sums))
+        exact = {(r.COUNTRY, r.PRODUCT_ID): r.N_ORDERS for r in want.collect()}
+        # four standard errors of a sketch of 2 ** 12 registers
+        assert all(abs(r.N_ORDERS - exact[r.COUNTRY, r.PRODUCT_ID]) <= 4 * 1.04 / 64 * exact[r.COUNTRY, r.PRODUCT_ID] for r in got.collect())
+    plan = M.fill_rate_of_weeks(t.read(), dt.date(2024, 4, 10))._jdf.queryExecution().executedPlan().toString()
+    assert "_key_WEEK" in plan.split("PartitionFilters: [")[1].split("PushedFilters")[0]
