@@ -199,7 +199,8 @@ def judged(docs: DataFrame, window: int = WINDOW, carry: tuple = ()) -> DataFram
     row = F.struct(*carry).alias("row") if carry else F.lit(None).cast("boolean").alias("row")
     tie = F.pmod(F.xxhash64(text), F.lit(1 << TIE))
     keyed = docs.select(own.alias("doc_id"), text.alias("text"), tie.alias("tie"), row)
-    sent = runs(keyed, window)
+    # Sent once, to the tasks that count the names and tell the runs; a frequent name is a stream in its task.
+    sent = runs(keyed, window).repartition(T.shuffle_tasks(docs.sparkSession), "name")
     # Names of several runs, the first of them, and whether they differ.
     shared = sent.groupBy("name").agg(F.count(F.lit(1)).alias("n"), F.min("words").alias("low"), F.max("words").alias("high"),
                                       F.min(F.struct("doc_id", "at")).alias("first")).where("n > 1").select(
