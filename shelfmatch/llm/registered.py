@@ -1,7 +1,7 @@
 """The subpackage's registered queries: name -> fn(spark, sf_dir), and their SQL.
 
-Those without SQL (hashing of word windows, classifiers, packing, tokenisers and
-components) are checked against brute force in tests/llm.
+Those without SQL (classifiers, packing, tokenisers, rule order, chat templates, sharding)
+are checked against brute force in tests/llm.
 """
 
 from __future__ import annotations
@@ -14,5 +14,5 @@ QUERIES = {f.__name__: f for f in (
     sentencepieces.op4_sentencepiece, classifiers.op5_toxicity, quality_rules.op6_quality_rules,
     chat.op7_chat_formatting, classifiers.op8_quality_classifier, topk.op9_topk_search, sharding.op10_sharding,
     mixing.op11_source_mixing, lexical.op12_lexical_search, repair.op13_structure_repair)}
-ORACLES: dict[str, str] = {"op11_source_mixing": mixing.SQL, "op12_lexical_search": lexical.SQL,
-                           "op13_structure_repair": repair.SQL}
+ORACLES: dict[str, str] = {"op1_substring_dedup": substrings.SQL, "op2_minhash": neardup.SQL, "op9_topk_search": topk.SQL,
+                           "op11_source_mixing": mixing.SQL, "op12_lexical_search": lexical.SQL, "op13_structure_repair": repair.SQL}

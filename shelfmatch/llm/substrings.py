@@ -264,3 +264,20 @@ def deduplicated(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
 def op1_substring_dedup(spark, sf_dir):
     return report(T.documents(spark, sf_dir))
+
+
+SQL = rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+w AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM d),
+starts AS (SELECT doc_id, words, unnest(range(1, len(words) - {WINDOW - 2})) AS i FROM d),
+later AS (
+  SELECT doc_id, i FROM starts
+  QUALIFY row_number() OVER (PARTITION BY array_to_string(words[i:i + {WINDOW - 1}], ' ') ORDER BY doc_id, i) > 1),
+told AS (
+  SELECT w.doc_id, w.i, word, count(later.i) OVER (PARTITION BY w.doc_id ORDER BY w.i ROWS {WINDOW - 1} PRECEDING) > 0 AS gone
+  FROM w LEFT JOIN later ON later.doc_id = w.doc_id AND later.i = w.i),
+kept AS (
+  SELECT doc_id, count(*) FILTER (gone) AS n_removed, coalesce(string_agg(word, ' ' ORDER BY i) FILTER (NOT gone), '') AS text FROM told GROUP BY doc_id)
+SELECT d.doc_id, len(words)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM d LEFT JOIN kept ON kept.doc_id = d.doc_id
+"""
