@@ -17,39 +17,36 @@ from pyspark.sql.types import LongType, StringType
 def damerau_levenshtein_distance(a: str, b: str) -> int:
     """Unrestricted Damerau-Levenshtein distance (adjacent swaps may be edited again).
 
-    Row-vectorised Lowrance-Wagner: for each row of ``a`` the substitution,
-    deletion and transposition terms are numpy vector operations, and the
-    insertion chain is a prefix minimum (``min_j' (T[j'] - j') + j``).
+    One row of the table at a time, as numpy vectors over the shorter text: memory is
+    linear in it. A swap of cost one on one side needs, per column, either the cell
+    before the last row that held the column's character (``before_match``), or the row
+    two above at the last match in this row; swaps with edits on both sides never beat
+    these. The insertion chain is a prefix minimum (``min_j' (T[j'] - j') + j``).
     """
-    la, lb = len(a), len(b)
-    if la == 0 or lb == 0:
-        return la + lb
-    alphabet = {ch: i for i, ch in enumerate(set(a) | set(b))}
-    ac = np.fromiter((alphabet[c] for c in a), dtype=np.int64, count=la)
-    bc = np.fromiter((alphabet[c] for c in b), dtype=np.int64, count=lb)
-    big = la + lb
-    h = np.empty((la + 2, lb + 2), dtype=np.int64)
-    h[0, :] = big
-    h[:, 0] = big
-    h[1, 1:] = np.arange(lb + 1)
-    h[1:, 1] = np.arange(la + 1)
-    last_row = np.zeros(len(alphabet), dtype=np.int64)   # da[] of the algorithm
-    jj = np.arange(1, lb + 1)
-    for i in range(1, la + 1):
-        match = bc == ac[i - 1]
-        cost = (~match).astype(np.int64)
-        # l_j: last column j' < j in this row where b[j'] == a[i] (0 if none)
-        marks = np.where(match, jj, 0)
-        db = np.concatenate(([0], np.maximum.accumulate(marks)[:-1]))
-        k = last_row[bc]
-        trans = h[k, db] + (i - k - 1) + 1 + (jj - db - 1)
-        t = np.minimum(np.minimum(h[i, 1:lb + 1] + cost, h[i, 2:lb + 2] + 1), trans)
-        # insertion chain: row[j] = min(t[j], row[j-1] + 1), row[0] = i
-        base = np.concatenate(([i], t))
-        idx = np.arange(lb + 1)
-        h[i + 1, 1:] = np.minimum.accumulate(base - idx) + idx
-        last_row[ac[i - 1]] = i
-    return int(h[la + 1, lb + 1])
+    if len(a) < len(b):
+        a, b = b, a
+    if not b:
+        return len(a)
+    ac, bc = (np.frombuffer(t.encode("utf-32-le", "surrogatepass"), dtype=np.int32) for t in (a, b))
+    n, far = len(b), 1 << 29
+    col = np.arange(1, n + 1, dtype=np.int32)
+    two_up, up = np.full(n + 1, far, dtype=np.int32), np.arange(n + 1, dtype=np.int32)
+    before_match, last_row = np.full(n, far, dtype=np.int32), np.full(n, -far, dtype=np.int32)
+    for i, x in enumerate(ac, 1):
+        same = bc == x
+        cost = np.minimum(up[:-1] + ~same, up[1:] + 1)
+        match = np.maximum.accumulate(np.where(same, col, 0))
+        match = np.r_[np.int32(0), match[:-1]]                      # last matching column before this one
+        beside = ~same & (match == col - 1) & (match > 0)
+        cost = np.where(beside, np.minimum(cost, before_match + (i - last_row)), cost)
+        above = ~same & (last_row == i - 1) & (match > 0)
+        cost = np.where(above, np.minimum(cost, two_up[np.maximum(match - 1, 0)] + (col - match)), cost)
+        row = np.minimum.accumulate(np.r_[np.int32(i), cost - col])
+        row[1:] += col
+        before_match = np.where(same, np.r_[np.int32(far), up[:-2]] if n > 1 else np.int32(far), before_match)
+        last_row[same] = i
+        two_up, up = up, row
+    return int(up[-1])
 
 
 # Pairs are scored in batches (one numpy DP row across the whole batch),

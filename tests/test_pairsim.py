@@ -110,6 +110,30 @@ def test_damerau_matches_brute_force(a, b):
     assert U.damerau_levenshtein_distance(a, b) == _dl_brute(a, b)
 
 
+def test_damerau_of_long_texts_is_linear_in_memory():
+    import tracemalloc
+    rnd = random.Random(4)
+    a = "".join(rnd.choice("abcdefgh é中") for _ in range(20000))
+    swaps = list(range(10, 19000, 950))
+    b = list(a)
+    for i in swaps:
+        b[i], b[i + 1] = b[i + 1], b[i]
+    changed = sum(a[i] != a[i + 1] for i in swaps)
+    tracemalloc.start()
+    got = U.damerau_many([a, a[:3000]], ["".join(b), a[5:3005]])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got[0] == changed and got[1] <= 10 and peak < 200e6
+
+
+def test_damerau_forms_agree():
+    rnd = random.Random(8)
+    text = lambda: "".join(rnd.choice("abcd") for _ in range(rnd.randint(0, 14)))
+    pairs = [(text(), text()) for _ in range(400)]
+    one = [U.damerau_levenshtein_distance(a, b) for a, b in pairs]
+    assert one == [_dl_brute(a, b) for a, b in pairs] == U.damerau_many([a for a, _ in pairs], [b for _, b in pairs])
+
+
 def test_damerau_udf(spark):
     df = spark.createDataFrame([("ca", "abc"), (None, "x")], "a string, b string")
     assert [r[0] for r in df.select(U.damerau(F.col("a"), F.col("b"))).collect()] == [2, None]
