@@ -100,6 +100,19 @@ def catalog_enriched(spark: SparkSession, sf: str) -> DataFrame:
                      "PRICE_PER_KG")
 
 
+@query("owned_catalog", oracle="WITH " + Q.ALL_INPUTS + "," + Q.CATALOG_RP.split("rp0 AS")[0] + """
+links AS (SELECT DISTINCT n_name AS COUNTRY_CODE, s_suppkey AS CP_RETAILER_ID FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE s_suppkey % 3 <> 0)
+SELECT COUNTRY, PRODUCT_ID, RETAILER_ID, QUALITY_LABEL, NAME_INT, IN_SOT
+FROM cat WHERE EXISTS (SELECT 1 FROM links WHERE COUNTRY_CODE = COUNTRY AND CP_RETAILER_ID = RETAILER_ID)""")
+def owned_catalog(spark: SparkSession, sf: str) -> DataFrame:
+    """JN-14: assembly with the optional join that keeps retailers with an owner only (all RPs, with a feed name or not)."""
+    fill = M.fill_rate(S.order_lines(spark, sf), S.AS_OF, with_orders=False)
+    defects = M.defect_rate(S.order_products(spark, sf), S.tickets(spark, sf), S.AS_OF, reasons=S.TICKET_REASONS, join_keys=("ORDER_ID",))
+    owners = M.owner_list(S.store_links(spark, sf).where("CP_RETAILER_ID % 3 <> 0"))
+    cat = C.assemble_catalog(assembled_base(spark, sf), fill, defects, M.feed_snapshot(S.feed(spark, sf), S.AS_OF), S.sot(spark, sf), owners=owners)
+    return cat.select("COUNTRY", "PRODUCT_ID", "RETAILER_ID", "QUALITY_LABEL", "NAME_INT", "IN_SOT")
+
+
 def rollup(spark: SparkSession, sf: str) -> DataFrame:
     # The enriched rows feed the sums and the medians: compute them once (R7).
     return C.rollup_products(C.fill_keys(materialize(catalog_rps(spark, sf))))

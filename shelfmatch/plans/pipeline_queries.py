@@ -184,6 +184,29 @@ def match_pairs(spark: SparkSession, sf: str) -> DataFrame:
                      "master_product_id", "master_product_id_sot")
 
 
+_FIRST_OF_NAME = """
+{n} AS (SELECT COUNTRY, {fold} AS fname, MEDIAN_PRICE, SIMILARITY, MASTER_PRODUCT_ID FROM {src}
+  QUALIFY row_number() OVER (PARTITION BY COUNTRY, {fold} ORDER BY NAME, MASTER_PRODUCT_ID, CAT1_NAME, CAT2_NAME, CAT3_NAME, MAKER, TRADEMARK, IN_SOT) = 1)"""
+
+
+@query("match_first_row", oracle=_MATCH_BASE + "," + _FIRST_OF_NAME.format(n="o1", src="om", fold=Q.fold("NAME")) + ","
+       + _FIRST_OF_NAME.format(n="s1", src="sm", fold=Q.fold("NAME")) + """,
+named AS (SELECT r.COUNTRY, r.sim, r.sid, r.rnk, o.fname AS oname, s.fname AS sname FROM ranked r JOIN o ON o.COUNTRY = r.COUNTRY AND o.rid = r.oid
+  JOIN s ON s.COUNTRY = r.COUNTRY AND s.rid = r.sid WHERE rnk <= 10 ORDER BY r.COUNTRY, r.sid, rnk LIMIT 2000)
+SELECT n.COUNTRY, round(sim, 8) AS similarity, regexp_replace(oname, '~+$', '') AS master_products, regexp_replace(sname, '~+$', '') AS integration,
+       round(CASE WHEN s1.MEDIAN_PRICE IS NOT NULL AND o1.MEDIAN_PRICE IS NOT NULL AND greatest(s1.MEDIAN_PRICE, o1.MEDIAN_PRICE) <> 0
+             THEN 1 - abs(s1.MEDIAN_PRICE - o1.MEDIAN_PRICE) / greatest(s1.MEDIAN_PRICE, o1.MEDIAN_PRICE) END, 8) AS price_similarity,
+       round(s1.SIMILARITY, 8) AS config_similarity, o1.MASTER_PRODUCT_ID AS master_product_id, s1.MASTER_PRODUCT_ID AS master_product_id_sot
+FROM named n JOIN o1 ON o1.COUNTRY = n.COUNTRY AND o1.fname = n.oname JOIN s1 ON s1.COUNTRY = n.COUNTRY AND s1.fname = n.sname""")
+def match_first_row(spark: SparkSession, sf: str) -> DataFrame:
+    """JN-9 as the strict mode has it (attributes of the first row with the same normalised name), with the match limit LIM-1."""
+    cat = PL.extract(PL.tables_from_testdata(spark, sf), PL.Params(as_of=S.AS_OF, defect_join_keys=("ORDER_ID",), reasons=S.TICKET_REASONS))
+    sc = matching.score_matches(cat.opportunity_mps, cat.sot_mps, keys=("COUNTRY",), row_cols=C.ROLLUP_KEYS, strict_compat=True, top=2000)
+    return sc.select("COUNTRY", F.round("similarity", 8).alias("similarity"), "master_products", "integration",
+                     F.round("price_similarity", 8).alias("price_similarity"), F.round("config_similarity", 8).alias("config_similarity"),
+                     "master_product_id", "master_product_id_sot")
+
+
 # Best match per opportunity MP (the struct order of ``best_per_key``), floor,
 # prioritisation (GMV share, tie columns, bounded running total).
 _PRIO_BASE = _MATCH_BASE + """,
