@@ -15,8 +15,8 @@ no other run has proves that none of its windows occurs elsewhere. Where all run
 symbol are equal, the first of them (smallest id, then start) stays and the others go as
 they are. Only where runs of a symbol differ, which is at the ends of repeated passages,
 are their windows compared one by one, by 96-bit names of all their words: of each name
-the first window stays and the words of the later ones go. Within a text windows are
-compared in its task.
+the first window stays and the words of the later ones go. Repeats within one text are
+found in the same way.
 
 Rows are named by their id and 15 bits of a hash of the text, so rows that share an id, or
 have none, are judged each by its own text; among them the smaller start comes first, then
@@ -140,13 +140,11 @@ def runs(docs: DataFrame, window: int) -> DataFrame:
 
 
 def window_state(w: T.Words, marks: list, window: int):
-    """Windows (text, start), their two names, whether each goes with its run, is to be compared, and starts earlier in its text.
+    """Windows (text, start), whether each goes with its run, and whether it is to be compared.
 
     ``marks`` are a text's runs that go (even) or differ (odd): 2 * (32 * first window + number of windows - 1) + 0 or 1."""
     doc, at = T.windows(w.first, window)
-    n1, n2 = names_of(w)
-    h1, h2 = T.range_hash(n1, at, at + window, 95), T.range_hash(n2, at, at + window, 97)
-    edge = np.zeros((2, len(n1) + 1), dtype=np.int64)
+    edge = np.zeros((2, len(w.start) + 1), dtype=np.int64)
     for i, own in enumerate(marks):
         if own is not None and len(own):
             own, kind = np.asarray(own, dtype=np.int64) >> 1, np.asarray(own, dtype=np.int64) & 1
@@ -155,35 +153,33 @@ def window_state(w: T.Words, marks: list, window: int):
             np.add.at(edge, (kind, own // 32 + w.first[i]), 1)
             np.add.at(edge, (kind, own // 32 + own % 32 + 1 + w.first[i]), -1)
     gone, open_ = (np.cumsum(e)[at] > 0 if len(at) else np.zeros(0, dtype=bool) for e in edge)
-    order = np.lexsort((at, h2, h1, doc))
-    a, z = order[:-1], order[1:]
-    later = np.zeros(len(at), dtype=bool)   # the same words start earlier in this document
-    later[z] = (doc[a] == doc[z]) & (h1[a] == h1[z]) & (h2[a] == h2[z])
-    return doc, at, h1, h2, gone, open_, later
+    return doc, at, gone, open_ & ~gone
 
 
 def open_windows(marked: DataFrame, window: int) -> DataFrame:
-    """(h1, h2, doc_id, at) of the windows to be compared, the first in each text; at = start << TIE | tie."""
+    """(h1, h2, doc_id, at) of the windows to be compared; at = start << TIE | tie."""
     def run(batches):
         for b in T.small_batches(batches):
             w = T.split_words(b.column("text"))
-            doc, at, h1, h2, gone, open_, later = window_state(w, b.column(MARKS).to_pylist(), window)
-            take = open_ & ~gone & ~later
+            doc, at, _, open_ = window_state(w, b.column(MARKS).to_pylist(), window)
+            doc, at = doc[open_], at[open_]
+            n1, n2 = names_of(w)
+            h1, h2 = T.range_hash(n1, at, at + window, 95), T.range_hash(n2, at, at + window, 97)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(h1[take].view(np.int64)), pa.array((h2[take] >> np.uint64(32)).astype(np.uint32).view(np.int32)), pa.array(_ids(b)[doc[take]], pa.int64()),
-                 pa.array(((at - w.first[doc])[take] << TIE) | np.array(b.column("tie"))[doc[take]], pa.int64())], ["h1", "h2", "doc_id", "at"])
+                [pa.array(h1.view(np.int64)), pa.array((h2 >> np.uint64(32)).astype(np.uint32).view(np.int32)), pa.array(_ids(b)[doc], pa.int64()),
+                 pa.array((at - w.first[doc] << TIE) | np.array(b.column("tie"))[doc], pa.int64())], ["h1", "h2", "doc_id", "at"])
     return marked.select("doc_id", "tie", "text", MARKS).mapInArrow(run, "h1 long, h2 int, doc_id long, at long")
 
 
 def covered(w: T.Words, marks: list, firsts: list, window: int) -> np.ndarray:
     """True for each word in a window whose words start earlier somewhere."""
-    doc, at, _, _, with_run, open_, later = window_state(w, marks, window)
+    _, at, gone, open_ = window_state(w, marks, window)
     is_first = np.zeros(len(w.start), dtype=bool)
     for i, own in enumerate(firsts):
         if own is not None and len(own):
             own = np.asarray(own, dtype=np.int64) + w.first[i]
             is_first[own[own < w.first[i + 1]]] = True
-    gone = later | with_run | (open_ & ~is_first[at])
+    gone = gone | (open_ & ~is_first[at])
     edge = np.zeros(len(w.start) + 1, dtype=np.int64)
     np.add.at(edge, at[gone], 1)
     np.add.at(edge, at[gone] + window, -1)
@@ -204,9 +200,11 @@ def judged(docs: DataFrame, window: int = WINDOW, carry: tuple = ()) -> DataFram
     # Names of several runs, the first of them, and whether they differ.
     shared = sent.groupBy("name").agg(F.count(F.lit(1)).alias("n"), F.min("words").alias("low"), F.max("words").alias("high"),
                                       F.min(F.struct("doc_id", "at")).alias("first")).where("n > 1").select(
-        "name", (F.col("low") != F.col("high")).alias("differ"), "first")
+        "name", "low", (F.col("low") != F.col("high")).alias("differ"), "first")
     own = F.shiftright("at", TIE) * 2 + F.col("differ").cast("long")
-    told = sent.join(shared, "name").where(F.col("differ") | (F.struct("doc_id", "at") != F.col("first")))
+    # Both readers need all columns of what was sent, so that Spark makes and shuffles it once.
+    again = (F.col("words") == F.col("low")) & (F.struct("doc_id", "at") != F.col("first"))
+    told = sent.join(shared, "name").where(F.col("differ") | again)
     marks = told.groupBy("doc_id", F.col("at").bitwiseAND(F.lit((1 << TIE) - 1)).alias("tie")).agg(F.collect_list(own).alias(MARKS))
     marked = keyed.join(marks, ["doc_id", "tie"], "left")
     first = open_windows(marked, window).groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "at")).alias("f")).select("f.*")
