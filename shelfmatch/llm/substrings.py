@@ -11,11 +11,11 @@ Every window of the text picks one high-level symbol whose context it holds, the
 name, so equal windows pick alike. Windows in a row that pick the same occurrence are a
 run, about one in five words; it is sent under the name of its symbol (the words of the
 context) with a hash of all its words and of the symbol's place among them. A symbol that
-no other run has proves that none of its windows occurs elsewhere. Where all runs of a
-symbol are equal, the first of them (smallest id, then start) stays and the others go as
-they are. Only where runs of a symbol differ, which is at the ends of repeated passages,
-are their windows compared one by one, by 96-bit names of all their words: of each name
-the first window stays and the words of the later ones go. Repeats within one text are
+no other run has proves that none of its windows occurs elsewhere. Of equal runs the first
+(smallest id, then start) stays and the others go as they are. Only where runs of a symbol
+differ, which is at the ends of repeated passages, are the windows of the first of each
+kind compared one by one, by 96-bit names of all their words: of each name the first
+window stays and the words of the later ones go. Repeats within one text are
 found in the same way.
 
 Rows are named by their id and 15 bits of a hash of the text, so rows that share an id, or
@@ -139,6 +139,38 @@ def runs(docs: DataFrame, window: int) -> DataFrame:
     return docs.select("doc_id", "tie", "text").mapInArrow(run, "name long, words long, doc_id long, at long")
 
 
+def told(sent: DataFrame) -> DataFrame:
+    """(doc_id, tie, own) of the runs, sorted by name, words and place, that go or differ; ``own`` as in ``window_state``.
+
+    A run equal to one before it goes. The first of its kind differs if its name has runs of another kind: the first
+    kind's first run is kept in hand until the next kind or name shows."""
+    def run(batches):
+        last = hand = None
+        for b in batches:
+            if not b.num_rows:
+                continue
+            name, words, doc, at = (np.array(b.column(c)) for c in ("name", "words", "doc_id", "at"))
+            new_name = np.r_[last is None or last[0] != name[0], name[1:] != name[:-1]]
+            new_kind = new_name | np.r_[last is None or last[1] != words[0], words[1:] != words[:-1]]
+            # Equal rows of one id name the same run: it stands once.
+            again = np.r_[last is not None and last[2:] == (doc[0], at[0]), (doc[1:] == doc[:-1]) & (at[1:] == at[:-1])]
+            gone = ~new_kind & ~again
+            last = name[-1], words[-1], doc[-1], at[-1]
+            kinds = np.flatnonzero(new_kind)
+            other = ~new_name[kinds]                                  # a second or later kind of its name
+            differs = kinds[other | np.r_[other[1:], False]] if len(kinds) else kinds
+            out = [(doc[gone], at[gone], 0), (doc[differs], at[differs], 1)]
+            if len(kinds):
+                if hand is not None and other[0]:
+                    out.append((*hand, 1))
+                k = kinds[-1:]
+                hand = None if other[-1] else (doc[k], at[k])
+            own = np.concatenate([(a >> TIE) * 2 + kind for _, a, kind in out])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([d for d, _, _ in out])), pa.array(np.concatenate([a & ((1 << TIE) - 1) for _, a, _ in out])),
+                                              pa.array(own)], ["doc_id", "tie", "own"])
+    return sent.mapInArrow(run, "doc_id long, tie long, own long")
+
+
 def window_state(w: T.Words, marks: list, window: int):
     """Windows (text, start), whether each goes with its run, and whether it is to be compared.
 
@@ -195,17 +227,9 @@ def judged(docs: DataFrame, window: int = WINDOW, carry: tuple = ()) -> DataFram
     row = F.struct(*carry).alias("row") if carry else F.lit(None).cast("boolean").alias("row")
     tie = F.pmod(F.xxhash64(text), F.lit(1 << TIE))
     keyed = docs.select(own.alias("doc_id"), text.alias("text"), tie.alias("tie"), row)
-    # Sent once, to the tasks that count the names and tell the runs; a frequent name is a stream in its task.
+    # A frequent name is a stream in its task: sorted on disk if need be, and never held.
     sent = runs(keyed, window).repartition(T.shuffle_tasks(docs.sparkSession), "name")
-    # Names of several runs, the first of them, and whether they differ.
-    shared = sent.groupBy("name").agg(F.count(F.lit(1)).alias("n"), F.min("words").alias("low"), F.max("words").alias("high"),
-                                      F.min(F.struct("doc_id", "at")).alias("first")).where("n > 1").select(
-        "name", "low", (F.col("low") != F.col("high")).alias("differ"), "first")
-    own = F.shiftright("at", TIE) * 2 + F.col("differ").cast("long")
-    # Both readers need all columns of what was sent, so that Spark makes and shuffles it once.
-    again = (F.col("words") == F.col("low")) & (F.struct("doc_id", "at") != F.col("first"))
-    told = sent.join(shared, "name").where(F.col("differ") | again)
-    marks = told.groupBy("doc_id", F.col("at").bitwiseAND(F.lit((1 << TIE) - 1)).alias("tie")).agg(F.collect_list(own).alias(MARKS))
+    marks = told(sent.sortWithinPartitions("name", "words", "doc_id", "at")).groupBy("doc_id", "tie").agg(F.collect_list("own").alias(MARKS))
     marked = keyed.join(marks, ["doc_id", "tie"], "left")
     first = open_windows(marked, window).groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "at")).alias("f")).select("f.*")
     firsts = first.groupBy("doc_id", F.col("at").bitwiseAND(F.lit((1 << TIE) - 1)).alias("tie")).agg(
