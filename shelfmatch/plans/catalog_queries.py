@@ -12,7 +12,7 @@ from shelfmatch.operators import rank as R
 from shelfmatch.plans import sqlfrag as Q
 from shelfmatch.plans import standins as S
 from shelfmatch.plans.registry import query
-from shelfmatch.session import materialize
+from shelfmatch.session import materialize, stored
 from shelfmatch.sources.tables import table
 
 BUDGET = 500
@@ -80,7 +80,7 @@ def catalog_rps(spark: SparkSession, sf: str) -> DataFrame:
     fill = M.fill_rate(S.order_lines(spark, sf), S.AS_OF, with_orders=False)
     defects = M.defect_rate(S.order_products(spark, sf), S.tickets(spark, sf), S.AS_OF,
                             reasons=S.TICKET_REASONS, join_keys=("ORDER_ID",))
-    feed = materialize(M.feed_snapshot(S.feed(spark, sf), S.AS_OF))
+    feed = stored(M.feed_snapshot(S.feed(spark, sf), S.AS_OF), "snapshot")
     cat = C.assemble_catalog(assembled_base(spark, sf, feed), fill, defects, feed, S.sot(spark, sf))
     return C.enrich_retailer_products(cat)
 

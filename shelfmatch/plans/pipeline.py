@@ -22,7 +22,7 @@ from shelfmatch.operators import export as X
 from shelfmatch.operators import matching
 from shelfmatch.operators import metrics as M
 from shelfmatch.operators import rank as R
-from shelfmatch.session import materialize
+from shelfmatch.session import materialize, stored
 from shelfmatch.sources.published import Published
 
 
@@ -73,7 +73,9 @@ def extract(t: Tables, p: Params) -> C.CatalogFrames:
     fill = M.fill_rate(t.order_lines, p.as_of, p.fill_weeks, with_orders=False)
     defects = M.defect_rate(t.order_products, t.tickets, p.as_of, p.defect_days, p.reasons,
                             join_keys=p.defect_join_keys)
-    feed = materialize(M.feed_snapshot(t.feed, p.as_of, p.feed_days))     # read for its keys and for its columns
+    # Read for its keys and for its columns. As files its size is known (a small one is broadcast), and its
+    # partitioning is not, so that a snapshot of one partition does not draw the catalog into one.
+    feed = stored(M.feed_snapshot(t.feed, p.as_of, p.feed_days), "snapshot")
     live = C.sell_and_presentation(C.with_feed(t.retailer_products, feed), t.master_products)
     base = C.catalog_base(live, t.rp_analytics, t.mp_analytics)
     sot_on = [*(["COUNTRY"] if "COUNTRY" in t.sot_ids.columns else []), "MASTER_PRODUCT_ID"]

@@ -42,7 +42,10 @@ def test_pipeline_has_no_single_partition_exchange_or_row_udf(spark):
     df = E.queries()["catalog_pipeline"](spark, SF001)
     df.collect()
     p = df._jdf.queryExecution().executedPlan().toString()
-    assert "SinglePartition" not in p
+    lines = p.split("\n")
+    # One task may merge Spark's own run-time join filters, which are of fixed size; it gets nothing else.
+    alone = [lines[i + 1] for i, line in enumerate(lines) if "SinglePartition" in line]
+    assert all("partial_bloom_filter_agg" in line for line in alone)
     assert "BatchEvalPython" not in p
 
 
