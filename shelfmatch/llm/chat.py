@@ -8,13 +8,14 @@ The log of a conversation is a list of events in sequence order:
 * ``regenerate`` the message of position ``target`` gets a new text and all later ones go.
 
 Events are partitioned by conversation and sorted by sequence in Spark; a task
-folds them one at a time, so it holds one conversation's messages and never a
-partition. An edit may reach any earlier message, so the messages of one
-conversation must fit into a task. With ``plain=True`` (only whole messages) turns stream
-one at a time, so ``digests`` needs no more memory than one turn.
+folds them one at a time. Every event carries ``later``, the smallest position that a
+later event of its conversation rewrites (a running minimum over the events in reverse),
+so the fold passes a message on as soon as nothing can change it any more. It holds the
+messages that a later edit or regeneration may still reach, and the last one: a log of
+messages and deltas streams one turn at a time.
 
 Null texts and roles are empty; null sequence numbers sort first; ties are ordered by
-role and text; events without a valid target are ignored; a null conversation id is
+role, text, kind and target; events without a valid target are ignored; a null conversation id is
 one conversation. An empty log gives no rows. Extra columns are not read.
 """
 
@@ -22,10 +23,11 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections import deque
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from shelfmatch.llm import textcols as T
 
@@ -60,21 +62,31 @@ def read_turns(rendered: str) -> Iterator[tuple[str, str, int, int]]:
         at = end + len(CLOSE)
 
 
-def fold(events: Iterable[tuple[str, int | None, str, str]]) -> Iterator[tuple[str, str]]:
-    """Final (role, text) messages of events (kind, target, role, text) in order."""
-    out: list[list] = []
-    for kind, target, role, text in events:
+def fold(events: Iterable[tuple[str, int | None, str, str, int | None]]) -> Iterator[tuple[str, str]]:
+    """Final (role, text) messages of events (kind, target, role, text, later) in order.
+
+    A message before the position ``later`` (None: no event to come rewrites one) is final once another follows it.
+    """
+    held: deque[list] = deque()          # the messages from position ``done`` on
+    done = 0
+    for kind, target, role, text, later in events:
         if kind == "message":
-            out.append([role, [text]])
+            held.append([role, [text]])
         elif kind == "delta":
-            if not out or out[-1][0] != role:
-                out.append([role, []])
-            out[-1][1].append(text)
-        elif target is not None and 0 <= target < len(out):
-            out[target][1] = [text]
+            if not held or held[-1][0] != role:
+                held.append([role, []])
+            held[-1][1].append(text)
+        elif target is not None and done <= target < done + len(held):
+            held[target - done][1] = [text]
             if kind == "regenerate":
-                del out[target + 1:]
-    return ((role, "".join(parts)) for role, parts in out)
+                while len(held) > target - done + 1:
+                    held.pop()
+        while len(held) > 1 and (later is None or done < later):
+            final, parts = held.popleft()
+            done += 1
+            yield final, "".join(parts)
+    for final, parts in held:
+        yield final, "".join(parts)
 
 
 class Digest:
@@ -113,25 +125,22 @@ def sorted_events(log: DataFrame) -> DataFrame:
             F.coalesce("kind", F.lit("message")).alias("kind"), F.col("target").cast("long").alias("target"),
             F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")]
     n = T.shuffle_tasks(log.sparkSession)
-    return log.select(*cols).repartition(n, "conv_id").sortWithinPartitions("conv_id", "seq", "role", "text")
+    order = ["seq", "role", "text", "kind", "target"]
+    rewritten = F.when(~F.col("kind").isin("message", "delta") & (F.col("target") >= 0), F.col("target"))
+    after = Window.partitionBy("conv_id").orderBy(*[F.desc(c) for c in order]).rowsBetween(Window.unboundedPreceding, -1)
+    events = log.select(*cols).repartition(n, "conv_id").withColumn("later", F.min(rewritten).over(after))
+    return events.sortWithinPartitions("conv_id", *order)
 
 
-def _messages(rows, plain: bool) -> Iterator[tuple[str, str]]:
-    """Folded messages; a ``plain`` log streams and may hold whole messages only."""
-    if not plain:
-        yield from fold(r[2:] for r in rows)
-        return
-    for r in rows:
-        if r[2] != "message":
-            raise ValueError("a plain log holds an event other than a message")
-        yield r[4], r[5]
+def _messages(rows) -> Iterator[tuple[str, str]]:
+    return fold(r[2:] for r in rows)
 
 
-def render(log: DataFrame, plain: bool = False) -> DataFrame:
+def render(log: DataFrame) -> DataFrame:
     """conv_id, formatted text and loss spans (start, end offsets) per conversation."""
     def run(batches):
         for conv, rows in _conversations(batches):
-            text = "".join(render_turn(r, t) for r, t in _messages(rows, plain))
+            text = "".join(render_turn(r, t) for r, t in _messages(rows))
             spans = [[a, z] for r, _, a, z in read_turns(text) if r == "assistant"]
             yield pa.RecordBatch.from_pylist(
                 [{"conv_id": conv, "formatted": text, "loss_spans": spans}],
@@ -140,7 +149,7 @@ def render(log: DataFrame, plain: bool = False) -> DataFrame:
     return sorted_events(log).mapInArrow(run, "conv_id long, formatted string, loss_spans array<array<long>>")
 
 
-def digests(log: DataFrame, plain: bool = False) -> DataFrame:
+def digests(log: DataFrame) -> DataFrame:
     """Per conversation: counts and hashes read back from its rendered turns."""
     names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
 
@@ -148,7 +157,7 @@ def digests(log: DataFrame, plain: bool = False) -> DataFrame:
         rows = []
         for conv, events in _conversations(batches):
             d = Digest()
-            for role, text in _messages(events, plain):
+            for role, text in _messages(events):
                 d.add(render_turn(role, text))
             rows.append((conv, *d.row()))
             if len(rows) == 1000:
@@ -167,4 +176,4 @@ def op7_chat_formatting(spark, sf_dir):
                                 "conv_id long, turn long, role string, text string")
     log = c.unionByName(own).select("conv_id", F.col("turn").alias("seq"), F.lit("message").alias("kind"),
                                     F.lit(None).cast("long").alias("target"), "role", "text")
-    return digests(log, plain=True)
+    return digests(log)

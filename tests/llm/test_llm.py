@@ -1,5 +1,6 @@
 """Each operator against brute force, and its defined results in odd cases."""
 import hashlib
+import inspect
 import random
 import re
 import zlib
@@ -181,6 +182,46 @@ def test_chat(spark):
     assert [t[:2] for t in chat.read_turns(got[None])] == [("", "")]
 
 
+def folded_by_position(events):
+    out = []
+    for kind, target, role, text in events:
+        if kind == "message" or (kind == "delta" and (not out or out[-1][0] != role)):
+            out.append([role, text])
+        elif kind == "delta":
+            out[-1][1] += text
+        elif target is not None and 0 <= target < len(out):
+            out[target][1] = text
+            if kind == "regenerate":
+                del out[target + 1:]
+    return [tuple(m) for m in out]
+
+
+def test_digests_fold_every_kind_of_event(spark):
+    rng = random.Random(8)
+    logs = {c: [(rng.choice(["message", "message", "delta", "edit", "regenerate"]), rng.choice([None, -1, 0, 1, 2, 5, 9]),
+                 rng.choice(["user", "assistant"]), f"t{c}.{i}") for i in range(rng.randrange(1, 40))] for c in range(60)}
+    rows = [(c, i, *e) for c, log in logs.items() for i, e in enumerate(log)]
+    df = spark.createDataFrame(rows, "conv_id long, seq long, kind string, target long, role string, text string")
+    got = {r["conv_id"]: (r["n_turns"], r["turns_sha256"], r["loss_sha256"]) for r in chat.digests(df).collect()}
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    want = {c: folded_by_position(log) for c, log in logs.items()}
+    assert got == {c: (len(m), sha("".join(f"{r}\n{t}\n" for r, t in m)), sha("".join(t for r, t in m if r == "assistant"))) for c, m in want.items()}
+
+
+def test_fold_holds_no_message_that_nothing_can_change(spark):
+    events = iter([("message", None, "user", str(i), None) for i in range(3)])
+    turns = chat.fold(events)
+    assert next(turns) == ("user", "0") and next(events)[3] == "2"       # two events read, one turn passed on
+
+
+def test_chat_query_goes_through_the_fold(spark, tmp_path):
+    spark.createDataFrame([(4, 2, "assistant", "b"), (4, 1, "user", "a"), (4, 2, "assistant", None)],
+                          "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    got = {r["conv_id"]: r["turns_sha256"] for r in chat.op7_chat_formatting(spark, str(tmp_path)).collect()}
+    assert got[4] == hashlib.sha256(b"user\na\nassistant\n\nassistant\nb\n").hexdigest() and len(got) == 2
+    assert list(inspect.signature(chat.digests).parameters) == ["log"]      # no second path beside the fold
+
+
 def test_classifiers():
     rng = random.Random(5)
     word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
