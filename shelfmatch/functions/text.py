@@ -147,13 +147,23 @@ def clean_text(c: Column, language: str | None = "portuguese") -> Column:
 
 def word_ngrams(c: Column, n: int = 1) -> Column:
     """Word n-grams of a cleaned text, joined by a space (SC-18)."""
-    toks = words(c)
+    return joined_runs(words(c), n)
+
+
+def joined_runs(toks: Column, n: int) -> Column:
+    """The ``n`` consecutive tokens from each position on, joined by a space.
+
+    Shifted copies of the array are zipped, so the array is read ``n`` times whatever its
+    length (an expression inside a lambda would be made anew for every position). Pass a
+    column that a ``select`` before made, where making the tokens is not cheap.
+    """
     if n == 1:
         return toks
     cnt = F.size(toks) - (n - 1)
-    return F.when(cnt >= 1, F.transform(
-        F.sequence(F.lit(1), cnt),
-        lambda i: F.array_join(F.slice(toks, i, n), " "))).otherwise(F.array().cast("array<string>"))
+    grams = F.slice(toks, 1, F.greatest(cnt, F.lit(0)))
+    for k in range(1, n):
+        grams = F.zip_with(grams, F.slice(toks, k + 1, F.greatest(cnt, F.lit(0))), lambda a, b: F.concat_ws(" ", a, b))
+    return F.when(cnt >= 1, grams).otherwise(F.array().cast("array<string>"))
 
 
 def word_tokens(c: Column) -> Column:

@@ -133,8 +133,8 @@ WITH c AS (SELECT doc_id, {w} AS w FROM documents)
 SELECT doc_id, array_to_string([w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))], '|') AS bigrams FROM c""".format(w=Q.clean_words("text")))
 def word_bigrams(spark: SparkSession, sf: str) -> DataFrame:
     """SC-18 with n = 2 over cleaned whole texts."""
-    d = table(spark, sf, "documents").select("doc_id", T.clean_text(F.col("text")).alias("clean"))
-    return d.select("doc_id", F.array_join(T.word_ngrams(F.col("clean"), 2), "|").alias("bigrams"))
+    d = table(spark, sf, "documents").select("doc_id", T.clean_words(F.col("text")).alias("words"))
+    return d.select("doc_id", F.array_join(T.joined_runs(F.col("words"), 2), "|").alias("bigrams"))
 
 
 @query("fold_text", oracle="""

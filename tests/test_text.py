@@ -73,3 +73,14 @@ def test_stop_words_list():
 def test_exact_fold_udf(spark):
     got = spark.createDataFrame([("Ação ½",)], "s string").select(U.fold_exact(F.col("s"))).first()[0]
     assert got == "Acao 12"
+
+
+def test_word_ngrams_make_the_words_once(spark):
+    rows = [("a b c",), ("one",), ("",), (None,), (" x  y ",)]
+    df = spark.createDataFrame(rows, "s string")
+    for n in (1, 2, 3):
+        want = [[" ".join(w[i:i + n]) for i in range(len(w) - n + 1)] for w in ((r[0] or "").split() for r in rows)]
+        assert [r[0] for r in df.select(F.coalesce(T.word_ngrams(F.col("s"), n), F.array())).collect()] == want
+    plan = df.select(T.word_ngrams(F.col("s"), 2).alias("g"))._jdf.queryExecution().optimizedPlan().toString()
+    # inside a lambda the words would be made anew for every position of the text
+    assert "split" in plan and not any("split" in p.split("lambda", 1)[0] for p in plan.split("lambdafunction(array_join(")[1:])
