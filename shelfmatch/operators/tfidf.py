@@ -10,9 +10,11 @@ shuffle) and scores the bags against the queries with a block kernel
     bags --> kernel with the query block and the idf (checked broadcasts)
          --> at most k pairs a query and task --> exchange on query --> top-k
 
-Only text and k pairs a query are ever shuffled. Queries beyond the broadcast bounds
-take the long-format postings ``(keys..., id, term, tf)`` instead, joined on the term
-with the corpus side salted, so that a trigram held by most rows spreads over tasks.
+Only text and k pairs a query are ever shuffled. Queries beyond the broadcast bound are
+dealt into blocks that meet blocks of the corpus (:func:`block_match`): the same kernel,
+with bags instead of joined postings in the shuffle. Only keyed vocabularies beyond the
+bound take the long-format postings ``(keys..., id, term, tf)``, joined on the term with
+the corpus side salted, so that a trigram held by most rows spreads over tasks.
 """
 
 from __future__ import annotations
@@ -188,8 +190,9 @@ def corpus_match(queries: DataFrame, corpus: DataFrame, query_id: str, corpus_id
     Ids are unique on either side (within ``keys``); rows with a NULL key match nothing.
     The bounds of :mod:`trigrams` always apply, and a floor (``opts.min_similarity``)
     raises them from the start; the rows are those of :func:`postings_match`, which
-    serves when the query postings or the keyed vocabularies, counted here, are too
-    many to broadcast. ``formed``, an accumulator, counts the pairs scored in full.
+    serves when the keyed vocabularies, counted here, are too many to broadcast, and of
+    :func:`block_match`, which serves when the query postings are. ``formed``, an
+    accumulator, counts the pairs scored in full against broadcast queries.
     """
     bags = stored(trigrams.bags(spread(corpus.select(*dict.fromkeys([*keys, corpus_id, corpus_text])), *keys, corpus_id),
                                 corpus_id, corpus_text, keys), "bags")
@@ -202,11 +205,13 @@ def corpus_match(queries: DataFrame, corpus: DataFrame, query_id: str, corpus_id
     # Without keys the vocabulary is bounded by 128^3; with keys it is read up to the bound.
     frequency = bags.select(*keys, F.explode("terms").alias("_term")).groupBy(*keys, "_term").agg(F.count(F.lit(1)).alias("_df"))
     most = opts.max_broadcast
-    table = frequency.limit(most + 1).toArrow() if postings <= most else None
-    if table is None or (keys and table.num_rows > most):
+    table = (frequency.limit(most + 1) if keys else frequency).toArrow()
+    if keys and table.num_rows > most:
         return postings_match(queries, corpus, query_id, corpus_id, query_text, corpus_text, keys, opts)
     n_docs = {tuple(r)[:-1]: r[-1] for r in bags.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).collect()} if keys else {(): bags.count()}
     known = trigrams.by_key(table, keys, ["_term", "_df"])
+    if postings > most:
+        return block_match(asked, bags, known, n_docs, query_id, corpus_id, keys, opts)
     wanted = trigrams.by_key(asked.select(*keys, F.col(query_id).alias("_id"), "terms", "tfs").toArrow(), keys, ["_id", "terms", "tfs"])
     blocks = {}
     for key, (ids, terms, tfs) in wanted.items():
@@ -219,6 +224,28 @@ def corpus_match(queries: DataFrame, corpus: DataFrame, query_id: str, corpus_id
     return top_k(pairs, query_id, corpus_id, keys, opts)
 
 
+def block_match(asked: DataFrame, bags: DataFrame, known: dict, n_docs: dict, query_id: str, corpus_id: str,
+                keys: tuple[str, ...], opts: TopK) -> DataFrame:
+    """The rows of :func:`corpus_match` for any number of queries (:func:`trigrams.block_pairs`).
+
+    Equal bags have equal scores: queries of one bag are asked once and share the answer, and
+    of a key's corpus rows with one bag only the k smallest ids can be among the k best.
+    """
+    vocabulary = {}
+    for key, (terms, dfs) in known.items():
+        term, df = np.array(terms, dtype=np.int32), np.array(dfs, dtype=np.int64)
+        order = np.argsort(term)
+        vocabulary[key] = term[order].astype(np.int64), df[order], n_docs[key]
+    w = Window.partitionBy(*keys, "terms", "tfs").orderBy(corpus_id)
+    rows = stored(bags.where(F.size("terms") > 0).withColumn("_nth", F.row_number().over(w)).where(F.col("_nth") <= opts.k).drop("_nth"), "rows")
+    first = stored(asked.groupBy(*keys, "terms", "tfs").agg(F.min(query_id).alias("_first")), "first")
+    pairs = trigrams.block_pairs(first.select(*keys, F.col("_first").alias(query_id), "terms", "tfs"), rows, vocabulary, keys, query_id, corpus_id,
+                                 opts.k, opts.lower_bound, opts.min_similarity)
+    found = top_k(pairs, query_id, corpus_id, keys, opts).withColumnRenamed(query_id, "_first")
+    members = asked.join(first, [*keys, "terms", "tfs"]).select(*keys, "_first", query_id)
+    return found.join(members, [*keys, "_first"]).select(*keys, query_id, corpus_id, "similarity", "rank")
+
+
 def postings_match(queries: DataFrame, corpus: DataFrame, query_id: str, corpus_id: str,
                    query_text: str, corpus_text: str, keys: tuple[str, ...] = (),
                    opts: TopK = TopK()) -> DataFrame:

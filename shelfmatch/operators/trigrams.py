@@ -31,6 +31,18 @@ from shelfmatch.functions import text as T
 
 #: Cells of a dense block (queries x frequent terms, rows x queries) and postings of a slice.
 CELLS, SLICE, SLACK, DIGITS = 1 << 22, 1 << 21, 1e-9, 10
+#: Rows and postings that a block of queries and a block of the corpus hold at most (about, by a hash).
+QUERIES, QUERY_POSTINGS, ROWS, ROW_POSTINGS = 1 << 12, 1 << 19, 1 << 14, 1 << 21
+
+
+def short_batches(batches, text: str, limit: int = 1 << 20):
+    """The batches cut so that their texts have about ``limit`` bytes (a longer text stays whole)."""
+    for b in batches:
+        if b.num_rows:
+            size = np.array(pc.fill_null(pc.binary_length(b.column(text)), 0), dtype=np.int64)
+            cuts = np.r_[0, np.flatnonzero(np.diff((np.cumsum(size) - size) // limit)) + 1, b.num_rows]
+            for a, z in zip(cuts[:-1], cuts[1:]):
+                yield b.slice(int(a), int(z - a))
 
 
 def bags(df: DataFrame, id_col: str, text_col: str, keys: Sequence[str] = ()) -> DataFrame:
@@ -39,10 +51,8 @@ def bags(df: DataFrame, id_col: str, text_col: str, keys: Sequence[str] = ()) ->
     names = [*keys, id_col]
 
     def run(batches):
-        for b in batches:
+        for b in short_batches(batches, "_folded"):
             folded = b.column("_folded").fill_null("")
-            if not b.num_rows:
-                continue
             raw = "".join(folded.to_pylist()).encode("ascii")
             data = np.frombuffer(raw, dtype=np.uint8).astype(np.int64)
             ends = np.cumsum(np.array(pc.binary_length(folded), dtype=np.int64))
@@ -217,3 +227,57 @@ def best_pairs(corpus: DataFrame, blocks: dict, keys: Sequence[str], query_field
                 yield pa.RecordBatch.from_arrays([pa.array(c, to_arrow_type(t)) for c, (_, t) in zip(zip(*rows), types)], [n for n, _ in types])
 
     return corpus.select(*keys, corpus_id, "terms", "tfs").mapInArrow(run, out)
+
+
+def block_pairs(asked: DataFrame, corpus: DataFrame, vocabulary: dict, keys: Sequence[str], query_id: str, corpus_id: str, k: int,
+                lower: float, floor: float | None) -> DataFrame:
+    """The pairs of :func:`best_pairs` where the queries are too many to broadcast.
+
+    Queries and corpus rows of a key are dealt into blocks by a hash of their id; every block of
+    queries meets every block of the corpus in a task that holds just these two. So a task's
+    memory is bounded whatever the size of a key, and no pair leaves it but a query's k best.
+    ``vocabulary`` maps a key tuple to (sorted terms, document frequencies, number of documents).
+    """
+    shared = corpus.sparkSession.sparkContext.broadcast(vocabulary)
+    asked, corpus = asked.where(F.size("terms") > 0), corpus.where(F.size("terms") > 0)
+
+    def blocks(bags, rows, postings, name):
+        n, held = F.count(F.lit(1)), F.sum(F.size("terms"))
+        return bags.groupBy(*keys).agg(F.ceil(F.greatest(n / rows, held / postings, F.lit(1.0))).alias(name))
+
+    sizes = [blocks(asked, QUERIES, QUERY_POSTINGS, "_nq"), blocks(corpus, ROWS, ROW_POSTINGS, "_nc")]
+    grid = F.broadcast(sizes[0].join(sizes[1], list(keys)) if keys else sizes[0].crossJoin(sizes[1]))
+
+    def placed(bags, id_col, own, many, other, others):
+        bags = bags.join(grid, list(keys)) if keys else bags.crossJoin(grid)
+        return bags.select(*keys, id_col, "terms", "tfs", F.pmod(F.xxhash64(id_col), F.col(many)).alias(own),
+                           F.explode(F.sequence(F.lit(0).cast("long"), F.col(others) - 1)).alias(other)).groupBy(*keys, "_q", "_c")
+
+    out = StructType([*[corpus.schema[c] for c in keys], StructField(query_id, asked.schema[query_id].dataType),
+                      StructField(corpus_id, corpus.schema[corpus_id].dataType), StructField("similarity", DoubleType())])
+
+    def run(key, queries, rows):
+        from pyspark.sql.pandas.types import to_arrow_schema
+        key = tuple(x.as_py() for x in key)[:len(keys)]
+        found = []
+        if queries.num_rows and rows.num_rows:
+            terms, df, n_docs = shared.value[key]
+            vectors = list(zip(queries.column("terms").to_pylist(), queries.column("tfs").to_pylist()))
+            block = Block(queries.column(query_id).to_pylist(), vectors, terms, df, n_docs)
+            best = Best(block, k, lower, floor)
+            for b in rows.to_batches():
+                size = np.array(b.column("terms").value_lengths(), dtype=np.int64)
+                starts = np.r_[0, np.cumsum(size)]
+                term, tf, ids = b.column("terms").flatten(), b.column("tfs").flatten(), b.column(corpus_id).to_pylist()
+                part = np.cumsum(size + len(block.often) + len(block.ids)) // SLICE
+                cuts = np.r_[0, np.flatnonzero(np.diff(part)) + 1, len(size)]
+                for a, z in zip(cuts[:-1], cuts[1:]):
+                    at, n = int(starts[a]), int(starts[z] - starts[a])
+                    best.add(ids[a:z], size[a:z], np.array(term.slice(at, n), dtype=np.int64), np.array(tf.slice(at, n), dtype=float))
+            found = [(*key, *p) for p in best.pairs()]
+        schema = to_arrow_schema(out)
+        columns = zip(*found) if found else [[] for _ in out.fields]
+        return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
+    left = placed(asked, query_id, "_q", "_nq", "_c", "_nc")
+    return left.cogroup(placed(corpus, corpus_id, "_c", "_nc", "_q", "_nq")).applyInArrow(run, out)

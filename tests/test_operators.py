@@ -6,6 +6,7 @@ import os
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from shelfmatch.operators import catalog as C
 from shelfmatch.operators import metrics as M
 from shelfmatch.operators import rank as R
-from shelfmatch.operators import tfidf
+from shelfmatch.operators import tfidf, trigrams
 from shelfmatch.sources import sinks
 from shelfmatch.sources.tables import lookup_by_ids
 
@@ -316,6 +317,33 @@ def test_kernel_equals_postings_join(spark, monkeypatch, floor, keyed):
     assert len(res[0]) <= formed.value <= 27 * 180
 
 
+@pytest.mark.parametrize("floor", [None, 0.5])
+@pytest.mark.parametrize("keyed", [False, True])
+def test_blocks_equal_the_broadcast_kernel(spark, monkeypatch, floor, keyed):
+    key = lambda i: ("BR", "CL", None)[i % 3]
+    c = spark.createDataFrame([(key(i), f"c{i:03}", None if i == 7 else n) for i, n in enumerate(_names(5, 150) + ["leite po"] * 30)],
+                              "k string, cid string, name string")
+    q = spark.createDataFrame([(key(i), i, n) for i, n in enumerate(_names(6, 40) + ["zz", "leite po", "leite po", "leite po", "leite po"])],
+                              "k string, qid long, name string")
+    keys, res = ("k",) if keyed else (), []
+    for name, bound in (("QUERIES", 5), ("ROWS", 20), ("SLICE", 200)):
+        monkeypatch.setattr(f"shelfmatch.operators.trigrams.{name}", bound)
+    for most in (10**6, 250):
+        m = tfidf.corpus_match(q, c, "qid", "cid", "name", "name", keys, tfidf.TopK(k=5, min_similarity=floor, max_broadcast=most))
+        res.append(sorted((r.qid, r["rank"], r.cid, round(r.similarity, 9)) for r in m.collect()))
+        # queries beyond the bound must not form every pair that shares a term
+        monkeypatch.setattr(tfidf, "postings_match", None)
+        monkeypatch.setattr("shelfmatch.operators.trigrams.best_pairs", None)
+    assert res[0] == res[1] and res[0]
+
+
+def test_bags_of_long_texts_are_made_a_few_at_a_time():
+    texts = ["x" * 400] * 9 + [None, "", "y" * 3000, "z"]
+    got = list(trigrams.short_batches([pa.RecordBatch.from_arrays([pa.array(texts)], ["t"])], "t", 1000))
+    assert [t for b in got for t in b.column("t").to_pylist()] == texts
+    assert all(b.num_rows and sum(len(t or "") for t in b.column("t").to_pylist()[:-1]) < 1000 for b in got)
+
+
 def test_bounds_leave_pairs_unformed_and_floor_more(spark):
     rnd = random.Random(4)
     word = lambda: "".join(rnd.choice("abcdefghij") for _ in range(6))
