@@ -35,11 +35,13 @@ CELLS, SLICE, SLACK, DIGITS = 1 << 22, 1 << 21, 1e-9, 10
 QUERIES, QUERY_POSTINGS, ROWS, ROW_POSTINGS = 1 << 12, 1 << 19, 1 << 14, 1 << 21
 
 
-def short_batches(batches, text: str, limit: int = 1 << 20):
-    """The batches cut so that their texts have about ``limit`` bytes (a longer text stays whole)."""
+def short_batches(batches, column: str, limit: int = 1 << 20):
+    """The batches cut so that a text or list column holds about ``limit`` bytes or items (a longer row stays whole)."""
     for b in batches:
         if b.num_rows:
-            size = np.array(pc.fill_null(pc.binary_length(b.column(text)), 0), dtype=np.int64)
+            values = b.column(column)
+            length = pc.list_value_length(values) if pa.types.is_list(values.type) else pc.binary_length(values)
+            size = np.array(pc.fill_null(length, 0), dtype=np.int64)
             cuts = np.r_[0, np.flatnonzero(np.diff((np.cumsum(size) - size) // limit)) + 1, b.num_rows]
             for a, z in zip(cuts[:-1], cuts[1:]):
                 yield b.slice(int(a), int(z - a))
@@ -69,6 +71,11 @@ def bags(df: DataFrame, id_col: str, text_col: str, keys: Sequence[str] = ()) ->
     return src.mapInArrow(run, StructType([*[src.schema[n] for n in names], *lists]))
 
 
+def spelled(code):
+    """The trigram of a code, as a string column."""
+    return F.concat(*[F.char(F.shiftrightunsigned(code, k).bitwiseAND(F.lit(127))) for k in (14, 7, 0)])
+
+
 def by_key(table: pa.Table, keys: Sequence[str], columns: Sequence[str]) -> dict[tuple, list[list]]:
     """The named columns as lists, for each key tuple."""
     data = [table.column(c).to_pylist() for c in columns]
@@ -200,7 +207,7 @@ def best_pairs(corpus: DataFrame, blocks: dict, keys: Sequence[str], query_field
     def run(batches):
         from pyspark.sql.pandas.types import to_arrow_type
         known, best = shared.value, {}
-        for b in batches:
+        for b in short_batches(batches, "terms", SLICE):
             own = list(zip(*[b.column(c).to_pylist() for c in keys])) if keys else [()] * b.num_rows
             ids, terms, tfs = b.column(corpus_id).to_pylist(), b.column("terms"), b.column("tfs")
             size = np.array(terms.value_lengths(), dtype=np.int64)
