@@ -7,8 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmatch.operators import rank as R
-from shelfmatch.operators import tfidf
+from shelfmatch.operators import tfidf, trigrams
 from shelfmatch.plans.registry import query
+from shelfmatch.session import spread
 from shelfmatch.sources.tables import table
 
 K = 10
@@ -58,9 +59,11 @@ SELECT term, CAST(df AS BIGINT) AS df, round(idf, 10) AS idf FROM idf
 def trigram_idf(spark: SparkSession, sf_dir: str) -> DataFrame:
     """MAT-1 / AGG-13: document frequency and smooth idf of every trigram."""
     docs, _ = _corpus(spark, sf_dir)
-    post = tfidf.name_postings(docs, "doc_id", "text")
+    # Rows of one id are one document, so its trigrams are merged: on coded bags dealt by id, without another exchange.
+    bags = spread(trigrams.bags(docs, "doc_id", "text").select("doc_id", "terms"), "doc_id")
+    post = bags.select("doc_id", F.explode("terms").alias("term")).distinct()
     idf = tfidf.fit_idf(post, docs, "doc_id")
-    return idf.select("term", F.col("df").cast("bigint").alias("df"),
+    return idf.select(trigrams.spelled(F.col("term")).alias("term"), F.col("df").cast("bigint").alias("df"),
                       F.round("idf", 10).alias("idf"))
 
 

@@ -342,6 +342,19 @@ def test_bags_of_long_texts_are_made_a_few_at_a_time():
     got = list(trigrams.short_batches([pa.RecordBatch.from_arrays([pa.array(texts)], ["t"])], "t", 1000))
     assert [t for b in got for t in b.column("t").to_pylist()] == texts
     assert all(b.num_rows and sum(len(t or "") for t in b.column("t").to_pylist()[:-1]) < 1000 for b in got)
+    lists = [[1, 2, 3], [], [4] * 9, [5]]
+    got = list(trigrams.short_batches([pa.RecordBatch.from_arrays([pa.array(lists)], ["t"])], "t", 4))
+    assert [t for b in got for t in b.column("t").to_pylist()] == lists and len(got) == 2
+
+
+def test_trigram_idf_merges_rows_of_one_id(spark, tmp_path):
+    from shelfmatch.plans import corpus
+    rows = [(1, "abcd"), (1, "abcd"), (1, "bcde"), (2, "abc\u00e9"), (None, "abc"), (3, None), (4, "")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, "q")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    out = corpus.trigram_idf(spark, str(tmp_path))
+    assert {r.term: r.df for r in out.collect()} == {"abc": 3, "bcd": 1, "cde": 1, "bce": 1}
+    assert "regexp_extract_all" not in out._jdf.queryExecution().optimizedPlan().toString()      # no string per trigram of a text
 
 
 def test_bounds_leave_pairs_unformed_and_floor_more(spark):
