@@ -238,12 +238,13 @@ def block_match(asked: DataFrame, bags: DataFrame, known: dict, n_docs: dict, qu
         vocabulary[key] = term[order].astype(np.int64), df[order], n_docs[key]
     w = Window.partitionBy(*keys, "terms", "tfs").orderBy(corpus_id)
     rows = stored(bags.where(F.size("terms") > 0).withColumn("_nth", F.row_number().over(w)).where(F.col("_nth") <= opts.k).drop("_nth"), "rows")
-    first = stored(asked.groupBy(*keys, "terms", "tfs").agg(F.min(query_id).alias("_first")), "first")
-    pairs = trigrams.block_pairs(first.select(*keys, F.col("_first").alias(query_id), "terms", "tfs"), rows, vocabulary, keys, query_id, corpus_id,
-                                 opts.k, opts.lower_bound, opts.min_similarity)
-    found = top_k(pairs, query_id, corpus_id, keys, opts).withColumnRenamed(query_id, "_first")
-    members = asked.join(first, [*keys, "terms", "tfs"]).select(*keys, "_first", query_id)
-    return found.join(members, [*keys, "_first"]).select(*keys, query_id, corpus_id, "similarity", "rank")
+    # Bags are numbered, so that ids that repeat do not mix them; stored, the numbers are the same for every reader.
+    bag = stored(asked.select(*keys, "terms", "tfs").distinct().withColumn("_bag", F.monotonically_increasing_id()), "bag")
+    found = trigrams.block_pairs(bag, rows, vocabulary, keys, "_bag", corpus_id, opts.k, opts.lower_bound, opts.min_similarity)
+    found = top_k(found, "_bag", corpus_id, keys, opts).drop("rank")
+    members = asked.join(bag, [*keys, "terms", "tfs"]).select(*keys, "_bag", query_id)
+    pairs = found.join(members, [*keys, "_bag"]).select(*keys, query_id, corpus_id, "similarity")
+    return top_k(pairs, query_id, corpus_id, keys, opts)
 
 
 def postings_match(queries: DataFrame, corpus: DataFrame, query_id: str, corpus_id: str,

@@ -326,6 +326,9 @@ def test_blocks_equal_the_broadcast_kernel(spark, monkeypatch, floor, keyed):
     q = spark.createDataFrame([(key(i), i, n) for i, n in enumerate(_names(6, 40) + ["zz", "leite po", "leite po", "leite po", "leite po"])],
                               "k string, qid long, name string")
     keys, res = ("k",) if keyed else (), []
+    # ids that repeat, with equal and with other names, are told by the row as in the kernel
+    q = q.unionByName(q.where("qid % 5 = 0")).unionByName(q.where("qid % 7 = 0").withColumn("name", F.lit("arroz branco")))
+    c = c.unionByName(c.where("cid < 'c010'"))
     for name, bound in (("QUERIES", 5), ("ROWS", 20), ("SLICE", 200)):
         monkeypatch.setattr(f"shelfmatch.operators.trigrams.{name}", bound)
     for most in (10**6, 250):
