@@ -135,8 +135,7 @@ def clean_words(c: Column, language: str | None = "portuguese") -> Column:
     kept = F.regexp_replace(F.lower(c), CLEAN_DROP_PATTERN, "")
     toks = words(kept)
     if language:
-        stops = F.array(*[F.lit(w) for w in stop_words(language)])
-        toks = F.filter(toks, lambda w: ~F.array_contains(stops, w))
+        toks = F.filter(toks, lambda w: ~w.isin(*stop_words(language)))      # a hash lookup a word
     return toks
 
 
