@@ -98,6 +98,31 @@ def test_near_duplicates(spark):
     assert got == {i: (len(s), comp[i]) for i, s in sets.items()}
 
 
+def test_near_copies_of_one_text_are_not_compared_pair_by_pair(spark, monkeypatch):
+    rng = random.Random(8)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(60)]
+    rows = []
+    for i in range(300):
+        w = list(base)
+        for k in rng.sample(range(60), rng.choice((1, 2, 2, 3, 4, 5))):
+            w[k] = rng.choice((f"u{rng.randrange(10**6)}", f"v{k}"))
+        rows.append((i, " ".join(w)))
+    sets = [{tuple(t.split()[k:k + 4]) for k in range(57)} for _, t in rows]
+    low = list(range(300))
+    links = [(a, b) for a in range(300) for b in range(a) if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    for _ in range(300):
+        before = list(low)
+        for a, b in links:
+            low[a] = low[b] = min(low[a], low[b])
+        if before == low:
+            break
+    compared, confirmed = [], neardup.confirmed
+    monkeypatch.setattr(neardup, "confirmed", lambda pairs, *a: (compared.append(pairs.count()), confirmed(pairs, *a))[1])
+    got = {r["id"]: r["component"] for r in neardup.components(spark.createDataFrame(rows, "doc_id long, text string"), 4).collect()}
+    assert got == dict(enumerate(low)) and 10 < len(set(low)) < 300
+    assert sum(compared) < 300 * 20, compared     # of 44,850 pairs
+
+
 def test_packing(spark):
     rows = packing.pack_documents(frame(spark)).toPandas().sort_values(["sequence_id", "offset"])
     by = rows.groupby("sequence_id").length
