@@ -126,6 +126,21 @@ def test_damerau_of_long_texts_is_linear_in_memory():
     assert got[0] == changed and got[1] <= 10 and peak < 200e6
 
 
+def test_damerau_batches_are_linear_in_memory():
+    import tracemalloc
+    rnd = random.Random(5)
+    a = ["".join(rnd.choice("abcdefgh é中") for _ in range(rnd.randint(200, 300))) for _ in range(400)]
+    b = [t[3:90] + t[91:180] + t[181:179:-1] + t[182:] + "xy" for t in a]
+    tracemalloc.start()
+    got = U.damerau_many(a, b)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 10e6        # no table of a batch
+    assert got[::40] == [U.damerau_levenshtein_distance(x, y) for x, y in zip(a[::40], b[::40])]
+    long = "".join(rnd.choice("abc") for _ in range(4000))       # beyond 16-bit cells
+    assert U.damerau_many([long, "ab"], [long[1:] + "c", "ba"]) == [U.damerau_levenshtein_distance(long, long[1:] + "c"), 1]
+
+
 def test_damerau_forms_agree():
     rnd = random.Random(8)
     text = lambda: "".join(rnd.choice("abcd") for _ in range(rnd.randint(0, 14)))
