@@ -13,7 +13,7 @@ from pyspark.sql.types import VariantType
 from shelfmatch.functions import pairsim as P
 from shelfmatch.functions import text as T
 from shelfmatch.operators.median import with_medians
-from shelfmatch.operators.metrics import json_coalesce
+from shelfmatch.operators.metrics import json_path
 from shelfmatch.session import materialize
 
 # The nine roll-up keys and the null placeholder (AGG-6, SC-22).
@@ -22,6 +22,13 @@ ROLLUP_KEYS = ("COUNTRY", "NAME", "MASTER_PRODUCT_ID", "CAT1_NAME", "CAT2_NAME",
 NULL_VALUE = "NULL_VALUE"
 
 
+# What is read of the two semi-structured columns.
+VARIANT_PATHS = {"MAX_QUANT": ("SELL_TYPE", "$.maxQuantity", "double"), "MIN_QUANT": ("SELL_TYPE", "$.minQuantity", "double"),
+                 "STEP_QUANT": ("SELL_TYPE", "$.stepQuantity", "double"), "SELL_TYPE": ("SELL_TYPE", "$.type", "string"),
+                 "PRESENTATION": ("PRESENTATION", "$.description", "string"), "QUANTITY_RP": ("PRESENTATION", "$.quantity", "double"),
+                 "UNITY_P": ("PRESENTATION", "$.unitType", "string")}
+
+
 def sell_and_presentation(rp: DataFrame, mp: DataFrame, country: str = "COUNTRY") -> DataFrame:
     """R4: sell-type and presentation attributes from ONE scan of RP ⋈ MP.
 
@@ -31,25 +38,24 @@ def sell_and_presentation(rp: DataFrame, mp: DataFrame, country: str = "COUNTRY"
     happens before DISTINCT (a raw variant cannot be deduplicated).
     """
     variant = isinstance(rp.schema["SELL_TYPE"].dataType, VariantType)
-    r, m = rp.alias("rp"), mp.alias("mp")
+
+    def typed(side: DataFrame, *cols: str) -> DataFrame:
+        """The paths as typed columns: less to shuffle than whole semi-structured values."""
+        return side.select(*[c for c in cols if c in side.columns], "STATUS", "IS_DELETED", *[
+            json_path(F.col(c), path, to, variant).alias(out) for out, (c, path, to) in VARIANT_PATHS.items()])
+
+    r, m = typed(rp, country, "ID", "PRODUCT_ID", "SKU").alias("rp"), typed(mp, country, "ID").alias("mp")
     live = ((F.col("rp.STATUS") == "published") & (F.col("mp.STATUS") == "published")
             & (F.col("rp.IS_DELETED") == F.lit(False)) & (F.col("mp.IS_DELETED") == F.lit(False)))
     same = F.col("mp.ID") == F.col("rp.PRODUCT_ID")
     if country in rp.columns:  # ids are only unique within a country
         same = same & (F.col(f"rp.{country}") == F.col(f"mp.{country}"))
-    j = r.join(m, same, "left").where(live)
-    st, pr = (F.col("rp.SELL_TYPE"), F.col("mp.SELL_TYPE")), (F.col("rp.PRESENTATION"), F.col("mp.PRESENTATION"))
-    return j.select(
-        F.col(f"mp.{country}").alias("COUNTRY"), F.col("rp.SKU").alias("SKU"),
+    # The RP's country is the MP's where it has one; taken from the side of the MP id, the rows stay hashed by both for DISTINCT.
+    own = F.col(f"rp.{country}" if country in rp.columns else f"mp.{country}")
+    return r.join(m, same, "left").where(live).select(
+        own.alias("COUNTRY"), F.col("rp.SKU").alias("SKU"),
         F.col("rp.ID").alias("PRODUCT_ID"), F.col("rp.PRODUCT_ID").alias("MASTER_PRODUCT_ID"),
-        json_coalesce(*st, "$.maxQuantity", "double", variant).alias("MAX_QUANT"),
-        json_coalesce(*st, "$.minQuantity", "double", variant).alias("MIN_QUANT"),
-        json_coalesce(*st, "$.stepQuantity", "double", variant).alias("STEP_QUANT"),
-        json_coalesce(*st, "$.type", variant=variant).alias("SELL_TYPE"),
-        json_coalesce(*pr, "$.description", variant=variant).alias("PRESENTATION"),
-        json_coalesce(*pr, "$.quantity", "double", variant).alias("QUANTITY_RP"),
-        json_coalesce(*pr, "$.unitType", variant=variant).alias("UNITY_P"),
-    ).distinct()
+        *[F.coalesce(f"rp.{out}", f"mp.{out}").alias(out) for out in VARIANT_PATHS]).distinct()
 
 
 def with_feed(rp: DataFrame, feed: DataFrame) -> DataFrame:
@@ -71,15 +77,16 @@ def catalog_base(live: DataFrame, rp_analytics: DataFrame, mp_analytics: DataFra
 
     ``live`` is :func:`sell_and_presentation`. An RP stays only with an analytics
     row that has a photo and a name: the guards turn that left join into an inner
-    one and reach its scan as filters. The MP side only adds columns. Both joins
-    are on ids within a country; the MP join may shuffle once more on the MP id,
-    which a hot MP does not overload (AQE splits the RP side of a skewed key).
+    one and reach its scan as filters. The MP side only adds columns, so it is joined
+    first: ``live`` comes hashed by MP from its own join, and is shuffled once, by RP.
     """
     guarded = rp_analytics.where(F.col("MP_PHOTO_URL").isNotNull() & F.col("MP_NAME").isNotNull())
     guarded = guarded.select("COUNTRY", F.col("RETAILER_PRODUCT_ID").alias("PRODUCT_ID"), F.col("MP_NAME").alias("NAME"),
                              *RP_ANALYTICS_COLUMNS)
-    out = live.join(guarded, ["COUNTRY", "PRODUCT_ID"])
-    return out.join(mp_analytics.select("COUNTRY", "MASTER_PRODUCT_ID", *MP_ANALYTICS_COLUMNS), ["COUNTRY", "MASTER_PRODUCT_ID"], "left")
+    labels = mp_analytics.select("COUNTRY", "MASTER_PRODUCT_ID", *MP_ANALYTICS_COLUMNS)
+    out = live.join(labels, ["COUNTRY", "MASTER_PRODUCT_ID"], "left").join(guarded, ["COUNTRY", "PRODUCT_ID"])
+    keys = ["COUNTRY", "MASTER_PRODUCT_ID", "PRODUCT_ID"]
+    return out.select(*keys, *[c for c in live.columns if c not in keys], "NAME", *RP_ANALYTICS_COLUMNS, *MP_ANALYTICS_COLUMNS)
 
 
 def with_membership(df: DataFrame, sot_ids: DataFrame, on: Sequence[str] = ("MASTER_PRODUCT_ID",),

@@ -75,11 +75,16 @@ def catalog_assembly(spark: SparkSession, sf: str) -> DataFrame:
     return assembled_base(spark, sf)
 
 
+def metric_inputs(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Fill and defect rates from one scan: the lines of the longer window (fill rate) are kept, both read these."""
+    lines = stored(S.order_lines(spark, sf).where(M.on_or_after("CREATED_AT_ORDER", M.week_window_start(S.AS_OF, 12))), "lines")
+    return (M.fill_rate(lines, S.AS_OF, with_orders=False),
+            M.defect_rate(S.order_products(spark, sf, lines), S.tickets(spark, sf), S.AS_OF, reasons=S.TICKET_REASONS, join_keys=("ORDER_ID",)))
+
+
 def catalog_rps(spark: SparkSession, sf: str) -> DataFrame:
     """PIP-1 + PIP-2 on the stand-ins: the enriched RP catalog."""
-    fill = M.fill_rate(S.order_lines(spark, sf), S.AS_OF, with_orders=False)
-    defects = M.defect_rate(S.order_products(spark, sf), S.tickets(spark, sf), S.AS_OF,
-                            reasons=S.TICKET_REASONS, join_keys=("ORDER_ID",))
+    fill, defects = metric_inputs(spark, sf)
     feed = stored(M.feed_snapshot(S.feed(spark, sf), S.AS_OF), "snapshot")
     cat = C.assemble_catalog(assembled_base(spark, sf, feed), fill, defects, feed, S.sot(spark, sf))
     return C.enrich_retailer_products(cat)
@@ -106,8 +111,7 @@ SELECT COUNTRY, PRODUCT_ID, RETAILER_ID, QUALITY_LABEL, NAME_INT, IN_SOT
 FROM cat WHERE EXISTS (SELECT 1 FROM links WHERE COUNTRY_CODE = COUNTRY AND CP_RETAILER_ID = RETAILER_ID)""")
 def owned_catalog(spark: SparkSession, sf: str) -> DataFrame:
     """JN-14: assembly with the optional join that keeps retailers with an owner only (all RPs, with a feed name or not)."""
-    fill = M.fill_rate(S.order_lines(spark, sf), S.AS_OF, with_orders=False)
-    defects = M.defect_rate(S.order_products(spark, sf), S.tickets(spark, sf), S.AS_OF, reasons=S.TICKET_REASONS, join_keys=("ORDER_ID",))
+    fill, defects = metric_inputs(spark, sf)
     owners = M.owner_list(S.store_links(spark, sf).where("CP_RETAILER_ID % 3 <> 0"))
     cat = C.assemble_catalog(assembled_base(spark, sf), fill, defects, M.feed_snapshot(S.feed(spark, sf), S.AS_OF), S.sot(spark, sf), owners=owners)
     return cat.select("COUNTRY", "PRODUCT_ID", "RETAILER_ID", "QUALITY_LABEL", "NAME_INT", "IN_SOT")

@@ -81,8 +81,9 @@ order_lines AS (
   JOIN supplier s ON l.l_suppkey = s.s_suppkey JOIN nation n ON s.s_nationkey = n.n_nationkey)"""
 
 
-def order_products(spark: SparkSession, sf: str) -> DataFrame:
-    ol = order_lines(spark, sf)
+def order_products(spark: SparkSession, sf: str, lines: DataFrame | None = None) -> DataFrame:
+    """Products of orders, from ``lines`` where the order lines are at hand already."""
+    ol = order_lines(spark, sf) if lines is None else lines
     return ol.select("COUNTRY", F.col("PRODUCT_ID").alias("PID"), "ORDER_ID",
                      F.col("CREATED_AT_ORDER").alias("DT_REF"))
 

@@ -100,8 +100,7 @@ def fill_rate_weekly(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def refresh_inputs(spark: SparkSession, sf: str) -> RollupRefresh:
-    fill = stored(M.fill_rate(S.order_lines(spark, sf), S.AS_OF, with_orders=False), "fill")
-    defects = stored(M.defect_rate(S.order_products(spark, sf), S.tickets(spark, sf), S.AS_OF, reasons=S.TICKET_REASONS, join_keys=("ORDER_ID",)), "defects")
+    fill, defects = (stored(rows, name) for rows, name in zip(CQ.metric_inputs(spark, sf), ("fill", "defects")))
     base = stored(CQ.assembled_base(spark, sf), "base")
     return RollupRefresh(scratch(spark, "refresh"), base, fill, defects, S.sot(spark, sf), S.AS_OF, buckets=16)
 

@@ -83,3 +83,30 @@ def test_strict_compat_first_row_lookup(spark):
     # first-row lookup: both duplicate-name rows resolve to the first row's id and price
     assert {(r.master_product_id, r.price_similarity) for r in first.collect()
             if r.master_products == "arroz branco"} == {(1, 1 - 2 / 12)}
+
+
+def test_assembly_shuffles_each_side_once(spark):
+    from shelfmatch.operators import catalog as C
+    variant = "parse_json('{}') AS SELL_TYPE, parse_json('{}') AS PRESENTATION, 'published' AS STATUS, false AS IS_DELETED"
+    rp = spark.range(9).selectExpr("'A' || (id % 2) AS COUNTRY", "id AS ID", "id % 3 AS PRODUCT_ID", "'s' || id AS SKU", *variant.split(", "))
+    mp = spark.range(6).selectExpr("'A' || (id % 2) AS COUNTRY", "id DIV 2 AS ID", *variant.split(", "))
+    labels = mp.selectExpr("COUNTRY", "ID AS MASTER_PRODUCT_ID", "'g' AS QUALITY_LABEL", "1 AS PRIORITY", "2 AS ASSOCIATED_RETAILERS")
+    names = rp.selectExpr("COUNTRY", "ID AS RETAILER_PRODUCT_ID", "'n' AS MP_NAME", *[f"'x' AS {c}" for c in C.RP_ANALYTICS_COLUMNS])
+    before = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    for k, v in zip(before, ("-1", "false")):
+        spark.conf.set(k, v)
+    try:
+        live = C.sell_and_presentation(rp, mp)
+        out = C.catalog_base(live, names, labels)
+        exchanges = [d._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") for d in (live, out)]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert exchanges == [2, 5]      # DISTINCT and the MP side keep the hashing of the first join
+    assert out.count() == 9 and out.columns[:3] == ["COUNTRY", "MASTER_PRODUCT_ID", "PRODUCT_ID"]
+
+
+def test_both_rates_read_the_order_lines_once(spark):
+    from shelfmatch.plans import catalog_queries as CQ
+    for rate in CQ.metric_inputs(spark, SF001):
+        assert not [f for f in rate.inputFiles() if "lineitem" in f] and rate.inputFiles()
