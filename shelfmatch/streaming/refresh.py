@@ -64,11 +64,13 @@ class RollupRefresh:
         batch.write.mode("overwrite").parquet(f"{log}/batch={batch_id}")
         new, every = spark.read.parquet(f"{log}/batch={batch_id}"), spark.read.parquet(log).drop("batch")
         skus = new.select("COUNTRY", F.col("RETAIL_ID").alias("SKU")).distinct()
-        touched = self.base.join(skus, ["COUNTRY", "SKU"], "left_semi").select(*MP).distinct()
-        own = self.base.join(touched, MP, "left_semi")
+        # Each of these is read several times below: made once.
+        touched = stored(self.base.join(skus, ["COUNTRY", "SKU"], "left_semi").select(*MP).distinct(), "touched")
+        own = stored(self.base.join(touched, MP, "left_semi"), "own")
         feed = every.join(own.select("COUNTRY", F.col("SKU").alias("RETAIL_ID")), ["COUNTRY", "RETAIL_ID"], "left_semi")
         on = [*(["COUNTRY"] if "COUNTRY" in self.sot_ids.columns else []), "MASTER_PRODUCT_ID"]
-        rps = C.enrich_retailer_products(C.assemble_catalog(own, self.fill, self.defects, M.feed_snapshot(feed, self.as_of, self.feed_days), self.sot_ids, on))
+        snapshot = M.feed_snapshot(feed, self.as_of, self.feed_days)
+        rps = stored(C.enrich_retailer_products(C.assemble_catalog(own, self.fill, self.defects, snapshot, self.sot_ids, on)), "rps")
         made = C.rollup_products(rps).withColumn("bucket", bucket(self.buckets))
         table = self.table(spark)
         at = [r[0] for r in touched.select(bucket(self.buckets)).distinct().collect()]      # at most ``buckets``

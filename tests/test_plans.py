@@ -110,3 +110,13 @@ def test_both_rates_read_the_order_lines_once(spark):
     from shelfmatch.plans import catalog_queries as CQ
     for rate in CQ.metric_inputs(spark, SF001):
         assert not [f for f in rate.inputFiles() if "lineitem" in f] and rate.inputFiles()
+
+
+def test_refresh_makes_the_enriched_rows_of_a_batch_once(spark, monkeypatch):
+    from shelfmatch.operators import catalog as C
+    from shelfmatch.plans import standins as S
+    from shelfmatch.plans import table_queries as TQ
+    seen, made = [], C.rollup_products
+    monkeypatch.setattr(C, "rollup_products", lambda rps: (seen.append(plan(rps)), made(rps))[1])
+    TQ.refresh_inputs(spark, SF001).process(S.feed(spark, SF001).limit(50), 0)
+    assert len(seen) == 1 and "Join" not in seen[0]     # read by the sums and by the medians
