@@ -1,7 +1,8 @@
 """Best-fit packing with bound-certified repacking.
 
-Documents are tokenised, cut where longer than a sequence and packed by best-fit
-decreasing inside hash partitions. Dual feasible functions over the lengths give a
+Documents are tokenised (each unit of text that a byte-level BPE encodes on its own once
+in a worker), cut where longer than a sequence and packed by best-fit decreasing inside
+hash partitions. Dual feasible functions over the lengths give a
 lower bound on each partition's number of sequences. A partition that meets its bound
 is certified and final. One with a gap keeps its fullest sequences and gives up the
 emptiest ones; the documents in those are exchanged into as many partitions of about
@@ -15,8 +16,11 @@ empty table gives no rows; extra columns are not read.
 
 from __future__ import annotations
 
+import json
 import logging
+import re
 import zlib
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -31,6 +35,12 @@ GROUP, RELEASE = 50_000, 8
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PLACED = PIECE + ", part int, sequence_id long, offset long, final boolean, gap long"
 
+SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+LETTERS = r"A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u01ba"
+#: Parts that the byte-level pattern (contractions, letters, digits, others, white space) never reaches across: its matches end
+#: where white space begins, less one space before a word, and where letters are followed by an ASCII character that is none.
+UNIT = re.compile(rf" ?[{LETTERS}]++(?=[\x00-@\[-`{{-\x7f]|\Z)| ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]")
+
 
 def tokenizer_path() -> str:
     import public_tokenizers
@@ -43,21 +53,41 @@ def cut(n: int, length: int = LENGTH) -> list[tuple[int, int]]:
     return ([(0, head)] if head else []) + [(s, length) for s in range(head, n, length)]
 
 
+@lru_cache(maxsize=2)
+def id_encoder(path: str):
+    """text -> its ids as little-endian 32-bit numbers, by the tokenizer at ``path``."""
+    import os
+
+    from tokenizers import Tokenizer
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    tok = Tokenizer.from_file(path)
+    made = json.loads(tok.to_str())
+    kind, model = made["pre_tokenizer"] or {}, made["model"]
+    added = [t["content"] for t in made["added_tokens"]]
+    whole = lambda text: np.array(tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4").tobytes()
+    if made["normalizer"] or made["truncation"] or made["padding"] or kind.get("type") != "ByteLevel" or kind["add_prefix_space"] or not kind["use_regex"] \
+            or model["type"] != "BPE" or model["dropout"]:
+        return whole
+    split, tokens = tok.pre_tokenizer.pre_tokenize_str, tok.model.tokenize
+
+    def encode(unit: str) -> list[int]:
+        word = unit.removeprefix(" ")
+        if word.isascii() and word.isalpha():       # one part; the byte-level alphabet has letters as they are and the space as Ġ
+            return [t.id for t in tokens(unit.replace(" ", "Ġ"))]
+        return [t.id for part, _ in split(unit) for t in tokens(part)]
+    units = T.UnitIds(encode)
+    return lambda text: whole(text) if any(t in text for t in added) else units.joined(UNIT.findall(text))
+
+
 def token_pieces(docs: DataFrame, path: str, length: int = LENGTH, end_id: int = END_ID) -> DataFrame:
     """Pieces of every document: position, length and crc32 of its ids."""
     def run(batches):
-        import os
-
-        from tokenizers import Tokenizer
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        tok = Tokenizer.from_file(path)
+        encode, end = id_encoder(path), np.array([end_id], dtype="<u4").tobytes()
         for b in T.small_batches(batches):
-            ids_of = b.column("doc_id").cast(pa.int64()).to_pylist()
-            texts = [t or "" for t in b.column("text").to_pylist()]
             rows = []
-            for doc, enc in zip(ids_of, tok.encode_batch_fast(texts, add_special_tokens=False)):
-                ids = np.array(enc.ids + [end_id], dtype="<u4")
-                rows += [(doc, i, s, n, zlib.crc32(ids[s:s + n].tobytes())) for i, (s, n) in enumerate(cut(len(ids), length))]
+            for doc, text in zip(b.column("doc_id").cast(pa.int64()).to_pylist(), b.column("text").to_pylist()):
+                ids = encode(text or "") + end
+                rows += [(doc, i, s, n, zlib.crc32(ids[4 * s:4 * (s + n)])) for i, (s, n) in enumerate(cut(len(ids) // 4, length))]
             cols = list(zip(*rows))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
                 cols, [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()])],

@@ -132,6 +132,51 @@ def test_packing(spark):
     assert (whole.sort_index() == rows.start.sort_index()).all()
 
 
+def odd_texts(n=400):
+    rng = random.Random(8)
+    parts = ["a", "Don't", "'s", " 'll", "it's,", "x1y", "²³", "١٢", "É", "e\u0301", "ǆ", "ʰ", "日本", "🙂", "\u1c90", "_", "<|endoftext|>", "<|end", "(", ")", "…", "▁", "▁▁a",
+             " ", "  ", "\n", "\t\n ", "\r\n", "\x1c", "\x1f", "\x85", "\xa0", "\u180e", "\u200b", "\u2028", "\u3000", "\ufeff", "\0", "\x7f", "ß", "×", "µ", "word", "Wort.", "9"]
+    return ["".join(rng.choice(parts) for _ in range(rng.randrange(30))) for _ in range(n)]
+
+
+def counted(monkeypatch):
+    """How many units were encoded, and of how many."""
+    from shelfmatch.llm import textcols
+    seen = Counter()
+
+    class Counted(textcols.UnitIds):
+        def joined(self, units):
+            return super().joined(seen.update(of=len(units)) or units)
+
+        def __missing__(self, unit):
+            seen.update(encoded=1)
+            return super().__missing__(unit)
+    monkeypatch.setattr(textcols, "UnitIds", Counted)
+    packing.id_encoder.cache_clear()
+    return seen
+
+
+def test_packing_encodes_each_unit_once_and_as_the_tokenizer_does(monkeypatch):
+    pytest.importorskip("public_tokenizers")
+    from tokenizers import Tokenizer
+    tok, seen = Tokenizer.from_file(packing.tokenizer_path()), counted(monkeypatch)
+    encode = packing.id_encoder(packing.tokenizer_path())
+    for t in odd_texts() + [t or "" for t in texts()]:
+        assert np.frombuffer(encode(t), "<u4").tolist() == tok.encode(t, add_special_tokens=False).ids, repr(t)
+    seen.clear()
+    encode("these are, of course, the very same words again. " * 500)
+    assert seen["of"] > 5000 and seen["encoded"] < 20
+    packing.id_encoder.cache_clear()
+
+
+def test_units_kept_by_a_worker_are_bounded():
+    from shelfmatch.llm import textcols
+    units = textcols.UnitIds(lambda unit: [len(unit), 7], limit=10_000)
+    for i in range(5000):
+        assert units.joined([f"u{i}", "again"]) == np.array([len(f"u{i}"), 7, 5, 7], "<u4").tobytes()
+        assert len(units) <= 70
+
+
 def test_packing_under_a_weak_bound_never_gathers_in_one_task(spark, monkeypatch):
     monkeypatch.setattr(packing, "GROUP", 100)
     pieces = spark.range(2000).selectExpr("id AS doc_id", "0 AS piece", "0L AS start", "400L AS length", "id AS ids_crc32")
