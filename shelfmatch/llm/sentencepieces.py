@@ -2,8 +2,8 @@
 
 The model file's protobuf is read field by field and rebuilt as a tokenizer: the
 normaliser (character map, white space), the metaspace marker, the scores (unigram
-scores, or the merge order of a BPE model) and byte fallback. Batches are encoded
-multithreaded. ``encode`` returns the ids of every text and ``decode`` the text of
+scores, or the merge order of a BPE model) and byte fallback. Where no piece spans words,
+a worker encodes each word once. ``encode`` returns the ids of every text and ``decode`` the text of
 every row of ids; ``encode_documents`` keeps both, derives counts and checksums from
 them and compares them with the ``sentencepiece`` library on every text.
 
@@ -14,6 +14,7 @@ columns and ``decode`` keeps them.
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -30,7 +31,8 @@ from shelfmatch.llm import textcols as T
 MARK = "▁"
 NORMAL, UNKNOWN, USER, BYTE = 1, 2, 4, 6
 THREADS = 2
-ROWS = 256   # decoded at a time
+WORD = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
+BYTE_PIECE = re.compile("<0x([0-9A-Fa-f]{2})>")
 
 
 def fields(buf: bytes) -> Iterator[tuple[int, object]]:
@@ -116,7 +118,7 @@ def build(path: str):
     tok.normalizer = normalizers.Sequence(steps)
     # No piece holds the marker after another character: words never share a piece and can be cached.
     if not any(MARK in p.lstrip(MARK) for p, _, kind in pieces if kind == NORMAL):
-        tok.pre_tokenizer = pre_tokenizers.Split(Regex(f"{MARK}+[^{MARK}]*|[^{MARK}]+"), "isolated")
+        tok.pre_tokenizer = pre_tokenizers.Split(Regex(WORD.pattern), "isolated")
     back = [decoders.Replace(MARK, " "), decoders.ByteFallback(), decoders.Fuse()]
     tok.decoder = decoders.Sequence(back + ([decoders.Strip(" ", 1, 0)] if m["dummy_prefix"] else []))
     tok.add_tokens([AddedToken(p, normalized=False) for p, _, kind in pieces if kind == USER])
@@ -137,24 +139,55 @@ def _id_lists(col: pa.Array) -> list[np.ndarray]:
     return np.split(flat, np.cumsum(pc.fill_null(pc.list_value_length(col), 0).to_numpy(zero_copy_only=False))[:-1])
 
 
-def _encoded(batches, path: str, threads: int) -> Iterator[pa.RecordBatch]:
+@lru_cache(maxsize=2)
+def _id_encoder(path: str, threads: int):
+    """texts -> the ids of each as little-endian 32-bit numbers."""
+    tok = _tokenizer(path, threads)
+    if not tok.pre_tokenizer or tok.get_added_tokens_decoder():
+        return lambda texts: [np.array(e.ids, dtype="<u4").tobytes() for e in tok.encode_batch_fast(texts, add_special_tokens=False)]
+    with open(path, "rb") as f:
+        m = read_model(f.read())
+    tokens, normal = tok.model.tokenize, tok.normalizer.normalize_str
+    if m["escape"] and m["dummy_prefix"] and not (m["charsmap"] or m["collapse"]):
+        normal = lambda t: MARK + t.replace(" ", MARK) if t else t
+    words = T.UnitIds(lambda word: [t.id for t in tokens(word)])
+    return lambda texts: [words.joined(WORD.findall(normal(t))) for t in texts]
+
+
+@lru_cache(maxsize=2)
+def _id_decoder(path: str, threads: int):
+    """ids -> their text; where bytes are no UTF-8 or ids are unknown, as the tokenizer has it."""
     tok = _tokenizer(path, threads)
+    names = [tok.id_to_token(i) or "" for i in range(tok.get_vocab_size())]
+    spelt = [bytes.fromhex(m[1]) if (m := BYTE_PIECE.fullmatch(p)) else p.replace(MARK, " ").encode() for p in names]
+    with open(path, "rb") as f:
+        lead = " " if read_model(f.read())["dummy_prefix"] else ""
+
+    def text(ids: np.ndarray) -> str:
+        if len(ids) and 0 <= ids.min() and ids.max() < len(spelt):
+            try:
+                return b"".join(map(spelt.__getitem__, ids.tolist())).decode().removeprefix(lead)
+            except UnicodeDecodeError:
+                pass
+        return tok.decode(ids.tolist(), skip_special_tokens=False)
+    return text
+
+
+def _encoded(batches, path: str, threads: int) -> Iterator[pa.RecordBatch]:
+    encode = _id_encoder(path, threads)
     for b in T.small_batches(batches):
-        texts = [t or "" for t in b.column("text").to_pylist()]
-        ids = [np.array(e.ids, dtype=np.int32) for e in tok.encode_batch_fast(texts, add_special_tokens=False)]
-        ends = np.cumsum([0, *map(len, ids)])
+        ids = encode([t or "" for t in b.column("text").to_pylist()])
+        ends = np.cumsum([0, *(len(i) // 4 for i in ids)])
         yield pa.RecordBatch.from_arrays(
             [b.column("doc_id").cast(pa.int64()), b.column("text").cast(pa.string()),
-             pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(ids)))], ["doc_id", "text", "ids"])
+             pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(ids), "<i4")))], ["doc_id", "text", "ids"])
 
 
 def _decoded(batches, path: str, threads: int) -> Iterator[pa.RecordBatch]:
-    tok = _tokenizer(path, threads)
+    text = _id_decoder(path, threads)
     for b in batches:
-        for at in range(0, b.num_rows, ROWS):
-            part = b.slice(at, ROWS)
-            back = tok.decode_batch([i.tolist() for i in _id_lists(part.column("ids"))], skip_special_tokens=False)
-            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(back, pa.string())], [*part.schema.names, "decoded"])
+        back = [text(i) for i in _id_lists(b.column("ids"))]
+        yield pa.RecordBatch.from_arrays([*b.columns, pa.array(back, pa.string())], [*b.schema.names, "decoded"])
 
 
 def _compared(batches, path: str, threads: int) -> Iterator[pa.RecordBatch]:

@@ -153,6 +153,7 @@ def counted(monkeypatch):
             return super().__missing__(unit)
     monkeypatch.setattr(textcols, "UnitIds", Counted)
     packing.id_encoder.cache_clear()
+    sentencepieces._id_encoder.cache_clear()
     return seen
 
 
@@ -200,6 +201,23 @@ def test_sentencepiece_parity(spark):
     assert all(r["ids_agree"] and r["decoded_agrees"] for r in got)
 
 
+def test_sentencepiece_encodes_each_word_once_and_decodes_as_the_tokenizer_does(monkeypatch):
+    P, sentencepiece = pytest.importorskip("public_tokenizers"), pytest.importorskip("sentencepiece")
+    path, seen = P.path("piece_bpe_32k.model"), counted(monkeypatch)
+    want, tok = sentencepiece.SentencePieceProcessor(model_file=path), sentencepieces.build(path)
+    encode, decode = sentencepieces._id_encoder(path, 2), sentencepieces._id_decoder(path, 2)
+    cases = odd_texts() + [t or "" for t in texts()]
+    got = [np.frombuffer(i, "<i4") for i in encode(cases)]
+    assert [i.tolist() for i in got] == want.encode(cases) == [e.ids for e in tok.encode_batch_fast(cases)]
+    rng = np.random.default_rng(5)      # ids of no text: broken bytes, control pieces, unknown ids
+    any_ids = [rng.integers(0, 300 if k % 2 else 32_010, rng.integers(0, 12)) for k in range(300)]
+    assert [decode(i) for i in got + any_ids] == [tok.decode(i.tolist(), skip_special_tokens=False) for i in got + any_ids]
+    seen.clear()
+    encode(["these are of course the very same words again " * 500])
+    assert seen["of"] > 4000 and seen["encoded"] < 20
+    sentencepieces._id_encoder.cache_clear()
+
+
 def test_sentencepiece_returns_ids_and_decodes_them(spark):
     P, sentencepiece = pytest.importorskip("public_tokenizers"), pytest.importorskip("sentencepiece")
     path = P.path("piece_bpe_32k.model")
