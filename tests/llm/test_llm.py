@@ -3,8 +3,10 @@ import hashlib
 import inspect
 import random
 import re
+import time
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -98,6 +100,20 @@ def test_near_duplicates(spark):
     assert got == {i: (len(s), comp[i]) for i, s in sets.items()}
 
 
+def test_kept_frames_leave_no_shuffle_files(spark):
+    from shelfmatch.session import DROP_SHUFFLES, materialize
+    files = lambda: {f for d in roots for f in d.rglob("shuffle_*.data")}
+    roots = [Path(x) for x in spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()]
+    before, was = files(), spark.conf.get(DROP_SHUFFLES)
+    rows = spark.range(5000).groupBy((F.col("id") % 700).alias("k")).count()
+    kept = materialize(rows)
+    end = time.time() + 20          # files go in the background
+    while files() - before and time.time() < end:
+        time.sleep(0.2)
+    assert not files() - before and spark.conf.get(DROP_SHUFFLES) == was
+    assert kept.count() == rows.count() == rows.join(kept, "k").count() == 700
+
+
 def test_near_copies_of_one_text_are_not_compared_pair_by_pair(spark, monkeypatch):
     rng = random.Random(8)
     base = [f"w{rng.randrange(10**6)}" for _ in range(60)]
