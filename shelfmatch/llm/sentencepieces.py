@@ -17,6 +17,7 @@ from __future__ import annotations
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -133,10 +134,9 @@ def _tokenizer(path: str, threads: int):
     return build(path)
 
 
-def _id_lists(col: pa.Array) -> list[np.ndarray]:
-    """The ids of each row of a list column (null: none)."""
-    flat = col.flatten().to_numpy(zero_copy_only=False)
-    return np.split(flat, np.cumsum(pc.fill_null(pc.list_value_length(col), 0).to_numpy(zero_copy_only=False))[:-1])
+def _id_lists(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All ids of a list column, and where each row's begin and end (null: none)."""
+    return col.flatten().to_numpy(zero_copy_only=False), np.r_[0, np.cumsum(pc.fill_null(pc.list_value_length(col), 0).to_numpy(zero_copy_only=False))]
 
 
 @lru_cache(maxsize=2)
@@ -148,20 +148,33 @@ def _id_encoder(path: str, threads: int):
     with open(path, "rb") as f:
         m = read_model(f.read())
     tokens, normal = tok.model.tokenize, tok.normalizer.normalize_str
-    if m["escape"] and m["dummy_prefix"] and not (m["charsmap"] or m["collapse"]):
-        normal = lambda t: MARK + t.replace(" ", MARK) if t else t
-    words = T.UnitIds(lambda word: [t.id for t in tokens(word)])
-    return lambda texts: [words.joined(WORD.findall(normal(t))) for t in texts]
+    if not (m["escape"] and m["dummy_prefix"]) or m["charsmap"] or m["collapse"]:
+        words = T.UnitIds(lambda word: [t.id for t in tokens(word)])
+        return lambda texts: [words.joined(WORD.findall(normal(t))) for t in texts]
+    # Every word begins with a marker, left out here. With single spaces and no marker, words are what stands between the spaces.
+    words = T.UnitIds(lambda word: [t.id for t in tokens(MARK + word)])
+
+    def split(t: str) -> list[str]:
+        if t.startswith(" ") or "  " in t or MARK in t:
+            return [w[1:] for w in WORD.findall(MARK + t.replace(" ", MARK))]
+        return t.split(" ") if t else []
+    return lambda texts: [words.joined(split(t)) for t in texts]
 
 
 @lru_cache(maxsize=2)
-def _id_decoder(path: str, threads: int):
-    """ids -> their text; where bytes are no UTF-8 or ids are unknown, as the tokenizer has it."""
+def _spelling(path: str, threads: int) -> tuple[list[bytes], str]:
+    """The bytes that each id stands for, and what is taken off a text's beginning."""
     tok = _tokenizer(path, threads)
     names = [tok.id_to_token(i) or "" for i in range(tok.get_vocab_size())]
-    spelt = [bytes.fromhex(m[1]) if (m := BYTE_PIECE.fullmatch(p)) else p.replace(MARK, " ").encode() for p in names]
     with open(path, "rb") as f:
         lead = " " if read_model(f.read())["dummy_prefix"] else ""
+    return [bytes.fromhex(m[1]) if (m := BYTE_PIECE.fullmatch(p)) else p.replace(MARK, " ").encode() for p in names], lead
+
+
+@lru_cache(maxsize=2)
+def _id_decoder(path: str, threads: int):
+    """ids -> their text; where bytes are no UTF-8 or ids are unknown, as the tokenizer has it."""
+    tok, (spelt, lead) = _tokenizer(path, threads), _spelling(path, threads)
 
     def text(ids: np.ndarray) -> str:
         if len(ids) and 0 <= ids.min() and ids.max() < len(spelt):
@@ -173,6 +186,24 @@ def _id_decoder(path: str, threads: int):
     return text
 
 
+@lru_cache(maxsize=2)
+def _rows_decoder(path: str, threads: int):
+    """(ids of all rows, where the rows begin and end) -> the rows' texts, spelt at once where the ids of all are known and make UTF-8."""
+    one, (spelt, lead) = _id_decoder(path, threads), _spelling(path, threads)
+    table = pa.array(spelt, pa.large_binary())
+
+    def texts(ids: np.ndarray, ends: np.ndarray) -> list[str]:
+        if len(ids) and 0 <= ids.min() and ids.max() < len(spelt):
+            out = table.take(pa.array(ids))
+            at, data = np.frombuffer(out.buffers()[1], np.int64)[ends].tolist(), memoryview(out.buffers()[2] or b"")
+            try:
+                return [str(data[a:z], "utf-8").removeprefix(lead) for a, z in zip(at[:-1], at[1:])]
+            except UnicodeDecodeError:
+                pass
+        return [one(ids[a:z]) for a, z in zip(ends[:-1], ends[1:])]
+    return texts
+
+
 def _encoded(batches, path: str, threads: int) -> Iterator[pa.RecordBatch]:
     encode = _id_encoder(path, threads)
     for b in T.small_batches(batches):
@@ -184,23 +215,24 @@ def _encoded(batches, path: str, threads: int) -> Iterator[pa.RecordBatch]:
 
 
 def _decoded(batches, path: str, threads: int) -> Iterator[pa.RecordBatch]:
-    text = _id_decoder(path, threads)
+    texts = _rows_decoder(path, threads)
     for b in batches:
-        back = [text(i) for i in _id_lists(b.column("ids"))]
-        yield pa.RecordBatch.from_arrays([*b.columns, pa.array(back, pa.string())], [*b.schema.names, "decoded"])
+        yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts(*_id_lists(b.column("ids"))), pa.string())], [*b.schema.names, "decoded"])
 
 
 def _compared(batches, path: str, threads: int) -> Iterator[pa.RecordBatch]:
     import sentencepiece
     check = sentencepiece.SentencePieceProcessor(model_file=path)
     for b in batches:
-        ids = _id_lists(b.column("ids"))
+        flat, ends = _id_lists(b.column("ids"))
+        raw = flat.astype("<u4").tobytes()
+        ids = [raw[4 * a:4 * z] for a, z in zip(ends[:-1].tolist(), ends[1:].tolist())]
         want = check.encode([t or "" for t in b.column("text").to_pylist()], num_threads=threads)
         want_back = check.decode(want, num_threads=threads)
-        crc = [zlib.crc32(i.astype("<u4").tobytes()) for i in ids]
+        crc = [zlib.crc32(i) for i in ids]
         yield pa.RecordBatch.from_arrays(
-            [b.column("doc_id"), pa.array(map(len, ids), pa.int64()), pa.array(crc, pa.int64()),
-             pa.array([i.tolist() == w for i, w in zip(ids, want)]),
+            [b.column("doc_id"), pa.array(np.diff(ends), pa.int64()), pa.array(crc, pa.int64()),
+             pa.array([i == array("I", w).tobytes() for i, w in zip(ids, want)], pa.bool_()),
              pa.array([a == w for a, w in zip(b.column("decoded").to_pylist(), want_back)]),
              b.column("ids"), b.column("decoded")],
             ["doc_id", "n_tokens", "ids_crc32", "ids_agree", "decoded_agrees", "ids", "decoded"])

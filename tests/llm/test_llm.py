@@ -250,6 +250,22 @@ def test_sentencepiece_encodes_each_word_once_and_decodes_as_the_tokenizer_does(
     sentencepieces._id_encoder.cache_clear()
 
 
+def test_sentencepiece_spells_rows_at_once_and_single_spaced_words_without_the_pattern(monkeypatch):
+    P = pytest.importorskip("public_tokenizers")
+    path = P.path("piece_bpe_32k.model")
+    one, rows = sentencepieces._id_decoder(path, 2), sentencepieces._rows_decoder(path, 2)
+    encode, asked = sentencepieces._id_encoder(path, 2), []
+    monkeypatch.setattr(sentencepieces, "WORD", type("P", (), {"findall": lambda self, t, f=sentencepieces.WORD.findall: asked.append(t) or f(t)})())
+    plain = [t or "" for t in ("a b", "b\n c. ", "日本 🙂 x", "", None, "  two", "▁", "end ", " ")]
+    ids = [np.frombuffer(i, "<i4") for i in encode(plain)]
+    assert len(asked) == 3
+    rng = np.random.default_rng(6)
+    for more in ([], [rng.integers(0, 300, 9) for _ in range(20)], [np.array([40_000])]):     # broken bytes, unknown ids
+        own = [*ids, *more]
+        assert rows(np.concatenate(own), np.cumsum([0, *map(len, own)])) == [one(i) for i in own]
+    assert rows(np.zeros(0, np.int32), np.zeros(3, np.int64)) == ["", ""]
+
+
 def test_sentencepiece_returns_ids_and_decodes_them(spark):
     P, sentencepiece = pytest.importorskip("public_tokenizers"), pytest.importorskip("sentencepiece")
     path = P.path("piece_bpe_32k.model")
