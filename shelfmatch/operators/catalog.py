@@ -14,7 +14,8 @@ from shelfmatch.functions import pairsim as P
 from shelfmatch.functions import text as T
 from shelfmatch.operators.median import with_medians
 from shelfmatch.operators.metrics import json_path
-from shelfmatch.session import materialize
+from shelfmatch.operators.prefilter import may_match
+from shelfmatch.session import materialize, stored
 
 # The nine roll-up keys and the null placeholder (AGG-6, SC-22).
 ROLLUP_KEYS = ("COUNTRY", "NAME", "MASTER_PRODUCT_ID", "CAT1_NAME", "CAT2_NAME", "CAT3_NAME",
@@ -62,9 +63,17 @@ def with_feed(rp: DataFrame, feed: DataFrame) -> DataFrame:
     """FLT-4 pushed to the source: RPs whose SKU is in the feed snapshot.
 
     Enrichment drops all others at its end; dropping them first keeps their variant
-    columns, joins and DISTINCT out of the job (a semi join on the snapshot's keys).
+    columns, joins and DISTINCT out of the job (a semi join on the snapshot's keys). Most of them
+    are dropped where the SKU is read, before any shuffle. ``feed`` is read at once and should be stored.
     """
-    return rp.join(feed.select("COUNTRY", F.col("RETAIL_ID").alias("SKU")), ["COUNTRY", "SKU"], "left_semi")
+    keys = feed.select("COUNTRY", F.col("RETAIL_ID").alias("SKU"))
+    return may_match(rp, keys, {"SKU": "SKU"}).join(keys, ["COUNTRY", "SKU"], "left_semi")
+
+
+def feed_base(rp: DataFrame, mp: DataFrame, rp_analytics: DataFrame, mp_analytics: DataFrame, feed: DataFrame) -> DataFrame:
+    """:func:`catalog_base` of the RPs in the feed snapshot: these are stored, and of the RP analytics only their rows are shuffled."""
+    live = stored(sell_and_presentation(with_feed(rp, feed), mp), "live")
+    return catalog_base(live, may_match(rp_analytics, live, {"RETAILER_PRODUCT_ID": "PRODUCT_ID"}), mp_analytics)
 
 
 # What the two analytics tables add to a retailer product.

@@ -60,9 +60,10 @@ def uniformity_check(spark: SparkSession, sf: str) -> DataFrame:
 
 def assembled_base(spark: SparkSession, sf: str, feed: DataFrame | None = None) -> DataFrame:
     """The catalog before metrics, from the raw tables (JN-2, JN-3, FLT-3, FLT-4)."""
-    rp = S.retailer_products(spark, sf)
-    live = C.sell_and_presentation(rp if feed is None else C.with_feed(rp, feed), S.master_products(spark, sf))
-    return C.catalog_base(live, S.rp_analytics(spark, sf), S.mp_analytics(spark, sf))
+    rp, mp, rp_side, mp_side = (make(spark, sf) for make in (S.retailer_products, S.master_products, S.rp_analytics, S.mp_analytics))
+    if feed is not None:
+        return C.feed_base(rp, mp, rp_side, mp_side, feed)
+    return C.catalog_base(C.sell_and_presentation(rp, mp), rp_side, mp_side)
 
 
 @query("catalog_assembly", oracle="WITH " + S.ASSEMBLED_SQL + """

@@ -76,8 +76,7 @@ def extract(t: Tables, p: Params) -> C.CatalogFrames:
     # Read for its keys and for its columns. As files its size is known (a small one is broadcast), and its
     # partitioning is not, so that a snapshot of one partition does not draw the catalog into one.
     feed = stored(M.feed_snapshot(t.feed, p.as_of, p.feed_days), "snapshot")
-    live = C.sell_and_presentation(C.with_feed(t.retailer_products, feed), t.master_products)
-    base = C.catalog_base(live, t.rp_analytics, t.mp_analytics)
+    base = C.feed_base(t.retailer_products, t.master_products, t.rp_analytics, t.mp_analytics, feed)
     sot_on = [*(["COUNTRY"] if "COUNTRY" in t.sot_ids.columns else []), "MASTER_PRODUCT_ID"]
     return C.extract_catalog(base, fill, defects, feed, t.sot_ids, sot_on, uniform_only=p.hold_back_disagreeing)
 

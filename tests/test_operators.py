@@ -480,3 +480,40 @@ def test_assembly_guards_reach_the_scan(spark, tmp_out):
     ma = spark.createDataFrame([], "COUNTRY string, MASTER_PRODUCT_ID long, QUALITY_LABEL string, PRIORITY int, ASSOCIATED_RETAILERS long")
     plan = C.catalog_base(live.withColumn("x", F.rand()), spark.read.parquet(f"{tmp_out}/ra"), ma)._jdf.queryExecution().optimizedPlan().toString()
     assert "isnotnull(MP_PHOTO_URL" in plan and "isnotnull(MP_NAME" in plan
+
+
+def test_prefilter_keeps_every_match_and_few_others(spark):
+    from shelfmatch.operators.prefilter import may_match
+    keys = spark.range(0, 500).selectExpr("concat('k', id) AS k", "id * 7 AS n").unionByName(spark.createDataFrame([(None, None)], "k string, n long"))
+    rows = spark.range(0, 20_000).selectExpr("concat('k', id) AS a", "id * 7 AS b", "CAST(id AS INT) AS c")
+    for on in ({"a": "k"}, {"a": "k", "b": "n"}):
+        cut = may_match(rows, keys, on)
+        same = [rows[x] == keys[y] for x, y in on.items()]
+        assert rows.join(keys, same, "left_semi").subtract(cut).isEmpty()
+        assert 500 <= cut.count() < 1_500
+    assert may_match(rows, keys.limit(0), {"a": "k"}).isEmpty()
+    assert may_match(rows, keys, {"c": "n"}) is rows            # an INT hashes otherwise than a BIGINT
+    floats = spark.createDataFrame([(0.0,)], "x double")
+    assert may_match(floats, floats, {"x": "x"}) is floats      # 0.0 equals -0.0
+
+
+def test_prefilter_gives_way_to_too_many_keys(spark, monkeypatch):
+    from shelfmatch.operators import prefilter
+    monkeypatch.setattr(prefilter, "BITS", 1 << 10)
+    rows = spark.range(2_000)
+    assert prefilter.may_match(rows, rows, {"id": "id"}) is rows
+    assert prefilter.may_match(rows, rows.where("id < 200"), {"id": "id"}).where("id < 200").count() == 200
+
+
+def test_feed_cut_goes_below_the_joins_of_a_wide_side(spark, tmp_out):
+    """The filter on the snapshot's keys stands on the scan, below the join and the shuffles that make the retailer products."""
+    spark.range(0, 300).selectExpr("id AS ID", "id % 10 AS part").write.parquet(f"{tmp_out}/rp")
+    part = spark.range(0, 10).selectExpr("id AS part", "concat('{\"type\": \"', id, '\"}') AS SELL_TYPE")
+    rp = spark.read.parquet(f"{tmp_out}/rp").repartition("part").distinct().join(part.hint("merge"), "part").selectExpr(
+        "'A' AS COUNTRY", "ID", "CAST(ID AS STRING) AS SKU", "concat(SELL_TYPE, ID) AS wide")
+    feed = spark.createDataFrame([("A", "7"), ("A", "150"), ("B", "8")], "COUNTRY string, RETAIL_ID string")
+    got = C.with_feed(rp, feed)
+    assert sorted(r.SKU for r in got.collect()) == ["150", "7"]
+    lines = got._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    depth = {what: next(len(x) - len(x.lstrip(" :+-")) for x in lines if what in x) for what in ("held(", "Join Inner", "RepartitionByExpression")}
+    assert depth["held("] > depth["RepartitionByExpression"] > depth["Join Inner"]
