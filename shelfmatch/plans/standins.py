@@ -50,11 +50,17 @@ def rp_id(partkey, suppkey):
     return F.shiftleft(partkey.cast("bigint"), 32) + suppkey.cast("bigint")
 
 
+#: Suppliers that are broadcast to their lines at most (some 80 bytes each); more are joined by a shuffle.
+BROADCAST_SUPPLIERS = 1_000_000
+
+
 def _country(spark, sf):
     s = table(spark, sf, "supplier").select("s_suppkey", "s_nationkey", "s_name")
     n = table(spark, sf, "nation").select("n_nationkey", "n_name")
-    return s.join(n, s.s_nationkey == n.n_nationkey).select(
+    out = s.join(n, s.s_nationkey == n.n_nationkey).select(
         F.col("s_suppkey"), F.col("s_name"), F.col("n_name").alias("COUNTRY"))
+    # Spark takes a joined table for too large to broadcast, and would shuffle every line for it: counted instead.
+    return F.broadcast(out) if s.count() <= BROADCAST_SUPPLIERS else out
 
 
 def order_lines(spark: SparkSession, sf: str) -> DataFrame:
@@ -193,8 +199,9 @@ _QUALITY = "CASE WHEN l_partkey % 3 = 0 THEN 'gold' ELSE 'plain' END"
 
 
 def _pairs(spark: SparkSession, sf: str) -> DataFrame:
-    """Distinct (part, supplier) with the supplier's country."""
-    li = table(spark, sf, "lineitem").select("l_partkey", "l_suppkey").distinct()
+    """Distinct (part, supplier) with the supplier's country, hashed by part: the part's own columns and
+    the distinct parts of a country then need no other shuffle."""
+    li = table(spark, sf, "lineitem").select("l_partkey", "l_suppkey").repartition("l_partkey").distinct()
     c = _country(spark, sf).select("s_suppkey", "COUNTRY")
     return li.join(c, li.l_suppkey == c.s_suppkey).drop("s_suppkey")
 
