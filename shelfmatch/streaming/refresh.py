@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from shelfmatch.operators import catalog as C
 from shelfmatch.operators import metrics as M
+from shelfmatch.operators.prefilter import may_match
 from shelfmatch.session import stored
 from shelfmatch.sources.published import Published, listed
 
@@ -64,13 +65,16 @@ class RollupRefresh:
         batch.write.mode("overwrite").parquet(f"{log}/batch={batch_id}")
         new, every = spark.read.parquet(f"{log}/batch={batch_id}"), spark.read.parquet(log).drop("batch")
         skus = new.select("COUNTRY", F.col("RETAIL_ID").alias("SKU")).distinct()
-        # Each of these is read several times below: made once.
-        touched = stored(self.base.join(skus, ["COUNTRY", "SKU"], "left_semi").select(*MP).distinct(), "touched")
-        own = stored(self.base.join(touched, MP, "left_semi"), "own")
-        feed = every.join(own.select("COUNTRY", F.col("SKU").alias("RETAIL_ID")), ["COUNTRY", "RETAIL_ID"], "left_semi")
+        # Each of these is read several times below: made once. A batch's share of the base and of the feed is small:
+        # the rest is left out before the joins shuffle it.
+        own = may_match(self.base, new, {"SKU": "RETAIL_ID"})
+        touched = stored(own.join(skus, ["COUNTRY", "SKU"], "left_semi").select(*MP).distinct(), "touched")
+        own = stored(may_match(self.base, touched, dict(zip(MP, MP))).join(touched, MP, "left_semi"), "own")
+        feed = may_match(every, own, {"RETAIL_ID": "SKU"}).join(own.select("COUNTRY", F.col("SKU").alias("RETAIL_ID")), ["COUNTRY", "RETAIL_ID"], "left_semi")
         on = [*(["COUNTRY"] if "COUNTRY" in self.sot_ids.columns else []), "MASTER_PRODUCT_ID"]
-        snapshot = M.feed_snapshot(feed, self.as_of, self.feed_days)
-        rps = stored(C.enrich_retailer_products(C.assemble_catalog(own, self.fill, self.defects, snapshot, self.sot_ids, on)), "rps")
+        snapshot = stored(M.feed_snapshot(feed, self.as_of, self.feed_days), "snapshot")
+        fed = may_match(own, snapshot, {"SKU": "RETAIL_ID"})     # enrichment keeps no others
+        rps = stored(C.enrich_retailer_products(C.assemble_catalog(fed, self.fill, self.defects, snapshot, self.sot_ids, on)), "rps")
         made = C.rollup_products(rps).withColumn("bucket", bucket(self.buckets))
         table = self.table(spark)
         at = [r[0] for r in touched.select(bucket(self.buckets)).distinct().collect()]      # at most ``buckets``
