@@ -450,3 +450,17 @@ def test_near_duplicates_by_text_where_ids_repeat_or_are_null(spark):
     assert names == Counter({(5, 5): 2, (6, 5): 1, (7, 5): 1, (null, null): 4, (8, null): 1, (9, null): 1, (10, 10): 3, (11, 11): 1})
     assert got.where("kept").count() == len(groups)
     assert neardup.keep_first(df.select("text", "doc_id"), 4).count() == len(groups)
+
+
+def test_sides_that_grow_are_not_sent_through_the_driver(spark, monkeypatch):
+    """Only the heavy keys and their rows are broadcast, though every side here is below Spark's threshold."""
+    plans = []
+    monkeypatch.setattr(neardup, "materialize", lambda df, rows=None: (plans.append(df._jdf.queryExecution().executedPlan().toString()), df)[1])
+    pairs = spark.createDataFrame([(i, 0) for i in range(1, 300)], "a long, b long")
+    sets = spark.createDataFrame([(i, np.arange(1, 2 if i % 2 else 3, dtype=np.uint64).tobytes()) for i in range(300)], "id long, names binary")
+    got = neardup.confirmed(pairs, sets, 80)
+    assert plans[-1].count("BroadcastHashJoin") == 3 and plans[-1].count("SortMergeJoin") == 3
+    assert sorted(r.a for r in got.collect()) == list(range(2, 300, 2))     # sets of one name are half like those of two
+    plans.clear()
+    neardup.contract(sets.select("id"), pairs.where("a < 3"), 600)
+    assert plans and not any("Broadcast" in p for p in plans)
